@@ -24,6 +24,7 @@ def local_session(app: str = "snapstar", cores: int | str = "*", **conf: str) ->
         **DEFAULTS,
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
         **conf,
     }
