@@ -28,11 +28,17 @@ def count_other_than(c: str, value: object) -> Column:
     return F.when(n > 0, n)
 
 
+def _all_awarded(status: str, awarded: str) -> Column:
+    # The only status of a group is the awarded one exactly when every row has it; counting
+    # keeps strings out of the aggregation buffer, so the aggregate can hash instead of sort.
+    return F.count_if(F.col(status) == F.lit(awarded)) == F.count(F.lit(1))
+
+
 def awarded_amount(status: str = "bid_status", amount: str = "bid_amount", awarded: str = AWARDED) -> Column:
     """The single amount of a group whose only status is the awarded one."""
-    return F.when(selected_value(status) == F.lit(awarded), selected_value(amount))
+    return F.when(_all_awarded(status, awarded), selected_value(amount))
 
 
 def rejected_amount(status: str = "bid_status", amount: str = "bid_amount", awarded: str = AWARDED) -> Column:
     """The single amount of a group whose status is another one, mixed, or missing."""
-    return F.when(~selected_value(status).eqNullSafe(F.lit(awarded)), selected_value(amount))
+    return F.when(~_all_awarded(status, awarded), selected_value(amount))

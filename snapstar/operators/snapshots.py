@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 START = "__START_AT"
@@ -45,17 +45,18 @@ def slice_by(df: DataFrame, column: str, values: Sequence[object]) -> DataFrame:
 
 
 def dedup_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:
-    """One row per key: the smallest by ``order_by``, then by all other columns.
+    """One row per key: the first by ``order_by``, then by all other columns.
 
-    This is an aggregate, so copies collapse before the shuffle and a key that
-    holds a large share of the rows costs no more than any other.
+    A rank limit of one is applied within every map task before the shuffle (Spark's
+    window group limit), so copies collapse early and a key that holds a large share of
+    the rows sends one row per task, like any other.
     """
     first = list(order_by or ())
     rest = first + [c for c in df.columns if c not in keys and c not in first]
     if not rest:
         return df.select(*keys).distinct()
-    picked = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
-    return picked.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*rest))
+    return df.withColumn("_place", place).filter(F.col("_place") == 1).drop("_place")
 
 
 def lookup_join(

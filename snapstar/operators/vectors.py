@@ -83,10 +83,10 @@ def cosine_top_k(
     else:
         blocks = math.ceil(q.count() / (max_queries / 2))
         groups = max(1, math.ceil(c.count() / GROUP_ROWS))
-        blocked = q.withColumn("_block", F.pmod(F.xxhash64(query_id), F.lit(blocks))).withColumn(
+        blocked = q.withColumn("_block", F.pmod(F.xxhash64(query_id), F.lit(blocks)).cast("int")).withColumn(
             "_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
         spread = c.withColumn("_group", F.pmod(F.xxhash64(id_col), F.lit(groups)).cast("int")).withColumn(
-            "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("bigint"))
+            "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
         def meet(some: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
             if not len(some) or not len(rows):

@@ -27,12 +27,11 @@ REGISTER = ["order_id", "customer_id", "status", "amount", START, END]
 QUERIES: dict[str, Query] = {}
 
 
-def query(name: str) -> Callable[[Callable[[SampleModel], DataFrame]], Callable[[SampleModel], DataFrame]]:
+def query(name: str) -> Callable[[Callable[[SampleModel], DataFrame]], None]:
     """Register a function of the sample model under ``name``."""
 
-    def register(build: Callable[[SampleModel], DataFrame]) -> Callable[[SampleModel], DataFrame]:
+    def register(build: Callable[[SampleModel], DataFrame]) -> None:
         QUERIES[name] = lambda spark, sf_dir: build(SampleModel(spark, sf_dir))
-        return build
 
     return register
 
@@ -337,8 +336,7 @@ def _(m: SampleModel) -> DataFrame:
 
 @query("realization_matrix")
 def _(m: SampleModel) -> DataFrame:
-    return report.realization_matrix(
-        m.gold["mv_project_realization_kpi"], m.gold["mv_procurement_savings_kpi"], m.gold["fact_procurement_bids"])
+    return report.realization_matrix(m.gold["mv_project_realization_kpi"], m.gold["mv_procurement_savings_kpi"])
 
 
 @query("realization_cards")

@@ -38,17 +38,16 @@ def savings_cards(savings: DataFrame, bids: DataFrame, awarded: str = AWARDED) -
     ).orderBy(F.col("procurement_savings").desc_nulls_last(), "project_id")
 
 
-def realization_matrix(realization: DataFrame, savings: DataFrame, bids: DataFrame) -> DataFrame:
+def realization_matrix(realization: DataFrame, savings: DataFrame) -> DataFrame:
     """Department, project, procedure: planned to paid amounts, awarded bids, shares.
 
     Project amounts count once per project at every depth; a procedure row shows those
     of its project. ``sum_*`` adds the stored shares as the report does, the plain names
     are ratios of sums, which stay right on subtotals.
     """
-    awarded = related(bids.filter("is_awarded"), savings, "procedure_id", "awarded_bid_amount", "project_id")
-    per_procedure = awarded.filter(F.col("project_id").isNotNull()).groupBy("project_id", "procedure_id").agg(
+    per_procedure = savings.groupBy("project_id", "procedure_id").agg(
         exact_sum("awarded_bid_amount").alias("awarded_bid"))
-    per_project = per_procedure.groupBy("project_id").agg(exact_sum("awarded_bid").alias("awarded_bid"))
+    per_project = savings.groupBy("project_id").agg(exact_sum("awarded_bid_amount").alias("awarded_bid"))
     amounts = ["planned_amount", "total_contracted_value", "total_invoiced_amount", "total_paid_amount",
                "external_share_amount"]
     shares = ["eu_share_pct", "contracted_pct"]
@@ -57,9 +56,8 @@ def realization_matrix(realization: DataFrame, savings: DataFrame, bids: DataFra
         **{c: exact_sum(c) for c in [*amounts, "awarded_bid"]},
         **{f"sum_{c}": F.round(F.sum(F.col(c).cast("decimal(18,4)")).cast("double"), 4) for c in shares},
     }).withColumn("procedure_id", F.lit(None).cast(savings.schema["procedure_id"].dataType))
-    leaves = savings.select("project_id", "procedure_id").join(base, "project_id").join(
-        per_procedure, ["project_id", "procedure_id"], "left").withColumn(
-            "level", F.lit(3).cast("bigint")).withColumnsRenamed({c: f"sum_{c}" for c in shares})
+    leaves = per_procedure.join(base, "project_id").withColumn(
+        "level", F.lit(3).cast("bigint")).withColumnsRenamed({c: f"sum_{c}" for c in shares})
     both = totals.unionByName(leaves.select(*totals.columns))
     return both.select(
         "level", "department_id", "project_id", "procedure_id",

@@ -77,9 +77,12 @@ class SampleModel:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     # Shared parts
 
@@ -94,12 +97,17 @@ class SampleModel:
             "l_shipdate", F.to_date("l_shipdate"))
 
     @cached_property
-    def procedures_base(self) -> DataFrame:
-        """Orders with the first part and the cheapest supplier of their lines, if any."""
-        per_order = self.table("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-            F.min("l_partkey").alias("first_part"),
+    def first_parts(self) -> DataFrame:
+        """The smallest part number of every order that has lines."""
+        return self.table("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+            F.min("l_partkey").alias("first_part"))
+
+    @cached_property
+    def decided(self) -> DataFrame:
+        """Orders with the supplier of their cheapest line, if any."""
+        best = self.table("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
             F.min(F.struct("l_extendedprice", "l_suppkey"))["l_suppkey"].alias("best_supplier"))
-        return self.orders.join(per_order, "o_orderkey", "left")
+        return self.orders.join(best, "o_orderkey", "left")
 
     # Silver
 
@@ -140,7 +148,7 @@ class SampleModel:
     @cached_property
     def plan(self) -> DataFrame:
         quarter = F.concat(F.year("o_orderdate").cast("string"), F.lit("-Q"), F.quarter("o_orderdate").cast("string"))
-        return _always_valid(self.procedures_base.filter(F.col("first_part").isNotNull()).select(
+        return _always_valid(self.orders.join(self.first_parts, "o_orderkey").select(
             F.col("o_orderkey").alias("evidence_number"), F.col("first_part").alias("cpv_code"),
             quarter.alias("planned_quarter"), F.col("o_totalprice").alias("estimated_value")))
 
@@ -159,7 +167,7 @@ class SampleModel:
         """One bid per (order, supplier); the cheapest wins unless the order is pending."""
         offers = self.table("lineitem").groupBy("l_orderkey", "l_suppkey").agg(
             F.min("l_extendedprice").alias("bid_amount"))
-        decided = self.procedures_base.select(
+        decided = self.decided.select(
             F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus", "best_supplier")
         status = F.when(F.col("o_orderstatus") != "P", F.when(
             F.col("l_suppkey") == F.col("best_supplier"), AWARDED).otherwise("Rejected"))
@@ -180,7 +188,7 @@ class SampleModel:
         pending = F.lit("P")
         spans = F.when(F.col("o_orderstatus") == "P", F.array(version(pending, start, never))).otherwise(
             F.array(version(pending, start, decided), version(F.col("o_orderstatus"), decided, never)))
-        raw = self.procedures_base.select(
+        raw = self.decided.select(
             F.col("o_orderkey").alias("contract_id"), F.col("o_custkey").alias("project_id"),
             F.col("o_orderpriority").alias("budget_item_id"), F.col("o_orderkey").alias("procedure_id"),
             F.col("best_supplier").alias("supplier_id"), F.col("o_totalprice").alias("contract_amount"),
