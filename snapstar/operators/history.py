@@ -20,19 +20,14 @@ def _tracked(columns: Sequence[str], keys: Sequence[str], untracked: Sequence[st
 
 def _paired(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full outer join of two key-unique frames as nullable structs ``o`` and ``n``."""
-    left = old.select(*[F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)], F.struct(*old.columns).alias("o"))
-    right = new.select(*[F.col(k).alias(f"_n{i}") for i, k in enumerate(keys)], F.struct(*new.columns).alias("n"))
-    same_key = F.lit(True)
-    for i in range(len(keys)):
-        same_key = same_key & F.col(f"_o{i}").eqNullSafe(F.col(f"_n{i}"))
+    left = old.select(*[F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)], F.struct("*").alias("o"))
+    right = new.select(*[F.col(k).alias(f"_n{i}") for i, k in enumerate(keys)], F.struct("*").alias("n"))
+    same_key = F.expr(" AND ".join(f"_o{i} <=> _n{i}" for i in range(len(keys))))
     return left.join(right, same_key, "full_outer").select("o", "n")
 
 
 def _same(tracked: Sequence[str]) -> Column:
-    equal = F.lit(True)
-    for c in tracked:
-        equal = equal & F.col("o")[c].eqNullSafe(F.col("n")[c])
-    return equal
+    return F.expr(" AND ".join(f"o.`{c}` <=> n.`{c}`" for c in tracked) or "true")
 
 
 def apply_snapshot_scd1(target: DataFrame, snapshot: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -57,21 +52,18 @@ def scd2_delta(
     """
     at = version if isinstance(version, Column) else F.lit(str(version)).cast("timestamp")
     incoming = dedup_by_key(snapshot, keys)
-    business = incoming.columns
-    tracked = _tracked(business, keys, untracked)
-    pairs = _paired(open_rows, incoming, keys)
-
-    def row(side: str, start: Column, end: Column) -> Column:
-        fields = [F.col(side)[c].alias(c) for c in business]
-        return F.struct(*fields, start.cast("timestamp").alias(START), end.cast("timestamp").alias(END))
+    pairs = _paired(open_rows.select(*incoming.columns, *VALIDITY), incoming, keys)
+    never = F.lit(None).cast("timestamp")
+    closed = F.col("o").withField(END, at)
+    kept = F.struct("n.*", F.col("o")[START].alias(START), never.alias(END))
+    opened = F.struct("n.*", at.alias(START), never.alias(END))
 
     had, has = F.col("o").isNotNull(), F.col("n").isNotNull()
-    still_open = F.lit(None)
     versions = (
-        F.when(had & has & _same(tracked), F.array(row("n", F.col("o")[START], still_open)))
-        .when(had & has, F.array(row("o", F.col("o")[START], at), row("n", at, still_open)))
-        .when(had, F.array(row("o", F.col("o")[START], at)))
-        .otherwise(F.array(row("n", at, still_open)))
+        F.when(had & has & _same(_tracked(incoming.columns, keys, untracked)), F.array(kept))
+        .when(had & has, F.array(closed, opened))
+        .when(had, F.array(closed))
+        .otherwise(F.array(opened))
     )
     return pairs.select(F.inline(versions))
 
@@ -147,4 +139,4 @@ def snapshot_diff(
 
 def lost_keys(bronze: DataFrame, history: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys seen in any snapshot but absent from the history; empty when all is well."""
-    return bronze.select(*keys).distinct().join(history.select(*keys), list(keys), "left_anti")
+    return bronze.select(*keys).distinct().join(history.select(*keys).distinct(), list(keys), "left_anti")

@@ -67,7 +67,7 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Distinct child keys without a parent; null keys refer to nothing and are left out."""
     keys = child.select(F.col(fk)).filter(F.col(fk).isNotNull()).distinct()
-    return keys.join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
+    return keys.join(parent.select(F.col(pk).alias(fk)).distinct(), fk, "left_anti")
 
 
 def fk_containment(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:

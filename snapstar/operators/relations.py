@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 def cross_filter(
     a: DataFrame, b: DataFrame, key: str, on_a: Column | None = None, on_b: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Both sides of a relationship after a selection on either: each keeps keys the other kept."""
+    """Both sides of a relationship after a selection on either: each keeps keys the other kept.
+
+    The selecting side is reduced to distinct keys before it is shuffled.
+    """
     chosen_a = a if on_a is None else a.filter(on_a)
     chosen_b = b if on_b is None else b.filter(on_b)
     return (
-        chosen_a.join(chosen_b.select(key), key, "left_semi"),
-        chosen_b.join(chosen_a.select(key), key, "left_semi"),
+        chosen_a.join(chosen_b.select(key).distinct(), key, "left_semi"),
+        chosen_b.join(chosen_a.select(key).distinct(), key, "left_semi"),
     )
 
 

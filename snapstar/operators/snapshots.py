@@ -44,6 +44,11 @@ def slice_by(df: DataFrame, column: str, values: Sequence[object]) -> DataFrame:
     return df.filter(F.col(column).isin(*values)) if values else df
 
 
+def slicer_values(df: DataFrame, column: str) -> DataFrame:
+    """What a slicer offers for selection."""
+    return df.select(column).distinct()
+
+
 def dedup_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the first by ``order_by``, then by all other columns.
 

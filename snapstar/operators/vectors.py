@@ -15,6 +15,8 @@ from .snapshots import dedup_by_key
 
 # Queries are shipped to every task only up to this many, counted first.
 MAX_BROADCAST_QUERIES = 4096
+# Queries multiplied at a time, which bounds a task's similarity matrix.
+QUERY_BLOCK = 128
 # Rows per task group on the way taken beyond that.
 GROUP_ROWS = 20_000
 
@@ -27,18 +29,18 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
 
 def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> tuple:
     """At most ``k`` rows of this batch per query: highest similarity, then smallest id."""
-    sims = np.round(rows @ queries.T, 10)
     qs, picks, values = [], [], []
-    for j in range(sims.shape[1]):
-        column = sims[:, j]
-        usable = np.flatnonzero(~np.isnan(column))
-        if len(usable) > k:
-            kth = np.partition(column[usable], -k)[-k]
-            usable = usable[column[usable] >= kth]
-        top = usable[np.lexsort((ids[usable], -column[usable]))[:k]]
-        qs.append(np.repeat(query_ids[j:j + 1], len(top)))
-        picks.append(ids[top])
-        values.append(column[top])
+    for start in range(0, len(queries), QUERY_BLOCK):
+        sims = np.round(rows @ queries[start:start + QUERY_BLOCK].T, 10)
+        for j, column in enumerate(sims.T, start):
+            usable = np.flatnonzero(~np.isnan(column))
+            if len(usable) > k:
+                kth = np.partition(column[usable], -k)[-k]
+                usable = usable[column[usable] >= kth]
+            top = usable[np.lexsort((ids[usable], -column[usable]))[:k]]
+            qs.append(np.repeat(query_ids[j:j + 1], len(top)))
+            picks.append(ids[top])
+            values.append(column[top])
     return np.concatenate(qs), np.concatenate(picks), np.concatenate(values)
 
 

@@ -348,6 +348,10 @@ _BODIES = {
     "land_snapshot": _EXPORT_TOTALS,
     "csv_infer": _EXPORT_TOTALS,
     "bronze_ingest": _EXPORT_TOTALS,
+    "ingest_entity": """SELECT invoice_id, due_date, payment_date, invoice_amount, invoice_status, days_late,
+        CASE WHEN issue_date < DATE '1998-01-01' THEN TIMESTAMP '1997-12-31' ELSE TIMESTAMP '2001-12-31' END
+        AS __START_AT, CAST(NULL AS TIMESTAMP) AS __END_AT FROM fact_invoices""",
+    "slicer_values": "SELECT DISTINCT department_id FROM mv_project_realization_kpi",
     "slicer_filter": """SELECT department_id, project_id, total_contracted_value, realization_pct
         FROM mv_project_realization_kpi WHERE department_id IN (3, 7)""",
     "cross_filter": """SELECT 'project' AS side, project_id AS id FROM dim_project WHERE project_status = 'On hold'

@@ -6,20 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.columns import AWARDED, exact_sum
 from ..functions.measures import awarded_amount, count_other_than, rejected_amount, selected_value, sum_where
 from ..operators import history, matrix, profile, quality, relations, surface, vectors
 from ..operators.snapshots import (
-    END, RESCUED, SNAPSHOT_TS, START, as_of, current, dedup_by_key, latest_snapshot, slice_by,
+    END, RESCUED, SNAPSHOT_TS, START, as_of, current, dedup_by_key, latest_snapshot,
+    slice_by, slicer_values,
 )
-from ..session import scratch_dir
+from ..session import scratch_dir, tune
 from ..sources import calendars, landing, traces
 from ..streaming.bronze import ingest_bronze, read_bronze
 from ..streaming.history import HistoryTable, follow_snapshots
 from . import report
+from .entities import ENTITIES, ingest_entity
 from .metadata import GOLD_TABLES, PRIMARY_KEYS
-from .sample_model import EXPORT_YEARS, LINE, SampleModel
+from .sample_model import AS_OF, EXPORT_YEARS, LINE, SampleModel
 
 Query = Callable[[SparkSession, str], DataFrame]
 UNTRACKED = (SNAPSHOT_TS, RESCUED)
@@ -31,7 +34,7 @@ def query(name: str) -> Callable[[Callable[[SampleModel], DataFrame]], None]:
     """Register a function of the sample model under ``name``."""
 
     def register(build: Callable[[SampleModel], DataFrame]) -> None:
-        QUERIES[name] = lambda spark, sf_dir: build(SampleModel(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: build(SampleModel(tune(spark), sf_dir))
 
     return register
 
@@ -231,13 +234,7 @@ def _(m: SampleModel) -> DataFrame:
     base = scratch_dir(m.spark, "landing")
     _land_orders(m, base)
     schema = "order_id bigint, customer_id bigint, status string, amount double, _snapshot_ts timestamp"
-    return _export_totals(landing.read_landed(m.spark, f"{base}/landing/orders", _parsed(schema)))
-
-
-def _parsed(ddl: str):
-    from pyspark.sql.types import StructType
-
-    return StructType.fromDDL(ddl)
+    return _export_totals(landing.read_landed(m.spark, f"{base}/landing/orders", StructType.fromDDL(schema)))
 
 
 @query("csv_infer")
@@ -260,6 +257,19 @@ def _(m: SampleModel) -> DataFrame:
     return _export_totals(read_bronze(m.spark, f"{base}/bronze", schema))
 
 
+@query("ingest_entity")
+def _(m: SampleModel) -> DataFrame:
+    """Invoices through all layers: two exports, the first with those issued before 1998."""
+    base, cfg = scratch_dir(m.spark, "entity"), ENTITIES["invoices"]
+    early = m.raw_invoices.filter(F.col("issue_date") < F.datediff(F.lit("1998-01-01"), F.lit("1899-12-30")))
+    landing.land_snapshot({cfg.name: early}, f"{base}/landing", "r1", "1997-12-31")
+    landing.land_snapshot({cfg.name: m.raw_invoices}, f"{base}/landing", "r2", "2001-12-31")
+    schema = landing.infer_csv_schema(m.spark, f"{base}/landing/{cfg.name}")
+    silver = ingest_entity(m.spark, cfg, base, schema, AS_OF)
+    return silver.select("invoice_id", "due_date", "payment_date", "invoice_amount", "invoice_status", "days_late",
+                         START, END)
+
+
 @query("schema_drift")
 def _(m: SampleModel) -> DataFrame:
     """What a CSV round trip does to the types of the orders table."""
@@ -277,6 +287,11 @@ def _(m: SampleModel) -> DataFrame:
     return chosen.select("department_id", "project_id", "total_contracted_value", "realization_pct")
 
 
+@query("slicer_values")
+def _(m: SampleModel) -> DataFrame:
+    return slicer_values(m.gold["mv_project_realization_kpi"], "department_id")
+
+
 @query("cross_filter")
 def _(m: SampleModel) -> DataFrame:
     """Pending contracts restrict the projects, on-hold projects the contracts."""

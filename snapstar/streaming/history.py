@@ -43,13 +43,15 @@ class HistoryTable:
     def _files(self) -> DataFrame:
         return self.spark.read.schema(self._layout).parquet(self.path)
 
-    def current(self) -> DataFrame:
-        """Open versions; reads only the newest folder."""
-        last = self.last_version()
+    def _open_at(self, last: int | None) -> DataFrame:
         if last is None:
             return self.spark.createDataFrame([], self._stored)
         return self._files().filter((F.col("_version") == last) & F.col("is_current")).select(*self.columns)
 
+    def current(self) -> DataFrame:
+        """Open versions; reads only the newest folder."""
+        return self._open_at(self.last_version())
+
     def read(self) -> DataFrame:
         """Open and closed versions."""
         last = self.last_version()
@@ -58,24 +60,31 @@ class HistoryTable:
         kept = F.when(F.col("is_current"), F.col("_version") == last).otherwise(F.col("_version") <= last)
         return self._files().filter(kept).select(*self.columns)
 
-    def apply(self, snapshot: DataFrame, version: dt.datetime) -> bool:
-        """Apply one snapshot; one that is not newer than the last is left out."""
-        at = F.lit(str(version)).cast("timestamp")
-        micros = self.spark.range(1).select(F.unix_micros(at)).first()[0]
+    def apply(self, snapshot: DataFrame, version: dt.datetime | str | int) -> bool:
+        """Apply one snapshot; one that is not newer than the last is left out.
+
+        ``version`` is the snapshot's time, or its microseconds since the epoch.
+        """
+        if not isinstance(version, int):
+            at = F.lit(str(version)).cast("timestamp")
+            version = self.spark.range(1).select(F.unix_micros(at)).first()[0]
         last = self.last_version()
-        if last is not None and micros <= last:
+        if last is not None and version <= last:
             return False
-        delta = scd2_delta(self.current(), snapshot, self.keys, version, self.untracked)
-        delta.select(*self.columns).withColumn("is_current", F.col(END).isNull()).write.mode("overwrite").partitionBy(
-            "is_current").parquet(f"{self.path}/_version={micros}")
-        self.spark.range(1).select(F.lit(micros).alias("version")).coalesce(1).write.mode("append").json(
-            f"{self.path}/_commits")
+        delta = scd2_delta(
+            self._open_at(last), snapshot, self.keys, F.timestamp_micros(F.lit(version)), self.untracked)
+        delta.select(*self.columns, F.col(END).isNull().alias("is_current")).write.mode("overwrite").partitionBy(
+            "is_current").parquet(f"{self.path}/_version={version}")
+        commit = self.spark.range(1).select(F.lit(version).alias("version")).coalesce(1)
+        commit.write.mode("append").json(f"{self.path}/_commits")
         return True
 
     def apply_all(self, snapshots: DataFrame, ts_col: str = SNAPSHOT_TS) -> int:
         """Apply every newer snapshot in ``snapshots`` from oldest to newest."""
-        stamps = [r[0] for r in snapshots.select(ts_col).distinct().orderBy(ts_col).collect()]
-        return sum(self.apply(snapshots.filter(F.col(ts_col) == F.lit(str(t)).cast("timestamp")), t) for t in stamps)
+        last = self.last_version()
+        stamps = sorted(r[0] for r in snapshots.select(F.unix_micros(ts_col)).distinct().collect())
+        newer = [t for t in stamps if last is None or t > last]
+        return sum(self.apply(snapshots.filter(F.col(ts_col) == F.timestamp_micros(F.lit(t))), t) for t in newer)
 
 
 def follow_snapshots(
