@@ -72,10 +72,11 @@ def lookup_join(
 
     The lookup is counted (up to ``max_rows + 1``) and broadcast within the bound.
     Beyond it each lookup row is repeated once per salt, so that even a key holding
-    most of ``big`` spreads over ``salts`` tasks.
+    most of ``big`` spreads over ``salts`` tasks. The salt comes from the row and its input
+    partition: a repeated task salts alike, and equal copies still spread.
     """
     if lookup.limit(max_rows + 1).count() <= max_rows:
         return big.join(F.broadcast(lookup), on, how)
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))
+    salted = big.withColumn("_salt", F.pmod(F.xxhash64(F.spark_partition_id(), *big.columns), F.lit(salts)).cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [on, "_salt"], how).drop("_salt")

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.columns import serial_to_date, with_invoice_status
@@ -74,6 +75,8 @@ def ingest_entity(
 ) -> DataFrame:
     """One run for one entity below ``root``: landing to bronze to silver; returns silver.
 
+    A lookup's state goes to a folder of its own per snapshot, so readers never see a
+    half-written table.
     ``schema`` is the landed files' schema. ``every_snapshot`` applies all snapshots that
     arrived since the last run in order, otherwise just the newest one.
     """
@@ -81,9 +84,10 @@ def ingest_entity(
     ingest_bronze(spark, f"{root}/landing/{cfg.name}", schema, bronze_dir, f"{root}/_checkpoints/{cfg.name}")
     bronze = read_bronze(spark, bronze_dir, schema)
     if cfg.scd_type == 1:
-        fresh = latest_typed(bronze, cfg, as_of_date)
-        write_gold(apply_snapshot_scd1(fresh, fresh, cfg.keys), silver_dir)
-        return spark.read.parquet(silver_dir)
+        newest = bronze.agg(F.max(F.unix_micros(SNAPSHOT_TS))).first()[0]
+        fresh = typed(latest_snapshot(bronze), cfg, as_of_date)
+        write_gold(apply_snapshot_scd1(fresh, fresh, cfg.keys), f"{silver_dir}/_version={newest}")
+        return latest_snapshot(spark.read.parquet(silver_dir), "_version").drop("_version")
     rows = typed(bronze if every_snapshot else latest_snapshot(bronze), cfg, as_of_date)
     history = HistoryTable(spark, silver_dir, rows.schema, cfg.keys, cfg.untracked)
     history.apply_all(rows)

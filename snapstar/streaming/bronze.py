@@ -13,12 +13,14 @@ from ..operators.snapshots import RESCUED, SNAPSHOT_TS
 def bronze_stream(spark: SparkSession, landing_dir: str, schema: StructType) -> DataFrame:
     """Landed files as a stream; the checkpoint's file log admits each path once.
 
-    Lines that do not fit the schema keep their text in the rescued column.
+    Lines that do not fit the schema keep their text in the rescued column; a file whose
+    header names other columns, or the same in another order, stops the run.
     """
     full = schema if RESCUED in schema.fieldNames() else StructType([*schema.fields, StructField(RESCUED, StringType())])
     return (
         spark.readStream.schema(full).option("header", True).option("recursiveFileLookup", True)
-        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RESCUED).csv(landing_dir)
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RESCUED)
+        .option("enforceSchema", False).csv(landing_dir)
         .withColumn(SNAPSHOT_TS, F.col(SNAPSHOT_TS).cast("timestamp"))
     )
 

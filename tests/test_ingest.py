@@ -72,6 +72,15 @@ def test_malformed_lines_are_rescued(spark, tmp_path):
     assert got == {1: (2.5, None), 2: (None, "2,oops,2024-01-01")}
 
 
+def test_reordered_header_stops_the_run(spark, tmp_path):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    (folder / "a.csv").write_text("amount,id,_snapshot_ts\n2,1,2024-01-01\n")
+    schema = spark.createDataFrame([], "id int, amount int, _snapshot_ts timestamp").schema
+    with pytest.raises(Exception, match="header"):
+        ingest_bronze(spark, str(folder), schema, str(tmp_path / "b"), str(tmp_path / "c"))
+
+
 def test_latest_snapshot_prunes_folders(spark, tmp_path):
     path = str(tmp_path / "b")
     spark.range(6).select("id", F.make_timestamp(F.lit(2024), (F.col("id") % 3 + 1).cast("int"), *[F.lit(1)] * 1,
