@@ -11,6 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.columns import AWARDED, date_to_serial
 from ..operators.snapshots import END, RESCUED, SNAPSHOT_TS, START, dedup_by_key
@@ -29,6 +30,9 @@ def _always_valid(df: DataFrame) -> DataFrame:
         START: F.lit("1995-01-01").cast("timestamp"), END: F.lit(None).cast("timestamp")})
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class GoldTables(Mapping[str, DataFrame]):
     """The 16 gold tables by name, each built when first asked for."""
 
@@ -80,8 +84,12 @@ class SampleModel:
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
+        """A given table; its schema is read from the files once per process."""
         if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            path = f"{self.sf_dir}/{name}.parquet"
+            if path not in _SCHEMAS:
+                _SCHEMAS[path] = self.spark.read.parquet(path).schema
+            self._tables[name] = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
         return self._tables[name]
 
     # Shared parts
