@@ -21,7 +21,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, word_count
+from .common import materialize
 
 WINDOW = 5
 LEAST_WORDS, MOST_REPEATED = 10, 20  # base rules: words, and percent of words in repeated windows
@@ -40,38 +40,32 @@ FENCES = {
 OUTER_LOW, OUTER_HIGH = 5, 95  # percent
 
 
-def measures(text: Column) -> dict[str, Column]:
-    """Base measures of a text. Window equality is by 64-bit hash of its words, within one document."""
-    whole = F.coalesce(text, F.lit(""))
-    words = F.filter(F.split(whole, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    lines = F.filter(F.split(whole, "\n", -1), lambda line: F.translate(line, SPACES, "") != "")
-    return {
-        "n_words": word_count(text),
-        "word_chars": F.length(F.translate(whole, SPACES, "")).cast("long"),
-        "n_symbols": (F.length(whole) - F.length(F.translate(whole, SYMBOLS, ""))).cast("long"),
-        "n_lines": F.size(lines).cast("long"),
-        "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
-        "n_repeat_words": repeated_words(words),
-    }
-
-
-def repeated_words(words: Column, window: int = WINDOW) -> Column:
-    """Words covered by windows that occur twice or more in one text.
-
-    Windows are sorted by hash and position, neighbours with equal hashes give the repeated positions, and sorted
-    positions add up to the length of their union.
+def measure(df: DataFrame, text: str) -> DataFrame:
+    """Replace the ``text`` column by the base measures. Window equality is by 64-bit hash of its words, within one
+    document. Each step names what the next one uses several times, so that arrays are made once for each text.
     """
-    starts = F.when(F.size(words) >= window, F.sequence(F.lit(0), F.size(words) - window)).otherwise(F.array().cast("array<int>"))
-    hashed = F.array_sort(F.transform(starts, lambda i: F.struct(
-        F.xxhash64(*(F.get(words, i + k) for k in range(window))).alias("h"), i.alias("i"))))
-    repeated = F.filter(
-        F.transform(hashed, lambda x, k: F.when(
-            (F.get(hashed, k - 1)["h"] == x["h"]) | (F.get(hashed, k + 1)["h"] == x["h"]), x["i"])),
-        lambda i: i.isNotNull())
+    kept = [c for c in df.columns if c != text]
+    whole = F.coalesce(F.col(text), F.lit(""))
+    counted = df.select(
+        *kept,
+        F.filter(F.split(whole, r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("words"),
+        F.filter(F.split(whole, "\n", -1), lambda line: F.translate(line, SPACES, "") != "").alias("lines"),
+        F.length(F.translate(whole, SPACES, "")).cast("long").alias("word_chars"),
+        (F.length(whole) - F.length(F.translate(whole, SYMBOLS, ""))).cast("long").alias("n_symbols"))
+    done = [*kept, "word_chars", "n_symbols", "n_words", "n_lines", "n_dup_lines"]
+    sized = counted.select(
+        *kept, "word_chars", "n_symbols", "words", F.size("words").cast("long").alias("n_words"),
+        F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"))
+    # Windows by hash and position; neighbours with equal hashes are repeats; their sorted positions give the union.
+    starts = F.when(F.size("words") >= WINDOW, F.sequence(F.lit(0), F.size("words") - WINDOW)).otherwise(F.array().cast("array<int>"))
+    hashed = sized.select(*done, F.sort_array(F.transform(starts, lambda i: F.struct(
+        F.xxhash64(*(F.get("words", i + k) for k in range(WINDOW))).alias("h"), i.alias("i")))).alias("windows"))
+    repeated = hashed.select(*done, F.array_compact(F.transform("windows", lambda x, k: F.when(
+        (F.get("windows", k - 1)["h"] == x["h"]) | (F.get("windows", k + 1)["h"] == x["h"]), x["i"]))).alias("repeated"))
     covered = F.aggregate(
-        F.array_sort(repeated), F.struct(F.lit(0).alias("n"), F.lit(-window).alias("last")),
-        lambda acc, i: F.struct((acc["n"] + F.least(F.lit(window), i - acc["last"])).alias("n"), i.alias("last")))
-    return covered["n"].cast("long")
+        F.sort_array("repeated"), F.struct(F.lit(0).alias("n"), F.lit(-WINDOW).alias("last")),
+        lambda acc, i: F.struct((acc["n"] + F.least(F.lit(WINDOW), i - acc["last"])).alias("n"), i.alias("last")))
+    return repeated.select(*done, covered["n"].cast("long").alias("n_repeat_words"))
 
 
 def metrics() -> dict[str, Column]:
@@ -144,9 +138,8 @@ def apply_rules(df: DataFrame, text: str, lang: str, source: str, keep: list[str
     Measures are stored once without the texts, sketched, and joined with the thresholds, which hold one row per
     language and source; a hot group is split by the planner or avoided by a broadcast it sizes itself.
     """
-    base = df.select(*(F.col(c).alias(f"k_{c}") for c in keep), F.col(lang).alias("g_lang"), F.col(source).alias("g_source"),
-                     *(v.alias(n) for n, v in measures(F.col(text)).items()))
-    stored = materialize(base, "quality")
+    named = df.select(*(F.col(c).alias(f"k_{c}") for c in keep), F.col(lang).alias("g_lang"), F.col(source).alias("g_source"), F.col(text).alias("x"))
+    stored = materialize(measure(named, "x"), "quality")
     limits = thresholds(sketches(stored, "g_lang", "g_source"))
     joined = stored.join(limits, F.col("g_lang").eqNullSafe(F.col("t_lang")) & F.col("g_source").eqNullSafe(F.col("t_source")), "left")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
