@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .snapshots import END, SNAPSHOT_TS, START, dedup_by_key, lookup_join
+from .snapshots import END, SNAPSHOT_TS, START, dedup_by_key
 
 VALIDITY = (START, END)
 
@@ -80,7 +80,7 @@ def apply_snapshot_scd2(
 
 def replay_scd2(
     bronze: DataFrame, keys: Sequence[str], ts_col: str = SNAPSHOT_TS, untracked: Sequence[str] = (),
-    max_snapshots: int = 100_000, unique_per_snapshot: bool = False,
+    unique_per_snapshot: bool = False,
 ) -> DataFrame:
     """The full type 2 history of every snapshot in ``bronze`` at once.
 
@@ -91,11 +91,10 @@ def replay_scd2(
     """
     untracked = [*untracked, ts_col] if ts_col not in untracked else list(untracked)
     rows = bronze if unique_per_snapshot else dedup_by_key(bronze, [*keys, ts_col])
-    order = Window.orderBy(ts_col)
-    timeline = bronze.select(ts_col).distinct().select(
-        ts_col, F.row_number().over(order).alias("_pos"), F.lead(ts_col).over(order).alias("_next")
-    )
-    placed = lookup_join(rows, timeline, ts_col, max_rows=max_snapshots)
+    # One entry per export, gathered as a scalar subquery: no join, and no window without a key.
+    stamps = bronze.select(F.array_sort(F.collect_set(ts_col))).scalar()
+    placed = rows.withColumn("_stamps", stamps).withColumn("_pos", F.array_position("_stamps", F.col(ts_col))).withColumn(
+        "_next", F.get("_stamps", F.col("_pos").cast("int"))).drop("_stamps")
 
     by_key = Window.partitionBy(*keys).orderBy("_pos")
     content = F.struct(*[F.col(c) for c in _tracked(bronze.columns, keys, untracked)])
@@ -117,8 +116,14 @@ def replay_scd2(
 
 
 def snapshot_deletes(previous: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is missing from the new snapshot."""
-    return previous.join(new.select(*keys), list(keys), "left_anti")
+    """Rows whose key is missing from the new snapshot; null keys equal each other."""
+    return _without(previous, new, keys)
+
+
+def _without(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key ``known`` lacks, nulls compared as values."""
+    named = known.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    return rows.join(named, F.expr(" AND ".join(f"`{k}` <=> _k{i}" for i, k in enumerate(keys))), "left_anti")
 
 
 def snapshot_diff(
@@ -138,5 +143,5 @@ def snapshot_diff(
 
 
 def lost_keys(bronze: DataFrame, history: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys seen in any snapshot but absent from the history; empty when all is well."""
-    return bronze.select(*keys).distinct().join(history.select(*keys).distinct(), list(keys), "left_anti")
+    """Keys seen in any snapshot but absent from the history; empty when all is well. Null keys equal each other."""
+    return _without(bronze.select(*keys).distinct(), history, keys)

@@ -24,9 +24,9 @@ def cross_filter(
 def join_on_date_part(fact: DataFrame, ts_col: str, calendar: DataFrame, how: str = "inner") -> DataFrame:
     """Match timestamps to calendar days, ignoring the time of day.
 
-    A calendar holds one row per day of at most ten thousand years, which bounds the broadcast.
+    The planner broadcasts a calendar that is small, as they are; a larger frame is shuffled.
     """
-    return fact.join(F.broadcast(calendar), F.to_date(fact[ts_col]) == calendar["date"], how)
+    return fact.join(calendar, F.to_date(fact[ts_col]) == calendar["date"], how)
 
 
 def related(fact: DataFrame, lookup: DataFrame, on: str, *columns: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Snapshot filters, deduplication and size-checked lookups."""
+"""Snapshot filters, deduplication and lookups."""
 
 from __future__ import annotations
 
@@ -13,10 +13,6 @@ END = "__END_AT"
 SNAPSHOT_TS = "_snapshot_ts"
 RESCUED = "_rescued_data"
 
-# A lookup side is broadcast only below this many rows, counted before the join is built.
-BROADCAST_ROWS = 200_000
-LOOKUP_SALTS = 64
-
 
 def latest_snapshot(df: DataFrame, ts_col: str = SNAPSHOT_TS) -> DataFrame:
     """Rows of the newest snapshot.
@@ -64,19 +60,10 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | N
     return df.withColumn("_place", place).filter(F.col("_place") == 1).drop("_place")
 
 
-def lookup_join(
-    big: DataFrame, lookup: DataFrame, on: str, how: str = "inner",
-    max_rows: int = BROADCAST_ROWS, salts: int = LOOKUP_SALTS,
-) -> DataFrame:
-    """Join ``big`` to a lookup that is unique per ``on``.
+def lookup_join(big: DataFrame, lookup: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """Join ``big`` to a lookup that is unique per ``on``; any kind of join.
 
-    The lookup is counted (up to ``max_rows + 1``) and broadcast within the bound.
-    Beyond it each lookup row is repeated once per salt, so that even a key holding
-    most of ``big`` spreads over ``salts`` tasks. The salt comes from the row and its input
-    partition: a repeated task salts alike, and equal copies still spread.
+    The planner broadcasts a lookup whose size it knows to be small and otherwise shuffles both sides, where adaptive
+    execution splits a key that holds most of ``big``.
     """
-    if lookup.limit(max_rows + 1).count() <= max_rows:
-        return big.join(F.broadcast(lookup), on, how)
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(F.spark_partition_id(), *big.columns), F.lit(salts)).cast("int"))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [on, "_salt"], how).drop("_salt")
+    return big.join(lookup, on, how)

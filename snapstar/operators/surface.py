@@ -5,44 +5,99 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.java_gateway import is_instance_of
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 ROW_CAP = 500
-# What a plan must not contain because it runs code outside Spark SQL.
-FORBIDDEN_IN_PLAN = ("ScriptTransformation", "java_method(", "reflect(", "try_reflect(")
+# Functions that run code outside Spark SQL.
+FORBIDDEN_FUNCTIONS = {"java_method", "reflect", "try_reflect"}
+# Parsed nodes through which a statement could reach what its text does not name as a table.
+FORBIDDEN_NODES = ("TableValuedFunction", "TVF", "ScriptTransformation", "UnresolvedIdentifier", "TimeTravel", "TableFunction")
 
 
 class QueryRejected(Exception):
     """The statement is not a plain query over the allowed tables."""
 
 
+def _items(sequence) -> list:
+    return [sequence.apply(i) for i in range(sequence.size())]
+
+
+def _check_parsed(spark: SparkSession, node, allowed: set[str]) -> None:
+    """Refuse any relation, table function or function of a parsed tree that is not allowed, in subqueries too.
+
+    A name counts as a common table only where its definition is in scope, so a definition can't lend its name to a
+    hidden table inside itself.
+    """
+    kind = node.getClass().getSimpleName()
+    if any(word in kind for word in FORBIDDEN_NODES):
+        raise QueryRejected(f"not allowed: {kind}")
+    if kind == "UnresolvedRelation":
+        parts = _items(node.multipartIdentifier())
+        if len(parts) != 1 or parts[0].lower() not in allowed:
+            raise QueryRejected(f"table not allowed: {'.'.join(parts)}")
+    if kind == "UnresolvedFunction":
+        parts = _items(node.nameParts())
+        if len(parts) != 1 or parts[0].lower() in FORBIDDEN_FUNCTIONS:
+            raise QueryRejected(f"function not allowed: {'.'.join(parts)}")
+    visible = allowed
+    if kind == "UnresolvedWith":
+        for definition in _items(node.cteRelations()):
+            _check_parsed(spark, definition.productElement(1), visible)
+            visible = visible | {definition.productElement(0).lower()}
+    for child in _items(node.children()):
+        _check_parsed(spark, child, visible)
+    if _is_a(spark, node, "plans.QueryPlan"):
+        for expression in _items(node.expressions()):
+            _check_parsed(spark, expression, visible)
+    elif _is_a(spark, node, "expressions.PlanExpression"):
+        _check_parsed(spark, node.plan(), visible)
+
+
+def _is_a(spark: SparkSession, node, name: str) -> bool:
+    return is_instance_of(spark.sparkContext._gateway, node, f"org.apache.spark.sql.catalyst.{name}")
+
+
 def governed_select(
     spark: SparkSession, query: str, allowed: Mapping[str, Callable[[SparkSession], DataFrame]], cap: int = ROW_CAP,
 ) -> DataFrame:
     """Run one SELECT that can see only ``allowed`` and returns at most ``cap`` rows.
 
-    The query runs in a child session whose catalog holds just the allowed views, each
-    built by its function of that session. It is placed inside a subquery, where Spark's
-    grammar admits no command, no second statement and no setting. The cap applies to
-    the result, whatever limits the query itself contains.
+    Spark's own parser reads the statement, and every table it names must be an allowed one or a common table in scope;
+    names with a catalog or database, table functions and functions that run other code are refused by the parsed
+    tree. The query then runs in a child session with just the allowed views, inside a subquery, where the grammar
+    admits no command, no second statement and no setting. The cap applies to the result, whatever limits the query
+    itself contains; ``governed_rows`` tells whether it cut any.
     """
-    body = query.strip().rstrip(";")
+    return _governed(spark, query, allowed).limit(cap)
+
+
+def governed_rows(
+    spark: SparkSession, query: str, allowed: Mapping[str, Callable[[SparkSession], DataFrame]], cap: int = ROW_CAP,
+) -> tuple[list[Row], bool]:
+    """At most ``cap`` rows of a governed query, and whether there were more."""
+    rows = _governed(spark, query, allowed).limit(cap + 1).collect()
+    return rows[:cap], len(rows) > cap
+
+
+def _governed(spark: SparkSession, query: str, allowed: Mapping[str, Callable[[SparkSession], DataFrame]]) -> DataFrame:
+    wrapped = f"SELECT * FROM (\n{query.strip().rstrip(';')}\n)"
     child = spark.newSession()
     for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
         child.conf.set(key, spark.conf.get(key))
     child.conf.set("spark.sql.runSQLOnFiles", "false")
+    try:
+        parsed = child._jsparkSession.sessionState().sqlParser().parsePlan(wrapped)
+    except Exception as error:
+        raise QueryRejected(str(error).splitlines()[0]) from error
+    _check_parsed(spark, parsed, {name.lower() for name in allowed})
     for name, build in allowed.items():
         build(child).createOrReplaceTempView(name)
     try:
-        result = child.sql(f"SELECT * FROM (\n{body}\n)")
+        return child.sql(wrapped)
     except Exception as error:
         raise QueryRejected(str(error).splitlines()[0]) from error
-    plan = result._jdf.queryExecution().analyzed().toString()
-    for word in FORBIDDEN_IN_PLAN:
-        if word in plan:
-            raise QueryRejected(f"not allowed: {word.rstrip('(')}")
-    return result.limit(cap)
 
 
 @dataclass(frozen=True)

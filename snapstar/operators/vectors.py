@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,12 +12,10 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .snapshots import dedup_by_key
 
-# Queries are shipped to every task only up to this many, counted first.
-MAX_BROADCAST_QUERIES = 4096
+# Queries shipped to the tasks together, and their components at most.
+BLOCK_ROWS, BLOCK_NUMBERS = 4096, 4_000_000
 # Queries multiplied at a time, which bounds a task's similarity matrix.
 QUERY_BLOCK = 128
-# Rows per task group on the way taken beyond that.
-GROUP_ROWS = 20_000
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -44,17 +41,29 @@ def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.
     return np.concatenate(qs), np.concatenate(picks), np.concatenate(values)
 
 
+def _blocks(queries: DataFrame, rows: int) -> Iterator[list]:
+    """Queries one partition at a time, in lists of bounded size."""
+    block, numbers = [], 0
+    for row in queries.toLocalIterator():
+        block.append(row)
+        numbers += len(row[1])
+        if len(block) >= rows or numbers >= BLOCK_NUMBERS:
+            yield block
+            block, numbers = [], 0
+    if block:
+        yield block
+
+
 def cosine_top_k(
     queries: DataFrame, corpus: DataFrame, k: int = 4, min_sim: float | None = None,
     query_id: str = "query_id", query_vector: str = "query_vector",
-    id_col: str = "vec_id", vector: str = "embedding", max_queries: int = MAX_BROADCAST_QUERIES,
+    id_col: str = "vec_id", vector: str = "embedding", block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The ``k`` most similar corpus vectors per query, optionally only those at ``min_sim`` or above.
 
-    Each task multiplies its corpus batches with the query block and keeps k rows per
-    query and batch, so pairs are never materialized and a group of equal vectors
-    shrinks to k in place. With more than ``max_queries`` queries, query blocks meet
-    corpus groups of bounded size through a shuffle instead.
+    Queries are taken in blocks of bounded size. For each block the corpus is scanned in place: a task multiplies its
+    batches with the block and keeps k rows per query and batch, so the corpus is never shuffled, pairs are never
+    materialized, and a group of equal vectors shrinks to k at once.
     """
     q = queries.select(query_id, query_vector)
     c = corpus.select(id_col, vector)
@@ -63,44 +72,26 @@ def cosine_top_k(
         StructField(id_col, c.schema[id_col].dataType),
         StructField("_sim", DoubleType()),
     ])
-    head = q.limit(max_queries + 1).collect()
 
-    def frame(found: tuple) -> pd.DataFrame:
-        return pd.DataFrame({query_id: found[0], id_col: found[1], "_sim": found[2]})
-
-    if not head:
-        candidates = q.sparkSession.createDataFrame([], schema)
-    elif len(head) <= max_queries:
-        block = q.sparkSession.sparkContext.broadcast((
-            np.array([r[0] for r in head]), _matrix(pd.Series([r[1] for r in head])),
+    def candidates(block: list) -> DataFrame:
+        shared = q.sparkSession.sparkContext.broadcast((
+            np.array([r[0] for r in block]), _matrix(pd.Series([r[1] for r in block])),
         ))
 
         def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            query_ids, matrix = block.value
+            query_ids, matrix = shared.value
             for rows in batches:
                 if len(rows):
-                    yield frame(_best(query_ids, matrix, rows[id_col].to_numpy(), _matrix(rows[vector]), k))
-
-        candidates = c.mapInPandas(scan, schema)
-    else:
-        blocks = math.ceil(q.count() / (max_queries / 2))
-        groups = max(1, math.ceil(c.count() / GROUP_ROWS))
-        blocked = q.withColumn("_block", F.pmod(F.xxhash64(query_id), F.lit(blocks)).cast("int")).withColumn(
-            "_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-        spread = c.withColumn("_group", F.pmod(F.xxhash64(id_col), F.lit(groups)).cast("int")).withColumn(
-            "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-        def meet(some: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-            if not len(some) or not len(rows):
-                return frame(([], [], []))
-            return frame(_best(some[query_id].to_numpy(), _matrix(some[query_vector]),
-                               rows[id_col].to_numpy(), _matrix(rows[vector]), k))
-
-        candidates = blocked.groupBy("_block", "_group").cogroup(
-            spread.groupBy("_block", "_group")).applyInPandas(meet, schema)
+                    found = _best(query_ids, matrix, rows[id_col].to_numpy(), _matrix(rows[vector]), k)
+                    yield pd.DataFrame(dict(zip((query_id, id_col, "_sim"), found)))
+
+        return c.mapInPandas(scan, schema)
 
+    found = q.sparkSession.createDataFrame([], schema)
+    for block in _blocks(q, block_rows):
+        found = found.unionByName(candidates(block))
     by_query = Window.partitionBy(query_id).orderBy(F.col("_sim").desc(), id_col)
-    top = candidates.withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k).select(
+    top = found.withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k).select(
         query_id, id_col, F.round("_sim", 4).alias("similarity"), "rank"
     )
     return top if min_sim is None else top.filter(F.col("similarity") >= min_sim)

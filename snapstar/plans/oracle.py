@@ -137,7 +137,7 @@ COMMON = {
         CASE WHEN year(o_orderdate) = y AND o_orderpriority = '4-NOT SPECIFIED' THEN NULL
         ELSE o_totalprice END AS amount, 'run ' || y AS _rescued_data,
         make_timestamp(y, 12, 31, 0, 0, 0) AS _snapshot_ts, y
-        FROM ord, (SELECT unnest([1996, 1997, 1998, 1999, 2000]) AS y)
+        FROM ord, (SELECT unnest(range(MIN(year(o_orderdate)), MAX(year(o_orderdate)) + 1)) AS y FROM ord)
         WHERE year(o_orderdate) <= y AND NOT (o_orderpriority = '5-LOW' AND y = year(o_orderdate) + 1)
         AND NOT (o_orderpriority = '2-HIGH' AND y >= year(o_orderdate) + 2)""",
 }
@@ -150,7 +150,7 @@ def _history(name: str, changed: str) -> None:
         LAG(customer_id) OVER w AS was_customer FROM snap WINDOW w AS (PARTITION BY order_id ORDER BY y))"""
     COMMON[name] = f"""SELECT order_id, arg_max(customer_id, y) AS customer_id, arg_max(status, y) AS status,
         MAX(CASE WHEN y = last THEN amount END) AS amount, MIN(_snapshot_ts) AS __START_AT,
-        CASE WHEN last < 2000 THEN make_timestamp(last + 1, 12, 31, 0, 0, 0) END AS __END_AT
+        CASE WHEN last < (SELECT MAX(y) FROM snap) THEN make_timestamp(last + 1, 12, 31, 0, 0, 0) END AS __END_AT
         FROM (SELECT *, MAX(y) OVER (PARTITION BY order_id, run) AS last FROM {name}_runs)
         GROUP BY order_id, run, last"""
 
@@ -326,7 +326,7 @@ _BODIES = {
     "invoice_status": """SELECT payment_status, invoice_status, COUNT(*) AS invoices,
         CAST(MIN(days_late) AS BIGINT) AS min_days_late, CAST(MAX(days_late) AS BIGINT) AS max_days_late,
         CAST(SUM(days_late) AS BIGINT) AS sum_days_late FROM fact_invoices GROUP BY 1, 2""",
-    "latest_snapshot": "SELECT * EXCLUDE y FROM snap WHERE y = 2000",
+    "latest_snapshot": "SELECT * EXCLUDE y FROM snap WHERE y = (SELECT MAX(y) FROM snap)",
     "dedup_by_key": "SELECT * FROM lines",
     "scd2_replay": _HIST,
     "scd2_apply": _HIST,
@@ -336,7 +336,7 @@ _BODIES = {
     "scd2_as_of": _HIST + """ WHERE __START_AT <= TIMESTAMP '1998-06-30'
         AND (__END_AT IS NULL OR __END_AT > TIMESTAMP '1998-06-30')""",
     "scd2_lost_keys": """SELECT DISTINCT order_id FROM snap
-        WHERE order_id NOT IN (SELECT order_id FROM snap WHERE y = 2000)""",
+        WHERE order_id NOT IN (SELECT order_id FROM snap WHERE y = (SELECT MAX(y) FROM snap))""",
     "scd1_apply": "SELECT * EXCLUDE y FROM snap WHERE y = 2000",
     "snapshot_deletes": """SELECT order_id, customer_id, status, amount FROM snap
         WHERE y = 1999 AND order_id NOT IN (SELECT order_id FROM snap WHERE y = 2000)""",
@@ -410,8 +410,9 @@ _BODIES = {
     "supplier_win_rate": f"""SELECT b.supplier_id, s.supplier_name, COUNT(*) AS bid_count,
         COUNT(*) FILTER (is_awarded) AS wins, {_ratio('COUNT(*) FILTER (is_awarded)', 'COUNT(*)')} AS win_rate
         FROM fact_procurement_bids b LEFT JOIN dim_supplier s ON s.supplier_id = b.supplier_id GROUP BY 1, 2""",
-    "profile_columns": _profile("fact_invoices", ["invoice_id", "contract_id", "payment_date", "invoice_amount",
-                                                  "invoice_status", "days_late"]),
+    "profile_columns": _profile("fact_invoices", [
+        "invoice_id", "purchase_order_id", "contract_id", "project_id", "issue_date", "due_date", "payment_date",
+        "invoice_amount", "currency", "payment_status", "invoice_status", "days_late"]),
     "candidate_keys": "SELECT \"column\", rows FROM (" + _profile("orders", [
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
     ]) + ") WHERE nulls = 0 AND distinct_values = rows",

@@ -22,7 +22,7 @@ from ..streaming.history import HistoryTable, follow_snapshots
 from . import report
 from .entities import ENTITIES, ingest_entity
 from .metadata import GOLD_TABLES, PRIMARY_KEYS
-from .sample_model import AS_OF, EXPORT_YEARS, LINE, SampleModel
+from .sample_model import AS_OF, LINE, SampleModel
 
 Query = Callable[[SparkSession, str], DataFrame]
 UNTRACKED = (SNAPSHOT_TS, RESCUED)
@@ -103,7 +103,7 @@ def _(m: SampleModel) -> DataFrame:
     due = m.gold["fact_invoices"].groupBy(F.col("due_date").alias("date")).agg(F.count(F.lit(1)).alias("due_invoices"))
     days = m.gold["dim_date"]
     whole = {c: F.col(c).cast("bigint") for c in ("year", "quarter", "month", "day")}
-    return due.join(F.broadcast(days), "date").withColumns(whole).select(*days.columns, "due_invoices")
+    return due.join(days, "date").withColumns(whole).select(*days.columns, "due_invoices")
 
 
 @query("calendar_for_column")
@@ -159,11 +159,11 @@ def _(m: SampleModel) -> DataFrame:
 @query("scd2_apply")
 def _(m: SampleModel) -> DataFrame:
     """The last export applied to the history of all earlier ones."""
-    last = f"{EXPORT_YEARS[-1]}-12-31"
+    last = f"{m.export_years[-1]}-12-31"
     earlier = m.snapshots.filter(F.col(SNAPSHOT_TS) < F.lit(last).cast("timestamp"))
     target = history.replay_scd2(earlier, ["order_id"], untracked=UNTRACKED)
     return history.apply_snapshot_scd2(
-        target, m.snapshot(EXPORT_YEARS[-1]), ["order_id"], last, UNTRACKED).select(*REGISTER)
+        target, m.snapshot(m.export_years[-1]), ["order_id"], last, UNTRACKED).select(*REGISTER)
 
 
 @query("scd2_untracked")
@@ -219,7 +219,7 @@ def _(m: SampleModel) -> DataFrame:
 # Landing and bronze
 
 def _land_orders(m: SampleModel, base: str) -> None:
-    for year in EXPORT_YEARS:
+    for year in m.export_years:
         frame = m.snapshot(year).drop(SNAPSHOT_TS, RESCUED).withColumnRenamed("amount", " amount ")
         landing.land_snapshot({"orders": frame}, f"{base}/landing", f"r{year}", f"{year}-12-31")
 
@@ -385,8 +385,7 @@ def _(m: SampleModel) -> DataFrame:
 
 @query("profile_columns")
 def _(m: SampleModel) -> DataFrame:
-    return profile.profile(m.gold["fact_invoices"].select(
-        "invoice_id", "contract_id", "payment_date", "invoice_amount", "invoice_status", "days_late"))
+    return profile.profile(m.gold["fact_invoices"])
 
 
 @query("candidate_keys")

@@ -135,6 +135,6 @@ def invoices_by_month(invoices: DataFrame, calendar: DataFrame, date_column: str
     """
     per_day = invoices.groupBy(F.col(date_column).alias("date")).agg(
         F.count(F.lit(1)).alias("_n"), exact_sum("invoice_amount").alias("_v"))
-    return per_day.join(F.broadcast(calendar.select("date", "year", "month", "month_name")), "date").groupBy(
+    return per_day.join(calendar.select("date", "year", "month", "month_name"), "date").groupBy(
         "year", "month", "month_name").agg(
             F.sum("_n").alias("invoice_count"), exact_sum("_v").alias("invoice_amount"))

@@ -19,7 +19,6 @@ from . import gold
 from .entities import ENTITIES, typed
 
 AS_OF = "2000-06-30"
-EXPORT_YEARS = (1996, 1997, 1998, 1999, 2000)
 PAID, UNPAID = "Plaćeno", "Neplaćeno"
 LINE = ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_discount", "l_returnflag",
         "l_linestatus", "l_shipdate"]
@@ -258,6 +257,17 @@ class SampleModel:
 
     # Snapshots
 
+    @cached_property
+    def _export_bounds(self) -> tuple[int, int]:
+        """First and last year with orders; one small aggregate. Without orders one year stands in."""
+        first, last = self.orders.agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
+        return (first, last) if first is not None else (2000, 2000)
+
+    @property
+    def export_years(self) -> tuple[int, ...]:
+        """The years that have a year-end export."""
+        return tuple(range(self._export_bounds[0], self._export_bounds[1] + 1))
+
     @cached_property
     def snapshots(self) -> DataFrame:
         """Year-end exports of the order register.
@@ -269,7 +279,7 @@ class SampleModel:
         """
         year, at, priority = F.year("o_orderdate"), F.col("_y"), F.col("o_orderpriority")
         first = at == year
-        exported = self.orders.withColumn("_y", F.explode(F.array(*[F.lit(y) for y in EXPORT_YEARS]))).filter(
+        exported = self.orders.withColumn("_y", F.explode(F.sequence(*map(F.lit, self._export_bounds)))).filter(
             (year <= at) & ~((priority == "5-LOW") & (at == year + 1)) & ~((priority == "2-HIGH") & (at >= year + 2)))
         return exported.select(
             F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -59,7 +60,8 @@ def difference(spark, con, folder: str, name: str) -> str | None:
 def main() -> None:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
     names = sys.argv[2:] or list(queries())
-    spark, con = local_session(cores=os.environ.get("CORES", "8")), duck(folder)
+    shared = {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="compare-")}
+    spark, con = local_session(cores=os.environ.get("CORES", "8"), **shared), duck(folder)
     failed = 0
     for name in names:
         start = time.time()

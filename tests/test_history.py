@@ -63,7 +63,7 @@ def test_same_snapshot_twice_changes_nothing(spark):
 
 def test_replay_without_broadcast_is_the_same(spark):
     bronze = spark.createDataFrame(EXPORTS, SCHEMA)
-    assert versions(replay_scd2(bronze, ["id"], untracked=UNTRACKED, max_snapshots=1)) == EXPECTED
+    assert versions(replay_scd2(bronze, ["id"], untracked=UNTRACKED, unique_per_snapshot=True)) == EXPECTED
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
@@ -131,13 +131,25 @@ def test_dedup_is_deterministic_and_prunes_before_the_shuffle(spark):
     assert plan.index("Exchange") < plan.index("Partial")  # the partial limit runs below the exchange
 
 
-def test_lookup_join_beyond_the_broadcast_bound(spark):
+def test_lookup_join_of_every_kind(spark):
     big = spark.range(1000).selectExpr("CASE WHEN id < 900 THEN 0 ELSE id END AS k", "id AS v")
     small = spark.range(2000).selectExpr("id AS k", "id * 2 AS twice")
-    wide = lookup_join(big, small, "k", max_rows=10, salts=4)
-    assert wide.count() == 1000
-    assert sorted(map(tuple, wide.collect())) == sorted(map(tuple, lookup_join(big, small, "k").collect()))
-    assert lookup_join(big, small.filter("k > 950"), "k", "left", max_rows=10, salts=4).count() == 1000
+    counts = {"inner": 1000, "left": 1000, "right": 2899, "full": 2899}
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    for threshold in ("10m", "-1"):  # a lookup that counts as small, and one that doesn't
+        before = spark.conf.get(limit)
+        spark.conf.set(limit, threshold)
+        try:
+            assert {how: lookup_join(big, small, "k", how).count() for how in counts} == counts
+        finally:
+            spark.conf.set(limit, before)
+
+
+def test_null_keys_equal_each_other(spark):
+    frame = spark.createDataFrame([(None, 1), ("a", 2)], "id string, amount int")
+    assert snapshot_deletes(frame, frame, ["id"]).count() == 0
+    assert lost_keys(frame, frame, ["id"]).count() == 0
+    assert [tuple(r) for r in lost_keys(frame, frame.filter("id = 'a'"), ["id"]).collect()] == [(None,)]
 
 
 def test_slicer(spark):

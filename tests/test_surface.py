@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from snapstar.operators.surface import QueryRejected, TableMeta, catalog_columns, governed_select, table_document
+from snapstar.operators.surface import QueryRejected, TableMeta, catalog_columns, governed_rows, governed_select, table_document
 from snapstar.operators.vectors import cosine_top_k, vector_upsert
 from snapstar.plans.metadata import GOLD_TABLES
 from snapstar.sources.traces import append_traces, read_traces, trace_summary
@@ -36,6 +36,33 @@ def test_everything_else_is_rejected(spark, allowed, sql):
         governed_select(spark, sql, allowed)
 
 
+@pytest.mark.parametrize("sql", [
+    "SELECT * FROM global_temp.secret", "SELECT * FROM default.kept", "SELECT * FROM spark_catalog.default.kept",
+    "SELECT * FROM kept", "SELECT n FROM numbers WHERE n IN (SELECT id FROM kept)",
+    "SELECT (SELECT max(id) FROM global_temp.secret) AS m FROM numbers", "WITH kept AS (SELECT * FROM kept) SELECT * FROM kept",
+    "SELECT " + ", ".join(f"n + {i} AS c{i}" for i in range(60)) + ", java_method('java.lang.System', 'nanoTime') AS x FROM numbers",
+    "SELECT * FROM range(10)", "SELECT n, x FROM numbers, LATERAL explode(array(1, 2)) AS t(x)",
+    "SELECT * FROM IDENTIFIER('global_temp.secret')", "SELECT n FROM numbers WHERE EXISTS (SELECT 1 FROM kept)",
+    "SELECT n FROM numbers ORDER BY (SELECT max(id) FROM kept)", "SELECT spark_catalog.default.f(n) FROM numbers",
+    "SELECT n FROM numbers UNION ALL SELECT id FROM kept", "SELECT a.n FROM numbers a JOIN kept b ON a.n = b.id",
+])
+def test_nothing_else_is_reached(spark, allowed, sql):
+    spark.range(5).createOrReplaceGlobalTempView("secret")
+    spark.sql("DROP TABLE IF EXISTS kept")
+    spark.range(5).write.mode("overwrite").saveAsTable("kept")
+    try:
+        with pytest.raises(QueryRejected):
+            governed_select(spark, sql, allowed)
+    finally:
+        spark.sql("DROP TABLE kept")
+
+
+def test_literals_are_no_functions_and_the_cap_is_told(spark, allowed):
+    assert governed_select(spark, "SELECT 'reflect(' AS x, n FROM numbers LIMIT 2", allowed).count() == 2
+    assert [r.n for r in governed_rows(spark, "SELECT n FROM numbers ORDER BY n", allowed, cap=2)[0]] == [0, 1]
+    assert [governed_rows(spark, "SELECT n FROM numbers", allowed, cap=c)[1] for c in (999, 1000)] == [True, False]
+
+
 def test_order_survives_the_cap(spark, allowed):
     got = governed_select(spark, "SELECT n FROM numbers ORDER BY n DESC", allowed, cap=3)
     assert [r["n"] for r in got.collect()] == [999, 998, 997]
@@ -63,7 +90,7 @@ def brute_force(queries, corpus, k):
 
 
 @pytest.mark.parametrize("bound", [100, 2])
-def test_cosine_matches_brute_force_on_both_ways(spark, bound):
+def test_cosine_matches_brute_force_in_blocks(spark, bound):
     rng = np.random.default_rng(1)
     corpus = [(i, rng.normal(size=5).tolist()) for i in range(60)]
     corpus += [(100 + i, corpus[0][1]) for i in range(20)]  # many equal copies
@@ -71,9 +98,9 @@ def test_cosine_matches_brute_force_on_both_ways(spark, bound):
     queries = [(i, corpus[i][1]) for i in range(6)]
     q = spark.createDataFrame(queries, "query_id bigint, query_vector array<double>")
     c = spark.createDataFrame(corpus, "vec_id bigint, embedding array<double>").repartition(3)
-    got = cosine_top_k(q, c, 4, max_queries=bound).collect()
+    got = cosine_top_k(q, c, 4, block_rows=bound).collect()
     assert {(r["query_id"], r["vec_id"], r["rank"]) for r in got} == brute_force(queries, corpus, 4)
-    strict = cosine_top_k(q, c, 4, min_sim=0.9, max_queries=bound).collect()
+    strict = cosine_top_k(q, c, 4, min_sim=0.9, block_rows=bound).collect()
     assert {tuple(r) for r in strict} == {tuple(r) for r in got if r["similarity"] >= 0.9}
 
 
