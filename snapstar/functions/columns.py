@@ -52,12 +52,12 @@ def guarded_ratio(numerator: Column | str, denominator: Column | str, scale: int
     return F.round(F.when(d > 0, n / d), scale)
 
 
-def with_invoice_status(df: DataFrame, as_of_date: dt.date | str) -> DataFrame:
-    """Add ``invoice_status`` and ``days_late`` as seen on ``as_of_date``.
+def with_invoice_status(df: DataFrame, as_of_date: dt.date | str | Column) -> DataFrame:
+    """Add ``invoice_status`` and ``days_late`` as seen on ``as_of_date``, one for all rows or a column.
 
     Unpaid invoices past their due date turn overdue; paid early counts negative days.
     """
-    today = F.lit(str(as_of_date)).cast("date")
+    today = as_of_date if isinstance(as_of_date, Column) else F.lit(str(as_of_date)).cast("date")
     unpaid = F.col("payment_date").isNull()
     late = unpaid & (F.col("due_date") < today)
     return df.withColumns({

@@ -6,16 +6,17 @@ import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from ..functions.columns import serial_to_date, with_invoice_status
 from ..operators.history import apply_snapshot_scd1
 from ..operators.snapshots import RESCUED, SNAPSHOT_TS, dedup_by_key, latest_snapshot
 from ..sources.landing import write_gold
-from ..streaming.bronze import ingest_bronze, read_bronze
-from ..streaming.history import HistoryTable
+from ..streaming.bronze import ingest_runs, read_bronze
+from ..streaming.history import HistoryTable, read_commits, write_commit
 
 
 @dataclass(frozen=True)
@@ -54,7 +55,7 @@ ENTITIES: Mapping[str, EntityConfig] = {
 }
 
 
-def typed(df: DataFrame, cfg: EntityConfig, as_of_date: dt.date | str | None = None) -> DataFrame:
+def typed(df: DataFrame, cfg: EntityConfig, as_of_date: dt.date | str | Column | None = None) -> DataFrame:
     """Cast serial dates and derive the entity's extra columns."""
     out = df.withColumns({c: serial_to_date(c) for c in cfg.serial_dates}) if cfg.serial_dates else df
     if cfg.has_invoice_status:
@@ -75,20 +76,38 @@ def ingest_entity(
 ) -> DataFrame:
     """One run for one entity below ``root``: landing to bronze to silver; returns silver.
 
-    A lookup's state goes to a folder of its own per snapshot, so readers never see a
-    half-written table.
-    ``schema`` is the landed files' schema. ``every_snapshot`` applies all snapshots that
+    Only whole runs are taken in. An invoice's status is the one on its snapshot's own date; the newest snapshot is then
+    seen again on ``as_of_date``, so that a later run date opens versions without a new export.
+    A lookup's state goes to a folder of its own per snapshot and counts once its commit record exists; without a new
+    snapshot nothing is written. ``schema`` is the landed files' schema. ``every_snapshot`` applies all snapshots that
     arrived since the last run in order, otherwise just the newest one.
     """
     bronze_dir, silver_dir = f"{root}/bronze/{cfg.name}", f"{root}/silver/{cfg.name}"
-    ingest_bronze(spark, f"{root}/landing/{cfg.name}", schema, bronze_dir, f"{root}/_checkpoints/{cfg.name}")
-    bronze = read_bronze(spark, bronze_dir, schema)
+    ingest_runs(spark, f"{root}/landing", cfg.name, schema, bronze_dir, f"{root}/_checkpoints/{cfg.name}")
+    try:
+        bronze = read_bronze(spark, bronze_dir, schema)
+    except AnalysisException:  # no whole run so far
+        bronze = spark.createDataFrame([], StructType([f for f in schema if f.name != SNAPSHOT_TS] + [
+            StructField(RESCUED, StringType()), StructField(SNAPSHOT_TS, TimestampType())]))
+    own_date = F.to_date(SNAPSHOT_TS)
     if cfg.scd_type == 1:
-        newest = bronze.agg(F.max(F.unix_micros(SNAPSHOT_TS))).first()[0]
-        fresh = typed(latest_snapshot(bronze), cfg, as_of_date)
-        write_gold(apply_snapshot_scd1(fresh, fresh, cfg.keys), f"{silver_dir}/_version={newest}")
-        return latest_snapshot(spark.read.parquet(silver_dir), "_version").drop("_version")
-    rows = typed(bronze if every_snapshot else latest_snapshot(bronze), cfg, as_of_date)
+        return _keep_lookup(spark, typed(latest_snapshot(bronze), cfg, own_date), cfg, silver_dir)
+    rows = typed(bronze if every_snapshot else latest_snapshot(bronze), cfg, own_date)
     history = HistoryTable(spark, silver_dir, rows.schema, cfg.keys, cfg.untracked)
     history.apply_all(rows)
+    if cfg.has_invoice_status and as_of_date is not None:
+        history.refresh(typed(latest_snapshot(bronze), cfg, as_of_date), str(as_of_date))
     return history.read()
+
+
+def _keep_lookup(spark: SparkSession, fresh: DataFrame, cfg: EntityConfig, path: str) -> DataFrame:
+    """Store the newest state of a lookup if it is new, and read the last committed one."""
+    newest, rows = fresh.agg(F.max(F.unix_micros(SNAPSHOT_TS)), F.count(F.lit(1))).first()
+    known = read_commits(spark, path)
+    if newest is not None and newest not in known:
+        write_gold(apply_snapshot_scd1(fresh, fresh, cfg.keys), f"{path}/_version={newest}")
+        write_commit(spark, path, newest, rows)
+        known[newest] = rows
+    if not known:
+        return fresh.limit(0)
+    return spark.read.schema(fresh.schema).parquet(f"{path}/_version={max(known)}")

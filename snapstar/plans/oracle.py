@@ -160,6 +160,11 @@ _history("hist", f"{_KEPT} OR amount IS DISTINCT FROM was_amount")
 _history("hist_loose", _KEPT)
 
 
+def _status(day: str) -> str:
+    """An invoice's status on a day."""
+    return f"(CASE WHEN payment_date IS NULL AND due_date < {day} THEN 'Overdue' ELSE payment_status END)"
+
+
 def _with(body: str) -> str:
     """Prefix the common tables the query needs, in order."""
     needed: set[str] = set()
@@ -348,9 +353,23 @@ _BODIES = {
     "land_snapshot": _EXPORT_TOTALS,
     "csv_infer": _EXPORT_TOTALS,
     "bronze_ingest": _EXPORT_TOTALS,
-    "ingest_entity": """SELECT invoice_id, due_date, payment_date, invoice_amount, invoice_status, days_late,
-        CASE WHEN issue_date < DATE '1998-01-01' THEN TIMESTAMP '1997-12-31' ELSE TIMESTAMP '2001-12-31' END
-        AS __START_AT, CAST(NULL AS TIMESTAMP) AS __END_AT FROM fact_invoices""",
+    "ingest_entity": f"""SELECT invoice_id, due_date, payment_date, invoice_amount, status AS invoice_status, days_late,
+        CAST(since AS TIMESTAMP) AS __START_AT, CAST(until AS TIMESTAMP) AS __END_AT FROM (
+        SELECT *, {_status("DATE '1997-12-31'")} AS status, DATE '1997-12-31' AS since,
+        CASE WHEN {_status("DATE '1997-12-31'")} <> {_status("DATE '2001-12-31'")} THEN DATE '2001-12-31' END AS until
+        FROM fact_invoices WHERE issue_date < DATE '1998-01-01'
+        UNION ALL SELECT *, {_status("DATE '2001-12-31'")}, DATE '2001-12-31', NULL FROM fact_invoices
+        WHERE issue_date >= DATE '1998-01-01' OR {_status("DATE '1997-12-31'")} <> {_status("DATE '2001-12-31'")})""",
+    "status_flip": f"""SELECT invoice_id, invoice_amount, {_status("DATE '1997-12-31'")} AS invoice_status,
+        TIMESTAMP '1997-12-31' AS __START_AT, CASE WHEN {_status("DATE '1997-12-31'")} <> {_status("DATE '2000-06-30'")}
+        THEN TIMESTAMP '2000-06-30' END AS __END_AT FROM fact_invoices UNION ALL
+        SELECT invoice_id, invoice_amount, {_status("DATE '2000-06-30'")}, TIMESTAMP '2000-06-30', NULL FROM fact_invoices
+        WHERE {_status("DATE '1997-12-31'")} <> {_status("DATE '2000-06-30'")}""",
+    "ingest_partial_run": f"""SELECT invoice_id, invoice_amount, {_status("DATE '1997-12-31'")} AS invoice_status,
+        TIMESTAMP '1997-12-31' AS __START_AT, CAST(NULL AS TIMESTAMP) AS __END_AT, CAST(0 AS BIGINT) AS rows_before
+        FROM fact_invoices""",
+    "ingest_lookup": """SELECT CAST(s_suppkey AS BIGINT) AS supplier_id, upper(s_name) AS supplier_name FROM supplier
+        WHERE s_suppkey % 3 <> 0""",
     "slicer_values": "SELECT DISTINCT department_id FROM mv_project_realization_kpi",
     "slicer_filter": """SELECT department_id, project_id, total_contracted_value, realization_pct
         FROM mv_project_realization_kpi WHERE department_id IN (3, 7)""",

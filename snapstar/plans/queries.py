@@ -270,6 +270,46 @@ def _(m: SampleModel) -> DataFrame:
                          START, END)
 
 
+def _ingest_invoices(m: SampleModel, base: str, as_of: str) -> DataFrame:
+    cfg = ENTITIES["invoices"]
+    schema = landing.infer_csv_schema(m.spark, f"{base}/landing/{cfg.name}")
+    return ingest_entity(m.spark, cfg, base, schema, as_of).select("invoice_id", "invoice_amount", "invoice_status", START, END)
+
+
+@query("status_flip")
+def _(m: SampleModel) -> DataFrame:
+    """One export, ingested twice: the later date makes unpaid invoices overdue without a new export."""
+    base = scratch_dir(m.spark, "flip")
+    landing.land_snapshot({"invoices": m.raw_invoices}, f"{base}/landing", "r1", "1997-12-31")
+    _ingest_invoices(m, base, "1997-12-31")
+    return _ingest_invoices(m, base, AS_OF)
+
+
+@query("ingest_partial_run")
+def _(m: SampleModel) -> DataFrame:
+    """An export that lands in two parts, with an ingestion between them: it counts once it is whole."""
+    base, at = scratch_dir(m.spark, "partial"), "1997-12-31"
+    half = F.crc32(F.col("invoice_id").cast("binary")) % 2 == 0
+    rows = landing.land_part(m.raw_invoices.filter(half), f"{base}/landing", "invoices", "r1", at)
+    early = _ingest_invoices(m, base, at).count()
+    rows += landing.land_part(m.raw_invoices.filter(~half), f"{base}/landing", "invoices", "r1", at)
+    landing.seal_run(m.spark, f"{base}/landing", "invoices", "r1", at, rows)
+    return _ingest_invoices(m, base, at).withColumn("rows_before", F.lit(early).cast("long"))
+
+
+@query("ingest_lookup")
+def _(m: SampleModel) -> DataFrame:
+    """A type 1 entity through all layers: two exports, the second without some suppliers and with new names."""
+    base, cfg = scratch_dir(m.spark, "lookup"), ENTITIES["supplier_lookup"]
+    named = m.table("supplier").select(F.col("s_suppkey").alias("supplier_id"), F.col("s_name").alias("supplier_name"))
+    later = named.filter("supplier_id % 3 <> 0").withColumn("supplier_name", F.upper("supplier_name"))
+    landing.land_snapshot({cfg.name: named}, f"{base}/landing", "r1", "1997-12-31")
+    schema = landing.infer_csv_schema(m.spark, f"{base}/landing/{cfg.name}")
+    ingest_entity(m.spark, cfg, base, schema)
+    landing.land_snapshot({cfg.name: later}, f"{base}/landing", "r2", "1998-12-31")
+    return ingest_entity(m.spark, cfg, base, schema).select(F.col("supplier_id").cast("bigint"), "supplier_name")
+
+
 @query("schema_drift")
 def _(m: SampleModel) -> DataFrame:
     """What a CSV round trip does to the types of the orders table."""

@@ -4,23 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.snapshots import SNAPSHOT_TS
 
+# Folder of the run manifests below the landing root.
+MANIFESTS = "_manifests"
+MANIFEST_SCHEMA = f"run_id string, folder string, rows bigint, {SNAPSHOT_TS} timestamp"
+
 
 def land_snapshot(frames: Mapping[str, DataFrame], root: str, run_id: str, snapshot_ts: str) -> None:
-    """Write one export run: ``<root>/<table>/<table>_<run_id>/`` per entity.
+    """Write one whole export run: ``<root>/<table>/<table>_<run_id>/`` per entity, then its manifests."""
+    for table, df in frames.items():
+        rows = land_part(df, root, table, run_id, snapshot_ts, mode="errorifexists")
+        seal_run(df.sparkSession, root, table, run_id, snapshot_ts, rows)
+
+
+def land_part(df: DataFrame, root: str, table: str, run_id: str, snapshot_ts: str, mode: str = "append") -> int:
+    """Write rows of a run that is not whole yet; returns how many.
 
     Headers are trimmed and every row carries the run's timestamp. Files are written by
     all tasks in parallel; a run never touches the folder of another.
     """
-    for table, df in frames.items():
-        stamped = df.toDF(*[c.strip() for c in df.columns]).withColumn(
-            SNAPSHOT_TS, F.lit(snapshot_ts).cast("timestamp"))
-        stamped.write.mode("errorifexists").option("header", True).csv(f"{root}/{table}/{table}_{run_id}")
+    seen = Observation()
+    stamped = df.toDF(*[c.strip() for c in df.columns]).withColumn(SNAPSHOT_TS, F.lit(snapshot_ts).cast("timestamp"))
+    stamped.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).option("header", True).csv(
+        f"{root}/{table}/{table}_{run_id}")
+    return seen.get["rows"]
+
+
+def seal_run(spark: SparkSession, root: str, table: str, run_id: str, snapshot_ts: str, rows: int) -> None:
+    """Declare a run whole: one small file with its row count, written after its data."""
+    manifest = spark.range(1).coalesce(1).select(
+        F.lit(run_id).alias("run_id"), F.lit(f"{root}/{table}/{table}_{run_id}").alias("folder"), F.lit(rows).cast("long").alias("rows"),
+        F.lit(snapshot_ts).cast("timestamp").alias(SNAPSHOT_TS))
+    manifest.write.mode("errorifexists").json(f"{root}/{MANIFESTS}/{table}/{run_id}")
 
 
 def infer_csv_schema(spark: SparkSession, folder: str, sampling_ratio: float = 1.0) -> StructType:

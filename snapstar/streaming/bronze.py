@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from ..operators.snapshots import RESCUED, SNAPSHOT_TS
+from ..sources.landing import MANIFEST_SCHEMA, MANIFESTS
 
 
 def bronze_stream(spark: SparkSession, landing_dir: str, schema: StructType) -> DataFrame:
@@ -43,6 +45,53 @@ def ingest_bronze(
     return append_bronze(bronze_stream(spark, landing_dir, schema), bronze_dir, checkpoint)
 
 
+class IncompleteRun(Exception):
+    """A run does not hold the rows that its manifest declares."""
+
+
+class LateRows(Exception):
+    """Rows arrived for a snapshot that is already taken in."""
+
+
+def ingest_runs(
+    spark: SparkSession, landing_root: str, table: str, schema: StructType, bronze_dir: str, checkpoint: str
+) -> StreamingQuery | None:
+    """Take in every whole run that is new; None while no run was ever sealed.
+
+    The stream follows the manifests, which are written last, so rows of an unsealed run stay out. A run whose folder
+    holds another number of rows than declared stops the ingestion, and so does a second run of the same snapshot. A
+    repeated batch replaces the folder of its snapshot and adds nothing.
+    """
+    manifests = f"{landing_root}/{MANIFESTS}/{table}"
+    try:
+        listed = spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", True).json(manifests)
+    except AnalysisException:
+        return None
+    twice = listed.groupBy(SNAPSHOT_TS).agg(F.count_distinct("run_id").alias("runs")).filter("runs > 1").head(1)
+    if twice:
+        raise LateRows(f"{table}: {twice[0].runs} runs of snapshot {twice[0][SNAPSHOT_TS]}")
+    full = StructType([*schema.fields, StructField(RESCUED, StringType())]) if RESCUED not in schema.fieldNames() else schema
+
+    def admit(batch: DataFrame, _: int) -> None:
+        for run in batch.collect():  # one small row for each run
+            rows = (
+                spark.read.schema(full).option("header", True).option("mode", "PERMISSIVE")
+                .option("columnNameOfCorruptRecord", RESCUED).option("enforceSchema", False).csv(run.folder)
+                .withColumn(SNAPSHOT_TS, F.col(SNAPSHOT_TS).cast("timestamp"))
+            )
+            found = rows.select(F.count(F.struct(*rows.columns))).first()[0]
+            if found != run.rows:
+                raise IncompleteRun(f"{table} run {run.run_id}: {found} of {run.rows} rows")
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(SNAPSHOT_TS).parquet(bronze_dir)
+
+    query = (
+        spark.readStream.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", True).json(manifests)
+        .writeStream.foreachBatch(admit).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return query
+
+
 def read_bronze(spark: SparkSession, bronze_dir: str, schema: StructType) -> DataFrame:
     """Bronze as a batch, with the ingestion schema so that folder names get its types."""
     own = [f for f in schema if f.name not in (SNAPSHOT_TS, RESCUED)]

@@ -13,6 +13,7 @@ from pyspark.sql.types import BooleanType, LongType, StructField, StructType, Ti
 
 from ..operators.history import scd2_delta
 from ..operators.snapshots import END, SNAPSHOT_TS, START
+from .bronze import LateRows
 
 
 class HistoryTable:
@@ -34,11 +35,11 @@ class HistoryTable:
 
     def last_version(self) -> int | None:
         """The newest committed version, as microseconds of its snapshot time."""
-        try:
-            commits = self.spark.read.schema("version bigint").json(f"{self.path}/_commits")
-        except AnalysisException:
-            return None
-        return commits.agg(F.max("version")).first()[0]
+        return max(self.commits(), default=None)
+
+    def commits(self) -> dict[int, int]:
+        """Committed versions with the rows each of them took; one small record for each."""
+        return read_commits(self.spark, self.path)
 
     def _files(self) -> DataFrame:
         return self.spark.read.schema(self._layout).parquet(self.path)
@@ -75,18 +76,51 @@ class HistoryTable:
             self._open_at(last), snapshot, self.keys, F.timestamp_micros(F.lit(version)), self.untracked)
         delta.select(*self.columns, F.col(END).isNull().alias("is_current")).write.mode("overwrite").partitionBy(
             "is_current").parquet(f"{self.path}/_version={version}")
-        commit = self.spark.range(1).select(F.lit(version).alias("version")).coalesce(1)
-        commit.write.mode("append").json(f"{self.path}/_commits")
+        write_commit(self.spark, self.path, version, snapshot.count())
         return True
 
+    def refresh(self, snapshot: DataFrame, version: dt.datetime | str) -> bool:
+        """Apply the newest snapshot once more as seen later; without any change nothing is written."""
+        at = F.lit(str(version)).cast("timestamp")
+        last, micros = self.last_version(), self.spark.range(1).select(F.unix_micros(at)).first()[0]
+        if last is None or micros <= last:
+            return False
+        delta = scd2_delta(self.current(), snapshot, self.keys, at, self.untracked)
+        if delta.filter((F.col(START) == at) | F.col(END).isNotNull()).isEmpty():
+            return False
+        return self.apply(snapshot, micros)
+
     def apply_all(self, snapshots: DataFrame, ts_col: str = SNAPSHOT_TS) -> int:
-        """Apply every newer snapshot in ``snapshots`` from oldest to newest."""
-        last = self.last_version()
-        stamps = sorted(r[0] for r in snapshots.select(F.unix_micros(ts_col)).distinct().collect())
-        newer = [t for t in stamps if last is None or t > last]
+        """Apply every newer snapshot in ``snapshots`` from oldest to newest.
+
+        Rows that were not there when their snapshot was applied, and whole snapshots older than the newest applied one, would
+        be lost: they raise ``LateRows``. A snapshot that is offered again with the same number of rows is left out.
+        """
+        known = self.commits()
+        last = max(known, default=None)
+        counted = snapshots.groupBy(F.unix_micros(ts_col).alias("t")).count().collect()  # one row for each export
+        for t, rows in counted:
+            if last is not None and t <= last and known.get(t) != rows:
+                raise LateRows(f"snapshot {t}: {rows} rows now, {known.get(t, 'none')} when later ones were applied")
+        newer = sorted(t for t, _ in counted if last is None or t > last)
         return sum(self.apply(snapshots.filter(F.col(ts_col) == F.timestamp_micros(F.lit(t))), t) for t in newer)
 
 
+def read_commits(spark: SparkSession, path: str) -> dict[int, int]:
+    """Versions and rows of the commit records below ``path``."""
+    try:
+        records = spark.read.schema("version bigint, rows bigint").json(f"{path}/_commits")
+    except AnalysisException:
+        return {}
+    return {r.version: r.rows for r in records.collect()}
+
+
+def write_commit(spark: SparkSession, path: str, version: int, rows: int) -> None:
+    """Declare a version applied; written after its data."""
+    record = spark.range(1).coalesce(1).select(F.lit(version).cast("long").alias("version"), F.lit(rows).cast("long").alias("rows"))
+    record.write.mode("append").json(f"{path}/_commits")
+
+
 def follow_snapshots(
     stream: DataFrame, table: HistoryTable, checkpoint: str, ts_col: str = SNAPSHOT_TS
 ) -> StreamingQuery:

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from snapstar.operators.snapshots import END, RESCUED, SNAPSHOT_TS, START, current, latest_snapshot
 from snapstar.plans.entities import ENTITIES, ingest_entity, latest_typed
 from snapstar.plans.gold import fact_invoices
-from snapstar.sources.landing import infer_csv_schema, land_snapshot
-from snapstar.streaming.bronze import ingest_bronze, read_bronze
+from snapstar.sources.landing import infer_csv_schema, land_part, land_snapshot, seal_run
+from snapstar.streaming.bronze import LateRows, ingest_bronze, read_bronze
+from snapstar.streaming.history import HistoryTable
 
 COLUMNS = ("invoice_id string, purchase_order_id string, contract_id string, project_id string, issue_date int, "
            "due_date int, payment_date double, invoice_amount double, currency string, payment_status string")
@@ -102,3 +103,41 @@ def test_status_needs_a_date(spark):
 def test_fifteen_entities():
     assert len(ENTITIES) == 15
     assert sum(e.scd_type == 1 for e in ENTITIES.values()) == 6
+
+
+def test_only_whole_runs_are_taken_in(spark, tmp_path):
+    root, cfg = str(tmp_path), ENTITIES["invoices"]
+    one, two = (spark.createDataFrame([invoice(k, 1.0, None)], COLUMNS) for k in ("INV-1", "INV-2"))
+    rows = land_part(one, f"{root}/landing", cfg.name, "r1", "2024-02-01")
+    schema = infer_csv_schema(spark, f"{root}/landing/{cfg.name}")
+    assert ingest_entity(spark, cfg, root, schema, "2024-02-01").count() == 0
+    seal_run(spark, f"{root}/landing", cfg.name, "r1", "2024-02-01", rows + 1)
+    with pytest.raises(Exception, match="1 of 2 rows"):
+        ingest_entity(spark, cfg, root, schema, "2024-02-01")
+    land_part(two, f"{root}/landing", cfg.name, "r1", "2024-02-01")
+    # Unpaid and due on 2024-03-14: open on the export's date, overdue on a later run's date without a new export.
+    assert {r["invoice_status"] for r in ingest_entity(spark, cfg, root, schema, "2024-02-01").collect()} == {"Otvoreno"}
+    flipped = ingest_entity(spark, cfg, root, schema, "2024-12-01")
+    assert sorted((r["invoice_status"], r[START].date(), r[END] and r[END].date()) for r in flipped.collect()) == 2 * [
+        ("Otvoreno", date(2024, 2, 1), date(2024, 12, 1))] + 2 * [("Overdue", date(2024, 12, 1), None)]
+    assert ingest_entity(spark, cfg, root, schema, "2024-12-05").count() == 4
+
+
+def test_late_rows_raise(spark, tmp_path):
+    bronze = spark.createDataFrame(
+        [("a", 1, datetime(2024, 1, 1)), ("a", 2, datetime(2024, 2, 1))], f"id string, v int, {SNAPSHOT_TS} timestamp")
+    table = HistoryTable(spark, str(tmp_path / "h"), bronze.schema, ["id"], (SNAPSHOT_TS,))
+    assert table.apply_all(bronze) == 2
+    assert table.apply_all(bronze) == 0
+    for late in (datetime(2024, 2, 1), datetime(2024, 1, 15)):
+        with pytest.raises(LateRows):
+            table.apply_all(bronze.unionByName(spark.createDataFrame([("b", 1, late)], bronze.schema)))
+
+
+def test_a_second_run_of_a_snapshot_raises(spark, tmp_path):
+    root, cfg = str(tmp_path), ENTITIES["department_lookup"]
+    frame = spark.createDataFrame([("D1", "Roads")], "department_id string, department_name string")
+    for run in ("r1", "r2"):
+        land_snapshot({cfg.name: frame}, f"{root}/landing", run, "2024-01-01")
+    with pytest.raises(LateRows):
+        ingest_entity(spark, cfg, root, infer_csv_schema(spark, f"{root}/landing/{cfg.name}"))

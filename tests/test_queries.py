@@ -2,6 +2,9 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 
+from snapstar.plans.oracle import ORACLE
+from snapstar.plans.queries import QUERIES
+
 from .compare import difference, duck
 
 FOLDER = "/root/testdata/sf0.001"
@@ -13,7 +16,7 @@ def con():
     return duck(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, con, name):
     if name in ROWS_ONLY:
         assert queries()[name](spark, FOLDER).count() > 0
@@ -22,6 +25,7 @@ def test_query_equals_its_sql(spark, con, name):
 
 
 def test_registry(spark):
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
+    assert set(ORACLE) <= set(QUERIES) <= set(queries())
     assert set(oracle_sql()) <= set(queries())
     assert entry(spark).count() > 0
