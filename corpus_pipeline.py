@@ -30,11 +30,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, with secrets replaced in its text and ``n_chars`` counted anew where it was known."""
+    """Every document, with secrets replaced in its text and ``n_chars`` counted anew where that changed it."""
     prepare(spark)
-    clean = docs.withColumn("text", secret_scan.redact_column(F.col("text")))
-    counted = F.when(F.col("n_chars").isNotNull(), F.length("text")).cast(docs.schema["n_chars"].dataType)
-    return clean.withColumn("n_chars", F.coalesce(counted, F.col("n_chars"))).select(docs.columns)
+    both = docs.withColumn("text", F.struct(F.col("text").alias("old"), secret_scan.redact_column(F.col("text")).alias("new")))
+    changed = F.col("n_chars").isNotNull() & (F.col("text.new") != F.col("text.old"))
+    counted = F.length("text.new").cast(docs.schema["n_chars"].dataType)
+    return both.withColumn("n_chars", F.when(changed, counted).otherwise(F.col("n_chars"))).withColumn("text", F.col("text.new"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

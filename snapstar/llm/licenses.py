@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 # Spellings that mean the same, as (pattern, replacement) on lower-case text.
 SPELLINGS = (
-    ("licence", "license"), ("sub license", "sublicense"), ("non commercial", "noncommercial"), ("v(?=[0-9])", "version "),
+    ("licence", "license"), ("sub license", "sublicense"), ("non commercial", "noncommercial"), ("v([0-9])", "version $1"),
     ("merchantibility", "merchantability"), ("http:", "https:"),
 )
 # Public notices and short licences, one name for each.
@@ -56,7 +56,7 @@ Unless required by applicable law or agreed to in writing, software distributed
 IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
 language governing permissions and limitations under the License."""),
 )
-COPYRIGHT_LINE = r"(^|\n)[\x20\t]*(copyright|\(c\)|all rights reserved)[^\n]*"
+COPYRIGHT_LINE = r"(^|\n)[\x20\t]*(copyright[\x20\t]*(\(c\)|©|[0-9])|\(c\)|©|all rights reserved)[^\n]*"
 
 
 def canonical(text: Column) -> Column:

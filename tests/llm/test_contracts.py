@@ -13,7 +13,9 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from snapstar.llm.oracle import ORACLE
 from snapstar.llm.queries import QUERIES
+from tests.compare import difference, duck
 
 from . import plain
 
@@ -207,3 +209,23 @@ def test_op10(spark, folder):
     rows = result(spark, folder, "op10_quality", *columns)
     same([r[:7] for r in rows], [(d, *plain.op10_base(t)) for d, t, *_ in documents(spark, folder)])
     assert not any(kept and failed for *_, failed, kept in rows)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_sql(spark, name):
+    assert difference(spark, duck(FOLDER), FOLDER, name) is None
+
+
+def test_op9_on_whole_texts_and_variants(spark):
+    from snapstar.llm import licenses
+
+    mit = next(b for n, b in licenses.KNOWN if n == "MIT" and len(b) > 100)
+    rows = [(1, "Copyright (c) 2001 Someone\nAll rights reserved.\n\n" + mit.upper().replace("\n", " ").replace(" ", "  ")), (2, "licensed under the apache LICENCE v2.0"),
+            (3, None), (4, ""), (5, "prose\nReleased under the MIT Licence!\nReleased under the MIT license\nmore"), (6, "Released under the MIT License, not.")]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string"), "doc_id", "text", licenses.known_digests(spark))
+    assert sorted(tuple(r) for r in got.collect()) == [
+        (1, "line", 4, "MIT"), (1, "text", 0, "MIT"), (2, "text", 0, "Apache-2.0"), (5, "line", 2, "MIT"), (5, "line", 3, "MIT")]
+
+
+def test_op9_needs_the_fixed_forms_only(spark, folder):
+    assert {r[0] for r in result(spark, folder, "op9_licenses", "license")} <= {"MIT", "GPL-3.0", "Apache-2.0", "CC-BY-NC-4.0"}
