@@ -114,11 +114,13 @@ def fact_procurement_performance(plan: DataFrame, procedures: DataFrame, bids: D
     """
     numbers = current(plan).select("evidence_number", "estimated_value").join(
         current(procedures).select("evidence_number", "procedure_id"), "evidence_number")
-    offers = bids.groupBy("procedure_id").agg(F.count(F.lit(1)).alias("bid_count"))
-    winners = bids.filter("is_awarded").selectExpr(
-        "procedure_id", "supplier_id AS awarded_supplier_id", "bid_amount AS awarded_bid_amount")
+    # One pass over the bids: their number, and the awarded ones, of which a procedure has one.
+    award = F.when(F.col("is_awarded"), F.struct(
+        F.col("supplier_id").alias("awarded_supplier_id"), F.col("bid_amount").alias("awarded_bid_amount")))
+    offers = bids.groupBy("procedure_id").agg(F.count(F.lit(1)).alias("bid_count"), F.collect_list(award).alias("_awards"))
     saved = (exact("estimated_value") - exact("awarded_bid_amount")).cast("double")
-    return numbers.join(offers, "procedure_id", "left").join(winners, "procedure_id", "left").select(
+    opened = numbers.join(offers, "procedure_id", "left").select("*", F.explode_outer("_awards").alias("_award"))
+    return opened.select("*", "_award.awarded_supplier_id", "_award.awarded_bid_amount").select(
         "procedure_id",
         money("estimated_value").alias("estimated_value"),
         "awarded_supplier_id",

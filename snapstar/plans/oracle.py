@@ -205,6 +205,46 @@ def _profile(table: str, columns: list[str]) -> str:
         COUNT(DISTINCT {c}) AS distinct_values FROM {table}""" for c in columns)
 
 
+# What every gold table holds, column by column with its type.
+GOLD_COLUMNS = """
+dim_department department_id:int department_name:string
+dim_supplier supplier_id:bigint supplier_name:string supplier_city:string
+dim_cpv cpv_code:bigint cpv_description:string
+dim_date date:date year:int quarter:int month:int month_name:string day:int day_of_week_name:string is_weekend:boolean
+dim_project project_id:bigint project_name:string project_status:string funding_source:string funding_type:string eu_program:string year:int department_id:int cpv_code:bigint
+dim_contract contract_id:bigint project_id:bigint budget_item_id:string procedure_id:bigint supplier_id:bigint signature_date:date contract_deadline:date contract_status:string current_deadline:date
+dim_procedure evidence_number:bigint procedure_id:bigint project_id:bigint procedure_type:string publication_date:date selection_decision_date:date procedure_status:string cpv_code:bigint planned_quarter:string
+fact_invoices invoice_id:string purchase_order_id:string contract_id:bigint project_id:bigint issue_date:date due_date:date payment_date:date invoice_amount:double currency:string payment_status:string invoice_status:string days_late:int
+fact_purchase_orders purchase_order_id:string contract_id:bigint project_id:bigint order_date:date order_amount:double order_description:string
+fact_contract_financials contract_id:bigint contract_amount:double total_annex_adjustments:double annex_count:bigint total_contract_value:double
+fact_procurement_bids bid_id:string procedure_id:bigint supplier_id:bigint bid_amount:double bid_status:string is_awarded:boolean
+fact_procurement_performance procedure_id:bigint estimated_value:double awarded_supplier_id:bigint awarded_bid_amount:double bid_count:bigint procurement_savings:double
+fact_project_financials project_id:bigint planned_amount:int city_share_amount:int external_share_amount:int total_contracted_value:double contract_count:bigint total_invoiced_amount:double total_paid_amount:double
+mv_procurement_savings_kpi procedure_id:bigint evidence_number:bigint project_id:bigint project_name:string department_id:int department_name:string cpv_code:bigint cpv_description:string estimated_value:double awarded_bid_amount:double awarded_supplier_name:string procurement_savings:double savings_pct:double bid_count:bigint
+mv_project_realization_kpi project_id:bigint project_name:string project_status:string department_id:int department_name:string funding_source:string eu_program:string year:int planned_amount:int city_share_amount:int external_share_amount:int total_contracted_value:double contract_count:bigint total_invoiced_amount:double total_paid_amount:double realization_pct:double contracted_pct:double eu_share_pct:double
+mv_avg_payment_delay_kpi department_id:int department_name:string paid_invoice_count:bigint avg_days_late:double
+"""
+
+
+def _gold_columns() -> dict[str, list[tuple[str, str]]]:
+    lines = (line.split() for line in GOLD_COLUMNS.strip().splitlines())
+    return {name: [tuple(c.split(":")) for c in columns] for name, *columns in lines}
+
+
+def _relation(table: str) -> str:
+    """The calendar's common table has a name of its own."""
+    return "days" if table == "dim_date" else table
+
+
+def _built(table: str) -> str:
+    """Rows and one exact total of a written table; the default calendar has 16 years."""
+    totals = {"fact_invoices": "invoice_amount", "fact_contract_financials": "total_contract_value",
+              "mv_project_realization_kpi": "total_paid_amount", "mv_procurement_savings_kpi": "procurement_savings"}
+    rows = "CAST(5844 AS BIGINT)" if table == "dim_date" else f"(SELECT COUNT(*) FROM {table})"
+    total = f"(SELECT {_sum(totals[table])} FROM {table})" if table in totals else "CAST(NULL AS DOUBLE)"
+    return f"SELECT '{table}' AS table_name, {rows} AS rows, {total} AS total"
+
+
 def _catalog_columns(tables: dict[str, list[tuple[str, str]]]) -> str:
     parts = []
     for m in GOLD_TABLES:
@@ -212,7 +252,7 @@ def _catalog_columns(tables: dict[str, list[tuple[str, str]]]) -> str:
             to = m.foreign_keys.get(c, (None, None))
             refs = ", ".join("NULL" if x is None else f"'{x}'" for x in to)
             parts.append(f"""SELECT '{m.name}', '{c}', {i}, '{kind}', {c == m.primary_key}, {refs},
-                COUNT(*) - COUNT({c}), COUNT(DISTINCT {c}) FROM {m.name}""")
+                COUNT(*) - COUNT({c}), COUNT(DISTINCT {c}) FROM {_relation(m.name)}""")
     names = ('table_name, "column", position, type, is_primary_key, references_table, references_column, nulls, '
              "distinct_values")
     return f"SELECT * FROM ({' UNION ALL '.join(parts)}) AS t({names})"
@@ -224,7 +264,7 @@ def _document(name: str, columns: list[tuple[str, str]]) -> str:
             + ", ".join(f"{c} ({k})" for c, k in columns) + "\nSample rows:\n").replace("'", "''")
     cells = " || ', ' || ".join(f"'{c}=' || COALESCE(CAST({c} AS VARCHAR), 'null')" for c, _ in columns)
     return f"""SELECT '{name}' AS table_name, '{head}' || string_agg({cells}, chr(10) ORDER BY {m.primary_key})
-        AS document FROM (SELECT * FROM {name} ORDER BY {m.primary_key} LIMIT 3)"""
+        AS document FROM (SELECT * FROM {_relation(name)} ORDER BY {m.primary_key} LIMIT 3)"""
 
 
 _PROTOTYPES = """proto AS (SELECT label AS query_id, list(x ORDER BY i) AS q FROM (
@@ -307,10 +347,12 @@ _BODIES = {
     "expect_unique_violations": """SELECT 'unique_line' AS expectation, COUNT(*) AS rows,
         COUNT(*) FILTER (n <> 1) AS violations
         FROM (SELECT COUNT(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)""",
-    "expect_fail": "SELECT invoice_id, COUNT(*) AS num_entries FROM fact_invoices GROUP BY invoice_id",
+    "expect_fail": """SELECT invoice_id, COUNT(*) AS num_entries, (SELECT COUNT(*) FROM fact_invoices) > 0 AS raised
+        FROM fact_invoices GROUP BY invoice_id""",
     "expect_drop": f"""SELECT payment_status, COUNT(*) AS kept, {_sum('invoice_amount')} AS amount
         FROM fact_invoices WHERE days_late <= 0 GROUP BY payment_status""",
-    "expect_warn": "SELECT payment_status, COUNT(*) AS rows FROM fact_invoices GROUP BY payment_status",
+    "expect_warn": """SELECT payment_status, COUNT(*) AS rows, (SELECT COUNT(*) FROM fact_invoices
+        WHERE COALESCE(days_late, 1) > 0) AS violations FROM fact_invoices GROUP BY payment_status""",
     "dim_date": """SELECT days.*, n AS due_invoices FROM days JOIN (
         SELECT due_date, COUNT(*) AS n FROM fact_invoices GROUP BY due_date) ON due_date = date""",
     "calendar_for_column": """SELECT CAST(d AS DATE) AS date, year(d) AS year, quarter(d) AS quarter_no,
@@ -463,26 +505,15 @@ _BODIES = {
         f"""SELECT '{m.name}' AS table_name, '{m.kind}' AS kind, '{m.grain}' AS grain,
         '{m.description.replace("'", "''")}' AS description,
         (SELECT COUNT(*) FROM {"days" if m.name == "dim_date" else m.name}) AS rows""" for m in GOLD_TABLES),
-    "catalog_columns": _catalog_columns({
-        "dim_project": [
-            ("project_id", "bigint"), ("project_name", "string"), ("project_status", "string"),
-            ("funding_source", "string"), ("funding_type", "string"), ("eu_program", "string"), ("year", "int"),
-            ("department_id", "int"), ("cpv_code", "bigint")],
-        "dim_contract": [
-            ("contract_id", "bigint"), ("project_id", "bigint"), ("budget_item_id", "string"),
-            ("procedure_id", "bigint"), ("supplier_id", "bigint"), ("signature_date", "date"),
-            ("contract_deadline", "date"), ("contract_status", "string"), ("current_deadline", "date")],
-    }),
+    "catalog_columns": _catalog_columns(_gold_columns()),
     "table_sample": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders
         ORDER BY o_orderkey LIMIT 3""",
-    "table_document": " UNION ALL ".join((
-        _document("dim_supplier", [("supplier_id", "bigint"), ("supplier_name", "string"),
-                                   ("supplier_city", "string")]),
-        _document("dim_cpv", [("cpv_code", "bigint"), ("cpv_description", "string")]),
-        _document("fact_purchase_orders", [
-            ("purchase_order_id", "string"), ("contract_id", "bigint"), ("project_id", "bigint"),
-            ("order_date", "date"), ("order_amount", "double"), ("order_description", "string")]),
-    )),
+    "table_document": " UNION ALL ".join(_document(name, columns) for name, columns in _gold_columns().items()),
+    "build_gold": " UNION ALL ".join(_built(m.name) for m in GOLD_TABLES),
+    "schema_drift": """SELECT * FROM (VALUES ('_snapshot_ts', 'new', NULL, 'timestamp'), ('o_orderkey', 'retyped', 'bigint', 'int'),
+        ('o_custkey', 'retyped', 'bigint', 'int'), ('o_orderdate', 'retyped', 'timestamp_ntz', 'timestamp'))
+        v("column", change, old_type, new_type) WHERE (SELECT MAX(o_orderkey) FROM orders) < 2147483648""",
+    "scd2_rerun": _HIST,
     "vector_upsert": """SELECT vec_id, CASE WHEN label = 3 THEN 103 ELSE label END AS label,
         len(embedding) AS dimensions FROM embeddings UNION ALL
         SELECT vec_id + (SELECT MAX(vec_id) FROM embeddings) + 1, label, len(embedding)

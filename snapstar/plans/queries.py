@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -20,6 +20,7 @@ from ..sources import calendars, landing, traces
 from ..streaming.bronze import ingest_bronze, read_bronze
 from ..streaming.history import HistoryTable, follow_snapshots
 from . import report
+from .gold import build_gold
 from .entities import ENTITIES, ingest_entity
 from .metadata import GOLD_TABLES, PRIMARY_KEYS
 from .sample_model import AS_OF, LINE, SampleModel
@@ -79,8 +80,14 @@ def _(m: SampleModel) -> DataFrame:
 
 @query("expect_fail")
 def _(m: SampleModel) -> DataFrame:
-    """A gate that holds lets every row through."""
-    return quality.expect(quality.uniqueness(m.gold["fact_invoices"], ["invoice_id"]), "unique_key", "num_entries = 1")
+    """A gate that holds lets every row through; one that doesn't stops its job."""
+    counted = quality.uniqueness(m.gold["fact_invoices"], ["invoice_id"])
+    try:
+        quality.expect(counted, "no_key", "num_entries = 0").write.format("noop").mode("overwrite").save()
+        raised = False
+    except Exception as error:
+        raised = "expectation failed: no_key" in str(error)
+    return quality.expect(counted, "unique_key", "num_entries = 1").withColumn("raised", F.lit(raised))
 
 
 @query("expect_drop")
@@ -91,8 +98,13 @@ def _(m: SampleModel) -> DataFrame:
 
 @query("expect_warn")
 def _(m: SampleModel) -> DataFrame:
-    return quality.expect(m.gold["fact_invoices"], "paid", "days_late <= 0", "warn").groupBy("payment_status").agg(
+    """Every row stays, and the running job counts the violations."""
+    seen = Observation("paid")
+    kept = quality.expect(m.gold["fact_invoices"], "paid", "days_late <= 0", "warn", seen).groupBy("payment_status").agg(
         F.count(F.lit(1)).alias("rows"))
+    folder = scratch_dir(m.spark, "warn")
+    kept.write.parquet(folder)
+    return m.spark.read.schema(kept.schema).parquet(folder).withColumn("violations", F.lit(seen.get["violations"]).cast("bigint"))
 
 
 # Calendars and dates
@@ -166,6 +178,14 @@ def _(m: SampleModel) -> DataFrame:
         target, m.snapshot(m.export_years[-1]), ["order_id"], last, UNTRACKED).select(*REGISTER)
 
 
+@query("scd2_rerun")
+def _(m: SampleModel) -> DataFrame:
+    """The newest export applied once more, under a later time: nothing changes."""
+    done = history.replay_scd2(m.snapshots, ["order_id"], untracked=UNTRACKED)
+    again = m.snapshot(m.export_years[-1])
+    return history.apply_snapshot_scd2(done, again, ["order_id"], f"{m.export_years[-1] + 1}-12-31", UNTRACKED).select(*REGISTER)
+
+
 @query("scd2_untracked")
 def _(m: SampleModel) -> DataFrame:
     """The amount is not tracked: a change opens no version and the newest value is kept."""
@@ -345,7 +365,7 @@ def _(m: SampleModel) -> DataFrame:
 @query("awarded_estimated_value")
 def _(m: SampleModel) -> DataFrame:
     facts = relations.related(
-        m.gold["fact_procurement_bids"], m.gold["fact_procurement_performance"], "procedure_id", "estimated_value")
+        m.stored_gold["fact_procurement_bids"], m.stored_gold["fact_procurement_performance"], "procedure_id", "estimated_value")
     return facts.groupBy("supplier_id").agg(
         sum_where(F.col("bid_status") == AWARDED, "estimated_value").alias("estimated_value_awarded"))
 
@@ -353,7 +373,7 @@ def _(m: SampleModel) -> DataFrame:
 @query("awarded_savings")
 def _(m: SampleModel) -> DataFrame:
     facts = relations.related(
-        m.gold["fact_procurement_bids"], m.gold["mv_procurement_savings_kpi"], "procedure_id",
+        m.stored_gold["fact_procurement_bids"], m.stored_gold["mv_procurement_savings_kpi"], "procedure_id",
         "procurement_savings", "department_id")
     return facts.groupBy("department_id").agg(
         sum_where(F.col("bid_status") == AWARDED, "procurement_savings").alias("procurement_savings_awarded"))
@@ -381,17 +401,17 @@ def _(m: SampleModel) -> DataFrame:
 
 @query("savings_matrix")
 def _(m: SampleModel) -> DataFrame:
-    return report.savings_matrix(m.gold["mv_procurement_savings_kpi"], m.gold["fact_procurement_bids"])
+    return report.savings_matrix(m.stored_gold["mv_procurement_savings_kpi"], m.stored_gold["fact_procurement_bids"])
 
 
 @query("savings_cards")
 def _(m: SampleModel) -> DataFrame:
-    return report.savings_cards(m.gold["mv_procurement_savings_kpi"], m.gold["fact_procurement_bids"])
+    return report.savings_cards(m.stored_gold["mv_procurement_savings_kpi"], m.stored_gold["fact_procurement_bids"])
 
 
 @query("realization_matrix")
 def _(m: SampleModel) -> DataFrame:
-    return report.realization_matrix(m.gold["mv_project_realization_kpi"], m.gold["mv_procurement_savings_kpi"])
+    return report.realization_matrix(m.stored_gold["mv_project_realization_kpi"], m.stored_gold["mv_procurement_savings_kpi"])
 
 
 @query("realization_cards")
@@ -408,7 +428,7 @@ def _(m: SampleModel) -> DataFrame:
 @query("drillthrough")
 def _(m: SampleModel) -> DataFrame:
     return report.drillthrough(
-        3, m.gold["fact_invoices"], m.gold["fact_purchase_orders"], m.gold["dim_contract"], m.gold["dim_project"])
+        3, m.stored_gold["fact_invoices"], m.stored_gold["fact_purchase_orders"], m.stored_gold["dim_contract"], m.stored_gold["dim_project"])
 
 
 @query("worst_savings_department")
@@ -478,21 +498,19 @@ def _(m: SampleModel) -> DataFrame:
     """The table list with the rows each table holds."""
     counts = None
     for t in GOLD_TABLES:
-        one = m.gold[t.name].agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t.name).alias("table_name"), "rows")
+        one = m.stored_gold[t.name].agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t.name).alias("table_name"), "rows")
         counts = one if counts is None else counts.unionByName(one)
     return surface.catalog_tables(m.spark, GOLD_TABLES).join(counts, "table_name")
 
 
 @query("catalog_columns")
 def _(m: SampleModel) -> DataFrame:
-    """Declared columns of two tables with the profile of their data."""
-    names = ("dim_project", "dim_contract")
-    meta = [t for t in GOLD_TABLES if t.name in names]
+    """Declared columns of every table with the profile of their data."""
     profiled = None
-    for n in names:
-        one = profile.profile(m.gold[n]).select(F.lit(n).alias("table_name"), "column", "nulls", "distinct_values")
+    for t in GOLD_TABLES:
+        one = profile.profile(m.stored_gold[t.name]).select(F.lit(t.name).alias("table_name"), "column", "nulls", "distinct_values")
         profiled = one if profiled is None else profiled.unionByName(one)
-    listed = surface.catalog_columns(m.spark, m.gold, meta)
+    listed = surface.catalog_columns(m.spark, m.stored_gold, GOLD_TABLES)
     return listed.join(profiled, ["table_name", "column"])
 
 
@@ -504,8 +522,25 @@ def _(m: SampleModel) -> DataFrame:
 
 @query("table_document")
 def _(m: SampleModel) -> DataFrame:
-    names = ("dim_supplier", "dim_cpv", "fact_purchase_orders")
-    return surface.table_document(m.gold, [t for t in GOLD_TABLES if t.name in names])
+    return surface.table_document(m.stored_gold, GOLD_TABLES)
+
+
+@query("build_gold")
+def _(m: SampleModel) -> DataFrame:
+    """All gold tables written in order and read back: rows and exact totals of each."""
+    silver = {
+        "department_lookup": m.departments, "supplier_lookup": m.suppliers, "cpv_lookup": m.cpv, "projects": m.projects,
+        "contracts": m.contracts, "contract_annexes": m.annexes, "procurement_procedures": m.procedures,
+        "procurement_plan": m.plan, "procurement_bids": m.bids, "purchase_orders": m.purchase_orders, "invoices": m.invoices}
+    written = build_gold(m.spark, silver, scratch_dir(m.spark, "build-gold"))
+    totals = {"fact_invoices": "invoice_amount", "fact_contract_financials": "total_contract_value",
+              "mv_project_realization_kpi": "total_paid_amount", "mv_procurement_savings_kpi": "procurement_savings"}
+    parts = None
+    for name, df in written.items():
+        total = exact_sum(totals[name]) if name in totals else F.lit(None).cast("double")
+        one = df.agg(F.count(F.lit(1)).alias("rows"), total.alias("total")).select(F.lit(name).alias("table_name"), "rows", "total")
+        parts = one if parts is None else parts.unionByName(one)
+    return parts
 
 
 def _prototypes(m: SampleModel) -> DataFrame:

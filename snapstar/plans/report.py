@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import AWARDED, exact_sum, guarded_ratio
+from ..functions.columns import AWARDED, exact, exact_sum, guarded_ratio
 from ..functions.measures import awarded_amount, count_other_than, rejected_amount, selected_value, sum_where
 from ..operators.matrix import drill_matrix, ratio_of_sums
 from ..operators.relations import related
@@ -82,28 +82,43 @@ def invoice_drilldown(
     invoices: DataFrame, purchase_orders: DataFrame, contracts: DataFrame, projects: DataFrame
 ) -> DataFrame:
     """Department, project, contract, purchase order, invoice, along the order's chain of keys."""
-    facts = invoices.select(
-        "invoice_id", "purchase_order_id", "invoice_amount", "payment_status", "invoice_status", "days_late")
-    chain = related(facts, purchase_orders, "purchase_order_id", "contract_id")
+    chain = related(_billed(invoices), purchase_orders, "purchase_order_id", "contract_id")
     chain = related(related(chain, contracts, "contract_id", "project_id"), projects, "project_id", "department_id")
-    return drill_matrix(
-        chain, ["department_id", "project_id", "contract_id", "purchase_order_id", "invoice_id"], {
-            "invoice_amount": exact_sum("invoice_amount"),
-            "payment_status": F.min("payment_status"),
-            "invoice_status": F.min("invoice_status"),
-            "days_late": F.sum(F.col("days_late").cast("bigint")),
-        })
+    return _invoice_levels(chain)
+
+
+def _billed(invoices: DataFrame) -> DataFrame:
+    return invoices.select(
+        "invoice_id", "purchase_order_id", "invoice_amount", "payment_status", "invoice_status", "days_late")
+
+
+def _invoice_levels(chain: DataFrame) -> DataFrame:
+    """Invoices as they are, and totals of every depth above from one sum per purchase order.
+
+    Invoice ids are unique, so only the sums are expanded to the depths of the drill path.
+    """
+    levels = ["department_id", "project_id", "contract_id", "purchase_order_id"]
+    sums = chain.groupBy(*levels).agg(
+        F.sum(exact("invoice_amount")).alias("invoice_amount"), F.min("payment_status").alias("payment_status"),
+        F.min("invoice_status").alias("invoice_status"), F.sum(F.col("days_late").cast("bigint")).alias("days_late"))
+    totals = drill_matrix(sums, levels, {
+        "invoice_amount": F.sum("invoice_amount").cast("double"), "payment_status": F.min("payment_status"),
+        "invoice_status": F.min("invoice_status"), "days_late": F.sum("days_late")})
+    leaves = chain.withColumn("level", F.lit(len(levels) + 1).cast("bigint")).withColumns({
+        "days_late": F.col("days_late").cast("bigint"), "invoice_amount": exact("invoice_amount").cast("double")})
+    both = totals.withColumn("invoice_id", F.lit(None).cast(chain.schema["invoice_id"].dataType)).unionByName(
+        leaves.select("level", *levels, "invoice_amount", "payment_status", "invoice_status", "days_late", "invoice_id"))
+    return both.select("level", *levels, "invoice_id", "invoice_amount", "payment_status", "invoice_status", "days_late")
 
 
 def drillthrough(
     department: object, invoices: DataFrame, purchase_orders: DataFrame, contracts: DataFrame, projects: DataFrame
 ) -> DataFrame:
     """The invoice drill-down of one department; its projects are selected before any join."""
-    chosen = slice_by(projects, "department_id", [department])
-    kept = contracts.join(chosen.select("project_id"), "project_id", "left_semi")
-    ordered = purchase_orders.join(kept.select("contract_id"), "contract_id", "left_semi")
-    billed = invoices.join(ordered.select("purchase_order_id"), "purchase_order_id", "left_semi")
-    return invoice_drilldown(billed, ordered, kept, chosen)
+    chosen = slice_by(projects, "department_id", [department]).select("department_id", "project_id")
+    kept = chosen.join(contracts.select("contract_id", "project_id"), "project_id")
+    ordered = kept.join(purchase_orders.select("purchase_order_id", "contract_id"), "contract_id")
+    return _invoice_levels(ordered.join(_billed(invoices), "purchase_order_id"))
 
 
 def savings_pct_by_department(savings: DataFrame) -> DataFrame:

@@ -15,6 +15,8 @@ from pyspark.sql.types import StructType
 
 from ..functions.columns import AWARDED, date_to_serial
 from ..operators.snapshots import END, RESCUED, SNAPSHOT_TS, START, dedup_by_key
+from ..session import scratch_dir
+from ..sources.landing import write_gold
 from . import gold
 from .entities import ENTITIES, typed
 
@@ -33,10 +35,14 @@ _SCHEMAS: dict[str, StructType] = {}
 
 
 class GoldTables(Mapping[str, DataFrame]):
-    """The 16 gold tables by name, each built when first asked for."""
+    """The 16 gold tables by name, each built when first asked for.
 
-    def __init__(self, model: SampleModel) -> None:
+    With a ``folder`` each is also written there, and it and everything built from it read the written table.
+    """
+
+    def __init__(self, model: SampleModel, folder: str | None = None) -> None:
         self._built: dict[str, DataFrame] = {}
+        self._folder = folder
         g, m = self, model
         self._makers: dict[str, Callable[[], DataFrame]] = {
             "dim_department": lambda: gold.dim_department(m.departments),
@@ -65,7 +71,11 @@ class GoldTables(Mapping[str, DataFrame]):
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
-            self._built[name] = self._makers[name]()
+            table = self._makers[name]()
+            if self._folder:
+                write_gold(table, f"{self._folder}/{name}")
+                table = table.sparkSession.read.schema(table.schema).parquet(f"{self._folder}/{name}")
+            self._built[name] = table
         return self._built[name]
 
     def __iter__(self) -> Iterator[str]:
@@ -255,6 +265,11 @@ class SampleModel:
     def gold(self) -> GoldTables:
         return GoldTables(self)
 
+    @cached_property
+    def stored_gold(self) -> GoldTables:
+        """Gold for queries that read one table several times; no table is computed twice."""
+        return GoldTables(self, scratch_dir(self.spark, "gold"))
+
     # Snapshots
 
     @cached_property
