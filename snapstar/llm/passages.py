@@ -9,7 +9,8 @@ A word goes if a window of ``WINDOW`` words that covers it also starts in a docu
    key it starts in. Overlapping windows with a smaller key make up the maximal repeats.
 3. cut: the words those windows cover go.
 
-Rows that leave a task are packed: one for each hash bucket and batch of documents. Hashes that a batch holds more than
+Rows that leave a task are packed: one for each hash bucket and batch of documents, and on the way back one for each
+bucket and group of documents. Hashes that a batch holds more than
 once are settled within it, and the batch sends one of each, so a passage that a third of all documents share
 costs a few bytes a batch. The number of buckets follows the input. Texts cross the network once.
 
@@ -25,7 +26,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW, BLOCK = 50, 25
@@ -189,11 +190,51 @@ def _by_document(names: tuple[str, ...], documents: tuple[np.ndarray, ...], valu
     return pa.table([*(pa.array(d[starts].astype(np.int64)) for d in documents), pa.array(packed, pa.binary())], names=[*names, "found"])
 
 
-ANCHORS, REPEATS = "r bigint, found binary", "k bigint, t bigint, found binary"
+def _by_target(targets: int, documents: tuple[np.ndarray, ...], values: np.ndarray) -> pa.Table:
+    """Packed rows (target, documents with their distinct values); the target is a hash of the document."""
+    mixed = np.zeros(len(values), np.uint64)
+    for d in documents:
+        mixed = (mixed ^ d.astype(np.int64).view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(31)
+    target = (mixed % np.uint64(targets)).astype(np.int64)
+    order = np.lexsort((values, *documents, target))
+    target, values, documents = target[order], values[order], tuple(d[order] for d in documents)
+    first = _changes(values, *documents)
+    target, values, documents = target[first], values[first], tuple(d[first] for d in documents)
+    starts = _changes(target, *documents)
+    counts = np.diff(np.append(starts, len(values))).astype(np.uint32)
+    at = _changes(target[starts])
+    rows: tuple[list, list] = ([], [])
+    for begin, end in zip(at, np.append(at[1:], len(starts))):
+        own = starts[begin:end]
+        last = starts[end] if end < len(starts) else len(values)
+        rows[0].append(int(target[own[0]]))
+        rows[1].append(pack(*(d[own] for d in documents), counts[begin:end], values[own[0]:last]))
+    return pa.table([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.binary())], names=["target", "payload"])
+
+
+def collect(*names: str):
+    """All values of each document of a target: one row for each document."""
+    def run(group: pa.Table) -> pa.Table:
+        documents, values = [], []
+        for value in group.column("payload"):
+            *own, counts, found = unpack(value.as_py())
+            documents.append([np.repeat(d, counts) for d in own])
+            values.append(found)
+        return _by_document(names, tuple(np.concatenate(d) for d in zip(*documents)), np.concatenate(values))
+
+    return run
 
 
-def anchor(group: pa.Table) -> pa.Table:
+TARGETED, ANCHORS, REPEATS = "target int, payload binary", "r bigint, found binary", "k bigint, t bigint, found binary"
+
+
+def anchor(targets: int):
     """Step 1, by bucket: the anchors of each document."""
+    return lambda group: _by_target(targets, *_anchors(group))
+
+
+def _anchors(group: pa.Table) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
     codes, blocks, twice = [], [], []
     owners, values = [], []
     for value in group.column("payload"):
@@ -208,7 +249,7 @@ def anchor(group: pa.Table) -> pa.Table:
     repeated = (counts > 1) | (np.bincount(inverse, np.concatenate(twice), len(code)) > 0)
     anchors, owner, value = code[block & repeated], np.concatenate(owners), np.concatenate(values)
     hit = np.isin(value, anchors)
-    return _by_document(("r",), (owner[hit],), value[hit])
+    return (owner[hit],), value[hit]
 
 
 def extend(buckets: int):
@@ -220,7 +261,7 @@ def extend(buckets: int):
             keys, texts = _doc_table(docs)
             high, low, owner = [], [], []
             for i, (_, _, hashes, found) in enumerate(docs):
-                hits = np.unique(np.concatenate([np.frombuffer(f, np.uint32) for f in found]))
+                hits = np.frombuffer(found, np.uint32)
                 codes = (rolling(hashes) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
                 held = np.concatenate([[0], np.cumsum(np.isin(codes, hits))])
                 windows = np.flatnonzero(held[WINDOW - BLOCK + 1:] > held[: len(held) - (WINDOW - BLOCK + 1)])
@@ -254,8 +295,12 @@ def extend(buckets: int):
     return run
 
 
-def settle(group: pa.Table) -> pa.Table:
+def settle(targets: int):
     """Step 2, by bucket: the windows of each document that also start in one with a smaller key."""
+    return lambda group: _by_target(targets, *_settled(group))
+
+
+def _settled(group: pa.Table) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
     own: list[tuple[np.ndarray, ...]] = []
     passed: list[tuple[np.ndarray, ...]] = []
     for value in group.column("payload"):
@@ -270,7 +315,7 @@ def settle(group: pa.Table) -> pa.Table:
     least = np.repeat(keys[starts], np.diff(np.append(starts, len(high))))
     later = keys > least
     k, t, values = (np.concatenate(c) for c in zip((keys[later], texts[later], high[later]), *passed))
-    return _by_document(("k", "t"), (k, t), values)
+    return (k, t), values
 
 
 def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,16 +347,22 @@ def remove_repeats(df: DataFrame, key: str, text: str) -> DataFrame:
     """One row for each row of ``df``: ``key``, ``n_words``, ``n_removed`` and the ``kept`` words joined by single spaces. Keys are whole numbers."""
     total = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(1, math.ceil(total / BUCKET_BYTES))
-    docs = df.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("k"),
-                     F.coalesce(F.xxhash64(text), F.lit(0)).alias("t"), F.col(text).alias("x"))
-    docs = docs.withColumn("r", F.xxhash64("k", "t").bitwiseAND(F.lit(0xFFFFFFFF)))
-    anchors = docs.select("k", "t", "x", "r").mapInArrow(probe(buckets), PACKED).groupBy("bucket").applyInArrow(anchor, ANCHORS)
+    # Both joins need these columns and no others, so their exchanges of texts are one, which the planner reuses.
+    known = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("x"))
+    k, t = F.coalesce("key", F.lit(NO_KEY)).alias("k"), F.coalesce(F.xxhash64("x"), F.lit(0)).alias("t")
+    docs = known.select("key", "x", _name(k, t).alias("r"))
+    anchors = docs.select(k, t, "x", "r").mapInArrow(probe(buckets), PACKED).groupBy("bucket").applyInArrow(anchor(buckets), TARGETED)
     # Documents are named by 32 bits so far; ones that share a name get each other's anchors, which only widens the search.
-    # The same exchange of texts serves both joins; the planner reuses it.
-    listed = anchors.groupBy("r").agg(F.collect_list("found").alias("found")).hint("shuffle_hash")
-    near = docs.join(listed, "r").select("k", "t", "x", "found")
-    gone = near.mapInArrow(extend(buckets), PACKED).groupBy("bucket").applyInArrow(settle, REPEATS)
-    named = gone.groupBy(F.xxhash64("k", "t").bitwiseAND(F.lit(0xFFFFFFFF)).alias("r")).agg(
+    listed = anchors.groupBy("target").applyInArrow(collect("r"), ANCHORS).hint("shuffle_hash")
+    near = docs.join(listed, "r").select(F.col("key"), k, t, "x", "found").drop("key")
+    gone = near.mapInArrow(extend(buckets), PACKED).groupBy("bucket").applyInArrow(settle(buckets), TARGETED)
+    repeats = gone.groupBy("target").applyInArrow(collect("k", "t"), REPEATS)
+    named = repeats.groupBy(_name(F.col("k"), F.col("t")).alias("r")).agg(
         F.collect_list(F.struct("k", "t", "found")).alias("found")).hint("shuffle_hash")
-    marked = docs.join(named, "r", "left").select("key", "k", "t", "x", "found")
+    marked = docs.join(named, "r", "left").select("key", k, t, "x", "found")
     return marked.mapInArrow(cut, "key bigint, n_words bigint, n_removed bigint, kept string")
+
+
+def _name(k: Column, t: Column) -> Column:
+    """32 bits that name a document while anchors are sought."""
+    return F.xxhash64(k, t).bitwiseAND(F.lit(0xFFFFFFFF))
