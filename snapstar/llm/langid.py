@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 ORDER = 4
 SAMPLE = 1000  # distinct texts per language for fitting
+PARTS = 64  # of a language that are ranked apart before the whole
 CALIBRATION = 5  # one in so many of them
 QUANTILE, MARGIN = 0.999, 1.5  # share of calibration texts inside the limit, and the factor beyond that
 PIECE = 1 << 20  # symbols scored at once
@@ -181,9 +182,11 @@ def sample(df: DataFrame, text: str, lang: str, size: int = SAMPLE) -> DataFrame
     each language is applied in every map task before the shuffle, also in a hot language."""
     rows = df.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
-    # Copies of a text share their hash, so ranking by it with ties kept would keep them all: distinct hashes first.
+    # Copies of a text count once. Ranks in parts of a language first leave its last task a bounded number of hashes.
     hashes = rows.select("lang", "h").distinct()
-    ranked = hashes.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("r") <= size)
+    parts = Window.partitionBy("lang", F.pmod("h", F.lit(PARTS))).orderBy("h")
+    few = hashes.withColumn("r", F.row_number().over(parts)).filter(F.col("r") <= size).drop("r")
+    ranked = few.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("r") <= size)
     chosen = rows.join(F.broadcast(ranked), ["lang", "h"])  # size rows per language
     return chosen.groupBy("lang", "h").agg(F.first("text").alias("text"), F.first("r").alias("r")).select(
         "lang", "text", (F.col("r") % CALIBRATION == 0).alias("calibrates"))
