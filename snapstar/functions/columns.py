@@ -13,7 +13,8 @@ SERIAL_EPOCH = "1899-12-30"
 OVERDUE = "Overdue"
 AWARDED = "Odabrana"
 
-MONEY = "decimal(18,2)"
+# Addends of sums; wider than cents, so that a sum is rounded once, at its end.
+MONEY = "decimal(38,6)"
 
 
 def _col(c: Column | str) -> Column:
@@ -37,13 +38,13 @@ def money(c: Column | str) -> Column:
 
 
 def exact(c: Column | str) -> Column:
-    """An amount as an exact decimal, so sums do not depend on row order."""
+    """An amount as an exact decimal, so sums do not depend on row order; up to six decimals count."""
     return _col(c).cast(MONEY)
 
 
 def exact_sum(c: Column | str) -> Column:
-    """Order-independent sum of amounts, returned as double."""
-    return F.sum(exact(c)).cast("double")
+    """Order-independent sum of amounts, rounded to cents as a whole, returned as double."""
+    return money(F.sum(exact(c))).cast("double")
 
 
 def guarded_ratio(numerator: Column | str, denominator: Column | str, scale: int = 4) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import exact, guarded_ratio
+from ..functions.columns import exact, exact_sum, guarded_ratio, money
 
 
 def _depth(levels: Sequence[str]) -> Column:
@@ -42,7 +42,7 @@ def date_hierarchy(df: DataFrame, ts_col: str, amount: str) -> DataFrame:
     )
     out = drill_matrix(
         per_day, ["year", "quarter", "month_no", "day"],
-        {"row_count": F.sum("_n"), "total": F.sum("_v").cast("double")},
+        {"row_count": F.sum("_n"), "total": money(F.sum("_v")).cast("double")},
     )
     name = F.date_format(F.make_date(F.lit(2000), F.col("month_no").cast("int"), F.lit(1)), "MMMM")
     return out.withColumn("month", name)
@@ -51,7 +51,7 @@ def date_hierarchy(df: DataFrame, ts_col: str, amount: str) -> DataFrame:
 def ratio_of_sums(df: DataFrame, by: Sequence[str], numerator: str, denominator: str, name: str = "ratio") -> DataFrame:
     """Sum both columns per group, then divide; the right way to roll up a percentage."""
     sums = df.groupBy(*by).agg(
-        F.sum(exact(numerator)).cast("double").alias(numerator),
-        F.sum(exact(denominator)).cast("double").alias(denominator),
+        exact_sum(numerator).alias(numerator),
+        exact_sum(denominator).alias(denominator),
     )
     return sums.withColumn(name, guarded_ratio(numerator, denominator))

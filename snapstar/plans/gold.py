@@ -12,7 +12,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import AWARDED, exact, guarded_ratio, money
+from ..functions.columns import MONEY, AWARDED, exact, guarded_ratio, money
 from ..operators.snapshots import current
 from ..sources.calendars import dim_date
 from ..sources.landing import write_gold
@@ -29,7 +29,7 @@ INVOICE = ["invoice_id", "purchase_order_id", "contract_id", "project_id", "issu
 
 
 def _or_zero(c: str) -> Column:
-    return F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c)
+    return money(F.coalesce(F.col(c), F.lit(0))).cast("double").alias(c)
 
 
 def _count_or_zero(c: str) -> Column:
@@ -89,13 +89,13 @@ def fact_purchase_orders(orders: DataFrame) -> DataFrame:
 
 def fact_contract_financials(contracts: DataFrame, annexes: DataFrame) -> DataFrame:
     """Contract amount, annex adjustments and their total."""
-    change = F.coalesce(F.col("annex_sum"), F.lit(0).cast("decimal(28,2)"))
+    change = F.coalesce(F.col("annex_sum"), F.lit(0).cast(MONEY))
     return current(contracts).join(annex_totals(annexes), "contract_id", "left").select(
         "contract_id",
         money("contract_amount").alias("contract_amount"),
-        change.cast("double").alias("total_annex_adjustments"),
+        money(change).cast("double").alias("total_annex_adjustments"),
         _count_or_zero("annex_count"),
-        (exact("contract_amount") + change).cast("double").alias("total_contract_value"),
+        money(exact("contract_amount") + change).cast("double").alias("total_contract_value"),
     )
 
 
@@ -118,7 +118,7 @@ def fact_procurement_performance(plan: DataFrame, procedures: DataFrame, bids: D
     award = F.when(F.col("is_awarded"), F.struct(
         F.col("supplier_id").alias("awarded_supplier_id"), F.col("bid_amount").alias("awarded_bid_amount")))
     offers = bids.groupBy("procedure_id").agg(F.count(F.lit(1)).alias("bid_count"), F.collect_list(award).alias("_awards"))
-    saved = (exact("estimated_value") - exact("awarded_bid_amount")).cast("double")
+    saved = money(exact("estimated_value") - exact("awarded_bid_amount")).cast("double")
     opened = numbers.join(offers, "procedure_id", "left").select("*", F.explode_outer("_awards").alias("_award"))
     return opened.select("*", "_award.awarded_supplier_id", "_award.awarded_bid_amount").select(
         "procedure_id",

@@ -13,11 +13,11 @@ def _r(expression: str, scale: int) -> str:
 
 
 def _m(expression: str) -> str:
-    return f"CAST({expression} AS DECIMAL(18,2))"
+    return f"CAST({expression} AS DECIMAL(18,6))"
 
 
 def _sum(expression: str) -> str:
-    return f"CAST(SUM({_m(expression)}) AS DOUBLE)"
+    return f"CAST(ROUND(SUM({_m(expression)}), 2) AS DOUBLE)"
 
 
 def _ratio(n: str, d: str, scale: int = 4) -> str:
@@ -56,7 +56,7 @@ COMMON = {
     "dim_project": """SELECT project_id, project_name, project_status, funding_source, funding_type, eu_program,
         year, department_id, cpv_code FROM project""",
     "annex": f"""SELECT l_orderkey || '-' || l_linenumber AS annex_id, l_orderkey AS contract_id,
-        ROUND(-({_m('l_extendedprice')} * {_m('l_discount')}), 2) AS amount_change,
+        -CAST({_m('l_extendedprice')} * {_m('l_discount')} AS DECIMAL(38,6)) AS amount_change,
         CASE WHEN l_linestatus = 'F' THEN CAST(l_shipdate AS DATE) END AS new_deadline
         FROM lines WHERE l_returnflag = 'R'""",
     "dim_contract": """SELECT o_orderkey AS contract_id, o_custkey AS project_id, o_orderpriority AS budget_item_id,
@@ -84,9 +84,9 @@ COMMON = {
         {_sum('l_extendedprice')} AS order_amount, 'Supply from ' || l_suppkey AS order_description
         FROM lines JOIN ord ON o_orderkey = l_orderkey GROUP BY l_orderkey, l_suppkey""",
     "fact_contract_financials": f"""SELECT o_orderkey AS contract_id, o_totalprice AS contract_amount,
-        CAST(COALESCE(SUM(amount_change), 0) AS DOUBLE) AS total_annex_adjustments,
+        CAST(ROUND(COALESCE(SUM(amount_change), 0), 2) AS DOUBLE) AS total_annex_adjustments,
         COUNT(annex_id) AS annex_count,
-        CAST({_m('o_totalprice')} + COALESCE(SUM(amount_change), 0) AS DOUBLE) AS total_contract_value
+        CAST(ROUND({_m('o_totalprice')} + COALESCE(SUM(amount_change), 0), 2) AS DOUBLE) AS total_contract_value
         FROM ord LEFT JOIN annex ON contract_id = o_orderkey GROUP BY o_orderkey, o_totalprice""",
     "fact_procurement_bids": """SELECT *, bid_status = 'Odabrana' AS is_awarded FROM (
         SELECT b.l_orderkey || '-' || b.l_suppkey AS bid_id, b.l_orderkey AS procedure_id,
@@ -518,8 +518,8 @@ _BODIES = {
         len(embedding) AS dimensions FROM embeddings UNION ALL
         SELECT vec_id + (SELECT MAX(vec_id) FROM embeddings) + 1, label, len(embedding)
         FROM embeddings WHERE label = 4""",
-    "trace_summary": f"""SELECT event, model, tool, COUNT(*) AS calls, {_sum('value')} AS total_s,
-        {_r(f"{_sum('value')} / COUNT(value)", 4)} AS avg_s, MAX(value) AS max_s,
+    "trace_summary": f"""SELECT event, model, tool, COUNT(*) AS calls, CAST(SUM({_m('value')}) AS DOUBLE) AS total_s,
+        {_r(f"CAST(SUM({_m('value')}) AS DOUBLE) / COUNT(value)", 4)} AS avg_s, MAX(value) AS max_s,
         CAST(SUM(tokens) AS BIGINT) AS input_tokens, CAST(NULL AS BIGINT) AS output_tokens FROM (
         SELECT event_type AS event, value, CASE WHEN event_type IN ('view', 'click') THEN 'm' END AS model,
         CASE WHEN event_type NOT IN ('view', 'click') THEN 't' END AS tool,

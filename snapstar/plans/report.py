@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import AWARDED, exact, exact_sum, guarded_ratio
+from ..functions.columns import AWARDED, exact, exact_sum, guarded_ratio, money
 from ..functions.measures import awarded_amount, count_other_than, rejected_amount, selected_value, sum_where
 from ..operators.matrix import drill_matrix, ratio_of_sums
 from ..operators.relations import related
@@ -102,7 +102,7 @@ def _invoice_levels(chain: DataFrame) -> DataFrame:
         F.sum(exact("invoice_amount")).alias("invoice_amount"), F.min("payment_status").alias("payment_status"),
         F.min("invoice_status").alias("invoice_status"), F.sum(F.col("days_late").cast("bigint")).alias("days_late"))
     totals = drill_matrix(sums, levels, {
-        "invoice_amount": F.sum("invoice_amount").cast("double"), "payment_status": F.min("payment_status"),
+        "invoice_amount": money(F.sum("invoice_amount")).cast("double"), "payment_status": F.min("payment_status"),
         "invoice_status": F.min("invoice_status"), "days_late": F.sum("days_late")})
     leaves = chain.withColumn("level", F.lit(len(levels) + 1).cast("bigint")).withColumns({
         "days_late": F.col("days_late").cast("bigint"), "invoice_amount": exact("invoice_amount").cast("double")})

@@ -215,11 +215,11 @@ class SampleModel:
 
     @cached_property
     def annexes(self) -> DataFrame:
-        """Returned lines; open ones change the amount but set no new deadline."""
-        cents = F.round(-F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_discount").cast("decimal(18,2)"), 2)
+        """Returned lines, with parts of cents; open ones change the amount but set no new deadline."""
+        change = -F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_discount").cast("decimal(18,2)")
         raw = self.lines.filter(F.col("l_returnflag") == "R").select(
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("annex_id"),
-            F.col("l_orderkey").alias("contract_id"), cents.cast("double").alias("amount_change"),
+            F.col("l_orderkey").alias("contract_id"), change.cast("double").alias("amount_change"),
             date_to_serial("l_shipdate").alias("annex_date"),
             F.when(F.col("l_linestatus") == "F", date_to_serial("l_shipdate")).cast("double").alias("new_deadline"))
         return _always_valid(typed(raw, ENTITIES["contract_annexes"]))
