@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 from ..functions.columns import serial_to_date, with_invoice_status
 from ..operators.history import apply_snapshot_scd1
 from ..operators.snapshots import RESCUED, SNAPSHOT_TS, dedup_by_key, latest_snapshot
-from ..sources.landing import write_gold
+from ..sources.landing import with_added_columns, write_gold
 from ..streaming.bronze import ingest_runs, read_bronze
 from ..streaming.history import HistoryTable, read_commits, write_commit
 
@@ -79,10 +79,12 @@ def ingest_entity(
     Only whole runs are taken in. An invoice's status is the one on its snapshot's own date; the newest snapshot is then
     seen again on ``as_of_date``, so that a later run date opens versions without a new export.
     A lookup's state goes to a folder of its own per snapshot and counts once its commit record exists; without a new
-    snapshot nothing is written. ``schema`` is the landed files' schema. ``every_snapshot`` applies all snapshots that
+    snapshot nothing is written. ``schema`` is the landed files' schema; columns that only later runs have are carried
+    as text, null in versions from before. ``every_snapshot`` applies all snapshots that
     arrived since the last run in order, otherwise just the newest one.
     """
     bronze_dir, silver_dir = f"{root}/bronze/{cfg.name}", f"{root}/silver/{cfg.name}"
+    schema = with_added_columns(spark, f"{root}/landing", cfg.name, schema)
     ingest_runs(spark, f"{root}/landing", cfg.name, schema, bronze_dir, f"{root}/_checkpoints/{cfg.name}")
     try:
         bronze = read_bronze(spark, bronze_dir, schema)

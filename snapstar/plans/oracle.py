@@ -410,6 +410,9 @@ _BODIES = {
     "ingest_partial_run": f"""SELECT invoice_id, invoice_amount, {_status("DATE '1997-12-31'")} AS invoice_status,
         TIMESTAMP '1997-12-31' AS __START_AT, CAST(NULL AS TIMESTAMP) AS __END_AT, CAST(0 AS BIGINT) AS rows_before
         FROM fact_invoices""",
+    "ingest_added_column": """SELECT CAST(c_custkey AS BIGINT) AS project_id, c_name AS project_name, CAST(NULL AS VARCHAR) AS segment,
+        TIMESTAMP '1997-12-31' AS __START_AT, CASE WHEN c_acctbal > 0 THEN TIMESTAMP '1998-12-31' END AS __END_AT FROM customer
+        UNION ALL SELECT c_custkey, c_name, c_mktsegment, TIMESTAMP '1998-12-31', NULL FROM customer WHERE c_acctbal > 0""",
     "ingest_lookup": """SELECT CAST(s_suppkey AS BIGINT) AS supplier_id, upper(s_name) AS supplier_name FROM supplier
         WHERE s_suppkey % 3 <> 0""",
     "slicer_values": "SELECT DISTINCT department_id FROM mv_project_realization_kpi",

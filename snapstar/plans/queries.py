@@ -317,6 +317,20 @@ def _(m: SampleModel) -> DataFrame:
     return _ingest_invoices(m, base, at).withColumn("rows_before", F.lit(early).cast("long"))
 
 
+@query("ingest_added_column")
+def _(m: SampleModel) -> DataFrame:
+    """A column that only the second export has: nulls before, and a new version for each project that has a value."""
+    base, cfg = scratch_dir(m.spark, "added"), ENTITIES["projects"]
+    first = m.table("customer").select(F.col("c_custkey").alias("project_id"), F.col("c_name").alias("project_name"))
+    second = m.table("customer").select("c_custkey", F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")).alias("segment"), "c_name").toDF(
+        "project_id", "segment", "project_name")
+    landing.land_snapshot({cfg.name: first}, f"{base}/landing", "r1", "1997-12-31")
+    schema = landing.infer_csv_schema(m.spark, f"{base}/landing/{cfg.name}")
+    ingest_entity(m.spark, cfg, base, schema)
+    landing.land_snapshot({cfg.name: second}, f"{base}/landing", "r2", "1998-12-31")
+    return ingest_entity(m.spark, cfg, base, schema).select(F.col("project_id").cast("bigint"), "project_name", "segment", START, END)
+
+
 @query("ingest_lookup")
 def _(m: SampleModel) -> DataFrame:
     """A type 1 entity through all layers: two exports, the second without some suppliers and with new names."""

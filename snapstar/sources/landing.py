@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.snapshots import SNAPSHOT_TS
 
 # Folder of the run manifests below the landing root.
 MANIFESTS = "_manifests"
-MANIFEST_SCHEMA = f"run_id string, folder string, rows bigint, {SNAPSHOT_TS} timestamp"
+MANIFEST_SCHEMA = f"run_id string, folder string, columns array<string>, rows bigint, {SNAPSHOT_TS} timestamp"
 
 
 def land_snapshot(frames: Mapping[str, DataFrame], root: str, run_id: str, snapshot_ts: str) -> None:
@@ -36,9 +37,11 @@ def land_part(df: DataFrame, root: str, table: str, run_id: str, snapshot_ts: st
 
 
 def seal_run(spark: SparkSession, root: str, table: str, run_id: str, snapshot_ts: str, rows: int) -> None:
-    """Declare a run whole: one small file with its row count, written after its data."""
+    """Declare a run whole: one small file with its columns and row count, written after its data."""
+    folder = f"{root}/{table}/{table}_{run_id}"
+    columns = spark.read.option("header", True).csv(folder).columns
     manifest = spark.range(1).coalesce(1).select(
-        F.lit(run_id).alias("run_id"), F.lit(f"{root}/{table}/{table}_{run_id}").alias("folder"), F.lit(rows).cast("long").alias("rows"),
+        F.lit(run_id).alias("run_id"), F.lit(folder).alias("folder"), F.array(*map(F.lit, columns)).alias("columns"), F.lit(rows).cast("long").alias("rows"),
         F.lit(snapshot_ts).cast("timestamp").alias(SNAPSHOT_TS))
     manifest.write.mode("errorifexists").json(f"{root}/{MANIFESTS}/{table}/{run_id}")
 
@@ -51,6 +54,17 @@ def infer_csv_schema(spark: SparkSession, folder: str, sampling_ratio: float = 1
     )
 
 
+def with_added_columns(spark: SparkSession, root: str, table: str, schema: StructType) -> StructType:
+    """The schema and, as text, what sealed runs have beyond it. Manifests are small, one for each run."""
+    try:
+        listed = spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", True).json(f"{root}/{MANIFESTS}/{table}")
+    except AnalysisException:
+        return schema
+    seen = listed.select(F.explode("columns").alias("c")).distinct().orderBy("c").collect()
+    added = [StructField(r.c, StringType()) for r in seen if r.c not in schema.fieldNames()]
+    return StructType([*schema.fields, *added])
+
+
 def read_landed(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
     """All landed files of one entity as a batch."""
     return (

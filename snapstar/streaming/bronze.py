@@ -59,8 +59,8 @@ def ingest_runs(
     """Take in every whole run that is new; None while no run was ever sealed.
 
     The stream follows the manifests, which are written last, so rows of an unsealed run stay out. A run whose folder
-    holds another number of rows than declared stops the ingestion, and so does a second run of the same snapshot. A
-    repeated batch replaces the folder of its snapshot and adds nothing.
+    holds another number of rows than declared stops the ingestion, and so does a second run of the same snapshot.
+    Columns go by name: those the schema lacks are kept as text, those a run lacks are null. A repeated batch replaces the folder of its snapshot and adds nothing.
     """
     manifests = f"{landing_root}/{MANIFESTS}/{table}"
     try:
@@ -70,15 +70,18 @@ def ingest_runs(
     twice = listed.groupBy(SNAPSHOT_TS).agg(F.count_distinct("run_id").alias("runs")).filter("runs > 1").head(1)
     if twice:
         raise LateRows(f"{table}: {twice[0].runs} runs of snapshot {twice[0][SNAPSHOT_TS]}")
-    full = StructType([*schema.fields, StructField(RESCUED, StringType())]) if RESCUED not in schema.fieldNames() else schema
+    types = {f.name: f.dataType for f in schema}
 
     def admit(batch: DataFrame, _: int) -> None:
         for run in batch.collect():  # one small row for each run
+            here = [StructField(c, types.get(c, StringType())) for c in run.columns]
             rows = (
-                spark.read.schema(full).option("header", True).option("mode", "PERMISSIVE")
+                spark.read.schema(StructType([*here, StructField(RESCUED, StringType())])).option("header", True).option("mode", "PERMISSIVE")
                 .option("columnNameOfCorruptRecord", RESCUED).option("enforceSchema", False).csv(run.folder)
                 .withColumn(SNAPSHOT_TS, F.col(SNAPSHOT_TS).cast("timestamp"))
             )
+            missing = {c: F.lit(None).cast(kind) for c, kind in types.items() if c not in rows.columns}
+            rows = rows.withColumns(missing) if missing else rows
             found = rows.select(F.count(F.struct(*rows.columns))).first()[0]
             if found != run.rows:
                 raise IncompleteRun(f"{table} run {run.run_id}: {found} of {run.rows} rows")
