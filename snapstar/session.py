@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -53,9 +54,13 @@ def local_session(app: str = "snapstar", cores: int | str = "*", **conf: str) ->
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which names storage that all executors share.
 
-    Without that setting there is no such folder: clusters name it, and so do tests and the benchmark.
+    A cluster has to name it, and tests and the benchmark do. A local session that doesn't, where driver and executor
+    are one process, gets a folder for the rest of the session.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        raise ValueError("spark.checkpoint.dir must name a shared folder")
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
+        base = tempfile.mkdtemp(prefix="snapstar-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
