@@ -59,7 +59,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if not (spark.sparkContext.master + "[").startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a shared folder")
         base = tempfile.mkdtemp(prefix="snapstar-")
         spark.conf.set("spark.checkpoint.dir", base)
