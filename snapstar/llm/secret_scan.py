@@ -49,6 +49,8 @@ SENSITIVE = {
 HARMLESS = {"type", "name", "count", "length", "size", "limit", "url", "uri", "path", "file", "field", "format", "expires", "ttl", "id"}
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|none|null|true|false|todo|changeme|change[_-]?me|placeholder|redacted|example.*|your[_-].*|<.*>|\$\{?.*|%.*%?|\{\{.*\}\})$")
 LEAST_CHARS = 8
+# A longer sum is no constant, so that text which doubles a value over and over stays cheap.
+MOST_CHARS, MOST_TERMS = 4096, 64
 THRESHOLD = 0.6
 
 
@@ -100,6 +102,8 @@ def assignments(text: str) -> Iterator[Assignment]:
                     constant &= PLUS.match(text, term.end()) is None and len(parts) == 1
             else:
                 break
+            if sum(map(len, parts)) > MOST_CHARS or len(spans) > MOST_TERMS:
+                constant, parts, spans = False, [], []
             at = term.end()
             if not (plus := PLUS.match(text, at)):
                 break

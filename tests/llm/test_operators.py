@@ -113,6 +113,11 @@ def test_assignments_to_sensitive_names(text, found):
     assert [text[s.start:s.end] for s in secret_scan.scan(text) if s.kind == "named"] == found
 
 
+def test_doubling_constants_stay_cheap():
+    text = 'a = "x1"\n' + "a = a + a\n" * 200 + "password = a\n"
+    assert all(len(a.value or "") <= secret_scan.MOST_CHARS and len(a.spans) <= secret_scan.MOST_TERMS for a in secret_scan.assignments(text))
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.sampled_from("tokenTOKEN secrtapi_ky=:\"'\n0123456789abcdefAKIA+/."), max_size=120))
 def test_base_spans_stay(text):
