@@ -289,15 +289,17 @@ def near_duplicates(df: DataFrame, key: str, text: str, radius: int = RADIUS, si
 def keep_one(df: DataFrame, key: str, text: str, radius: int = RADIUS, size: int = SHINGLE) -> DataFrame:
     """The rows of ``df`` with the least key of each component, one each; of rows that share that key, the one whose
     columns hash lowest. Choosing moves keys and hashes only; texts are shuffled once, to meet the chosen."""
-    everything = F.xxhash64(*(F.col(f"`{c}`") for c in df.columns))
-    prints = materialize(df.select(F.col(key).alias("doc_key"), everything.alias("row_key"),
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    nulls = F.array(*(c.isNull() for c in columns))  # hashing passes over nulls
+    row = {"__row": F.xxhash64(nulls, *columns), "__twin": F.xxhash64(F.lit("twin"), nulls, *columns)}  # 128 bits name a row
+    prints = materialize(df.select(F.col(key).alias("doc_key"), *(v.alias(n) for n, v in row.items()),
                                    fingerprint_column(F.col(text), size).alias("fp")), "simhash")
     groups = materialize(group_fingerprints(prints, "doc_key", radius).select("fp", "root"), "simhash-groups")
     # Nulls last, then the least key and row.
-    order = F.struct(F.col("doc_key").isNull().alias("unknown"), F.col("doc_key").alias("doc_key"), F.col("row_key").alias("row_key"))
+    order = F.struct(F.col("doc_key").isNull().alias("unknown"), "doc_key", *row)
     first = prints.join(groups, "fp").groupBy("root").agg(F.min(order).alias("first"))
-    chosen = first.select(F.col("first.doc_key").alias("__key"), F.col("first.row_key").alias("__row")).distinct()
-    marked = df.withColumn("__row_key", everything)
-    kept = marked.join(chosen, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__row_key") == F.col("__row")))
-    ranked = kept.withColumn("__n", F.row_number().over(Window.partitionBy("__row_key").orderBy(F.lit(0))))
-    return ranked.filter("__n = 1").select(*(F.col(f"`{c}`") for c in df.columns))
+    chosen = first.select(*(f"first.{n}" for n in row)).distinct()
+    kept = df.withColumns(row).join(chosen, list(row))
+    # Rows that repeat in every column meet here, in the partitioning of the join.
+    ranked = kept.withColumn("__n", F.row_number().over(Window.partitionBy(*row).orderBy(F.lit(0))))
+    return ranked.filter("__n = 1").select(*columns)
