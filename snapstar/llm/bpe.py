@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CACHE_WORDS = 400_000  # of one worker; about 100 MB
+CACHE_WORDS, CACHE_CHARS = 200_000, 64  # words of one worker, and their length; about 50 MB
 ENCODED = "struct<ids:array<int>,decoded:string>"
 DIGESTS = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>"
 
@@ -120,10 +120,13 @@ class WordBpe:
         try:
             return [cache[w] for w in words]
         except KeyError:
+            out = []
             for w in words:
-                if w not in cache:
-                    cache[w] = np.array(self.encode_word(w), "<u4").tobytes()
-            out = [cache[w] for w in words]
+                if (packed := cache.get(w)) is None:
+                    packed = np.array(self.encode_word(w), "<u4").tobytes()
+                    if len(w) <= CACHE_CHARS:
+                        cache[w] = packed
+                out.append(packed)
             if len(cache) > CACHE_WORDS:
                 cache.clear()
             return out
@@ -152,8 +155,10 @@ def encode_column(text: Column, path: str) -> Column:
         coder = coder_of(path)
         for batch in batches:
             ids = [coder.encode(value.as_py() or "") for value in batch]
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+            values = np.concatenate([np.zeros(0, "<u4"), *ids]).view("<i4")
             yield pa.StructArray.from_arrays(
-                [pa.array([x.astype("i4") for x in ids], pa.list_(pa.int32())), pa.array([coder.decode(x) for x in ids], pa.string())],
+                [pa.ListArray.from_arrays(pa.array(ends), pa.array(values)), pa.array(map(coder.decode, ids), pa.string())],
                 names=["ids", "decoded"])
 
     return encoded(text)

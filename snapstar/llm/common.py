@@ -13,7 +13,7 @@ from ..session import scratch_dir, tune
 # A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 # Rows and bytes in one Arrow batch, so that long texts keep Python workers small.
-ARROW_ROWS, ARROW_BYTES = "2000", str(8 << 20)
+ARROW_ROWS, ARROW_BYTES = "500", str(2 << 20)
 
 
 def prepare(spark: SparkSession) -> SparkSession:

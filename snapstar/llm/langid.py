@@ -30,7 +30,7 @@ SAMPLE = 1000  # distinct texts per language for fitting
 PARTS = 64  # of a language that are ranked apart before the whole
 CALIBRATION = 5  # one in so many of them
 QUANTILE, MARGIN = 0.999, 1.5  # share of calibration texts inside the limit, and the factor beyond that
-PIECE = 1 << 20  # symbols scored at once
+PIECE = 1 << 18  # symbols scored at once; bounds a worker at some 40 MB of arrays
 UNKNOWN = "und"
 MODEL = "lang string, order int, kind string, hash binary, value binary"
 PREDICTED = "struct<lang_pred:string,score:double,cross_entropy:double,n_symbols:bigint,rejected:boolean>"

@@ -34,16 +34,18 @@ BATCH_WORDS = 1 << 20  # words of documents packed together
 BUCKET_BYTES = 16 << 20  # bytes of text for each bucket
 NO_KEY = (1 << 63) - 1
 PACKED = "bucket int, payload binary"
-CACHE_WORDS = 500_000
+CACHE_WORDS, CACHE_BYTES = 500_000, 64
 
 
 class WordHashes(dict):
     """64-bit hashes of words, kept for those seen lately."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= CACHE_BYTES:
+            if len(self) > CACHE_WORDS:
+                self.clear()
+            self[word] = value
         return value
 
     def of(self, text: str | None) -> np.ndarray:
