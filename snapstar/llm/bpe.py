@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CACHE_WORDS, CACHE_CHARS = 200_000, 64  # words of one worker, and their length; about 50 MB
+CACHE_WORDS, CACHE_CHARS = 400_000, 64  # words of one worker, and their length; about 100 MB
 ENCODED = "struct<ids:array<int>,decoded:string>"
 DIGESTS = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>"
 
