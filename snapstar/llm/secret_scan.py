@@ -4,7 +4,8 @@ Source and configuration text is lexed into assignments ``name op value``, where
 bare tokens and names. Names bound to constants earlier in the text are replaced by them, also through sums and chains.
 Each assignment is scored by how sensitive its target name is and how much its value looks like a secret; those that
 reach ``THRESHOLD`` are reported as ``named``, with the span of the value. If the value came from a constant defined
-elsewhere, the span of that definition is reported too.
+elsewhere, the span of that definition is reported too. Constants are carried by reference: the spans they come from, how
+often each character occurs, and their ends. So literals and sums of any length are scored, and doubling stays cheap.
 
 Null texts are empty, and empty texts have no spans. Very long texts are scanned whole. Spans are in code points, end
 exclusive; at equal starts they follow the order of ``KINDS``, then the end. Rows are independent, so repeated rows get
@@ -33,7 +34,7 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 ASSIGN_CHARS = 12
 
 # An assignment: a name, perhaps quoted, an operator, and the first term of its value.
-NAME = re.compile(r"""(?<![\w.\-])["']?([A-Za-z_][\w.\-]{0,127})["']?[ \t]*(?::=|=>|=(?!=)|:(?![:/]))[ \t]*(?=["'A-Za-z0-9_+/])""", re.A)
+NAME = re.compile(r"""(?<![\w.\-])["']?([A-Za-z_][\w.\-]*+)["']?[ \t]*(?::=|=>|=(?!=)|:(?![:/]))[ \t]*(?=["'A-Za-z0-9_+/])""", re.A)
 QUOTED = re.compile(r'''"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)\'''')
 BARE = re.compile(r"[A-Za-z0-9+/_.=\-]+")
 PLUS = re.compile(r"[ \t]*\+[ \t]*(?=[\"'A-Za-z_])")
@@ -49,8 +50,11 @@ SENSITIVE = {
 HARMLESS = {"type", "name", "count", "length", "size", "limit", "url", "uri", "path", "file", "field", "format", "expires", "ttl", "id"}
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|none|null|true|false|todo|changeme|change[_-]?me|placeholder|redacted|example.*|your[_-].*|<.*>|\$\{?.*|%.*%?|\{\{.*\}\})$")
 LEAST_CHARS = 8
-# A longer sum is no constant, so that text which doubles a value over and over stays cheap.
+# Longer values are carried without their middle, and constants from more literals are referred to instead of copied, so that
+# text which doubles a value over and over stays cheap. Neither changes what is reported.
 MOST_CHARS, MOST_TERMS = 4096, 64
+END_CHARS = 64
+COUNT_BITS = 64  # longer values keep the shares of their characters
 THRESHOLD = 0.6
 
 
@@ -64,13 +68,78 @@ class Span:
         return f"{self.kind}:{self.start}:{self.end}"
 
 
+@dataclass(frozen=True, eq=False)
+class Constant:
+    """A value by what its score needs, and where its literals stand: spans, or constants that have them."""
+
+    sources: tuple[tuple[int, int] | Constant, ...]
+    counts: Counter[str]
+    head: str
+    tail: str
+
+    @property
+    def length(self) -> int:
+        return self.counts.total()
+
+
+def literal(value: str, *span: int) -> Constant:
+    return Constant((span,) if span else (), Counter(value), value[:MOST_CHARS], value[-END_CHARS:])
+
+
+def added(terms: list[Constant]) -> Constant:
+    """The sum of terms."""
+    if len(terms) == 1:
+        return terms[0]
+    sources: dict[tuple[int, int] | Constant, None] = {}
+    counts: Counter[str] = Counter()
+    for term, times in Counter(terms).items():
+        sources |= dict.fromkeys(term.sources if len(term.sources) <= MOST_TERMS else (term,))
+        for char, n in term.counts.items():
+            counts[char] += n * times
+    if (excess := counts.total().bit_length() - COUNT_BITS) > 0:
+        counts = Counter({char: max(1, n >> excess) for char, n in counts.items()})
+    head = tail = ""
+    for term in terms:
+        if len(head) >= MOST_CHARS:
+            break
+        head = (head + term.head)[:MOST_CHARS]
+    for term in reversed(terms):
+        if len(tail) >= END_CHARS:
+            break
+        tail = (term.tail + tail)[-END_CHARS:]
+    return Constant(tuple(sources), counts, head, tail)
+
+
+def source_spans(constant: Constant, seen: set[Constant]) -> Iterator[tuple[int, int]]:
+    """Spans of the literals of a constant, without those of constants seen before."""
+    left = [constant]
+    while left:
+        if (at := left.pop()) in seen:
+            continue
+        seen.add(at)
+        for source in at.sources:
+            if isinstance(source, Constant):
+                left.append(source)
+            else:
+                yield source
+
+
 @dataclass(frozen=True)
 class Assignment:
-    """A name, its value as far as it is constant, and the spans of the literals that make it up."""
+    """A name and its value as far as it is constant."""
 
     name: str
-    value: str | None
-    spans: tuple[tuple[int, int], ...]
+    constant: Constant | None
+
+    @property
+    def value(self) -> str | None:
+        """The value, if it is constant and no longer than ``MOST_CHARS``."""
+        return self.constant.head if self.constant and self.constant.length <= MOST_CHARS else None
+
+    @property
+    def spans(self) -> tuple[tuple[int, int], ...]:
+        """The spans of the literals that make up the value."""
+        return tuple(dict.fromkeys(source_spans(self.constant, set()))) if self.constant else ()
 
 
 def base_spans(text: str) -> list[Span]:
@@ -82,35 +151,32 @@ def base_spans(text: str) -> list[Span]:
 
 def assignments(text: str) -> Iterator[Assignment]:
     """Assignments in order, with the constants bound so far carried into values."""
-    bound: dict[str, Assignment] = {}
+    bound: dict[str, Constant] = {}
     for match in NAME.finditer(text) if "=" in text or ":" in text else ():
-        at, parts, spans = match.end(), [], []
+        at, terms = match.end(), []
         constant = True
         while True:
             if term := QUOTED.match(text, at):
                 inner = 1 if term[1] is not None else 2
-                parts.append(term[inner])
-                spans.append(term.span(inner))
+                terms.append(literal(term[inner], *term.span(inner)))
             elif term := BARE.match(text, at):
                 if known := bound.get(term[0]):
-                    parts.append(known.value or "")
-                    spans += known.spans
+                    terms.append(known)
                 else:
-                    parts.append(term[0])
-                    spans.append(term.span())
+                    terms.append(literal(term[0], *term.span()))
                     # An unquoted word next to others is a name that isn't known, not a literal.
-                    constant &= PLUS.match(text, term.end()) is None and len(parts) == 1
+                    constant &= PLUS.match(text, term.end()) is None and len(terms) == 1
             else:
                 break
-            if sum(map(len, parts)) > MOST_CHARS or len(spans) > MOST_TERMS:
-                constant, parts, spans = False, [], []
             at = term.end()
             if not (plus := PLUS.match(text, at)):
                 break
             at = plus.end()
-        found = Assignment(match[1], "".join(parts) if constant and parts else None, tuple(spans))
-        if found.value is not None:
-            bound[found.name] = found
+        found = Assignment(match[1], added(terms) if constant and terms else None)
+        if found.constant is not None:
+            bound[found.name] = found.constant
+        else:
+            bound.pop(found.name, None)
         yield found
 
 
@@ -125,11 +191,17 @@ def name_score(name: str) -> float:
 
 def literal_score(value: str) -> float:
     """From 0 to 1: long, varied, mixed values without spaces look like secrets, placeholders and prose don't."""
-    if len(value) < LEAST_CHARS or PLACEHOLDER.match(value) or re.search(r"\s", value):
+    return constant_score(literal(value))
+
+
+def constant_score(value: Constant) -> float:
+    """The score of a value from its characters and ends; a placeholder of any length shows in these."""
+    n, chars = value.length, "".join(value.counts)
+    shown = value.head if n <= MOST_CHARS else value.head + chars + value.tail
+    if n < LEAST_CHARS or PLACEHOLDER.match(shown) or re.search(r"\s", chars):
         return 0.0
-    n = len(value)
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
-    mixed = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    entropy = -sum(c / n * math.log2(c / n) for c in value.counts.values())
+    mixed = sum(bool(re.search(p, chars)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
     if mixed < 2 and entropy < 3.5:
         return 0.3
     return min(1.0, 0.4 + 0.1 * mixed + 0.1 * min(entropy, 4.0))
@@ -137,10 +209,10 @@ def literal_score(value: str) -> float:
 
 def named_spans(text: str) -> list[Span]:
     """Values assigned to sensitive names."""
-    found = set()
+    found, seen = set(), set()
     for a in assignments(text):
-        if a.value and (sensitive := name_score(a.name)) and sensitive * literal_score(a.value) >= THRESHOLD:
-            found |= {Span("named", *s) for s in a.spans if s[0] < s[1]}
+        if a.constant and (sensitive := name_score(a.name)) and sensitive * constant_score(a.constant) >= THRESHOLD:
+            found |= {Span("named", *s) for s in source_spans(a.constant, seen) if s[0] < s[1]}
     return list(found)
 
 

@@ -118,6 +118,22 @@ def test_doubling_constants_stay_cheap():
     assert all(len(a.value or "") <= secret_scan.MOST_CHARS and len(a.spans) <= secret_scan.MOST_TERMS for a in secret_scan.assignments(text))
 
 
+LONG = "".join(random.Random(3).choices("abcdefghXYZ0123456789+/", k=5000))
+
+
+@pytest.mark.parametrize("text, found", [
+    (f'private_key = "{LONG}"', [LONG]), (f"private_key = {LONG}", [LONG]),
+    ("signing_key = " + " + ".join(f'"{LONG[i:i + 40]}"' for i in range(0, 4000, 40)), [LONG[i:i + 40] for i in range(0, 4000, 40)]),
+    (f'k = "{LONG}"; signing_key = k', [LONG]), (f'k = "{LONG}"\n' + "k = k + k\n" * 5000 + "pwd = k", [LONG]),
+    ("a0 = '" + LONG[:9] + "'\n" + "".join(f'a{i + 1} = a{i} + "{LONG[i]}"\n' for i in range(3000)) + "access_key = a3000", [LONG[:9], *LONG[:3000]]),
+    (f'{"n" * 200}.private_key = "{LONG[:40]}"', [LONG[:40]]),
+    (f'k = "{LONG[:40]}"\nk = first + second\npwd = k', []),
+    (f'private_key = "{"x" * 5000}"', []), (f'private_key = "${{{LONG}}}"', []), (f'private_key = "<{LONG}>"', []), (f'private_key = "{LONG} {LONG}"', []),
+])
+def test_values_of_any_length_are_scored(text, found):
+    assert [text[s.start:s.end] for s in secret_scan.scan(text) if s.kind == "named"] == found
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.sampled_from("tokenTOKEN secrtapi_ky=:\"'\n0123456789abcdefAKIA+/."), max_size=120))
 def test_base_spans_stay(text):
