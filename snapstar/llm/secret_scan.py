@@ -5,7 +5,8 @@ bare tokens and names. Names bound to constants earlier in the text are replaced
 Each assignment is scored by how sensitive its target name is and how much its value looks like a secret; those that
 reach ``THRESHOLD`` are reported as ``named``, with the span of the value. If the value came from a constant defined
 elsewhere, the span of that definition is reported too. Constants are carried by reference: the spans they come from, how
-often each character occurs, and their ends. So literals and sums of any length are scored, and doubling stays cheap.
+often each character occurs, and their ends. So literals and sums of any length are scored, and doubling stays cheap. In
+a sum with a name that isn't known, every literal and every run of literals is scored by itself.
 
 Null texts are empty, and empty texts have no spans. Very long texts are scanned whole. Spans are in code points, end
 exclusive; at equal starts they follow the order of ``KINDS``, then the end. Rows are independent, so repeated rows get
@@ -15,9 +16,10 @@ equal results. An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -110,6 +112,26 @@ def added(terms: list[Constant]) -> Constant:
     return Constant(tuple(sources), counts, head, tail)
 
 
+@dataclass(frozen=True, eq=False)
+class Loose:
+    """A sum that isn't constant: the constants in it, and other such sums."""
+
+    pieces: tuple[Constant | Loose, ...]
+
+
+def constants(value: Constant | Loose | None, seen: set[Constant | Loose]) -> Iterator[Constant]:
+    """The constants of a value, without those seen before."""
+    left = [value] if value else []
+    while left:
+        if (at := left.pop()) in seen:
+            continue
+        seen.add(at)
+        if isinstance(at, Loose):
+            left += at.pieces
+        else:
+            yield at
+
+
 def source_spans(constant: Constant, seen: set[Constant]) -> Iterator[tuple[int, int]]:
     """Spans of the literals of a constant, without those of constants seen before."""
     left = [constant]
@@ -126,20 +148,21 @@ def source_spans(constant: Constant, seen: set[Constant]) -> Iterator[tuple[int,
 
 @dataclass(frozen=True)
 class Assignment:
-    """A name and its value as far as it is constant."""
+    """A name and what is known of its value."""
 
     name: str
-    constant: Constant | None
+    known: Constant | Loose | None
 
     @property
     def value(self) -> str | None:
         """The value, if it is constant and no longer than ``MOST_CHARS``."""
-        return self.constant.head if self.constant and self.constant.length <= MOST_CHARS else None
+        return self.known.head if isinstance(self.known, Constant) and self.known.length <= MOST_CHARS else None
 
     @property
     def spans(self) -> tuple[tuple[int, int], ...]:
         """The spans of the literals that make up the value."""
-        return tuple(dict.fromkeys(source_spans(self.constant, set()))) if self.constant else ()
+        seen: set[Constant] = set()
+        return tuple(dict.fromkeys(s for c in constants(self.known, set()) for s in source_spans(c, seen)))
 
 
 def base_spans(text: str) -> list[Span]:
@@ -151,10 +174,9 @@ def base_spans(text: str) -> list[Span]:
 
 def assignments(text: str) -> Iterator[Assignment]:
     """Assignments in order, with the constants bound so far carried into values."""
-    bound: dict[str, Constant] = {}
+    bound: dict[str, Constant | Loose] = {}
     for match in NAME.finditer(text) if "=" in text or ":" in text else ():
         at, terms = match.end(), []
-        constant = True
         while True:
             if term := QUOTED.match(text, at):
                 inner = 1 if term[1] is not None else 2
@@ -162,24 +184,34 @@ def assignments(text: str) -> Iterator[Assignment]:
             elif term := BARE.match(text, at):
                 if known := bound.get(term[0]):
                     terms.append(known)
+                # An unquoted word next to others is a name that isn't known, not a literal.
+                elif terms or PLUS.match(text, term.end()):
+                    terms.append(None)
                 else:
                     terms.append(literal(term[0], *term.span()))
-                    # An unquoted word next to others is a name that isn't known, not a literal.
-                    constant &= PLUS.match(text, term.end()) is None and len(terms) == 1
             else:
                 break
             at = term.end()
             if not (plus := PLUS.match(text, at)):
                 break
             at = plus.end()
-        found = Assignment(match[1], added(terms) if constant and terms else None)
-        if found.constant is not None:
-            bound[found.name] = found.constant
+        found = Assignment(match[1], _sum(terms))
+        if found.known is not None:
+            bound[found.name] = found.known
         else:
             bound.pop(found.name, None)
         yield found
 
 
+def _sum(terms: list[Constant | Loose | None]) -> Constant | Loose | None:
+    """What is known of a sum, whose unknown terms are None."""
+    runs = [added(list(run)) for constant, run in itertools.groupby(terms, lambda t: isinstance(t, Constant)) if constant]
+    if len(runs) == 1 and all(isinstance(t, Constant) for t in terms):
+        return runs[0]
+    pieces = dict.fromkeys([*runs, *(t for t in terms if t)])
+    return Loose(tuple(pieces)) if pieces else None
+
+
 def name_score(name: str) -> float:
     """How sensitive a target name is, from its words; a harmless last word takes that away."""
     words = [w.lower() for w in PARTS.findall(name)]
@@ -209,10 +241,13 @@ def constant_score(value: Constant) -> float:
 
 def named_spans(text: str) -> list[Span]:
     """Values assigned to sensitive names."""
-    found, seen = set(), set()
+    found, spanned = set(), set()
+    scored: defaultdict[float, set[Constant | Loose]] = defaultdict(set)
     for a in assignments(text):
-        if a.constant and (sensitive := name_score(a.name)) and sensitive * constant_score(a.constant) >= THRESHOLD:
-            found |= {Span("named", *s) for s in source_spans(a.constant, seen) if s[0] < s[1]}
+        if sensitive := name_score(a.name):
+            for constant in constants(a.known, scored[sensitive]):
+                if sensitive * constant_score(constant) >= THRESHOLD:
+                    found |= {Span("named", *s) for s in source_spans(constant, spanned) if s[0] < s[1]}
     return list(found)
 
 

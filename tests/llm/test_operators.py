@@ -134,6 +134,18 @@ def test_values_of_any_length_are_scored(text, found):
     assert [text[s.start:s.end] for s in secret_scan.scan(text) if s.kind == "named"] == found
 
 
+@pytest.mark.parametrize("text, found", [
+    (f'private_key = "{LONG[:20]}" + suffix', [LONG[:20]]), (f'private_key = prefix + "{LONG[:20]}"', [LONG[:20]]),
+    (f'private_key = "{LONG[:5]}" + "{LONG[5:20]}" + suffix', [LONG[:5], LONG[5:20]]),
+    (f'private_key = "two words" + "{LONG[:20]}" + suffix', [LONG[:20]]),
+    (f'k = "{LONG[:20]}" + x\nk = y + k\nsigning_key = k', [LONG[:20]]), (f'k = "{LONG[:20]}"\npwd = k + x', [LONG[:20]]),
+    (f'label = "{LONG[:20]}" + x', []), ("private_key = first_half_Of_1 + second_half_Of_2", []), ('private_key = "short" + suffix', []),
+    (f'k = "{LONG[:20]}"\n' + "k = k + k + x\n" * 5000 + "pwd = k", [LONG[:20]]),
+])
+def test_literals_next_to_unknown_names_are_scored(text, found):
+    assert [text[s.start:s.end] for s in secret_scan.scan(text) if s.kind == "named"] == found
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.sampled_from("tokenTOKEN secrtapi_ky=:\"'\n0123456789abcdefAKIA+/."), max_size=120))
 def test_base_spans_stay(text):
