@@ -17,7 +17,7 @@ from snapstar.llm.queries import VOCABULARY, held_out
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; ``lang`` stays as it was."""
+    """Documents whose language is recognised, or all with letters if no labelled one teaches any; ``lang`` stays as it was."""
     prepare(spark)
     model = langid.fit(docs.filter(~held_out()), "text", "lang")
     return docs.filter(~langid.predict_column(F.col("text"), model)["rejected"])

@@ -4,13 +4,15 @@ One model per language, of order 4 over letters in lower case; every run of othe
 model is a set of sorted arrays: hashes of seen n-grams with their interpolated log probabilities, and hashes of seen
 contexts with their back-off weights. A text gets the language whose model codes it in the fewest bits per symbol, the
 length-normalised cross-entropy. It is rejected if even that lies beyond a limit calibrated on texts the models haven't
-seen, which falls with the text's length.
+seen, which falls with the text's length. A language with fewer than ``LEAST_CALIBRATION`` such texts uses the spread of all
+languages' texts, and its mean is raised by what so few texts leave open; if all have fewer together, there is no limit.
 
 Fitting takes at most ``SAMPLE`` distinct whole texts per language, the ones with the smallest hashes; one in five
 calibrates, the others train. Each language is counted in its own task. Prediction covers every text.
 
 Null texts and texts without a letter are ``und``, score 0, and rejected. Training rows with null texts or languages
-are left out. Equal cross-entropies go to the language that sorts first. Without any training row everything is ``und``.
+are left out. Equal cross-entropies go to the language that sorts first. Without any training row everything is ``und``,
+and only texts without a letter are rejected, as nothing tells the others apart.
 Very long texts are scored in pieces that overlap by the model's context. An empty table gives an empty result.
 """
 
@@ -29,6 +31,7 @@ ORDER = 4
 SAMPLE = 1000  # distinct texts per language for fitting
 PARTS = 64  # of a language that are ranked apart before the whole
 CALIBRATION = 5  # one in so many of them
+LEAST_CALIBRATION = 20  # calibration texts for a limit of a language's own
 QUANTILE, MARGIN = 0.999, 1.5  # share of calibration texts inside the limit, and the factor beyond that
 PIECE = 1 << 18  # symbols scored at once; bounds a worker at some 40 MB of arrays
 UNKNOWN = "und"
@@ -260,7 +263,7 @@ class Identifier:
 
     def predict(self, texts: list[str]) -> list[tuple[str, float, float | None, int, bool]]:
         if not self.models:
-            return [(UNKNOWN, 0.0, None, len(symbols(t)), True) for t in texts]
+            return [(UNKNOWN, 0.0, None, n, n == 0) for n in (len(symbols(t)) for t in texts)]
         names = list(self.models)
         totals, lengths = self.bits(texts)
         out = []
@@ -295,15 +298,28 @@ def fit(df: DataFrame, text: str, lang: str, size: int = SAMPLE, order: int = OR
     if models:
         scored = chosen.filter("calibrates").select("lang", predict_column(F.col("text"), identifier).alias("p")).filter(
             "p.lang_pred = lang and p.n_symbols > 0").select("lang", "p.cross_entropy", "p.n_symbols").collect()
-        for name in models:
-            own = np.array([(r["cross_entropy"], r["n_symbols"]) for r in scored if r["lang"] == name])
-            if len(own):
-                mean = float(np.average(own[:, 0], weights=own[:, 1]))
-                over = (own[:, 0] - mean) * np.sqrt(own[:, 1])
-                identifier.mean[name], identifier.slack[name] = mean, MARGIN * float(np.quantile(over, QUANTILE))
+        calibrate(identifier, [(r["lang"], r["cross_entropy"], r["n_symbols"]) for r in scored])
     return identifier
 
 
+def calibrate(identifier: Identifier, scored: list[tuple[str, float, int]]) -> None:
+    """Set the limits from (language, cross-entropy, symbols) of calibration texts."""
+    over, total = {}, {}
+    for name in identifier.models:
+        own = np.array([r[1:] for r in scored if r[0] == name])
+        if len(own):
+            identifier.mean[name] = float(np.average(own[:, 0], weights=own[:, 1]))
+            over[name] = (own[:, 0] - identifier.mean[name]) * np.sqrt(own[:, 1])
+            total[name] = own[:, 1].sum()
+    pooled = np.concatenate([*over.values(), []])
+    for name, own in over.items():
+        if len(own) >= LEAST_CALIBRATION:
+            identifier.slack[name] = MARGIN * float(np.quantile(own, QUANTILE))
+        elif len(pooled) >= LEAST_CALIBRATION:
+            identifier.slack[name] = MARGIN * float(np.quantile(pooled, QUANTILE))
+            identifier.mean[name] += identifier.slack[name] / float(np.sqrt(total[name]))
+
+
 def predict_column(text: Column, identifier: Identifier) -> Column:
     """Prediction of each text. The models are broadcast; their size is bounded by the fitting sample."""
     from pyspark.sql import SparkSession

@@ -99,6 +99,25 @@ def test_pieces_of_a_long_text_add_up(monkeypatch):
     assert identifier.predict(["", "123 !", "words"])[:2] == [("und", 0.0, None, 0, True)] * 2
 
 
+@pytest.mark.parametrize("others", [0, 200])
+def test_a_language_with_few_texts_keeps_its_documents(spark, others):
+    pick = random.Random(7)
+    words = {lang: ["".join(pick.choices(letters, k=pick.randint(2, 7))) for _ in range(60)] for lang, letters in (("aa", "abcdefgh"), ("xx", "pqrstuvw"))}
+
+    def text(lang):
+        return " ".join(pick.choices(words[lang], k=pick.randint(20, 120)))
+
+    rows = [("xx", text("xx")) for _ in range(8)] + [("aa", text("aa")) for _ in range(others)]
+    model = langid.fit(spark.createDataFrame(rows, "lang string, text string"), "text", "lang")
+    assert sum(r[4] for r in model.predict([text("xx") for _ in range(200)])) <= 4
+    assert all(r[4] for r in model.predict(["xqz jjk yyz " * 20])) or not others
+
+
+def test_without_models_only_texts_without_letters_are_rejected(spark):
+    model = langid.fit(spark.createDataFrame([(None, "words")], "lang string, text string"), "text", "lang")
+    assert model.predict(["", "123 !", "words"]) == [("und", 0.0, None, 0, True)] * 2 + [("und", 0.0, None, 6, False)]
+
+
 # Secrets
 
 
