@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, licenses, mixing, neighbours, passages, quality, secret_scan, sharding, simhash
+from . import bpe, clustering, langid, licenses, minhash, mixing, neighbours, passages, prefix_trie, quality, secret_scan, sharding, simhash
 from .common import prepare, table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +94,27 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply_rules(docs, "text", "lang", "source", ["doc_id"])
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate group of every document by similarity 0.8 of word pairs."""
+    groups = minhash.near_duplicates(table(prepare(spark), sf_dir, "documents"), "doc_id", "text")
+    return groups.select(F.col("doc_key").alias("doc_id"), "n_shingles", "component_id",
+                         F.col("doc_key").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster after ten rounds over eight centroids."""
+    found = clustering.cluster(table(prepare(spark), sf_dir, "embeddings"), "vec_id", "embedding")
+    return found.withColumnRenamed("id", "vec_id")
+
+
+def op13_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each with the opening of the first of its hundred."""
+    coded = prefix_trie.code_turns(table(prepare(spark), sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    opening = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6).cast("int")
+    shared = prefix_trie.share_openings(coded, opening, F.col("conv_id") - F.col("conv_id") % 100, 6)
+    return prefix_trie.prefix_trie(shared)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of ``corpus_pipeline`` over the documents."""
     import corpus_pipeline
@@ -103,4 +124,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_sharding, op2_neighbours, op3_language, op4_secrets, op5_bpe, op6_mixing, op7_passages, op8_simhash, op9_licenses,
-    op10_quality, pipeline)}
+    op10_quality, op11_minhash, op12_clusters, op13_prefixes, pipeline)}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -112,3 +113,82 @@ def op6_targets(sizes: dict):
 
 def crc_mod(doc_id) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 5 == 0
+
+
+def op11(rows):
+    """rows: (doc_id, text) -> (doc_id, set size, component) by comparing all pairs."""
+    sets = []
+    for d, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets.append((d, frozenset(zip(w, w[1:])) if len(w) > 1 else frozenset((x,) for x in w)))
+    group = list(range(len(sets)))
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i, (_, a) in enumerate(sets):
+        for j in range(i):
+            b = sets[j][1]
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                group[max(root(i), root(j))] = min(root(i), root(j))
+    least = {}
+    for i, (d, _) in enumerate(sets):
+        if d is not None:
+            least[root(i)] = min(d, least.get(root(i), d))
+    out = []
+    for i, (d, s) in enumerate(sets):
+        component = least.get(root(i)) if s else d
+        out.append((d, len(s), component, d == component))
+    return out
+
+
+def op12(rows, k=8, rounds=10):
+    """rows: (vec_id, vector) -> the contract's columns, with Python integers throughout."""
+    kept = [(i, [math.floor(1024 * float(x)) for x in v]) for i, v in rows
+            if v is not None and len(v) == 64 and all(x is not None and math.isfinite(x) for x in v)]
+    order = sorted((r for r in kept if r[0] is not None), key=lambda r: (sha(f"3:{r[0]}".encode()), r[1]))
+    order += sorted((r for r in kept if r[0] is None), key=lambda r: r[1])
+    centroids = [v for _, v in order[:k]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), n) for n, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        members = defaultdict(list)
+        for _, v in kept:
+            members[nearest(v)[1]].append(v)
+        centroids = [[sum(column) // len(members[n]) for column in zip(*members[n])] if members[n] else c for n, c in enumerate(centroids)]
+    told = [(i, *nearest(v)) for i, v in kept]
+    per = Counter()
+    for _, d, n in told:
+        per[n] += d
+    digests = [sha(",".join(map(str, c)).encode()) for c in centroids]
+    return [(i, n, d, per[n], sum(per.values()), digests[n]) for i, d, n in told]
+
+
+def op13(rows):
+    """rows: (conv_id, turn, role, text) -> one tuple per node; turns of equal number must be equal."""
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            own[c].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [x[2:] for x in sorted(t)] for c, t in own.items()}
+    built = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        built[c] = tuple(own.get(c - int(math.fmod(c, 100)), [])[:h] + turns[h:])
+    members, ends = defaultdict(list), defaultdict(list)
+    for c, turns in sorted(built.items()):
+        for d in range(len(turns) + 1):
+            members[turns[:d]].append(c)
+        ends[turns].append(c)
+    children = Counter(p[:-1] for p in members if p)
+    leaves, saved = Counter(), Counter()
+    for p, m in members.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += p not in children
+            saved[p[:d]] += (len(m) - 1) * len(p[-1][1]) if p else 0
+    return [(m[0], len(p), members[p[:-1]][0] if p else None, len(m), children[p], leaves[p], saved[p],
+             sha(",".join(map(str, ends[p])).encode())) for p, m in members.items()]

@@ -65,6 +65,7 @@ def empty(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("empty"))
     spark.createDataFrame([], SCHEMA).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int").write.parquet(f"{folder}/embeddings.parquet")
+    spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{folder}/conversations.parquet")
     return folder
 
 
