@@ -115,6 +115,36 @@ def replay_scd2(
     return last.select(*bronze.columns, START, F.col("_next").alias(END))
 
 
+def fold_scd2(
+    open_rows: DataFrame, views: DataFrame, times: Sequence[int], keys: Sequence[str], at_col: str, untracked: Sequence[str] = (),
+) -> DataFrame:
+    """What any number of snapshots do to the open versions, in one pass: the versions open after the last of them and all that they closed.
+
+    ``times`` are the snapshots' times in microseconds, in order, and ``at_col`` holds the one of each row; a snapshot without
+    rows closes everything. The open versions stand before the first snapshot, so a key's versions come out of a single
+    window over its rows, however many snapshots there are. After deduplication a key has one row per snapshot at most.
+    """
+    columns = [c for c in views.columns if c != at_col]
+    stamps = F.array(*(F.timestamp_micros(F.lit(t)) for t in times))
+    found = dedup_by_key(views, [*keys, at_col]).withColumn("_pos", F.array_position(F.array(*(F.lit(t).cast("long") for t in times)), F.col(at_col)).cast("int"))
+    seen = found.select(*columns, F.timestamp_micros(at_col).alias("_since"), "_pos")
+    rows = seen.unionByName(open_rows.select(*columns, F.col(START).alias("_since"), F.lit(0).alias("_pos")))
+
+    by_key = Window.partitionBy(*keys).orderBy("_pos")
+    content = F.struct(*[F.col(c) for c in _tracked(columns, keys, untracked)])
+    flagged = rows.withColumn("_content", content).select(
+        "*", F.lag("_pos").over(by_key).alias("_prev"), F.lag("_content").over(by_key).alias("_before")
+    ).withColumn(
+        "_opens",
+        F.col("_prev").isNull() | (F.col("_prev") != F.col("_pos") - 1) | ~F.col("_content").eqNullSafe(F.col("_before")),
+    )
+    so_far = by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spans = flagged.select(
+        "*", F.max(F.when(F.col("_opens"), F.col("_since"))).over(so_far).alias(START), F.lead("_opens").over(by_key).alias("_reopens"))
+    last = spans.filter(F.coalesce(F.col("_reopens"), F.lit(True)))
+    return last.select(*columns, START, F.get(stamps, F.col("_pos")).alias(END))
+
+
 def snapshot_deletes(previous: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is missing from the new snapshot; null keys equal each other."""
     return _without(previous, new, keys)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,9 +15,9 @@ from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 from ..functions.columns import serial_to_date, with_invoice_status
 from ..operators.history import apply_snapshot_scd1
 from ..operators.snapshots import RESCUED, SNAPSHOT_TS, dedup_by_key, latest_snapshot
-from ..sources.landing import with_added_columns, write_gold
-from ..streaming.bronze import ingest_runs, read_bronze
-from ..streaming.history import HistoryTable, read_commits, write_commit
+from ..sources.landing import is_missing, with_added_columns, write_gold
+from ..streaming.bronze import LateRows, ingest_runs, read_bronze, read_exports
+from ..streaming.history import AT, Export, HistoryTable, View, micros
 
 
 @dataclass(frozen=True)
@@ -77,39 +78,69 @@ def ingest_entity(
     """One run for one entity below ``root``: landing to bronze to silver; returns silver.
 
     Only whole runs are taken in. An invoice's status is the one on its snapshot's own date; the newest snapshot is then
-    seen again on ``as_of_date``, so that a later run date opens versions without a new export.
+    seen again on ``as_of_date``, so that a later run date opens versions without a new export. Such a re-dating is kept apart from
+    exports: one that arrives later, stamped up to that date or like it, takes its own place in the history.
     A lookup's state goes to a folder of its own per snapshot and counts once its commit record exists; without a new
     snapshot nothing is written. ``schema`` is the landed files' schema; columns that only later runs have are carried
     as text, null in versions from before. ``every_snapshot`` applies all snapshots that
-    arrived since the last run in order, otherwise just the newest one.
+    arrived since the last run in one pass, otherwise just the newest one.
     """
     bronze_dir, silver_dir = f"{root}/bronze/{cfg.name}", f"{root}/silver/{cfg.name}"
     schema = with_added_columns(spark, f"{root}/landing", cfg.name, schema)
     ingest_runs(spark, f"{root}/landing", cfg.name, schema, bronze_dir, f"{root}/_checkpoints/{cfg.name}")
-    try:
+    exports = [Export(r["at"], r["rows"], r["checksum"]) for r in read_exports(spark, bronze_dir)]
+    if exports:
         bronze = read_bronze(spark, bronze_dir, schema)
-    except AnalysisException:  # no whole run so far
+    else:  # no whole run so far
         bronze = spark.createDataFrame([], StructType([f for f in schema if f.name != SNAPSHOT_TS] + [
             StructField(RESCUED, StringType()), StructField(SNAPSHOT_TS, TimestampType())]))
     own_date = F.to_date(SNAPSHOT_TS)
     if cfg.scd_type == 1:
-        return _keep_lookup(spark, typed(latest_snapshot(bronze), cfg, own_date), cfg, silver_dir)
-    rows = typed(bronze if every_snapshot else latest_snapshot(bronze), cfg, own_date)
-    history = HistoryTable(spark, silver_dir, rows.schema, cfg.keys, cfg.untracked)
-    history.apply_all(rows)
-    if cfg.has_invoice_status and as_of_date is not None:
-        history.refresh(typed(latest_snapshot(bronze), cfg, as_of_date), str(as_of_date))
+        return _keep_lookup(spark, typed(latest_snapshot(bronze), cfg, own_date), cfg, silver_dir, exports)
+    history = HistoryTable(spark, silver_dir, typed(bronze, cfg, own_date).schema, cfg.keys, cfg.untracked)
+    if not every_snapshot:
+        known = {v.export for v in history.views()}
+        exports = [e for e in exports if e in known or e == exports[-1]]
+    redate = micros(spark, str(as_of_date)) if cfg.has_invoice_status and as_of_date is not None else None
+    history.catch_up(exports, lambda views: _as_seen(bronze, cfg, views), redate)
     return history.read()
 
 
-def _keep_lookup(spark: SparkSession, fresh: DataFrame, cfg: EntityConfig, path: str) -> DataFrame:
-    """Store the newest state of a lookup if it is new, and read the last committed one."""
-    newest, rows = fresh.agg(F.max(F.unix_micros(SNAPSHOT_TS)), F.count(F.lit(1))).first()
-    known = read_commits(spark, path)
-    if newest is not None and newest not in known:
-        write_gold(apply_snapshot_scd1(fresh, fresh, cfg.keys), f"{path}/_version={newest}")
-        write_commit(spark, path, newest, rows)
-        known[newest] = rows
+def _as_seen(bronze: DataFrame, cfg: EntityConfig, views: Sequence[View]) -> DataFrame:
+    """Rows of some views, typed on the date of each. Exports at their own time are read together, one folder each."""
+    at = F.unix_micros(SNAPSHOT_TS)
+
+    def of(times: list[int]) -> DataFrame:
+        return bronze.filter(F.col(SNAPSHOT_TS).isin(*(F.timestamp_micros(F.lit(t)) for t in times)))
+
+    own = [v.at for v in views if v.is_export]
+    parts = [typed(of(own), cfg, F.to_date(SNAPSHOT_TS)).withColumn(AT, at)] if own else []
+    for v in views:
+        if not v.is_export:
+            seen = F.to_date(F.timestamp_micros(F.lit(v.at)))
+            parts.append(typed(of([v.export.at]), cfg, seen).withColumn(AT, F.lit(v.at).cast("long")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+LOOKUP_RECORDS = "version bigint, rows bigint, checksum string"
+
+
+def _keep_lookup(spark: SparkSession, fresh: DataFrame, cfg: EntityConfig, path: str, exports: Sequence[Export]) -> DataFrame:
+    """Store the newest state of a lookup if it is new, and read the last committed one. Other rows under a known time raise."""
+    try:
+        known = {r.version: r.checksum for r in spark.read.schema(LOOKUP_RECORDS).json(f"{path}/_commits").collect()}
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
+        known = {}
+    for e in exports:
+        if known.get(e.at, e.checksum) != e.checksum:
+            raise LateRows(f"{cfg.name} snapshot {e.at}: other content than was applied")
+    if exports and exports[-1].at not in known:
+        newest = exports[-1]
+        write_gold(apply_snapshot_scd1(fresh, fresh, cfg.keys), f"{path}/_version={newest.at}")
+        spark.createDataFrame([(newest.at, newest.rows, newest.checksum)], LOOKUP_RECORDS).coalesce(1).write.mode("append").json(f"{path}/_commits")
+        known[newest.at] = newest.checksum
     if not known:
         return fresh.limit(0)
     return spark.read.schema(fresh.schema).parquet(f"{path}/_version={max(known)}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..operators.relations import Relationship
 from ..operators.surface import TableMeta
 
 # name, kind, primary key, grain, description, foreign keys (column -> table, column)
@@ -50,3 +51,26 @@ GOLD_TABLES = tuple(
     )
 )
 PRIMARY_KEYS = {m.name: m.primary_key for m in GOLD_TABLES}
+
+# Active relationships of the report model, as a tree; the payment delay by department joins it at its department.
+# From table and column, to table and column, whether selections travel both ways.
+RELATIONSHIPS = tuple(
+    Relationship(*r)
+    for r in (
+        ("fact_procurement_bids", "procedure_id", "mv_procurement_savings_kpi", "procedure_id", False),
+        ("fact_procurement_performance", "procedure_id", "mv_procurement_savings_kpi", "procedure_id", True),
+        ("fact_project_financials", "project_id", "mv_project_realization_kpi", "project_id", True),
+        ("dim_project", "project_id", "mv_project_realization_kpi", "project_id", True),
+        ("dim_project", "department_id", "dim_department", "department_id", False),
+        ("dim_contract", "contract_id", "fact_contract_financials", "contract_id", True),
+        ("fact_procurement_bids", "procedure_id", "dim_procedure", "procedure_id", False),
+        ("dim_contract", "supplier_id", "dim_supplier", "supplier_id", False),
+        ("dim_project", "cpv_code", "dim_cpv", "cpv_code", False),
+        ("fact_invoices", "purchase_order_id", "fact_purchase_orders", "purchase_order_id", False),
+        ("dim_project", "project_id", "dim_contract", "project_id", True),
+        ("fact_purchase_orders", "contract_id", "dim_contract", "contract_id", False),
+        ("fact_invoices", "due_date", "dim_date", "date", False),
+        ("mv_procurement_savings_kpi", "project_id", "mv_project_realization_kpi", "project_id", True),
+        ("mv_avg_payment_delay_kpi", "department_id", "dim_department", "department_id", False),
+    )
+)

@@ -281,6 +281,91 @@ def _cosine(k: int, threshold: str = "") -> str:
         FROM ranked WHERE n <= {k} {threshold and f'AND {_r("sim", 4)} >= {threshold}'}"""
 
 
+def _cosine_all(k: int) -> str:
+    return f"""WITH unit AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+        sims AS (SELECT a.vec_id AS query_id, b.vec_id, round(list_cosine_similarity(a.v, b.v), 10) AS sim FROM unit a, unit b),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, vec_id) AS n FROM sims)
+        SELECT query_id, CAST(n - 1 AS INTEGER) AS rank, {_r('sim', 4)} AS similarity FROM ranked WHERE n BETWEEN 2 AND {k}"""
+
+
+def _typed_export(run: int) -> str:
+    """Column and type of each column of one of the two exports of the orders, from their values."""
+    columns = {"o_orderkey": "o_orderkey", "o_custkey": "o_custkey", "o_orderstatus": "o_orderstatus", "o_totalprice": "o_totalprice",
+               "o_orderdate": "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')", "o_orderpriority": "o_orderpriority"}
+    if run == 2:
+        del columns["o_orderpriority"]
+        columns |= {"o_custkey": "CASE WHEN o_custkey % 7 = 0 THEN 'C' || o_custkey ELSE CAST(o_custkey AS VARCHAR) END",
+                    "o_batch": "o_orderkey * 5000000000", "o_totalprice": "CAST(floor(o_totalprice) AS BIGINT)"}
+    columns["_snapshot_ts"] = f"'200{run - 1}-12-31 00:00:00'"
+    texts = " UNION ALL ".join(f"SELECT '{c}' AS c, CAST({e} AS VARCHAR) AS x FROM orders" for c, e in columns.items())
+    return f"""SELECT c, CASE WHEN bool_and(regexp_full_match(x, '-?[0-9]+') AND try_cast(x AS INTEGER) IS NOT NULL) THEN 'int'
+        WHEN bool_and(regexp_full_match(x, '-?[0-9]+')) THEN 'bigint' WHEN bool_and(try_cast(x AS DOUBLE) IS NOT NULL) THEN 'double'
+        WHEN bool_and(try_cast(x AS TIMESTAMP) IS NOT NULL) THEN 'timestamp' ELSE 'string' END AS t FROM ({texts}) GROUP BY c"""
+
+
+def _graph_selection() -> str:
+    """What two selections leave of each table, each written as nested conditions of its own."""
+    chosen, pending = "department_id IN (3, 7)", "contract_status = 'P'"
+    own = f"SELECT project_id FROM dim_project WHERE {chosen}"
+    by_pending = f"project_id IN (SELECT project_id FROM dim_contract WHERE {pending})"
+    contract = f"{pending} AND project_id IN ({own})"
+    project = f"{chosen} AND {by_pending}"
+    inside = f"project_id IN (SELECT project_id FROM dim_project WHERE {project})"
+    realized = f"project_id IN (SELECT project_id FROM mv_project_realization_kpi WHERE {inside})"
+    saved = f"procedure_id IN (SELECT procedure_id FROM mv_procurement_savings_kpi WHERE {realized})"
+    ordered = f"contract_id IN (SELECT contract_id FROM dim_contract WHERE {contract})"
+    billed = f"purchase_order_id IN (SELECT purchase_order_id FROM fact_purchase_orders WHERE {ordered})"
+    department = f"{chosen} AND department_id IN (SELECT department_id FROM dim_project WHERE {by_pending})"
+    kept = {
+        "dim_department": department, "dim_project": project, "dim_contract": contract, "mv_project_realization_kpi": inside,
+        "dim_supplier": f"supplier_id IN (SELECT supplier_id FROM dim_contract WHERE {contract})",
+        "dim_cpv": f"cpv_code IN (SELECT cpv_code FROM dim_project WHERE {project})",
+        "dim_date": f"date IN (SELECT due_date FROM fact_invoices WHERE {billed})",
+        "dim_procedure": f"procedure_id IN (SELECT procedure_id FROM fact_procurement_bids WHERE {saved})",
+        "fact_invoices": billed, "fact_purchase_orders": ordered, "fact_contract_financials": ordered,
+        "fact_procurement_bids": saved, "fact_procurement_performance": saved,
+        "fact_project_financials": realized, "mv_procurement_savings_kpi": realized,
+        "mv_avg_payment_delay_kpi": f"department_id IN (SELECT department_id FROM dim_department WHERE {department})"}
+    return " UNION ALL ".join(
+        f"""SELECT '{t}' AS table_name, COUNT(*) AS rows, CAST(MIN({PRIMARY_KEYS[t]}) AS VARCHAR) AS first_key,
+        CAST(MAX({PRIMARY_KEYS[t]}) AS VARCHAR) AS last_key FROM {"days" if t == "dim_date" else t} WHERE {where}""" for t, where in kept.items())
+
+
+_LINE_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                 "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+def _composite_keys() -> str:
+    singles = " UNION ALL ".join(f"SELECT '{c}' AS a, '' AS b, COUNT(DISTINCT {c}) AS d FROM lineitem" for c in _LINE_COLUMNS)
+    pairs = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, (SELECT COUNT(*) FROM (SELECT DISTINCT {a}, {b} FROM lineitem)) AS d"
+                               for i, a in enumerate(_LINE_COLUMNS) for b in _LINE_COLUMNS[i + 1:])
+    return f"""WITH n AS (SELECT COUNT(*) AS n FROM lineitem), one AS ({singles}), keys AS (SELECT a FROM one, n WHERE d = n), two AS ({pairs})
+        SELECT a AS columns, CAST(1 AS BIGINT) AS size, n AS rows FROM keys, n UNION ALL SELECT a || ', ' || b, 2, n FROM two, n WHERE d = n
+        AND a NOT IN (SELECT a FROM keys) AND b NOT IN (SELECT a FROM keys)"""
+
+
+# Whole-number and text columns of the star tables.
+_COMPARED = {
+    "integer": {"region": ("r_regionkey",), "nation": ("n_nationkey", "n_regionkey"), "customer": ("c_custkey", "c_nationkey"),
+                "supplier": ("s_suppkey", "s_nationkey"), "part": ("p_partkey", "p_size"), "orders": ("o_orderkey", "o_custkey"),
+                "lineitem": ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), "events": ("event_id", "user_id")},
+    "string": {"region": ("r_name",), "nation": ("n_name",), "customer": ("c_name", "c_mktsegment"), "supplier": ("s_name",),
+               "part": ("p_name", "p_brand", "p_type"), "orders": ("o_orderstatus", "o_orderpriority"),
+               "lineitem": ("l_returnflag", "l_linestatus"), "events": ("event_type", "props")},
+}
+
+
+def _inclusions() -> str:
+    values = " UNION ALL ".join(
+        f"SELECT '{kind}' AS kind, '{t}' AS t, '{c}' AS c, CAST({c} AS VARCHAR) AS v FROM (SELECT DISTINCT {c} FROM {t} WHERE {c} IS NOT NULL)"
+        for kind, tables in _COMPARED.items() for t, columns in tables.items() for c in columns)
+    return f"""WITH cells AS MATERIALIZED ({values}), own AS (SELECT t, c, COUNT(*) AS d FROM cells GROUP BY t, c)
+        SELECT a.t AS table_name, a.c AS "column", b.t AS references_table, b.c AS references_column, MIN(d) AS distinct_values,
+        COUNT(*) AS matched_values, {_r('COUNT(*) * 100.0 / MIN(d)', 4)} AS share_pct FROM cells a
+        JOIN cells b ON a.kind = b.kind AND a.v = b.v AND (a.t <> b.t OR a.c <> b.c) JOIN own ON own.t = a.t AND own.c = a.c
+        GROUP BY a.t, a.c, b.t, b.c HAVING COUNT(*) * 100.0 / MIN(d) >= 90"""
+
+
 _BID_LEVELS = "project_id, evidence_number, procedure_id, bid_id"
 _INVOICE_LEVELS = "department_id, project_id, contract_id, purchase_order_id, invoice_id"
 
@@ -378,6 +463,8 @@ _BODIES = {
     "scd2_replay": _HIST,
     "scd2_apply": _HIST,
     "scd2_stored": _HIST,
+    "exports_in_one_pass": f"""SELECT *, CAST((SELECT CASE WHEN MIN(year(o_orderdate)) < MAX(year(o_orderdate)) THEN 2 ELSE 1 END FROM ord) AS BIGINT) AS folds
+        FROM ({_HIST})""",
     "scd2_untracked": _HIST.replace("FROM hist", "FROM hist_loose"),
     "scd2_current": "SELECT order_id, customer_id, status, amount, __START_AT FROM hist WHERE __END_AT IS NULL",
     "scd2_as_of": _HIST + """ WHERE __START_AT <= TIMESTAMP '1998-06-30'
@@ -407,6 +494,15 @@ _BODIES = {
         THEN TIMESTAMP '2000-06-30' END AS __END_AT FROM fact_invoices UNION ALL
         SELECT invoice_id, invoice_amount, {_status("DATE '2000-06-30'")}, TIMESTAMP '2000-06-30', NULL FROM fact_invoices
         WHERE {_status("DATE '1997-12-31'")} <> {_status("DATE '2000-06-30'")}""",
+    "same_day_export": f"""SELECT invoice_id, invoice_amount, invoice_status, __START_AT,
+        LEAD(__START_AT) OVER (PARTITION BY invoice_id ORDER BY __START_AT) AS __END_AT FROM (
+        SELECT *, LAG(__START_AT) OVER w AS t, LAG(invoice_amount) OVER w AS a, LAG(invoice_status) OVER w AS s FROM (
+        SELECT invoice_id, invoice_amount, {_status("DATE '1997-12-31'")} AS invoice_status, TIMESTAMP '1997-12-31' AS __START_AT FROM fact_invoices
+        UNION ALL SELECT invoice_id, invoice_amount, {_status("DATE '1998-06-30'")}, TIMESTAMP '1998-06-30' FROM fact_invoices
+        UNION ALL SELECT invoice_id, invoice_amount + 1, {_status("DATE '1998-12-31'")}, TIMESTAMP '1998-12-31' FROM fact_invoices
+        UNION ALL SELECT invoice_id, invoice_amount + CASE WHEN CAST(split_part(invoice_id, '-', 2) AS INTEGER) % 3 = 0 THEN 2 ELSE 1 END,
+        {_status("DATE '1999-12-31'")}, TIMESTAMP '1999-12-31' FROM fact_invoices) WINDOW w AS (PARTITION BY invoice_id ORDER BY __START_AT))
+        WHERE t IS NULL OR a IS DISTINCT FROM invoice_amount OR s IS DISTINCT FROM invoice_status""",
     "ingest_partial_run": f"""SELECT invoice_id, invoice_amount, {_status("DATE '1997-12-31'")} AS invoice_status,
         TIMESTAMP '1997-12-31' AS __START_AT, CAST(NULL AS TIMESTAMP) AS __END_AT, CAST(0 AS BIGINT) AS rows_before
         FROM fact_invoices""",
@@ -513,9 +609,33 @@ _BODIES = {
         ORDER BY o_orderkey LIMIT 3""",
     "table_document": " UNION ALL ".join(_document(name, columns) for name, columns in _gold_columns().items()),
     "build_gold": " UNION ALL ".join(_built(m.name) for m in GOLD_TABLES),
-    "schema_drift": """SELECT * FROM (VALUES ('_snapshot_ts', 'new', NULL, 'timestamp'), ('o_orderkey', 'retyped', 'bigint', 'int'),
-        ('o_custkey', 'retyped', 'bigint', 'int'), ('o_orderdate', 'retyped', 'timestamp_ntz', 'timestamp'))
-        v("column", change, old_type, new_type) WHERE (SELECT MAX(o_orderkey) FROM orders) < 2147483648""",
+    "schema_drift": f"""SELECT COALESCE(a.c, b.c) AS "column", CASE WHEN a.c IS NULL THEN 'new' WHEN b.c IS NULL THEN 'missing' ELSE 'retyped' END AS change,
+        a.t AS old_type, b.t AS new_type FROM ({_typed_export(1)}) a FULL JOIN ({_typed_export(2)}) b ON a.c = b.c WHERE a.t IS DISTINCT FROM b.t""",
+    "widened_types": f"""SELECT c AS "column", CASE WHEN COUNT(DISTINCT t) = 1 THEN MIN(t)
+        WHEN bool_and(t IN ('int', 'bigint')) THEN 'bigint' WHEN bool_and(t IN ('int', 'bigint', 'double')) THEN 'double' ELSE 'string' END AS type,
+        CASE c WHEN 'o_custkey' THEN (SELECT COUNT(*) FROM orders WHERE o_custkey % 7 = 0) WHEN 'o_batch' THEN (SELECT COUNT(*) FROM orders) ELSE 0 END AS misfits,
+        CASE c WHEN 'o_custkey' THEN (SELECT MIN('C' || o_custkey) FROM orders WHERE o_custkey % 7 = 0)
+        WHEN 'o_batch' THEN (SELECT MIN(CAST(o_orderkey * 5000000000 AS VARCHAR)) FROM orders) END AS least_misfit
+        FROM ({_typed_export(1)} UNION ALL {_typed_export(2)}) GROUP BY c""",
+    "history_lookup": f"""SELECT * FROM (WITH counted AS (SELECT customer_id, y, COUNT(*) AS orders, COUNT(amount) AS amounts FROM snap GROUP BY customer_id, y),
+        runs AS (SELECT *, SUM(CASE WHEN before IS NULL OR before <> y - 1 OR o <> orders OR a <> amounts THEN 1 ELSE 0 END) OVER (PARTITION BY customer_id ORDER BY y) AS run
+        FROM (SELECT *, LAG(y) OVER w AS before, LAG(orders) OVER w AS o, LAG(amounts) OVER w AS a FROM counted WINDOW w AS (PARTITION BY customer_id ORDER BY y))),
+        versions AS (SELECT customer_id, orders, amounts, make_timestamp(MIN(y), 12, 31, 0, 0, 0) AS since,
+        CASE WHEN MAX(y) < (SELECT MAX(y) FROM snap) THEN make_timestamp(MAX(y) + 1, 12, 31, 0, 0, 0) END AS until FROM runs GROUP BY customer_id, run, orders, amounts),
+        asked AS (SELECT event_id, user_id AS customer_id, make_timestamp((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) * 80 + epoch_us(TIMESTAMP '1995-06-01')) AS "at" FROM events)
+        SELECT event_id, a.customer_id, a."at" AS "at", v.orders, v.amounts, v.since AS __START_AT FROM asked a LEFT JOIN versions v
+        ON a.customer_id = v.customer_id AND v.since <= a."at" AND (v.until IS NULL OR v.until > a."at"))""",
+    "graph_selection": _graph_selection(),
+    "composite_keys": _composite_keys(),
+    "inclusion_dependencies": _inclusions(),
+    "vector_store": """SELECT vec_id, CASE WHEN n <= 3 THEN 103 ELSE label END AS label, len(embedding) AS dimensions, TRUE AS only_touched
+        FROM (SELECT *, row_number() OVER (ORDER BY vec_id) AS n FROM embeddings)""",
+    "trace_quantiles": """SELECT event_type AS event, COUNT(*) AS calls, COUNT(value) AS timed, TRUE AS p5_within, TRUE AS p50_within,
+        TRUE AS p95_within, TRUE AS distinct_within FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY event_type""",
+    "stream_gate": """SELECT *, (SELECT COUNT(*) FROM events) AS observed_rows,
+        (SELECT COUNT(*) FROM events WHERE COALESCE(event_type = 'error', TRUE) OR COALESCE(value >= 90, TRUE)) AS observed_refused FROM (
+        SELECT CASE WHEN bad = '' THEN 'kept' ELSE bad END AS place, COUNT(*) AS rows FROM (SELECT concat_ws('+',
+        CASE WHEN COALESCE(event_type = 'error', TRUE) THEN 'no_error' END, CASE WHEN COALESCE(value >= 90, TRUE) THEN 'small' END) AS bad FROM events) GROUP BY 1)""",
     "scd2_rerun": _HIST,
     "vector_upsert": """SELECT vec_id, CASE WHEN label = 3 THEN 103 ELSE label END AS label,
         len(embedding) AS dimensions FROM embeddings UNION ALL
@@ -534,5 +654,6 @@ _BODIES = {
 ORACLE = {
     **{name: _with(body) for name, body in _BODIES.items()},
     "cosine_top_k": _cosine(4),
+    "cosine_top_k_all": _cosine_all(4),
     "cosine_top_k_threshold": _cosine(25, "0.2"),
 }

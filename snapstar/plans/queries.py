@@ -2,27 +2,31 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import time
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.columns import AWARDED, exact_sum
 from ..functions.measures import awarded_amount, count_other_than, rejected_amount, selected_value, sum_where
-from ..operators import history, matrix, profile, quality, relations, surface, vectors
+from ..operators import history, matrix, point_in_time, profile, quality, relations, surface, vectors
 from ..operators.snapshots import (
     END, RESCUED, SNAPSHOT_TS, START, as_of, current, dedup_by_key, latest_snapshot,
     slice_by, slicer_values,
 )
 from ..session import scratch_dir, tune
 from ..sources import calendars, landing, traces
+from ..streaming import gate
 from ..streaming.bronze import ingest_bronze, read_bronze
 from ..streaming.history import HistoryTable, follow_snapshots
 from . import report
 from .gold import build_gold
 from .entities import ENTITIES, ingest_entity
-from .metadata import GOLD_TABLES, PRIMARY_KEYS
+from .metadata import GOLD_TABLES, PRIMARY_KEYS, RELATIONSHIPS
 from .sample_model import AS_OF, LINE, SampleModel
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -213,6 +217,21 @@ def _(m: SampleModel) -> DataFrame:
     return as_of(history.replay_scd2(m.snapshots, ["order_id"], untracked=UNTRACKED), "1998-06-30").select(*REGISTER)
 
 
+def _customer_history(m: SampleModel) -> DataFrame:
+    """Type 2 history of each customer's number of orders and of orders with an amount."""
+    counted = m.snapshots.groupBy("customer_id", SNAPSHOT_TS).agg(F.count(F.lit(1)).alias("orders"), F.count("amount").alias("amounts"))
+    return history.replay_scd2(counted, ["customer_id"], unique_per_snapshot=True)
+
+
+@query("history_lookup")
+def _(m: SampleModel) -> DataFrame:
+    """Every event with the version of its customer that was valid at its time, its month stretched over the years of the orders."""
+    since = F.lit(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc))
+    at = F.timestamp_micros((F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(since)) * 80 + F.unix_micros(F.lit("1995-06-01").cast("timestamp")))
+    events = m.table("events").select("event_id", F.col("user_id").alias("customer_id"), at.alias("at"))
+    return point_in_time.valid_versions(events, _customer_history(m), ["customer_id"], "at", ["orders", "amounts", START])
+
+
 @query("scd2_lost_keys")
 def _(m: SampleModel) -> DataFrame:
     """Keys the open versions lack: exactly those the last exports dropped."""
@@ -305,6 +324,34 @@ def _(m: SampleModel) -> DataFrame:
     return _ingest_invoices(m, base, AS_OF)
 
 
+@query("same_day_export")
+def _(m: SampleModel) -> DataFrame:
+    """Exports between and on the dates of earlier runs: each takes its place, and re-datings show the export that is newest then."""
+    base, cents = scratch_dir(m.spark, "same-day"), F.col("invoice_amount")
+    third = F.split_part("invoice_id", F.lit("-"), F.lit(2)).cast("int") % 3 == 0
+
+    def land(run: str, at: str, amount: Column) -> None:
+        landing.land_snapshot({"invoices": m.raw_invoices.withColumn("invoice_amount", amount)}, f"{base}/landing", run, at)
+
+    land("r1", "1997-12-31", cents)
+    _ingest_invoices(m, base, "1998-06-30")
+    _ingest_invoices(m, base, "1999-12-31")
+    land("r2", "1998-12-31", cents + 1)
+    _ingest_invoices(m, base, "1999-12-31")
+    land("r3", "1999-12-31", F.when(third, cents + 2).otherwise(cents + 1))
+    return _ingest_invoices(m, base, "1999-12-31")
+
+
+@query("exports_in_one_pass")
+def _(m: SampleModel) -> DataFrame:
+    """All exports folded into a stored history in one pass, after the first one has been applied."""
+    base = scratch_dir(m.spark, "one-pass")
+    table = HistoryTable(m.spark, f"{base}/silver", m.snapshots.schema, ["order_id"], UNTRACKED)
+    table.apply(m.snapshot(m.export_years[0]), f"{m.export_years[0]}-12-31")
+    table.apply_all(m.snapshots)
+    return table.read().select(*REGISTER).withColumn("folds", F.lit(len(table.folds())).cast("bigint"))
+
+
 @query("ingest_partial_run")
 def _(m: SampleModel) -> DataFrame:
     """An export that lands in two parts, with an ingestion between them: it counts once it is whole."""
@@ -344,13 +391,36 @@ def _(m: SampleModel) -> DataFrame:
     return ingest_entity(m.spark, cfg, base, schema).select(F.col("supplier_id").cast("bigint"), "supplier_name")
 
 
+def _two_exports(m: SampleModel, base: str) -> None:
+    """The orders, then again with customers as codes, prices halved, a new column and without priorities."""
+    orders = m.table("orders")
+    landing.land_snapshot({"orders": orders}, base, "r1", "2000-12-31")
+    landing.land_snapshot({"orders": orders.select(
+        "o_orderkey", F.when(F.col("o_custkey") % 7 == 0, F.concat(F.lit("C"), "o_custkey")).otherwise(F.col("o_custkey").cast("string")).alias("o_custkey"),
+        (F.col("o_orderkey") * 5_000_000_000).alias("o_batch"), "o_orderstatus", F.floor("o_totalprice").alias("o_totalprice"), "o_orderdate")},
+        base, "r2", "2001-12-31")
+
+
 @query("schema_drift")
 def _(m: SampleModel) -> DataFrame:
-    """What a CSV round trip does to the types of the orders table."""
+    """What changed between two exports: columns that came, went, or hold values of another type."""
     base = scratch_dir(m.spark, "drift")
-    landing.land_snapshot({"orders": m.table("orders")}, base, "r1", "2000-12-31")
-    landed = landing.infer_csv_schema(m.spark, f"{base}/orders")
-    return quality.schema_drift(m.spark, m.table("orders").schema, landed)
+    _two_exports(m, base)
+    old, new = (landing.widest_types(landing.read_run(m.spark, base, "orders", run)) for run in ("r1", "r2"))
+    return quality.schema_drift(m.spark, old, new)
+
+
+@query("widened_types")
+def _(m: SampleModel) -> DataFrame:
+    """The type of each column over both exports, with the values that did not fit the first export's types."""
+    base = scratch_dir(m.spark, "widened")
+    _two_exports(m, base)
+    first, later = (landing.read_run(m.spark, base, "orders", run) for run in ("r1", "r2"))
+    schema = landing.widened_schema(m.spark, base, "orders", ["r1", "r2"])
+    misfits = landing.retyped(later, landing.widest_types(first)).select(F.explode("_misfits").alias("column", "value"))
+    counted = misfits.groupBy("column").agg(F.count(F.lit(1)).alias("misfits"), F.min("value").alias("least_misfit"))
+    listed = m.spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in schema], "column string, type string")
+    return listed.join(counted, "column", "left").withColumn("misfits", F.coalesce("misfits", F.lit(0)))
 
 
 # Filters and relationships
@@ -376,6 +446,16 @@ def _(m: SampleModel) -> DataFrame:
         contracts.select(F.lit("contract").alias("side"), F.col("contract_id").alias("id")))
 
 
+@query("graph_selection")
+def _(m: SampleModel) -> DataFrame:
+    """Two departments and the pending contracts, carried to all 16 tables: rows left, and their first and last key."""
+    left = relations.select_across(m.stored_gold, RELATIONSHIPS, {
+        "dim_department": F.col("department_id").isin(3, 7), "dim_contract": F.col("contract_status") == "P"})
+    parts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"), F.min(PRIMARY_KEYS[name]).cast("string").alias("first_key"),
+                    F.max(PRIMARY_KEYS[name]).cast("string").alias("last_key")) for name, df in left.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("awarded_estimated_value")
 def _(m: SampleModel) -> DataFrame:
     facts = relations.related(
@@ -467,6 +547,19 @@ def _(m: SampleModel) -> DataFrame:
     return profile.candidate_keys(m.table("orders"))
 
 
+@query("composite_keys")
+def _(m: SampleModel) -> DataFrame:
+    """Minimal keys of the line items, of one or two columns."""
+    return profile.composite_keys(m.table("lineitem"), most=2).withColumn("size", F.col("size").cast("bigint"))
+
+
+@query("inclusion_dependencies")
+def _(m: SampleModel) -> DataFrame:
+    """Columns of all star tables that hold nearly only values of another one: every foreign key, with its share."""
+    tables = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+    return profile.inclusion_dependencies({t: m.table(t) for t in tables}, least_pct=90.0)
+
+
 @query("fk_containment")
 def _(m: SampleModel) -> DataFrame:
     """Orders that have line items, as a share of all orders."""
@@ -570,6 +663,28 @@ def _(m: SampleModel) -> DataFrame:
     return vectors.cosine_top_k(_prototypes(m), m.table("embeddings"))
 
 
+@query("cosine_top_k_all")
+def _(m: SampleModel) -> DataFrame:
+    """The nearest of all vectors to every vector but itself."""
+    stored = m.table("embeddings")
+    asked = stored.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    found = vectors.cosine_top_k(asked, stored, k=4).filter("rank > 1")
+    return found.select("query_id", (F.col("rank") - 1).alias("rank"), "similarity")
+
+
+@query("vector_store")
+def _(m: SampleModel) -> DataFrame:
+    """Vectors in stored buckets after two upserts, the second of a few ids, and how many buckets each upsert rewrote."""
+    store = m.table("embeddings").select("vec_id", "embedding", "label")
+    kept = vectors.VectorStore(m.spark, scratch_dir(m.spark, "vectors"), store.schema, "vec_id", buckets=32)
+    kept.upsert(store)
+    few = store.orderBy("vec_id").limit(3).withColumn("label", F.lit(103))
+    touched = kept.upsert(few)
+    expected = few.select(F.pmod(F.xxhash64("vec_id"), F.lit(32)).alias("b")).distinct().count()
+    return kept.read().select("vec_id", "label", F.size("embedding").cast("bigint").alias("dimensions"),
+                              F.lit(len(touched) == expected).alias("only_touched"))
+
+
 @query("cosine_top_k_threshold")
 def _(m: SampleModel) -> DataFrame:
     return vectors.cosine_top_k(_prototypes(m), m.table("embeddings"), k=25, min_sim=0.2)
@@ -606,4 +721,39 @@ def _(m: SampleModel) -> DataFrame:
 
 @query("trace_quantiles")
 def _(m: SampleModel) -> DataFrame:
-    return traces.trace_summary(_traces(m), ["event"], [0.5, 0.95])
+    """Quantiles of a range of days from stored daily sketches: whether their exact ranks are within the stated error."""
+    levels, log = [0.05, 0.5, 0.95], _traces(m)
+    folder = scratch_dir(m.spark, "sketches")
+    daily = traces.daily_sketches(log, distinct="elapsed_s")
+    daily.write.parquet(folder)
+    answers = traces.merged_summary(m.spark.read.schema(daily.schema).parquet(folder), levels, first="2024-01-05", last="2024-01-20")
+    of_range = log.filter(F.to_date("ts").between(F.lit("2024-01-05").cast("date"), F.lit("2024-01-20").cast("date")))
+    within = traces.rank_errors(of_range, answers, levels)
+    exact = of_range.groupBy("event").agg(F.count_distinct("elapsed_s").alias("_exact"))
+    near = F.abs(F.col("distinct_values") / F.col("_exact") - 1) < 0.05
+    return answers.select("event", "calls", "distinct_values").join(within, "event").join(exact, "event").select(
+        "event", "calls", "timed", *(f"p{round(q * 100)}_within" for q in levels), near.alias("distinct_within"))
+
+
+@query("stream_gate")
+def _(m: SampleModel) -> DataFrame:
+    """Events streamed through two expectations: rows kept and refused, by what refused them, and as the listener counted them."""
+    base = scratch_dir(m.spark, "gate")
+    m.table("events").write.parquet(f"{base}/landed")
+    events = m.spark.read.parquet(f"{base}/landed").schema
+    counts = gate.BatchCounts()
+    m.spark.streams.addListener(counts)
+    try:
+        stream = m.spark.readStream.schema(events).parquet(f"{base}/landed")
+        done = gate.gate_stream(stream, {"no_error": "event_type <> 'error'", "small": "value < 90"}, f"{base}/events", f"{base}/checkpoint")
+        for _ in range(200):  # the listener is told a moment after the query ends
+            if counts.batches or not done.lastProgress or not done.lastProgress["numInputRows"]:
+                break
+            time.sleep(0.05)
+    finally:
+        m.spark.streams.removeListener(counts)
+    kept = gate.read_gate(m.spark, f"{base}/events", events).select(F.lit("kept").alias("place"))
+    refused = gate.read_gate(m.spark, f"{base}/events", events, refused=True).select(F.array_join(gate.REASONS, "+").alias("place"))
+    seen = {k: sum(b[k] for b in counts.batches.values()) for k in ("rows", "refused")}
+    return kept.unionByName(refused).groupBy("place").agg(F.count(F.lit(1)).alias("rows")).withColumns(
+        {"observed_rows": F.lit(seen["rows"]).cast("bigint"), "observed_refused": F.lit(seen["refused"]).cast("bigint")})

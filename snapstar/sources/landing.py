@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -16,6 +16,11 @@ MANIFESTS = "_manifests"
 MANIFEST_SCHEMA = f"run_id string, folder string, columns array<string>, rows bigint, {SNAPSHOT_TS} timestamp"
 
 
+def is_missing(error: AnalysisException) -> bool:
+    """Whether reading failed because nothing was ever written there; any other failure is one."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def land_snapshot(frames: Mapping[str, DataFrame], root: str, run_id: str, snapshot_ts: str) -> None:
     """Write one whole export run: ``<root>/<table>/<table>_<run_id>/`` per entity, then its manifests."""
     for table, df in frames.items():
@@ -54,12 +59,90 @@ def infer_csv_schema(spark: SparkSession, folder: str, sampling_ratio: float = 1
     )
 
 
+# Types a column of text is tried as, narrowest first; each also holds the values of those before it on its line. Whatever fits
+# no type of a line is text.
+LATTICE = (("int", "bigint", "double"), ("date", "timestamp"), ("boolean",))
+
+
+def widest_types(df: DataFrame) -> StructType:
+    """The narrowest type of the lattice that holds every value of each text column; text if none does, or if there is no value.
+
+    One pass counts the values that each type refuses; the file formats' spelling of numbers and times is Spark's. Null and
+    empty text say nothing about a type.
+    """
+    cells = {f.name: F.nullif(F.trim(F.col(f"`{f.name}`").cast("string")), F.lit("")) for f in df.schema}
+    counts = [F.count(c).alias(f"{i}") for i, c in enumerate(cells.values())]
+    for i, c in enumerate(cells.values()):
+        counts += [F.count_if(c.isNotNull() & ~_fits(c, t)).alias(f"{i}:{t}") for line in LATTICE for t in line]
+    seen = df.agg(*counts).first()
+    fields = []
+    for i, name in enumerate(cells):
+        fitting = [t for line in LATTICE for t in line if not seen[f"{i}:{t}"]] if seen[f"{i}"] else []
+        fields.append(StructField(name, StructType.fromDDL(f"x {fitting[0] if fitting else 'string'}")[0].dataType))
+    return StructType(fields)
+
+
+def _fits(text: Column, kind: str) -> Column:
+    """Whether a text is a value of the type; a date is one without a time of day, a whole number one without a point."""
+    value = text.try_cast(kind)
+    if kind in ("int", "bigint"):
+        return value.isNotNull() & text.rlike(r"^[+-]?\d+$")
+    if kind == "date":
+        return value.isNotNull() & text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$")
+    if kind == "boolean":
+        return F.lower(text).isin("true", "false")
+    if kind == "double":
+        return value.isNotNull() & text.rlike(r"^[+-]?(\d|\.\d)")
+    return value.isNotNull() & text.rlike(r"^\d{4}-")
+
+
+def widened(old: StructType, new: StructType) -> StructType:
+    """The type that holds the values of both schemas, column by column; columns of either are kept, the old ones first."""
+    def join(a: str, b: str) -> str:
+        for line in LATTICE:
+            if a in line and b in line:
+                return max(a, b, key=line.index)
+        return a if a == b else "string"
+
+    types = {f.name: f.dataType.simpleString() for f in old}
+    for f in new:
+        kind = f.dataType.simpleString()
+        types[f.name] = join(types[f.name], kind) if f.name in types else kind
+    return StructType([StructField(n, StructType.fromDDL(f"x {t}")[0].dataType) for n, t in types.items()])
+
+
+def read_run(spark: SparkSession, root: str, table: str, run_id: str) -> DataFrame:
+    """One landed run with every column as text."""
+    return spark.read.option("header", True).csv(f"{root}/{table}/{table}_{run_id}")
+
+
+def widened_schema(spark: SparkSession, root: str, table: str, run_ids: Sequence[str]) -> StructType:
+    """Types over all the runs: each run is typed by its own values, and the types are widened run by run."""
+    schema = StructType([])
+    for run_id in run_ids:
+        schema = widened(schema, widest_types(read_run(spark, root, table, run_id)))
+    return schema
+
+
+def retyped(text: DataFrame, schema: StructType, misfits: str = "_misfits") -> DataFrame:
+    """Text columns as the types of ``schema``, columns by name. A value that doesn't fit becomes null and is kept, as text under its
+    column's name, in the map ``misfits``; columns beyond the schema are kept there, too."""
+    known = {f.name: f.dataType for f in schema}
+    cells = {c: F.nullif(F.col(f"`{c}`").cast("string"), F.lit("")) for c in text.columns}
+    values = {c: (cells[c].try_cast(t) if c in cells else F.lit(None).cast(t)) for c, t in known.items()}
+    pairs = [F.struct(F.lit(c).alias("k"), F.when(values[c].isNull() if c in known else F.lit(True), v).alias("v")) for c, v in cells.items()]
+    kept = F.map_from_entries(F.filter(F.array(*pairs), lambda p: p["v"].isNotNull())) if pairs else F.create_map().cast("map<string,string>")
+    return text.select(*(v.alias(c) for c, v in values.items()), kept.alias(misfits))
+
+
 def with_added_columns(spark: SparkSession, root: str, table: str, schema: StructType) -> StructType:
     """The schema and, as text, what sealed runs have beyond it. Manifests are small, one for each run."""
     try:
         listed = spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", True).json(f"{root}/{MANIFESTS}/{table}")
-    except AnalysisException:
-        return schema
+    except AnalysisException as error:
+        if is_missing(error):
+            return schema
+        raise
     seen = listed.select(F.explode("columns").alias("c")).distinct().orderBy("c").collect()
     added = [StructField(r.c, StringType()) for r in seen if r.c not in schema.fieldNames()]
     return StructType([*schema.fields, *added])

@@ -1,27 +1,76 @@
-"""A type 2 history on disk, fed by batches or a stream of snapshots."""
+"""A type 2 history on disk, fed by batches or a stream of snapshots.
+
+The history is a chain of *views*: what was known at a time. An export is a view at its own time; seeing the newest export
+again at a later date (derived columns may depend on the date) is a *re-dating*, a view at that date with an
+older source. Views are folded in order of their time, all that are due in one pass. An export that arrives stamped before a
+re-dating belongs between the views that are there: the folds from that time on are given up, and their views are folded again
+after it, each re-dating with the export that is now the newest at its date.
+
+An export is known by its time and by the checksum of its rows, so the same rows again change nothing and other rows under a known time
+raise.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType, TimestampType
 
-from ..operators.history import scd2_delta
+from ..operators.history import fold_scd2
 from ..operators.snapshots import END, SNAPSHOT_TS, START
-from .bronze import LateRows
+from ..sources.landing import is_missing
+from .bronze import LateRows, checksum
+
+AT = "_view_at"
+
+
+@dataclass(frozen=True)
+class Export:
+    """One export: its time in microseconds, its rows and their checksum."""
+
+    at: int
+    rows: int
+    checksum: str
+
+
+@dataclass(frozen=True)
+class View:
+    """An export as seen at a time; at its own time it is the export itself."""
+
+    at: int
+    export: Export
+
+    @property
+    def is_export(self) -> bool:
+        return self.at == self.export.at
+
+
+@dataclass(frozen=True)
+class Fold:
+    """A commit record: the views of one pass, the fold before it, and the folder with the versions that are open after it."""
+
+    number: int
+    before: int | None
+    opened: int
+    views: tuple[View, ...]
+
+
+RECORDS = ("number bigint, before bigint, opened bigint, "
+           "views array<struct<at: bigint, kind: string, source: bigint, rows: bigint, checksum: string>>")
 
 
 class HistoryTable:
-    """History as parquet partitioned by applied version and openness.
+    """History as parquet partitioned by fold and openness.
 
-    Applying a snapshot writes the open versions and the versions it closed under a new
-    ``_version`` folder; closed versions of earlier runs are neither read nor rewritten.
-    A version counts once its commit record exists, so a run that dies can be repeated.
+    A fold writes all open versions and the versions it closed under a new ``_version`` folder; closed versions of
+    earlier folds are neither read nor rewritten. A fold counts once its commit record exists, so a run that dies can be
+    repeated; folds that were given up keep their folders, which nothing reads.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str],
@@ -33,92 +82,157 @@ class HistoryTable:
         self._stored = StructType([*schema.fields, *validity])
         self._layout = StructType([*schema.fields, *validity, *folders])
 
+    # What is there
+
+    def folds(self) -> list[Fold]:
+        """The folds that count, oldest first: those the newest record leads back to."""
+        records = {f.number: f for f in _records(self.spark, self.path)}
+        chain, at = [], max(records, default=None)
+        while at is not None:
+            chain.append(records[at])
+            at = records[at].before
+        return chain[::-1]
+
+    def views(self) -> list[View]:
+        """Every view the history shows, in order."""
+        return [v for f in self.folds() for v in f.views]
+
     def last_version(self) -> int | None:
-        """The newest committed version, as microseconds of its snapshot time."""
-        return max(self.commits(), default=None)
+        """The time of the newest view, in microseconds."""
+        return max((v.at for v in self.views()), default=None)
 
-    def commits(self) -> dict[int, int]:
-        """Committed versions with the rows each of them took; one small record for each."""
-        return read_commits(self.spark, self.path)
+    def _open_after(self, fold: Fold | None) -> DataFrame:
+        if fold is None:
+            return self.spark.createDataFrame([], self._stored)
+        return self._files().filter((F.col("_version") == fold.opened) & F.col("is_current")).select(*self.columns)
 
     def _files(self) -> DataFrame:
         return self.spark.read.schema(self._layout).parquet(self.path)
 
-    def _open_at(self, last: int | None) -> DataFrame:
-        if last is None:
-            return self.spark.createDataFrame([], self._stored)
-        return self._files().filter((F.col("_version") == last) & F.col("is_current")).select(*self.columns)
-
     def current(self) -> DataFrame:
         """Open versions; reads only the newest folder."""
-        return self._open_at(self.last_version())
+        folds = self.folds()
+        return self._open_after(folds[-1] if folds else None)
 
     def read(self) -> DataFrame:
         """Open and closed versions."""
-        last = self.last_version()
-        if last is None:
+        folds = self.folds()
+        if not folds:
             return self.spark.createDataFrame([], self._stored)
-        kept = F.when(F.col("is_current"), F.col("_version") == last).otherwise(F.col("_version") <= last)
+        # One number for each fold; with a pass a day, a few thousand after ten years.
+        closed = F.col("_version").isin([f.number for f in folds])
+        kept = F.when(F.col("is_current"), F.col("_version") == folds[-1].opened).otherwise(closed)
         return self._files().filter(kept).select(*self.columns)
 
+    # What changes it
+
+    def catch_up(self, exports: Sequence[Export], rows_of: Callable[[Sequence[View]], DataFrame], redate: int | None = None) -> int:
+        """Fold all exports that are new, and a re-dating at ``redate`` if it is later than every view, in one pass.
+
+        ``rows_of`` gives the rows of some views with the time of the view in the column ``AT``. It is asked for views of known
+        exports only if an export arrived before a re-dating. Returns the number of views that were folded. A known export with other rows, and an
+        export older than the newest known one, raise ``LateRows``.
+        """
+        folds = self.folds()
+        live = [v for f in folds for v in f.views]
+        known = {v.at: v.export for v in live if v.is_export}
+        for e in exports:
+            if e.at in known and known[e.at].checksum != e.checksum:
+                raise LateRows(f"snapshot {e.at}: {e.rows} rows with other content than the {known[e.at].rows} applied")
+            if e.at not in known and known and e.at < max(known):
+                raise LateRows(f"snapshot {e.at}: {e.rows} rows now, none when later ones were applied")
+        every = {**known, **{e.at: e for e in exports}}
+        dates = {v.at for v in live if not v.is_export}
+        if redate is not None and every and redate > max([*every, *dates]):
+            dates.add(redate)
+        wanted = [View(at, every[at] if at in every else every[max(t for t in every if t < at)]) for at in sorted({*every, *dates})]
+
+        kept, place = [], 0
+        for fold in folds:
+            if tuple(wanted[place:place + len(fold.views)]) != fold.views:
+                break
+            kept.append(fold)
+            place += len(fold.views)
+        due = wanted[place:]
+        if due:
+            missing = {v.export.at for v in due} - {e.at for e in exports} - set(known)
+            if missing:
+                raise LateRows(f"rows of snapshots {sorted(missing)} are needed again")
+            self._fold(kept[-1] if kept else None, max((f.number for f in _records(self.spark, self.path)), default=0) + 1, due, rows_of)
+        return len(due)
+
+    def _fold(self, base: Fold | None, number: int, views: list[View], rows_of: Callable[[Sequence[View]], DataFrame]) -> None:
+        versions = fold_scd2(self._open_after(base), rows_of(views), [v.at for v in views], self.keys, AT, self.untracked)
+        opened = number
+        if base is not None and not any(v.is_export for v in views):
+            # Only dates passed. Most of them change nothing, and then there is nothing to write.
+            since = F.timestamp_micros(F.lit(views[0].at))
+            if versions.filter((F.col(START) >= since) | F.col(END).isNotNull()).isEmpty():
+                opened = base.opened
+        if opened == number:
+            versions.select(*self.columns, F.col(END).isNull().alias("is_current")).write.mode("overwrite").partitionBy(
+                "is_current").parquet(f"{self.path}/_version={number}")
+        _record(self.spark, self.path, Fold(number, base.number if base else None, opened, tuple(views)))
+
     def apply(self, snapshot: DataFrame, version: dt.datetime | str | int) -> bool:
-        """Apply one snapshot; one that is not newer than the last is left out.
+        """Apply one whole export under its time; the same export again is left out.
 
         ``version`` is the snapshot's time, or its microseconds since the epoch.
         """
-        if not isinstance(version, int):
-            at = F.lit(str(version)).cast("timestamp")
-            version = self.spark.range(1).select(F.unix_micros(at)).first()[0]
-        last = self.last_version()
-        if last is not None and version <= last:
-            return False
-        delta = scd2_delta(
-            self._open_at(last), snapshot, self.keys, F.timestamp_micros(F.lit(version)), self.untracked)
-        delta.select(*self.columns, F.col(END).isNull().alias("is_current")).write.mode("overwrite").partitionBy(
-            "is_current").parquet(f"{self.path}/_version={version}")
-        write_commit(self.spark, self.path, version, snapshot.count())
-        return True
-
-    def refresh(self, snapshot: DataFrame, version: dt.datetime | str) -> bool:
-        """Apply the newest snapshot once more as seen later; without any change nothing is written."""
-        at = F.lit(str(version)).cast("timestamp")
-        last, micros = self.last_version(), self.spark.range(1).select(F.unix_micros(at)).first()[0]
-        if last is None or micros <= last:
-            return False
-        delta = scd2_delta(self.current(), snapshot, self.keys, at, self.untracked)
-        if delta.filter((F.col(START) == at) | F.col(END).isNotNull()).isEmpty():
-            return False
-        return self.apply(snapshot, micros)
+        at = version if isinstance(version, int) else micros(self.spark, version)
+        found = snapshot.agg(*checksum([c for c in snapshot.columns if c != SNAPSHOT_TS])).first()
+        export = Export(at, found.rows, found.checksum)
+        return self.catch_up([export], lambda views: _at_own_time(self._only(views, export, snapshot), F.lit(at))) > 0
+
+    def _only(self, views: Sequence[View], export: Export, snapshot: DataFrame) -> DataFrame:
+        if [v for v in views if v.export != export or not v.is_export]:
+            raise LateRows(f"snapshot {export.at} lies before a re-dating; offer it with the exports from there on")
+        return snapshot
 
     def apply_all(self, snapshots: DataFrame, ts_col: str = SNAPSHOT_TS) -> int:
-        """Apply every newer snapshot in ``snapshots`` from oldest to newest.
+        """Fold every newer snapshot in ``snapshots``, one or many, in one pass.
 
-        Rows that were not there when their snapshot was applied, and whole snapshots older than the newest applied one, would
-        be lost: they raise ``LateRows``. A snapshot that is offered again with the same number of rows is left out.
+        Rows that were not there when their snapshot was applied, or that differ now, and whole snapshots older than the newest applied
+        one, would be lost: they raise ``LateRows``. A snapshot that is offered again as it was is left out.
         """
-        known = self.commits()
-        last = max(known, default=None)
-        counted = snapshots.groupBy(F.unix_micros(ts_col).alias("t")).count().collect()  # one row for each export
-        for t, rows in counted:
-            if last is not None and t <= last and known.get(t) != rows:
-                raise LateRows(f"snapshot {t}: {rows} rows now, {known.get(t, 'none')} when later ones were applied")
-        newer = sorted(t for t, _ in counted if last is None or t > last)
-        return sum(self.apply(snapshots.filter(F.col(ts_col) == F.timestamp_micros(F.lit(t))), t) for t in newer)
-
-
-def read_commits(spark: SparkSession, path: str) -> dict[int, int]:
-    """Versions and rows of the commit records below ``path``."""
-    try:
-        records = spark.read.schema("version bigint, rows bigint").json(f"{path}/_commits")
-    except AnalysisException:
-        return {}
-    return {r.version: r.rows for r in records.collect()}
+        found = snapshots.groupBy(F.unix_micros(ts_col).alias("at")).agg(*checksum([c for c in snapshots.columns if c != ts_col]))
+        exports = [Export(r["at"], r["rows"], r["checksum"]) for r in found.collect()]  # one row for each export
+
+        def rows_of(views: Sequence[View]) -> DataFrame:
+            late = [v.at for v in views if not v.is_export or v.export not in exports]
+            if late:
+                raise LateRows(f"rows of views {late} are needed again")
+            at = F.unix_micros(ts_col)
+            return _at_own_time(snapshots.filter(at.isin([v.at for v in views])), at)
+
+        return self.catch_up(exports, rows_of)
+
 
+def _at_own_time(rows: DataFrame, at: Column) -> DataFrame:
+    return rows.withColumn(AT, at.cast("long"))
 
-def write_commit(spark: SparkSession, path: str, version: int, rows: int) -> None:
-    """Declare a version applied; written after its data."""
-    record = spark.range(1).coalesce(1).select(F.lit(version).cast("long").alias("version"), F.lit(rows).cast("long").alias("rows"))
-    record.write.mode("append").json(f"{path}/_commits")
+
+def micros(spark: SparkSession, at: dt.datetime | str) -> int:
+    """A time as microseconds since the epoch, in the session's time zone."""
+    return spark.range(1).select(F.unix_micros(F.lit(str(at)).cast("timestamp"))).first()[0]
+
+
+def _records(spark: SparkSession, path: str) -> list[Fold]:
+    """All commit records below ``path``; one small row for each fold."""
+    try:
+        rows = spark.read.schema(RECORDS).json(f"{path}/_commits").collect()
+    except AnalysisException as error:
+        if is_missing(error):
+            return []
+        raise
+    return [Fold(r.number, r.before, r.opened, tuple(View(v["at"], Export(v.source, v["rows"], v.checksum)) for v in r["views"])) for r in rows]
+
+
+def _record(spark: SparkSession, path: str, fold: Fold) -> None:
+    """Declare a fold applied; written after its data."""
+    views = [(v.at, "export" if v.is_export else "re-dating", v.export.at, v.export.rows, v.export.checksum) for v in fold.views]
+    row = [(fold.number, fold.before, fold.opened, views)]
+    spark.createDataFrame(row, RECORDS).coalesce(1).write.mode("append").json(f"{path}/_commits")
 
 
 def follow_snapshots(
