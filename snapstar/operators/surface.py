@@ -81,6 +81,32 @@ def governed_rows(
     return rows[:cap], len(rows) > cap
 
 
+@dataclass(frozen=True)
+class Answer:
+    """What a question by SQL comes to: columns, rows and their number, or why there is none."""
+
+    columns: tuple[str, ...] = ()
+    rows: tuple[Row, ...] = ()
+    row_count: int = 0
+    capped: bool = False
+    error: str | None = None
+
+
+def governed_answer(
+    spark: SparkSession, query: str, allowed: Mapping[str, Callable[[SparkSession], DataFrame]], cap: int = ROW_CAP,
+) -> Answer:
+    """At most ``cap`` rows of a governed query as a whole answer. A refused or failing statement is an answer, too, so that the one who
+    asks can mend it; nothing is raised."""
+    try:
+        found = _governed(spark, query, allowed)
+        rows = found.limit(cap + 1).collect()
+    except QueryRejected as error:
+        return Answer(error=f"refused: {error}")
+    except Exception as error:  # whatever the statement's execution runs into
+        return Answer(error=f"failed: {str(error).splitlines()[0]}")
+    return Answer(tuple(found.columns), tuple(rows[:cap]), min(len(rows), cap), len(rows) > cap)
+
+
 def _governed(spark: SparkSession, query: str, allowed: Mapping[str, Callable[[SparkSession], DataFrame]]) -> DataFrame:
     wrapped = f"SELECT * FROM (\n{query.strip().rstrip(';')}\n)"
     child = spark.newSession()
@@ -110,6 +136,7 @@ class TableMeta:
     description: str
     primary_key: str
     foreign_keys: Mapping[str, tuple[str, str]] = field(default_factory=dict)
+    columns: Mapping[str, str] = field(default_factory=dict)  # what a column means, where its name doesn't say it
 
 
 def catalog_tables(spark: SparkSession, meta: Sequence[TableMeta]) -> DataFrame:
@@ -119,9 +146,9 @@ def catalog_tables(spark: SparkSession, meta: Sequence[TableMeta]) -> DataFrame:
 
 
 def catalog_columns(
-    spark: SparkSession, frames: Mapping[str, DataFrame], meta: Sequence[TableMeta], table: str | None = None
+    spark: SparkSession, frames: Mapping[str, DataFrame], meta: Sequence[TableMeta], table: str | None = None, described: bool = False,
 ) -> DataFrame:
-    """One row per column with its type, key role and reference; an unknown table is an error."""
+    """One row per column with its type, key role and reference, and what it means if ``described``; an unknown table is an error."""
     known = {m.name: m for m in meta}
     if table is not None and table not in known:
         raise KeyError(f"unknown table {table!r}; known: {sorted(known)}")
@@ -131,11 +158,12 @@ def catalog_columns(
         for position, f in enumerate(frames[name].schema, 1):
             to = m.foreign_keys.get(f.name)
             rows.append((name, position, f.name, f.dataType.simpleString(), f.name == m.primary_key,
-                         to and to[0], to and to[1]))
-    return spark.createDataFrame(
+                         to and to[0], to and to[1], m.columns.get(f.name, "")))
+    listed = spark.createDataFrame(
         rows, "table_name string, position int, column string, type string, is_primary_key boolean, "
-              "references_table string, references_column string",
+              "references_table string, references_column string, description string",
     )
+    return listed if described else listed.drop("description")
 
 
 def sample_rows(df: DataFrame, n: int = 3, order_by: Sequence[str] | None = None) -> DataFrame:
@@ -149,7 +177,8 @@ def table_document(frames: Mapping[str, DataFrame], meta: Sequence[TableMeta], n
     for m in meta:
         df = frames[m.name]
         head = (f"Table: {m.name} ({m.kind})\nGrain: {m.grain}\nDescription: {m.description}\nColumns: "
-                + ", ".join(f"{f.name} ({f.dataType.simpleString()})" for f in df.schema) + "\nSample rows:\n")
+                + ", ".join(f"{f.name} ({f.dataType.simpleString()})" + (f" - {m.columns[f.name]}" if m.columns.get(f.name) else "") for f in df.schema)
+                + "\nSample rows:\n")
         cells = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("null"))) for c in df.columns]
         sample = sample_rows(df, n, [m.primary_key]).select(
             F.col(m.primary_key).alias("_k"), F.concat_ws(", ", *cells).alias("_line"))

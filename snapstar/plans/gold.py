@@ -7,8 +7,10 @@ as exact decimals and leave as doubles.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from ..operators.snapshots import current
 from ..sources.calendars import dim_date
 from ..sources.landing import write_gold
 
+# The columns of the tables.
 DEPARTMENT = ["department_id", "department_name"]
 SUPPLIER = ["supplier_id", "supplier_name", "supplier_city"]
 CPV = ["cpv_code", "cpv_description"]
@@ -217,34 +220,56 @@ def mv_avg_payment_delay_kpi(invoices: DataFrame, projects: DataFrame, departmen
     )
 
 
-def build_gold(spark: SparkSession, silver: Mapping[str, DataFrame], out: str) -> dict[str, DataFrame]:
-    """Write all 16 tables below ``out``, each read back before the next one uses it."""
-    gold: dict[str, DataFrame] = {}
+# Tables that need no other gold table, those that need these, and so on.
+WAVES = (
+    ("fact_invoices", "fact_procurement_bids", "fact_contract_financials", "dim_contract", "dim_procedure", "fact_purchase_orders", "dim_project",
+     "dim_department", "dim_supplier", "dim_cpv", "dim_date"),
+    ("fact_procurement_performance", "fact_project_financials", "mv_avg_payment_delay_kpi"),
+    ("mv_procurement_savings_kpi", "mv_project_realization_kpi"),
+)
+
 
-    def keep(name: str, make: Callable[..., DataFrame], *inputs: DataFrame) -> None:
-        write_gold(make(*inputs), f"{out}/{name}")
-        gold[name] = spark.read.parquet(f"{out}/{name}")
+def side_by_side(jobs: Sequence[Callable[[], object]], at_once: int = 4) -> None:
+    """Run driver-side calls that start Spark jobs a few at a time, so that small jobs don't wait for each other."""
+    with ThreadPoolExecutor(at_once) as pool:
+        for done in [pool.submit(inheritable_thread_target(job)) for job in jobs]:
+            done.result()
 
+
+def build_gold(spark: SparkSession, silver: Mapping[str, DataFrame], out: str) -> dict[str, DataFrame]:
+    """Write all 16 tables below ``out``, each read back before another one uses it; independent ones are written side by side."""
+    gold: dict[str, DataFrame] = {}
     s = silver
-    keep("dim_department", dim_department, s["department_lookup"])
-    keep("dim_supplier", dim_supplier, s["supplier_lookup"])
-    keep("dim_cpv", dim_cpv, s["cpv_lookup"])
-    keep("dim_date", lambda: dim_date(spark))
-    keep("dim_project", dim_project, s["projects"])
-    keep("dim_contract", dim_contract, s["contracts"], s["contract_annexes"])
-    keep("dim_procedure", dim_procedure, s["procurement_procedures"], s["procurement_plan"])
-    keep("fact_invoices", fact_invoices, s["invoices"])
-    keep("fact_purchase_orders", fact_purchase_orders, s["purchase_orders"])
-    keep("fact_contract_financials", fact_contract_financials, s["contracts"], s["contract_annexes"])
-    keep("fact_procurement_bids", fact_procurement_bids, s["procurement_bids"])
-    keep("fact_procurement_performance", fact_procurement_performance, s["procurement_plan"],
-         s["procurement_procedures"], gold["fact_procurement_bids"])
-    keep("fact_project_financials", fact_project_financials, s["projects"], gold["fact_contract_financials"],
-         gold["dim_contract"], s["invoices"])
-    keep("mv_procurement_savings_kpi", mv_procurement_savings_kpi, gold["fact_procurement_performance"],
-         gold["dim_procedure"], gold["dim_project"], gold["dim_department"], gold["dim_cpv"], gold["dim_supplier"])
-    keep("mv_project_realization_kpi", mv_project_realization_kpi, gold["fact_project_financials"],
-         gold["dim_project"], gold["dim_department"])
-    keep("mv_avg_payment_delay_kpi", mv_avg_payment_delay_kpi, gold["fact_invoices"], gold["dim_project"],
-         gold["dim_department"])
-    return gold
+    makers: dict[str, Callable[[], DataFrame]] = {
+        "dim_department": lambda: dim_department(s["department_lookup"]),
+        "dim_supplier": lambda: dim_supplier(s["supplier_lookup"]),
+        "dim_cpv": lambda: dim_cpv(s["cpv_lookup"]),
+        "dim_date": lambda: dim_date(spark),
+        "dim_project": lambda: dim_project(s["projects"]),
+        "dim_contract": lambda: dim_contract(s["contracts"], s["contract_annexes"]),
+        "dim_procedure": lambda: dim_procedure(s["procurement_procedures"], s["procurement_plan"]),
+        "fact_invoices": lambda: fact_invoices(s["invoices"]),
+        "fact_purchase_orders": lambda: fact_purchase_orders(s["purchase_orders"]),
+        "fact_contract_financials": lambda: fact_contract_financials(s["contracts"], s["contract_annexes"]),
+        "fact_procurement_bids": lambda: fact_procurement_bids(s["procurement_bids"]),
+        "fact_procurement_performance": lambda: fact_procurement_performance(
+            s["procurement_plan"], s["procurement_procedures"], gold["fact_procurement_bids"]),
+        "fact_project_financials": lambda: fact_project_financials(
+            s["projects"], gold["fact_contract_financials"], gold["dim_contract"], s["invoices"]),
+        "mv_procurement_savings_kpi": lambda: mv_procurement_savings_kpi(
+            gold["fact_procurement_performance"], gold["dim_procedure"], gold["dim_project"], gold["dim_department"],
+            gold["dim_cpv"], gold["dim_supplier"]),
+        "mv_project_realization_kpi": lambda: mv_project_realization_kpi(
+            gold["fact_project_financials"], gold["dim_project"], gold["dim_department"]),
+        "mv_avg_payment_delay_kpi": lambda: mv_avg_payment_delay_kpi(
+            gold["fact_invoices"], gold["dim_project"], gold["dim_department"]),
+    }
+
+    def keep(name: str) -> None:
+        table = makers[name]()
+        write_gold(table, f"{out}/{name}")
+        gold[name] = spark.read.schema(table.schema).parquet(f"{out}/{name}")
+
+    for wave in WAVES:
+        side_by_side([lambda n=name: keep(n) for name in wave])
+    return {name: gold[name] for name in makers}

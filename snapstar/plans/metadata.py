@@ -2,12 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from ..operators.relations import Relationship
 from ..operators.surface import TableMeta
 
+# What columns mean beyond their names. One meaning holds wherever a column of that name occurs, unless the table has its own.
+COLUMNS: Mapping[str, str] = {
+    "cpv_code": "procurement category", "cpv_description": "the category in words", "date": "calendar day", "is_weekend": "Saturday or Sunday",
+    "eu_program": "European program that pays, null for the city's own projects", "planned_quarter": "quarter the purchase was planned for, such as 1998-Q2",
+    "evidence_number": "item of the procurement plan", "contract_deadline": "deadline as signed", "current_deadline": "deadline in force after all annexes",
+    "payment_date": "null while unpaid", "invoice_status": "payment status, or Overdue if unpaid after the due date",
+    "days_late": "days from due date to payment; null while unpaid, negative if paid early", "order_amount": "amount of the order in euro",
+    "invoice_amount": "amount of the invoice", "contract_amount": "amount as signed", "total_annex_adjustments": "sum of all annexes, zero without any",
+    "annex_count": "number of annexes", "total_contract_value": "signed amount and all annexes", "is_awarded": "whether the bid won; null without a status",
+    "estimated_value": "planned value of the procedure", "awarded_bid_amount": "amount of the winning bid, null without one",
+    "awarded_supplier_id": "supplier of the winning bid", "awarded_supplier_name": "name of the winning supplier", "bid_count": "number of bids, zero without any",
+    "procurement_savings": "estimate less winning bid; null without an award, negative if dearer",
+    "savings_pct": "savings over the estimate; roll up as a ratio of sums", "planned_amount": "planned cost of the project",
+    "city_share_amount": "part of the plan the city pays", "external_share_amount": "part of the plan others pay", "contract_count": "number of contracts, zero without any",
+    "total_contracted_value": "value of all contracts with annexes", "total_invoiced_amount": "all invoices", "total_paid_amount": "invoices with a payment date",
+    "realization_pct": "paid over contracted; null if nothing is contracted", "contracted_pct": "contracted over planned",
+    "eu_share_pct": "external share over contracted", "paid_invoice_count": "invoices with a payment date", "avg_days_late": "mean of days late over paid invoices",
+}
+
 # name, kind, primary key, grain, description, foreign keys (column -> table, column)
 GOLD_TABLES = tuple(
-    TableMeta(name, kind, grain, description, key, refs)
+    TableMeta(name, kind, grain, description, key, refs, COLUMNS)
     for name, kind, key, grain, description, refs in (
         ("dim_department", "dimension", "department_id", "one row per department", "Departments.", {}),
         ("dim_supplier", "dimension", "supplier_id", "one row per supplier", "Suppliers and their city.", {}),

@@ -160,6 +160,48 @@ _history("hist", f"{_KEPT} OR amount IS DISTINCT FROM was_amount")
 _history("hist_loose", _KEPT)
 
 
+# Base relation of each entity's export: key, changed column and its changed value, columns that come out unchanged.
+_ENTITY_ROWS = {
+    "projects": ("project", "project_id", "project_name", "project_name || '!'", ()),
+    "budget_plan": ("part", "p_partkey AS budget_item_id", "p_retailprice AS amount", "p_retailprice + 1", ()),
+    "procurement_plan": ("ord WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)", "o_orderkey AS evidence_number", "o_totalprice AS estimated_value", "o_totalprice + 1", ()),
+    "procurement_procedures": ("ord", "o_orderkey AS procedure_id", "o_orderstatus AS procedure_status", "o_orderstatus || '!'",
+                               ("o_orderdate AS publication_date", "o_orderdate + 30 AS selection_decision_date")),
+    "procurement_bids": ("fact_procurement_bids", "bid_id", "bid_amount", "bid_amount + 1", ()),
+    "contracts": ("dim_contract", "contract_id", "contract_status", "contract_status || '!'", ("signature_date", "contract_deadline")),
+    "contract_annexes": ("(SELECT *, l_orderkey || '-' || l_linenumber AS annex_id FROM lines WHERE l_returnflag = 'R')", "annex_id", "l_orderkey AS contract_id", "l_orderkey + 1",
+                         ("CAST(l_shipdate AS DATE) AS annex_date", "CASE WHEN l_linestatus = 'F' THEN CAST(l_shipdate AS DATE) END AS new_deadline")),
+    "purchase_orders": ("fact_purchase_orders", "purchase_order_id", "order_description", "order_description || '!'", ("order_date",)),
+    "cpv_lookup": ("dim_cpv", "cpv_code", "cpv_description", "cpv_description || '!'", ()),
+    "department_lookup": ("dim_department", "department_id", "department_name", "department_name || '!'", ()),
+    "dashboard_summary": ("(SELECT event_type AS metric, COUNT(*) AS value FROM events GROUP BY event_type)", "metric", "value", "value + 1", ()),
+    "summary_by_year": ("(SELECT year(o_orderdate) AS year, COUNT(*) AS orders FROM ord GROUP BY 1)", "year", "orders", "orders + 1", ()),
+    "source_notes": ("nation", "n_name AS source_name", "CAST(n_regionkey AS VARCHAR) AS note", "n_regionkey || '!'", ()),
+}
+_LOOKUPS = ("cpv_lookup", "department_lookup", "dashboard_summary", "summary_by_year", "source_notes")
+
+
+def _entity(name: str) -> str:
+    """Two exports of an entity, as type 1 or type 2."""
+    relation, key, column, changed, others = _ENTITY_ROWS[name]
+    named = lambda e: e.split(" AS ")[-1]
+    k, c = named(key), named(column)
+    kind = "DOUBLE" if c in ("amount", "estimated_value", "bid_amount") else "VARCHAR"
+    rest = "".join(f", {o}" for o in others)
+    base = f"""SELECT *, ascii(right({k}, 1)) AS n FROM (SELECT CAST({key.rsplit(" AS ", 1)[0]} AS VARCHAR) AS {k}, CAST({column.rsplit(" AS ", 1)[0]} AS {kind}) AS {c},
+        CAST({changed} AS {kind}) AS changed{rest} FROM {relation})"""
+    kept = "".join(f", {named(o)}" for o in others)
+    later = f"SELECT {k}, CASE WHEN n % 3 = 0 THEN changed ELSE {c} END AS {c}{kept} FROM ({base}) WHERE n % 7 <> 2"
+    if name in _LOOKUPS:
+        return later
+    seen = f"""SELECT {k}, {c}{kept}, TIMESTAMP '1997-12-31' AS since FROM ({base}) WHERE n % 5 <> 1
+        UNION ALL SELECT *, TIMESTAMP '1998-12-31' FROM ({later})"""
+    return f"""SELECT {k}, {c}{kept}, since AS __START_AT,
+        CASE WHEN since = TIMESTAMP '1997-12-31' AND NOT (has_next AND {c} IS NOT DISTINCT FROM next) THEN TIMESTAMP '1998-12-31' END AS __END_AT
+        FROM (SELECT *, LEAD({c}) OVER w AS next, LEAD(since) OVER w IS NOT NULL AS has_next, LAG({c}) OVER w AS before, LAG(since) OVER w IS NOT NULL AS had FROM ({seen})
+        WINDOW w AS (PARTITION BY {k} ORDER BY since)) WHERE NOT (had AND {c} IS NOT DISTINCT FROM before)"""
+
+
 def _status(day: str) -> str:
     """An invoice's status on a day."""
     return f"(CASE WHEN payment_date IS NULL AND due_date < {day} THEN 'Overdue' ELSE payment_status END)"
@@ -251,17 +293,18 @@ def _catalog_columns(tables: dict[str, list[tuple[str, str]]]) -> str:
         for i, (c, kind) in enumerate(tables.get(m.name, ()), 1):
             to = m.foreign_keys.get(c, (None, None))
             refs = ", ".join("NULL" if x is None else f"'{x}'" for x in to)
-            parts.append(f"""SELECT '{m.name}', '{c}', {i}, '{kind}', {c == m.primary_key}, {refs},
+            meaning = m.columns.get(c, "").replace("'", "''")
+            parts.append(f"""SELECT '{m.name}', '{c}', {i}, '{kind}', {c == m.primary_key}, {refs}, '{meaning}',
                 COUNT(*) - COUNT({c}), COUNT(DISTINCT {c}) FROM {_relation(m.name)}""")
-    names = ('table_name, "column", position, type, is_primary_key, references_table, references_column, nulls, '
-             "distinct_values")
+    names = ('table_name, "column", position, type, is_primary_key, references_table, references_column, description, '
+             "nulls, distinct_values")
     return f"SELECT * FROM ({' UNION ALL '.join(parts)}) AS t({names})"
 
 
 def _document(name: str, columns: list[tuple[str, str]]) -> str:
     m = next(t for t in GOLD_TABLES if t.name == name)
     head = (f"Table: {m.name} ({m.kind})\nGrain: {m.grain}\nDescription: {m.description}\nColumns: "
-            + ", ".join(f"{c} ({k})" for c, k in columns) + "\nSample rows:\n").replace("'", "''")
+            + ", ".join(f"{c} ({k})" + (f" - {m.columns[c]}" if m.columns.get(c) else "") for c, k in columns) + "\nSample rows:\n").replace("'", "''")
     cells = " || ', ' || ".join(f"'{c}=' || COALESCE(CAST({c} AS VARCHAR), 'null')" for c, _ in columns)
     return f"""SELECT '{name}' AS table_name, '{head}' || string_agg({cells}, chr(10) ORDER BY {m.primary_key})
         AS document FROM (SELECT * FROM {_relation(name)} ORDER BY {m.primary_key} LIMIT 3)"""
@@ -604,6 +647,10 @@ _BODIES = {
         f"""SELECT '{m.name}' AS table_name, '{m.kind}' AS kind, '{m.grain}' AS grain,
         '{m.description.replace("'", "''")}' AS description,
         (SELECT COUNT(*) FROM {"days" if m.name == "dim_date" else m.name}) AS rows""" for m in GOLD_TABLES),
+    **{f"ingest_{name}": _entity(name) for name in _ENTITY_ROWS},
+    "governed_answers": """SELECT * FROM (VALUES (1, FALSE, 'n_name, customers', (SELECT COUNT(DISTINCT c_nationkey) FROM customer), FALSE),
+        (2, FALSE, 'c_custkey', (SELECT LEAST(COUNT(*), 500) FROM customer), (SELECT COUNT(*) > 500 FROM customer)), (3, TRUE, '', 0, FALSE),
+        (4, TRUE, '', 0, FALSE), (5, TRUE, '', 0, FALSE), (6, TRUE, '', 0, FALSE)) v(statement, is_error, columns, row_count, capped)""",
     "catalog_columns": _catalog_columns(_gold_columns()),
     "table_sample": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders
         ORDER BY o_orderkey LIMIT 3""",

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.columns import AWARDED, exact_sum
+from ..functions.columns import AWARDED, date_to_serial, exact_sum
 from ..functions.measures import awarded_amount, count_other_than, rejected_amount, selected_value, sum_where
 from ..operators import history, matrix, point_in_time, profile, quality, relations, surface, vectors
 from ..operators.snapshots import (
@@ -391,6 +391,47 @@ def _(m: SampleModel) -> DataFrame:
     return ingest_entity(m.spark, cfg, base, schema).select(F.col("supplier_id").cast("bigint"), "supplier_name")
 
 
+# What each entity exports here: its rows, and the column that changes.
+ENTITY_ROWS: dict[str, tuple[Callable[[SampleModel], DataFrame], str]] = {
+    "projects": (lambda m: m.projects, "project_name"),
+    "budget_plan": (lambda m: m.table("part").select(F.col("p_partkey").alias("budget_item_id"), F.col("p_retailprice").alias("amount"), "p_brand"), "amount"),
+    "procurement_plan": (lambda m: m.plan, "estimated_value"),
+    "procurement_procedures": (lambda m: m.procedures, "procedure_status"),
+    "procurement_bids": (lambda m: m.bids, "bid_amount"),
+    "contracts": (lambda m: current(m.contracts), "contract_status"),
+    "contract_annexes": (lambda m: m.annexes, "contract_id"),
+    "purchase_orders": (lambda m: m.purchase_orders, "order_description"),
+    "cpv_lookup": (lambda m: m.cpv, "cpv_description"),
+    "department_lookup": (lambda m: m.departments, "department_name"),
+    "dashboard_summary": (lambda m: m.table("events").groupBy(F.col("event_type").alias("metric")).agg(F.count(F.lit(1)).alias("value")), "value"),
+    "summary_by_year": (lambda m: m.orders.groupBy(F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).alias("orders")), "orders"),
+    "source_notes": (lambda m: m.table("nation").select(F.col("n_name").alias("source_name"), F.col("n_regionkey").cast("string").alias("note")), "note"),
+}
+
+
+def _ingest(m: SampleModel, name: str) -> DataFrame:
+    """Two exports of an entity through all layers: the first lacks some rows, the second lacks others and has changed ones."""
+    base, cfg = scratch_dir(m.spark, name), ENTITIES[name]
+    rows, changing = ENTITY_ROWS[name]
+    silver = rows(m)
+    raw = silver.drop(START, END).withColumns({c: date_to_serial(c) for c in cfg.serial_dates})
+    key = cfg.keys[0]
+    n = F.ascii(F.right(F.col(key).cast("string"), F.lit(1)))
+    is_text = raw.schema[changing].dataType.simpleString() == "string"
+    changed = F.concat(F.col(changing), F.lit("!")) if is_text else F.col(changing) + 1
+    landing.land_snapshot({name: raw.filter(n % 5 != 1)}, f"{base}/landing", "r1", "1997-12-31")
+    ingest_entity(m.spark, cfg, base, raw.schema)
+    landing.land_snapshot({name: raw.filter(n % 7 != 2).withColumn(changing, F.when(n % 3 == 0, changed).otherwise(F.col(changing)))},
+                          f"{base}/landing", "r2", "1998-12-31")
+    history_ = ingest_entity(m.spark, cfg, base, raw.schema)
+    value = F.col(changing) if raw.schema[changing].dataType.simpleString() == "double" else F.col(changing).cast("string").alias(changing)
+    return history_.select(F.col(key).cast("string").alias(key), value, *cfg.serial_dates, *([START, END] if cfg.scd_type == 2 else []))
+
+
+for _name in ENTITY_ROWS:
+    query(f"ingest_{_name}")(lambda m, n=_name: _ingest(m, n))
+
+
 def _two_exports(m: SampleModel, base: str) -> None:
     """The orders, then again with customers as codes, prices halved, a new column and without priorities."""
     orders = m.table("orders")
@@ -449,7 +490,7 @@ def _(m: SampleModel) -> DataFrame:
 @query("graph_selection")
 def _(m: SampleModel) -> DataFrame:
     """Two departments and the pending contracts, carried to all 16 tables: rows left, and their first and last key."""
-    left = relations.select_across(m.stored_gold, RELATIONSHIPS, {
+    left = relations.select_across(m.stored_gold.build_all(), RELATIONSHIPS, {
         "dim_department": F.col("department_id").isin(3, 7), "dim_contract": F.col("contract_status") == "P"})
     parts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"), F.min(PRIMARY_KEYS[name]).cast("string").alias("first_key"),
                     F.max(PRIMARY_KEYS[name]).cast("string").alias("last_key")) for name, df in left.items()]
@@ -459,7 +500,7 @@ def _(m: SampleModel) -> DataFrame:
 @query("awarded_estimated_value")
 def _(m: SampleModel) -> DataFrame:
     facts = relations.related(
-        m.stored_gold["fact_procurement_bids"], m.stored_gold["fact_procurement_performance"], "procedure_id", "estimated_value")
+        m.gold["fact_procurement_bids"], m.gold["fact_procurement_performance"], "procedure_id", "estimated_value")
     return facts.groupBy("supplier_id").agg(
         sum_where(F.col("bid_status") == AWARDED, "estimated_value").alias("estimated_value_awarded"))
 
@@ -467,7 +508,7 @@ def _(m: SampleModel) -> DataFrame:
 @query("awarded_savings")
 def _(m: SampleModel) -> DataFrame:
     facts = relations.related(
-        m.stored_gold["fact_procurement_bids"], m.stored_gold["mv_procurement_savings_kpi"], "procedure_id",
+        m.gold["fact_procurement_bids"], m.gold["mv_procurement_savings_kpi"], "procedure_id",
         "procurement_savings", "department_id")
     return facts.groupBy("department_id").agg(
         sum_where(F.col("bid_status") == AWARDED, "procurement_savings").alias("procurement_savings_awarded"))
@@ -495,17 +536,20 @@ def _(m: SampleModel) -> DataFrame:
 
 @query("savings_matrix")
 def _(m: SampleModel) -> DataFrame:
-    return report.savings_matrix(m.stored_gold["mv_procurement_savings_kpi"], m.stored_gold["fact_procurement_bids"])
+    g = m.gold_storing("fact_procurement_bids", "mv_procurement_savings_kpi")
+    return report.savings_matrix(g["mv_procurement_savings_kpi"], g["fact_procurement_bids"])
 
 
 @query("savings_cards")
 def _(m: SampleModel) -> DataFrame:
-    return report.savings_cards(m.stored_gold["mv_procurement_savings_kpi"], m.stored_gold["fact_procurement_bids"])
+    g = m.gold_storing("fact_procurement_bids")
+    return report.savings_cards(g["mv_procurement_savings_kpi"], g["fact_procurement_bids"])
 
 
 @query("realization_matrix")
 def _(m: SampleModel) -> DataFrame:
-    return report.realization_matrix(m.stored_gold["mv_project_realization_kpi"], m.stored_gold["mv_procurement_savings_kpi"])
+    g = m.gold_storing("mv_project_realization_kpi", "mv_procurement_savings_kpi")
+    return report.realization_matrix(g["mv_project_realization_kpi"], g["mv_procurement_savings_kpi"])
 
 
 @query("realization_cards")
@@ -522,7 +566,7 @@ def _(m: SampleModel) -> DataFrame:
 @query("drillthrough")
 def _(m: SampleModel) -> DataFrame:
     return report.drillthrough(
-        3, m.stored_gold["fact_invoices"], m.stored_gold["fact_purchase_orders"], m.stored_gold["dim_contract"], m.stored_gold["dim_project"])
+        3, m.gold["fact_invoices"], m.gold["fact_purchase_orders"], m.gold["dim_contract"], m.gold["dim_project"])
 
 
 @query("worst_savings_department")
@@ -600,24 +644,34 @@ def _(m: SampleModel) -> DataFrame:
         allowed)
 
 
+@query("governed_answers")
+def _(m: SampleModel) -> DataFrame:
+    """Six statements as answers: two that run, one of them capped, and four that are refused or fail."""
+    allowed = {t: (lambda s, p=f"{m.sf_dir}/{t}.parquet": s.read.parquet(p)) for t in ("customer", "nation")}
+    statements = (
+        "SELECT n_name, count(*) AS customers FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY n_name", "SELECT c_custkey FROM customer",
+        "DROP TABLE customer", "SELECT * FROM orders", "SELECT nothing FROM nation", "SELECT raise_error('no') FROM nation")
+    answers = [(i, surface.governed_answer(m.spark, sql, allowed)) for i, sql in enumerate(statements, 1)]
+    rows = [(i, a.error is not None, ", ".join(a.columns), a.row_count, a.capped) for i, a in answers]
+    return m.spark.createDataFrame(rows, "statement int, is_error boolean, columns string, row_count bigint, capped boolean")
+
+
 @query("catalog_tables")
 def _(m: SampleModel) -> DataFrame:
-    """The table list with the rows each table holds."""
-    counts = None
-    for t in GOLD_TABLES:
-        one = m.stored_gold[t.name].agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t.name).alias("table_name"), "rows")
-        counts = one if counts is None else counts.unionByName(one)
+    """The table list with the rows each table holds, as counted while it was written."""
+    written = m.stored_gold.build_all()
+    counts = m.spark.createDataFrame([(t.name, written.rows(t.name)) for t in GOLD_TABLES], "table_name string, rows bigint")
     return surface.catalog_tables(m.spark, GOLD_TABLES).join(counts, "table_name")
 
 
 @query("catalog_columns")
 def _(m: SampleModel) -> DataFrame:
     """Declared columns of every table with the profile of their data."""
-    profiled = None
+    profiled, written = None, m.stored_gold.build_all()
     for t in GOLD_TABLES:
-        one = profile.profile(m.stored_gold[t.name]).select(F.lit(t.name).alias("table_name"), "column", "nulls", "distinct_values")
+        one = profile.profile(written[t.name]).select(F.lit(t.name).alias("table_name"), "column", "nulls", "distinct_values")
         profiled = one if profiled is None else profiled.unionByName(one)
-    listed = surface.catalog_columns(m.spark, m.stored_gold, GOLD_TABLES)
+    listed = surface.catalog_columns(m.spark, written, GOLD_TABLES, described=True)
     return listed.join(profiled, ["table_name", "column"])
 
 
@@ -629,7 +683,7 @@ def _(m: SampleModel) -> DataFrame:
 
 @query("table_document")
 def _(m: SampleModel) -> DataFrame:
-    return surface.table_document(m.stored_gold, GOLD_TABLES)
+    return surface.table_document(m.stored_gold.build_all(), GOLD_TABLES)
 
 
 @query("build_gold")

@@ -2,29 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import AWARDED, exact, exact_sum, guarded_ratio, money
-from ..functions.measures import awarded_amount, count_other_than, rejected_amount, selected_value, sum_where
+from ..functions.measures import count_other_than, selected_value
 from ..operators.matrix import drill_matrix, ratio_of_sums
 from ..operators.relations import related
 from ..operators.snapshots import slice_by
 
 
 def savings_matrix(savings: DataFrame, bids: DataFrame, awarded: str = AWARDED) -> DataFrame:
-    """Project, plan item, procedure, bid: bid totals, awarded and rejected amounts, savings."""
-    facts = bids.select("procedure_id", "bid_id", "bid_amount", "bid_status").join(
-        savings.select("procedure_id", "project_id", "evidence_number", "estimated_value", "procurement_savings"),
-        "procedure_id")
+    """Project, plan item, procedure, bid: bid totals, awarded and rejected amounts, savings.
+
+    Bids shrink to one row per procedure before they are expanded to the depths above; the rows of single bids are added as they
+    are. Both come from one join, whose exchanges they share.
+    """
+    levels = ["project_id", "evidence_number", "procedure_id"]
+    # A procedure with several awards has several rows, each of which counts with all bids.
+    plans = savings.groupBy(*levels).agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum(exact("estimated_value")).alias("_estimated"), F.sum(exact("procurement_savings")).alias("_saved"))
+    facts = bids.select("procedure_id", "bid_id", "bid_amount", "bid_status").join(plans, "procedure_id")
     won = F.col("bid_status") == F.lit(awarded)
-    return drill_matrix(facts, ["project_id", "evidence_number", "procedure_id", "bid_id"], {
-        "bid_amount_sum": exact_sum("bid_amount"),
-        "estimated_value_awarded": sum_where(won, "estimated_value"),
-        "awarded_bid_amount": awarded_amount(awarded=awarded),
-        "rejected_bid_amount": rejected_amount(awarded=awarded),
-        "procurement_savings_awarded": sum_where(won, "procurement_savings"),
-    })
+    offered = exact("bid_amount") * F.col("_rows")
+
+    def shown(one: Column, all_won: Column) -> list[Column]:
+        return [F.when(all_won, one).alias("awarded_bid_amount"), F.when(~all_won, one).alias("rejected_bid_amount")]
+
+    sums = facts.groupBy(*levels).agg(
+        F.sum(offered).alias("_offered"), F.sum(F.when(won, F.col("_estimated"))).alias("_estimated"), F.sum(F.when(won, F.col("_saved"))).alias("_saved"),
+        F.count(F.lit(1)).alias("_n"), F.count_if(won).alias("_won"), F.min("bid_amount").alias("_low"), F.max("bid_amount").alias("_high"),
+        F.count("bid_amount").alias("_known"))
+    one = F.when(F.min("_low").eqNullSafe(F.max("_high")) & (F.sum("_known") == F.sum("_n")), F.max("_high"))
+    total = lambda c: money(F.sum(c)).cast("double")
+    awarded_amounts = dict(zip(("awarded_bid_amount", "rejected_bid_amount"), shown(one, F.sum("_won") == F.sum("_n"))))
+    totals = drill_matrix(sums, levels, {
+        "bid_amount_sum": total("_offered"), "estimated_value_awarded": total("_estimated"), **awarded_amounts, "procurement_savings_awarded": total("_saved")})
+    is_won = F.coalesce(won, F.lit(False))
+    leaves = facts.select(
+        F.lit(len(levels) + 1).cast("bigint").alias("level"), *levels, "bid_id", money(offered).cast("double").alias("bid_amount_sum"),
+        F.when(is_won, money("_estimated").cast("double")).alias("estimated_value_awarded"), *shown(F.col("bid_amount"), is_won),
+        F.when(is_won, money("_saved").cast("double")).alias("procurement_savings_awarded"))
+    return leaves.unionByName(totals.withColumn("bid_id", F.lit(None).cast(bids.schema["bid_id"].dataType)))
 
 
 def savings_cards(savings: DataFrame, bids: DataFrame, awarded: str = AWARDED) -> DataFrame:
@@ -45,9 +64,9 @@ def realization_matrix(realization: DataFrame, savings: DataFrame) -> DataFrame:
     of its project. ``sum_*`` adds the stored shares as the report does, the plain names
     are ratios of sums, which stay right on subtotals.
     """
-    per_procedure = savings.groupBy("project_id", "procedure_id").agg(
-        exact_sum("awarded_bid_amount").alias("awarded_bid"))
-    per_project = savings.groupBy("project_id").agg(exact_sum("awarded_bid_amount").alias("awarded_bid"))
+    awards = savings.groupBy("project_id", "procedure_id").agg(F.sum(exact("awarded_bid_amount")).alias("awarded_bid"))
+    per_procedure = awards.withColumn("awarded_bid", money("awarded_bid").cast("double"))
+    per_project = awards.groupBy("project_id").agg(exact_sum("awarded_bid").alias("awarded_bid"))
     amounts = ["planned_amount", "total_contracted_value", "total_invoiced_amount", "total_paid_amount",
                "external_share_amount"]
     shares = ["eu_share_pct", "contracted_pct"]

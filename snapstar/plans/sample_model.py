@@ -6,10 +6,10 @@ become bids, annexes, purchase orders and invoices. Frames are lazy and shared.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -37,12 +37,14 @@ _SCHEMAS: dict[str, StructType] = {}
 class GoldTables(Mapping[str, DataFrame]):
     """The 16 gold tables by name, each built when first asked for.
 
-    With a ``folder`` each is also written there, and it and everything built from it read the written table.
+    With a ``folder`` those in ``stored`` (all, if not given) are also written there, and they and everything built from them read the
+    written table; ``rows`` then tells how many rows were written.
     """
 
-    def __init__(self, model: SampleModel, folder: str | None = None) -> None:
+    def __init__(self, model: SampleModel, folder: str | None = None, stored: Sequence[str] | None = None) -> None:
         self._built: dict[str, DataFrame] = {}
-        self._folder = folder
+        self._folder, self._stored = folder, stored
+        self._seen: dict[str, Observation] = {}
         g, m = self, model
         self._makers: dict[str, Callable[[], DataFrame]] = {
             "dim_department": lambda: gold.dim_department(m.departments),
@@ -72,12 +74,23 @@ class GoldTables(Mapping[str, DataFrame]):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
             table = self._makers[name]()
-            if self._folder:
-                write_gold(table, f"{self._folder}/{name}")
+            if self._folder and (self._stored is None or name in self._stored):
+                self._seen[name] = Observation()
+                write_gold(table.observe(self._seen[name], F.count(F.lit(1)).alias("rows")), f"{self._folder}/{name}")
                 table = table.sparkSession.read.schema(table.schema).parquet(f"{self._folder}/{name}")
             self._built[name] = table
         return self._built[name]
 
+    def rows(self, name: str) -> int:
+        """Rows of a stored table, counted while it was written."""
+        return self[name] is not None and self._seen[name].get["rows"]
+
+    def build_all(self) -> GoldTables:
+        """Build every table, those of one wave side by side; a wave needs only tables of the waves before it."""
+        for wave in gold.WAVES:
+            gold.side_by_side([lambda n=name: self[n] for name in wave])
+        return self
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._makers)
 
@@ -270,6 +283,10 @@ class SampleModel:
         """Gold for queries that read one table several times; no table is computed twice."""
         return GoldTables(self, scratch_dir(self.spark, "gold"))
 
+    def gold_storing(self, *names: str) -> GoldTables:
+        """Gold of which only the named tables are stored: those that a query reads twice."""
+        return GoldTables(self, scratch_dir(self.spark, "gold"), names)
+
     # Snapshots
 
     @cached_property

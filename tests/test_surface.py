@@ -1,7 +1,9 @@
 import numpy as np
 import pytest
 
-from snapstar.operators.surface import QueryRejected, TableMeta, catalog_columns, governed_rows, governed_select, table_document
+from snapstar.operators.surface import (
+    QueryRejected, TableMeta, catalog_columns, governed_answer, governed_rows, governed_select, table_document,
+)
 from snapstar.operators.vectors import cosine_top_k, vector_upsert
 from snapstar.plans.metadata import GOLD_TABLES
 from snapstar.sources.traces import append_traces, read_traces, trace_summary
@@ -119,3 +121,25 @@ def test_traces_of_two_shapes(spark, tmp_path):
     got = {r["event"]: r for r in trace_summary(read_traces(spark, path), quantiles=[0.5]).collect()}
     assert (got["tool_call"]["calls"], got["tool_call"]["avg_s"], got["tool_call"]["input_tokens"]) == (2, 1.5, None)
     assert (got["model_call"]["input_tokens"], got["model_call"]["p50_s"]) == (10, 1.5)
+
+
+def test_answers_carry_columns_rows_and_errors(spark, allowed):
+    whole = governed_answer(spark, "SELECT n AS a, n + 1 AS b FROM numbers WHERE n < 2 ORDER BY n", allowed)
+    assert (whole.columns, [tuple(r) for r in whole.rows], whole.row_count, whole.capped, whole.error) == (("a", "b"), [(0, 1), (1, 2)], 2, False, None)
+    cut = governed_answer(spark, "SELECT n FROM numbers", allowed, cap=7)
+    assert (cut.row_count, len(cut.rows), cut.capped) == (7, 7, True)
+    assert governed_answer(spark, "SELECT n FROM numbers LIMIT 7", allowed, cap=7).capped is False
+    for sql, start in (("DELETE FROM numbers", "refused"), ("SELECT * FROM hidden", "refused"), ("SELECT nope FROM numbers", "refused"),
+                       ("SELECT raise_error('no') FROM numbers", "failed"), ("", "refused")):
+        answer = governed_answer(spark, sql, allowed)
+        assert answer.error.startswith(start) and not answer.rows and not answer.columns
+
+
+def test_columns_are_described(spark):
+    meta = [TableMeta("t", "fact", "one row per id", "Things.", "id", columns={"v": "what it is worth"})]
+    frames = {"t": spark.createDataFrame([(1, 2.0)], "id int, v double")}
+    got = {r["column"]: r["description"] for r in catalog_columns(spark, frames, meta, described=True).collect()}
+    assert got == {"id": "", "v": "what it is worth"}
+    assert "v (double) - what it is worth" in table_document(frames, meta).first()["document"]
+    used = {f for m in GOLD_TABLES for f in m.columns}
+    assert len(used) > 30
