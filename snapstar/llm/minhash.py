@@ -12,12 +12,13 @@ as with independent ones.
 1. Rows with the same set become one; its copies take no further part.
 2. A sketch is cut into bands of ``ROWS`` coordinates. Two sets of similarity 0.8 miss all 48 bands with
    probability 5e-7; those of similarity 0.01 share one with probability 5e-11.
-3. In each of ``STARS`` rounds every set that shares a band with the band's first set of another group is
-   compared, on the whole sets, with the one such first set that it shares most bands with. Groups that links join
-   are one from then on, so groups of copies of any size collapse without their pairs.
-4. What stars leave: all pairs of sets in one band that still belong to different groups, if the sketches
-   agree in as many coordinates as a linked pair does but with probability 3e-7, are compared on the whole sets too.
-   Bands with more than ``BLOCK`` sets are cut into blocks, one task for each pair of blocks.
+3. Every set that shares a band is compared, on the whole sets, with the one set that it shares most bands with among the
+   first sets of its bands. Groups that these links join are one from then on, so groups of copies of any size collapse
+   without their pairs.
+4. What this leaves: sets that shared bands connect form a cluster, and in a cluster all sets outside its largest group are compared with all sets
+   of other groups, first by sketches, then, if these agree in as many coordinates as a linked pair does but with
+   probability 3e-7, on the whole sets. A task holds blocks of ``BLOCK`` sets and returns links that join groups, no pairs. The largest
+   group's members don't meet each other, so a set moves as often as there are blocks of sets outside it.
 
 Texts are shuffled for sets that share a band only, and a set many others are compared with is dealt out to several
 tasks. Shingles of a text are compared by 64-bit hashes. Sets with fewer than 4 shingles link with equal sets only, as
@@ -45,8 +46,7 @@ ROWS, BANDS = 6, 48
 COORDINATES = ROWS * BANDS
 AGREE = 196  # of 288 coordinates: five standard deviations below 80 %
 LEAST = 4  # shingles of the smaller of two different linked sets
-STARS = 3
-BLOCK = 1024  # sets of one band, or texts compared with one set, in a task
+BLOCK = 1024  # sets of one side of a cluster, or texts compared with one set, in a task
 HASHES_AT_ONCE = 1 << 13
 UNFILLED = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -149,64 +149,114 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
 
 
 def star_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """For each set one pair (a, b): itself as b with the first set of another group that it shares most bands with.
-    ``rows`` are (key, sid, n, root, first), with first = (sid, n, root) of the band's first set."""
+    """For each set one pair (a, b): itself as b with the first set that it shares most bands with. ``rows`` are
+    (key, sid, n, first), with first = (sid, n) of the band's first set."""
     fits = 100 * F.least("n", "first.n") >= percent * F.greatest("n", "first.n")
-    apart = rows.filter((F.col("root") != F.col("first.root")) & fits)
+    apart = rows.filter((F.col("sid") != F.col("first.sid")) & fits)
     shared = apart.groupBy(F.col("sid").alias("b"), F.col("first.sid").alias("a")).agg(F.count("*").alias("bands"))
     return shared.groupBy("b").agg(F.max_by("a", F.struct("bands", "a")).alias("a")).select("a", "b")
 
 
-def rest_pairs(rows: DataFrame, sketches: DataFrame, agree: int = AGREE) -> DataFrame:
-    """All pairs (a, b) of sets that share a band, belong to different groups and have sketches that agree enough."""
-    sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("sid"), "blocks").cast("int")
-    tasks = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.least(own, other) * F.col("blocks") + F.greatest(own, other))
-    dealt = rows.select("key", "sid", "root").join(sizes, "key").join(sketches.select("sid", "sketch"), "sid")
-    together = dealt.select("key", "sid", "root", "sketch", F.explode(tasks).alias("task")).repartition("key", "task").sortWithinPartitions("key", "task")
+def two_components(rows: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Components of shared bands, and of links, each as (node, root): one graph that has every set twice."""
+    shared = rows.select(F.col("sid") * 2, F.col("first.sid") * 2)
+    both = components(shared.unionByName(links.select(F.col("u") * 2 + 1, F.col("v") * 2 + 1).toDF(*shared.columns)).toDF("u", "v"))
+    return tuple(both.filter(F.pmod("node", F.lit(2)) == side).select((F.expr("node div 2")).alias("node"), F.expr("root div 2").alias("root")) for side in (0, 1))
+
+
+def open_clusters(clusters: DataFrame, roots: DataFrame) -> DataFrame:
+    """(sid, root, cluster, main, own, task): sets of clusters that hold several groups, once for each task that compares
+    them. A cluster is a component of shared bands, ``main`` marks the members of its largest group, and ``own`` is a set's block
+    among the main or the other sets. Main blocks meet blocks of others, and those meet each other; main sets don't."""
+    clusters = clusters.select(F.col("node").alias("sid"), F.col("root").alias("cluster"))
+    clusters = clusters.unionByName(clusters.select(F.col("cluster").alias("sid"), "cluster").distinct())
+    named = clusters.join(roots, F.col("sid") == F.col("node"), "left").select("sid", "cluster", F.coalesce("root", "sid").alias("root"))
+    named = materialize(named, "minhash-clusters")
+    sizes = named.groupBy("cluster", "root").agg(F.count("*").alias("m"))
+    largest = sizes.groupBy("cluster").agg(F.max(F.struct("m", "root")).alias("most"), F.sum("m").alias("all")).filter("all > most.m")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("bigint")
+    sized = largest.select("cluster", F.col("most.root").alias("main_root"), blocks(F.col("most.m")).alias("mains"),
+                           blocks(F.col("all") - F.col("most.m")).alias("others"))
+    both = named.join(sized, "cluster").withColumn("main", F.col("root") == F.col("main_root"))
+    own = F.pmod(F.xxhash64("sid"), F.when(F.col("main"), F.col("mains")).otherwise(F.col("others")))
+    both = both.withColumn("own", own)
+    count = lambda n: F.sequence(F.lit(0).cast("bigint"), n - 1)
+    of_main = F.transform(count(F.col("others")), lambda j: F.col("own") * F.col("others") + j)
+    with_main = F.transform(count(F.col("mains")), lambda i: i * F.col("others") + F.col("own"))
+    with_other = F.transform(count(F.col("others")), lambda o: -1 - F.least("own", o) * F.col("others") - F.greatest("own", o))
+    tasks = F.when(F.col("main"), of_main).otherwise(F.concat(with_main, with_other))
+    return both.select("sid", "root", "cluster", "main", "own", F.explode(tasks).alias("task"))
+
+
+class _Groups:
+    """Groups that links join."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def of(self, x: int) -> int:
+        while x in self.up:
+            x = self.up[x]
+        return x
+
+    def join(self, a: int, b: int) -> None:
+        self.up[self.of(a)] = self.of(b)
+
+
+def compare_block(held: list[tuple], size: int, percent: int, agree: int) -> Iterator[tuple[int, int]]:
+    """Links that join different groups among the sets (sid, root, main, own, task, sketch, text) of one task: a spanning
+    forest of all links there. Pairs whose sketches agree enough are compared on the whole sets, the likeliest first."""
+    if not held:
+        return
+    roots = np.array([h[1] for h in held], np.int64)
+    main, own = np.array([h[2] for h in held], bool), np.array([h[3] for h in held], np.int64)
+    marks = np.stack([np.frombuffer(h[5], np.uint8) for h in held])
+    across = held[0][4] >= 0
+    apart = not across and len(np.unique(own)) > 1  # two blocks: pairs within one have a task of their own
+    groups, sets = _Groups(), {}
+
+    def whole(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = shingle_hashes(held[i][6], size)
+        return sets[i]
+
+    for i in np.flatnonzero(~main) if across else range(len(held)):
+        other = np.flatnonzero(main) if across else np.flatnonzero((roots != roots[i]) & (np.arange(len(held)) > i) & (~apart | (own != own[i])))
+        equal = (marks[other] == marks[i]).sum(1)
+        for place in np.argsort(-equal, kind="stable")[: int((equal >= agree).sum())]:
+            j = int(other[place])
+            if groups.of(int(roots[i])) != groups.of(int(roots[j])) and similar(whole(i), whole(j), percent):
+                groups.join(int(roots[i]), int(roots[j]))
+                yield held[i][0], held[j][0]
+
+
+def rest_links(members: DataFrame, sketches: DataFrame, texts: DataFrame, size: int, percent: int, agree: int = AGREE) -> DataFrame:
+    """Links (u, v) between different groups of a cluster; at most one from each set and task to each group."""
+    brought = members.join(sketches.select("sid", "sketch").join(texts, "sid"), "sid")
+    together = brought.repartition("cluster", "task").sortWithinPartitions("cluster", "task")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(held: list[tuple]) -> pa.RecordBatch:
-            sid, root = (np.array([h[i] for h in held], np.int64) for i in (0, 1))
-            marks = np.stack([np.frombuffer(h[2], np.uint8) for h in held]) if held else np.zeros((0, COORDINATES), np.uint8)
-            groups, sizes_ = np.unique(root, return_counts=True)
-            most = groups[sizes_.argmax()] if len(groups) else None
-            u, v = [sid[:0]], [sid[:0]]
-            for i in np.flatnonzero(root != most):
-                # Members of the largest group are met by all others, and two others once.
-                other = np.flatnonzero((root != root[i]) & ((root == most) | (sid > sid[i])))
-                near = other[(marks[other] == marks[i]).sum(1) >= agree]
-                u.append(np.full(len(near), sid[i]))
-                v.append(sid[near])
-            return pa.record_batch([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], names=["a", "b"])
+        def found(held: list[tuple]) -> pa.RecordBatch:
+            u, v = list(zip(*compare_block(held, size, percent, agree))) or ((), ())
+            return pa.record_batch([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
         held, at = [], None
         for batch in batches:
-            for key, sid, root, mark, task in zip(*(c.to_pylist() for c in batch.columns)):
-                if at != (key, task):
-                    if held:
-                        yield pairs(held)
-                    held, at = [], (key, task)
-                held.append((sid, root, mark))
-        if held:
-            yield pairs(held)
-
-    return together.mapInArrow(compare, "a bigint, b bigint").distinct()
-
-
-def _with_first(rows: DataFrame, salt: int) -> DataFrame:
-    """Each row with the first set of its band, in an order of its own for each salt; bands with one set go."""
-    order = Window.partitionBy("key").orderBy(F.xxhash64("sid", F.lit(salt)), "sid")
-    marked = rows.select("*", F.first(F.struct("sid", "n", "root")).over(order).alias("first"), F.lead("sid").over(order).alias("next"))
-    return marked.filter((F.col("sid") != F.col("first.sid")) | F.col("next").isNotNull()).drop("next")
+            for cluster, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if at != (cluster, row[4]):
+                    yield found(held)
+                    held, at = [], (cluster, row[4])
+                held.append(tuple(row))
+        yield found(held)
+
+    return together.select("cluster", "sid", "root", "main", "own", "task", "sketch", "text").mapInArrow(compare, "u bigint, v bigint")
 
 
-def _still_open(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows of bands that hold several groups, each with its group."""
-    named = rows.select("key", "sid", "n").join(roots, F.col("sid") == F.col("node"), "left").select(
-        "key", "sid", "n", F.coalesce("root", "sid").alias("root"))
-    several = named.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("key")
-    return named.join(several, "key")
+def crowded_bands(banded: DataFrame) -> DataFrame:
+    """Each row with the first set of its band; bands with one set go."""
+    order = Window.partitionBy("key").orderBy("sid")
+    marked = banded.select("*", F.first(F.struct("sid", "n")).over(order).alias("first"), F.lead("sid").over(order).alias("next"))
+    return marked.filter((F.col("sid") != F.col("first.sid")) | F.col("next").isNotNull()).drop("next")
 
 
 def near_duplicates(df: DataFrame, key: str, text: str, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -221,8 +271,8 @@ def near_duplicates(df: DataFrame, key: str, text: str, size: int = SHINGLE, per
     sets = materialize(merged.withColumn("sid", F.monotonically_increasing_id()), "minhash-sets")
 
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("sketch", i * ROWS + 1, F.lit(ROWS))))
-    banded = sets.filter(F.col("sketch").isNotNull()).select("sid", "n", F.col("sid").alias("root"), F.explode(bands).alias("key"))
-    rows = materialize(_with_first(banded, 0), "minhash-bands")
+    banded = sets.filter(F.col("sketch").isNotNull()).select("sid", "n", F.explode(bands).alias("key"))
+    rows = materialize(crowded_bands(banded), "minhash-bands")
 
     crowded = rows.select("sid").distinct().join(sets, "sid").select("sid", "row.doc_key", "row.t1", "row.t2")
     texts = df.select(F.col(key).alias("doc_key"), F.xxhash64(text).alias("t1"), twin.alias("t2"), F.col(text).alias("text"))
@@ -230,17 +280,11 @@ def near_duplicates(df: DataFrame, key: str, text: str, size: int = SHINGLE, per
     same = (F.col("x.t1") == F.col("c.t1")) & (F.col("x.t2") == F.col("c.t2")) & F.col("x.doc_key").eqNullSafe(F.col("c.doc_key"))
     texts = materialize(once.join(crowded.alias("c"), same).select("sid", "text"), "minhash-texts")
 
-    links = None
-    for round_ in range(STARS + 1):
-        if round_:
-            rows = materialize(_still_open(rows, roots), "minhash-bands")
-            if rows.isEmpty():
-                break
-            rows = _with_first(rows, round_) if round_ < STARS else rows
-        pairs = materialize(star_pairs(rows, percent) if round_ < STARS else rest_pairs(rows, sets), "minhash-pairs")
-        found = materialize(verified(pairs, texts, size, percent), "minhash-links")
-        links = found if links is None else links.unionByName(found)
-        roots = components(links)
+    pairs = materialize(star_pairs(rows, percent), "minhash-pairs")
+    stars = materialize(verified(pairs, texts, size, percent), "minhash-links")
+    members = open_clusters(*two_components(rows, stars))
+    rest = materialize(rest_links(members, sets, texts, size, percent), "minhash-links")
+    roots = components(stars.unionByName(rest))
 
     grouped = sets.join(roots, F.col("sid") == F.col("node"), "left").select("name", F.col("row.doc_key").alias("own"), F.coalesce("root", "sid").alias("root"))
     grouped = materialize(grouped, "minhash-groups")

@@ -81,9 +81,8 @@ def test_op11(spark, copies, which):
     same(result(spark, folder, "op11_minhash", *OP11), plain.op11([d[:2] for d in documents(spark, folder)]))
 
 
-def test_op11_with_small_blocks_and_one_star(spark, copies, monkeypatch):
+def test_op11_with_small_blocks(spark, copies, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", 16)
-    monkeypatch.setattr(minhash, "STARS", 1)
     same(result(spark, copies, "op11_minhash", *OP11), plain.op11([d[:2] for d in documents(spark, copies)]))
 
 
