@@ -299,7 +299,8 @@ def keep_one(df: DataFrame, key: str, text: str, radius: int = RADIUS, size: int
     order = F.struct(F.col("doc_key").isNull().alias("unknown"), "doc_key", *row)
     first = prints.join(groups, "fp").groupBy("root").agg(F.min(order).alias("first"))
     chosen = first.select(*(f"first.{n}" for n in row)).distinct()
-    kept = df.withColumns(row).join(chosen, list(row))
+    # The row rides along in one column, so no name of the table can meet a name of the plan.
+    kept = df.select(F.struct(*columns).alias("row"), *(v.alias(n) for n, v in row.items())).join(chosen, list(row))
     # Rows that repeat in every column meet here, in the partitioning of the join.
     ranked = kept.withColumn("__n", F.row_number().over(Window.partitionBy(*row).orderBy(F.lit(0))))
-    return ranked.filter("__n = 1").select(*columns)
+    return ranked.filter("__n = 1").select("row.*")
