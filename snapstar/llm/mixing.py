@@ -77,5 +77,7 @@ def plan_mix(df: DataFrame, size: str, source: str, key: str, weights: Sequence[
 
 def emit(plan: DataFrame) -> DataFrame:
     """One row per copy, numbered in ``copy`` from 1; documents without copies go."""
+    if "copy" in {c.lower() for c in plan.columns}:
+        raise ValueError("the table already has a column copy")
     rows = plan.filter("copies > 0")
     return rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copies")
