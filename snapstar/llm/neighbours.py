@@ -7,7 +7,8 @@ distribution. A kd-tree over the projections gives neighbours in the order of pr
 double precision. A query stops once the next projected distance exceeds what a vector as near as the k-th best so far
 would have with probability ``RECALL``.
 
-The top of the tree is fitted on a bounded sample; its cells, cut into blocks of at most ``BLOCK`` vectors, are what
+Vectors are split into bands by norm, each with its own M and tree, so that a long vector doesn't widen the distances of the others.
+The top of the trees is fitted on a bounded sample; its cells, cut into blocks of about ``BLOCK`` vectors, are what
 tasks hold. Every vector is indexed. Queries stream past the blocks of those cells that the same chi-square test can't
 rule out, with the k-th best of the sample as the first bound. Each task returns k per query and block.
 
@@ -32,8 +33,8 @@ from .common import materialize
 
 DIMENSIONS = 8
 RECALL = 0.95
-SAMPLE = 2048  # vectors that fit the top of the tree and the first bounds
-MOST_CELLS = 512
+SAMPLE, MOST_SAMPLED = 2048, 16_384  # vectors that fit the top of the tree and the first bounds: the first, or one in 16 up to the second
+MOST_CELLS, MOST_BANDS = 4096, 8
 BLOCK = 8192  # vectors in one task's block
 LEAF = 128
 SEED = 7
@@ -83,6 +84,56 @@ class Projection:
         return np.maximum((q**2).sum(1) + self.square - 2 * score, 0)
 
 
+@dataclass
+class Bands:
+    """Candidates by norm: band i has squared norms up to ``squares[i]``, which is its M^2, so one long vector widens the distances of
+    its own band only. ``cells`` and their numbers, ``first`` of each band, go on through the bands."""
+
+    squares: np.ndarray
+    projections: list[Projection]
+    cells: list[Cells]
+    first: np.ndarray
+
+    @classmethod
+    def fit(cls, sample: np.ndarray, largest: float, cells: int, length: int) -> Bands:
+        """Squared norms up to the largest, a quarter of it and so on; what the sample's smallest hundredth lies below is one band."""
+        own = (sample**2).sum(1)
+        squares = [largest]
+        while len(squares) < MOST_BANDS and np.quantile(own, 0.01) <= squares[-1] / 4:
+            squares.append(squares[-1] / 4)
+        squares = np.array(squares[::-1])
+        band = np.searchsorted(squares, own)
+        projections = [Projection.make(length, s) for s in squares]
+        fitted = []
+        for i, p in enumerate(projections):
+            part = sample[band == i]
+            wanted = max(1, min(cells * len(part) // max(len(sample), 1), len(part) // 4))
+            fitted.append(Cells.fit(p.of_vectors(part), wanted.bit_length() - 1))
+        return cls(squares, projections, fitted, np.cumsum([0, *(len(c.low) for c in fitted)]))
+
+    def of(self, vectors: np.ndarray) -> np.ndarray:
+        """Cell of each vector."""
+        band = np.minimum(np.searchsorted(self.squares, (vectors**2).sum(1)), len(self.squares) - 1)
+        out = np.zeros(len(vectors), int)
+        for i in np.unique(band):
+            rows = band == i
+            out[rows] = self.first[i] + self.cells[i].of(self.projections[i].of_vectors(vectors[rows]))
+        return out
+
+    def open(self, queries: np.ndarray, floor: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+        """(query row, cell) of the cells that the test can't rule out."""
+        rows, numbers = [], []
+        for p, c, first in zip(self.projections, self.cells, self.first):
+            radius = reach * p.distance(queries, floor)
+            row, cell = np.nonzero(box_distances(p.of_queries(queries), c.low, c.high) <= radius[:, None])
+            rows.append(row)
+            numbers.append(first + cell)
+        return np.concatenate(rows), np.concatenate(numbers)
+
+    def projection(self, cell: int) -> Projection:
+        return self.projections[int(np.searchsorted(self.first, cell, side="right")) - 1]
+
+
 @dataclass
 class Cells:
     """The top of the kd-tree as a complete binary tree of (dimension, value), with the box of each cell."""
@@ -151,37 +202,38 @@ class Block:
         self.high = np.stack([points[r].max(0) for r in self.leaves])
 
     def search(self, ids: np.ndarray, queries: np.ndarray, floor: np.ndarray, k: int, reach: float):
-        """(query row, vector id, score) of each query's k best here that beat its ``floor``, by incremental search."""
+        """(query row, vector id, score) of each query's k best here that beat its ``floor``, by incremental search. Queries that are at
+        the same leaf meet it in one product. Rounding may move such a rough score a little; the exact one decides."""
         near = box_distances(self.projection.of_queries(queries), self.low, self.high)
         order = np.argsort(near, axis=1)
-        best = np.full((len(queries), k), -np.inf)
+        best = np.full((len(queries), k), -np.inf)  # the k best rough scores, the least first
         live = np.arange(len(queries))
         found: list[tuple[np.ndarray, ...]] = []
         for step in range(len(self.leaves)):
-            bound = np.maximum(best[live].min(1), floor[live])
+            bound = np.maximum(best[live, 0], floor[live])
             radius = reach * self.projection.distance(queries[live], bound)
             live = live[near[live, order[live, step]] <= radius]
             if not len(live):
                 break
-            for leaf in np.unique(order[live, step]):
-                own = live[order[live, step] == leaf]
-                rows = self.leaves[leaf]
+            at = order[live, step]
+            for leaf in np.unique(at):
+                own, rows = live[at == leaf], self.leaves[leaf]
                 rough = queries[own] @ self.vectors[rows].T
-                # Rounding may move a rough score a little; the exact one decides.
-                q, r = np.nonzero(rough >= np.maximum(best[own].min(1), floor[own])[:, None] - 1e-6 * (1 + np.abs(rough)))
-                q, r = own[q], rows[r]
-                other = ids[q] != self.ids[r]
-                q, r = q[other], r[other]
-                exact = inner_products(queries[q], self.vectors[r])
-                found.append((q, r, exact))
-                for i in np.unique(q):
-                    merged = np.concatenate([best[i], exact[q == i]])
-                    best[i] = np.partition(merged, len(merged) - k)[-k:]
+                rough[ids[own][:, None] == self.ids[rows][None, :]] = -np.inf
+                hit = rough >= _slightly_below(np.maximum(best[own, 0], floor[own]))[:, None]
+                some = np.flatnonzero(hit.any(1))
+                if len(some):
+                    q, r = np.nonzero(hit[some])
+                    found.append((own[some[q]], rows[r], rough[some[q], r]))
+                    merged = np.concatenate([best[own[some]], rough[some]], axis=1)
+                    merged.partition(merged.shape[1] - k, axis=1)
+                    best[own[some]] = np.sort(merged[:, -k:], axis=1)
         if not found:
             return np.zeros(0, int), np.zeros(0, np.int64), np.zeros(0)
-        q, r, score = (np.concatenate(c) for c in zip(*found))
-        good = score >= np.maximum(best[q].min(1), floor[q])
-        q, r, score = q[good], r[good], score[good]
+        q, r, rough = (np.concatenate(c) for c in zip(*found))
+        good = (rough >= _slightly_below(np.maximum(best[q, 0], floor[q]))) & np.isfinite(rough)
+        q, r = q[good], r[good]
+        score = inner_products(queries[q], self.vectors[r])
         order = np.lexsort((self.ids[r], -score, q))
         q, r, score = q[order], r[order], score[order]
         first = np.searchsorted(q, q)
@@ -189,6 +241,10 @@ class Block:
         return q[top], self.ids[r[top]], score[top]
 
 
+def _slightly_below(score: np.ndarray) -> np.ndarray:
+    return np.where(np.isfinite(score), score - 1e-9 * (1 + np.abs(score)), -np.inf)
+
+
 def usable(df: DataFrame, key: str, vector: str) -> DataFrame:
     """(id, vec) of the vectors that take part, components as doubles."""
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vec")).filter("id IS NOT NULL AND vec IS NOT NULL")
@@ -204,7 +260,9 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def search(df: DataFrame, key: str, vector: str, is_query, k: int = 20, recall: float = RECALL) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest of each query row; ``is_query`` makes a condition of the id."""
     valid = usable(df, key, vector)
-    chosen = valid.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
+    square = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
+    sampled = min(MOST_SAMPLED, max(SAMPLE, valid.count() // 16))
+    chosen = valid.orderBy(F.xxhash64("id"), "id").limit(sampled).collect()
     spark = df.sparkSession
     result = "query_id bigint, vec_id bigint, score double"
     if not chosen:
@@ -214,17 +272,14 @@ def search(df: DataFrame, key: str, vector: str, is_query, k: int = 20, recall:
     sample_ids = np.array([r.id for r in chosen if len(r.vec) == length], np.int64)
     sample = np.array([r.vec for r in chosen if len(r.vec) == length])
     valid = valid.filter(F.size("vec") == length)
-    square = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
     total, largest = valid.agg(F.count("*"), F.max(square)).first()
-    projection = Projection.make(length, largest)
     reach = chi_square_quantile(recall, DIMENSIONS)
-    wanted = min(MOST_CELLS, max(1, total // (BLOCK // 2)), max(1, len(sample) // 4))
-    cells = Cells.fit(projection.of_vectors(sample), wanted.bit_length() - 1)
+    bands = Bands.fit(sample, largest, min(MOST_CELLS, max(1, total // (BLOCK // 2))), length)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vectors = _matrix(batch.column("vec"))
-            cell = cells.of(projection.of_vectors(vectors)) if len(vectors) else np.zeros(0, int)
+            cell = bands.of(vectors) if len(vectors) else np.zeros(0, int)
             yield pa.record_batch([pa.array(cell.astype(np.int32)), batch.column("id"), batch.column("vec")], names=["cell", "id", "vec"])
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,17 +291,18 @@ def search(df: DataFrame, key: str, vector: str, is_query, k: int = 20, recall:
             scores[ids[:, None] == sample_ids[None, :]] = -np.inf
             floor = np.partition(scores, -k, axis=1)[:, -k] if scores.shape[1] >= k else np.full(len(ids), -np.inf)
             floor = floor - 1e-9 * (1 + np.abs(floor))
-            radius = reach * projection.distance(queries, floor)
-            row, cell = np.nonzero(box_distances(projection.of_queries(queries), cells.low, cells.high) <= radius[:, None])
+            row, cell = bands.open(queries, floor, reach)
             yield pa.record_batch([pa.array(cell.astype(np.int32)), pa.array(ids[row]), batch.column("vec").take(pa.array(row)), pa.array(floor[row])],
                                   names=["cell", "id", "vec", "floor"])
 
-    placed = materialize(valid.mapInArrow(place, "cell int, id bigint, vec array<double>"), "neighbours")
-    # At most MOST_CELLS rows. A cell that holds more than a block, such as copies of one vector, is cut by id.
+    # The number of a row is fixed once it is written, so rows that repeat an id or a vector are dealt out like any others.
+    placed = valid.mapInArrow(place, "cell int, id bigint, vec array<double>").withColumn("salt", F.monotonically_increasing_id())
+    placed = materialize(placed, "neighbours")
+    # At most MOST_CELLS rows. A cell that holds more than a block, such as copies of one vector, is cut by the rows' numbers.
     blocks = placed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     blocks = F.broadcast(blocks)
     candidates = placed.join(blocks, "cell").select(
-        "cell", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("role"), "id", "vec", F.lit(0.0).alias("floor"))
+        "cell", F.pmod(F.xxhash64("salt"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("role"), "id", "vec", F.lit(0.0).alias("floor"))
     routed = valid.filter(is_query(F.col("id"))).mapInArrow(route, "cell int, id bigint, vec array<double>, floor double")
     asking = routed.join(blocks, "cell").select(
         "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"), "id", "vec", "floor")
@@ -266,7 +322,7 @@ def search(df: DataFrame, key: str, vector: str, is_query, k: int = 20, recall:
                     parts.append((ids[start:end], vectors[start:end]))
                     continue
                 if block is None and parts:
-                    block = Block(*(np.concatenate(c) for c in zip(*parts)), projection)
+                    block = Block(*(np.concatenate(c) for c in zip(*parts)), bands.projection(at[0]))
                 if block is not None:
                     q, found, score = block.search(ids[start:end], vectors[start:end], floor[start:end], k, reach)
                     yield pa.record_batch([pa.array(ids[start:end][q]), pa.array(found), pa.array(score)], names=["query_id", "vec_id", "score"])
