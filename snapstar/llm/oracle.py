@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from .licenses import COPYRIGHT_LINE, KNOWN, SPELLINGS
 from .mixing import BUDGET, LIMIT, WEIGHTS
-from .quality import FENCES, LEAST, LEAST_WORDS, MOST_REPEATED, OUTER_HIGH, OUTER_LOW, SPREAD
+from .quality import FENCES, LEAST, LEAST_WORDS, MOST_REPEATED, OUTER_HIGH, OUTER_LOW, SHARES, SPREAD
 
 WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
 
@@ -56,13 +56,16 @@ def _cell(value: str) -> str:
 def _quality() -> str:
     values = {"word_length": "(1000 * word_chars) // n_words", "symbols": "(1000 * n_symbols) // n_words",
               "dup_lines": "(1000 * n_dup_lines) // n_lines", "repeats": "(1000 * n_repeat_words) // n_words"}
-    rows = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS metric, {_cell(v)} AS cell FROM base WHERE n_words > 0" for m, v in values.items())
+    failed = f"(n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words)"
+    rows = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS metric, {_cell(v)} AS cell FROM base WHERE NOT {failed}" for m, v in values.items())
 
     def level(keys: str) -> str:
         group = f"{keys}, metric" if keys else "metric"
         high = " ".join(f"WHEN '{m}' THEN {up}" for m, (up, _) in FENCES.items())
-        low = " ".join(f"WHEN '{m}' THEN q50 - greatest({SPREAD} * (q50 - ql), {down})" for m, (_, down) in FENCES.items() if down)
-        return f"""(SELECT {group}, n, q50 + greatest({SPREAD} * (qh - q50), CASE metric {high} END) AS high, CASE metric {low} ELSE -1 END AS low
+        low = " ".join(f"WHEN '{m}' THEN q50 - greatest({SPREAD} * least(qh - q50, q50 - ql), {down})" for m, (_, down) in FENCES.items() if down)
+        shares = ", ".join(f"'{m}'" for m in SHARES)
+        return f"""(SELECT {group}, n, least(q50 + greatest({SPREAD} * least(qh - q50, q50 - ql), CASE metric {high} END),
+        CASE WHEN metric IN ({shares}) THEN 1000 ELSE 1000000000000 END) AS high, CASE metric {low} ELSE -1 END AS low
         FROM (SELECT {group}, MAX(total) AS n, MIN(cell) FILTER (running * 100 >= total * {OUTER_LOW}) AS ql,
         MIN(cell) FILTER (running * 100 >= total * 50) AS q50, MIN(cell) FILTER (running * 100 >= total * {OUTER_HIGH}) AS qh
         FROM (SELECT *, SUM(n) OVER (PARTITION BY {group} ORDER BY cell) AS running, SUM(n) OVER (PARTITION BY {group}) AS total
@@ -86,7 +89,7 @@ def _quality() -> str:
         JOIN middle m ON m.metric = c.metric AND m.lang IS NOT DISTINCT FROM c.lang JOIN top t ON t.metric = c.metric GROUP BY c.i)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
         NOT base_failed AND COALESCE(within, FALSE) AS kept FROM (SELECT *,
-        n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed FROM base) LEFT JOIN verdict USING (i)"""
+        {failed} AS base_failed FROM base) LEFT JOIN verdict USING (i)"""
 
 
 ORACLE: dict[str, str] = {"op6_mixing": _mixing(), "op9_licenses": _licenses(), "op10_quality": _quality()}

@@ -28,16 +28,19 @@ LEAST_WORDS, MOST_REPEATED = 10, 20  # base rules: words, and percent of words i
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 LEAST = 50  # documents a group needs for fences of its own
-SPREAD = 4  # a fence lies this many times (outer - median) beyond the median
+SPREAD = 4  # a fence lies this many times the spread beyond the median
 # Metric -> (value per thousand words or lines, least distance of the upper and of the lower fence from the median).
 # The least distances keep a group of near-equal documents from refusing harmless ones.
 FENCES = {
-    "word_length": (4000, 2500),
+    "word_length": (1500, 1000),
     "symbols": (400, None),
     "dup_lines": (300, None),
     "repeats": (150, None),
 }
-OUTER_LOW, OUTER_HIGH = 5, 95  # percent
+SHARES = ("dup_lines", "repeats")  # at most 1,000 per thousand
+# Percent. The spread is the lesser of the quartiles' distances from the median, so junk on one side of it, up to nearly half
+# of a group, moves a fence no further than clean documents on the other side reach.
+OUTER_LOW, OUTER_HIGH = 25, 75
 
 
 def measure(df: DataFrame, text: str) -> DataFrame:
@@ -68,6 +71,11 @@ def measure(df: DataFrame, text: str) -> DataFrame:
     return repeated.select(*done, covered["n"].cast("long").alias("n_repeat_words"))
 
 
+def base_failed() -> Column:
+    """Too few words, or too many of them in repeated windows."""
+    return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
+
+
 def metrics() -> dict[str, Column]:
     """Whole-numbered metrics per thousand from the base measures; null without words."""
     def share(part: str, of: str) -> Column:
@@ -87,9 +95,9 @@ def cell(value: Column) -> Column:
 
 
 def sketches(df: DataFrame, lang: str, source: str) -> DataFrame:
-    """Counts per language, source, metric and cell. Rows are summed before the shuffle."""
+    """Counts per language, source, metric and cell, over documents that pass the base rules. Rows are summed before the shuffle."""
     each = F.explode(F.array(*(F.struct(F.lit(n).alias("metric"), cell(v).alias("cell")) for n, v in metrics().items())))
-    rows = df.filter("n_words > 0").select(F.col(lang).alias("g_lang"), F.col(source).alias("g_source"), each.alias("m"))
+    rows = df.filter(~base_failed()).select(F.col(lang).alias("g_lang"), F.col(source).alias("g_source"), each.alias("m"))
     return rows.groupBy("g_lang", "g_source", "m.metric", "m.cell").agg(F.count("*").alias("n"))
 
 
@@ -110,8 +118,10 @@ def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
     columns = []
     for name, (up, down) in FENCES.items():
         here = F.col("metric") == name
-        high = F.col("q50") + F.greatest(SPREAD * (F.col(f"q{OUTER_HIGH}") - F.col("q50")), F.lit(up))
-        low = F.col("q50") - F.greatest(SPREAD * (F.col("q50") - F.col(f"q{OUTER_LOW}")), F.lit(down)) if down else F.lit(-1).cast("long")
+        spread = SPREAD * F.least(F.col(f"q{OUTER_HIGH}") - F.col("q50"), F.col("q50") - F.col(f"q{OUTER_LOW}"))
+        high = F.col("q50") + F.greatest(spread, F.lit(up))
+        high = F.least(high, F.lit(1000)) if name in SHARES else high
+        low = F.col("q50") - F.greatest(spread, F.lit(down)) if down else F.lit(-1).cast("long")
         columns += [F.max(F.when(here, high)).alias(f"{name}_high"), F.max(F.when(here, low)).alias(f"{name}_low")]
     return per_metric.groupBy(*keys).agg(F.max("n").alias("n"), *columns)
 
@@ -142,7 +152,7 @@ def apply_rules(df: DataFrame, text: str, lang: str, source: str, keep: list[str
     stored = materialize(measure(named, "x"), "quality")
     limits = thresholds(sketches(stored, "g_lang", "g_source"))
     joined = stored.join(limits, F.col("g_lang").eqNullSafe(F.col("t_lang")) & F.col("g_source").eqNullSafe(F.col("t_source")), "left")
-    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
+    failed = base_failed()
     # Compared in whole cells, as the fences are.
     within = reduce(and_, (cell(v).between(F.col(f"{n}_low"), F.col(f"{n}_high")) for n, v in metrics().items()))
     return joined.select(
