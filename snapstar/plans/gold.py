@@ -229,10 +229,10 @@ WAVES = (
 )
 
 
-def side_by_side(jobs: Sequence[Callable[[], object]], at_once: int = 4) -> None:
+def side_by_side(spark: SparkSession, jobs: Sequence[Callable[[], object]], at_once: int = 4) -> None:
     """Run driver-side calls that start Spark jobs a few at a time, so that small jobs don't wait for each other."""
     with ThreadPoolExecutor(at_once) as pool:
-        for done in [pool.submit(inheritable_thread_target(job)) for job in jobs]:
+        for done in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]:
             done.result()
 
 
@@ -271,5 +271,5 @@ def build_gold(spark: SparkSession, silver: Mapping[str, DataFrame], out: str) -
         gold[name] = spark.read.schema(table.schema).parquet(f"{out}/{name}")
 
     for wave in WAVES:
-        side_by_side([lambda n=name: keep(n) for name in wave])
+        side_by_side(spark, [lambda n=name: keep(n) for name in wave])
     return {name: gold[name] for name in makers}

@@ -45,6 +45,7 @@ class GoldTables(Mapping[str, DataFrame]):
         self._built: dict[str, DataFrame] = {}
         self._folder, self._stored = folder, stored
         self._seen: dict[str, Observation] = {}
+        self._spark = model.spark
         g, m = self, model
         self._makers: dict[str, Callable[[], DataFrame]] = {
             "dim_department": lambda: gold.dim_department(m.departments),
@@ -88,7 +89,7 @@ class GoldTables(Mapping[str, DataFrame]):
     def build_all(self) -> GoldTables:
         """Build every table, those of one wave side by side; a wave needs only tables of the waves before it."""
         for wave in gold.WAVES:
-            gold.side_by_side([lambda n=name: self[n] for name in wave])
+            gold.side_by_side(self._spark, [lambda n=name: self[n] for name in wave])
         return self
 
     def __iter__(self) -> Iterator[str]:
