@@ -9,8 +9,8 @@ A word goes if a window of ``WINDOW`` words that covers it also starts in a docu
    key it starts in. Overlapping windows with a smaller key make up the maximal repeats.
 3. cut: the words those windows cover go.
 
-Rows that leave a task are packed: one for each hash bucket and batch of documents, and on the way back one for each
-bucket and group of documents. Hashes that a batch holds more than
+Rows that leave a task are packed: one for each hash bucket and batch of documents, with the documents it concerns and no others, and
+on the way back one for each bucket and group of documents. Hashes that a batch holds more than
 once are settled within it, and the batch sends one of each, so a passage that a third of all documents share
 costs a few bytes a batch. The number of buckets follows the input. Texts cross the network once.
 
@@ -21,6 +21,7 @@ that share a key. A null key is greater than all others. An empty table gives an
 from __future__ import annotations
 
 import math
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -87,23 +88,27 @@ def windows_of() -> tuple[Rolling, Rolling]:
     return Rolling(WINDOW, 0xC2B2AE3D27D4EB4F), Rolling(WINDOW, 0x165667B19E3779F9)
 
 
+HEADER = struct.Struct("<cI")
+
+
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays one after the other, each with type and length. The bytes of wide numbers are dealt out by place, so that zeros stand together and compress."""
     out = []
     for a in arrays:
-        planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T
-        out += [np.array([ord(a.dtype.char), len(a)], "<i8").tobytes(), np.ascontiguousarray(planes).tobytes()]
+        out.append(HEADER.pack(a.dtype.char.encode(), len(a)))
+        a = np.ascontiguousarray(a)
+        out.append((a.view(np.uint8).reshape(len(a), a.dtype.itemsize).T if a.dtype.itemsize > 1 else a).tobytes() if len(a) else b"")
     return b"".join(out)
 
 
 def unpack(data: bytes) -> list[np.ndarray]:
     out, at = [], 0
     while at < len(data):
-        kind, n = np.frombuffer(data, "<i8", 2, at)
-        dtype = np.dtype(chr(kind))
-        planes = np.frombuffer(data, np.uint8, n * dtype.itemsize, at + 16).reshape(dtype.itemsize, n)
+        kind, n = HEADER.unpack_from(data, at)
+        dtype = np.dtype(kind.decode())
+        planes = np.frombuffer(data, np.uint8, n * dtype.itemsize, at + HEADER.size).reshape(dtype.itemsize, n)
         out.append(np.ascontiguousarray(planes.T).reshape(-1).view(dtype))
-        at += 16 + n * dtype.itemsize
+        at += HEADER.size + n * dtype.itemsize
     return out
 
 
@@ -128,13 +133,24 @@ def _doc_table(docs: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     return np.array([d[0] for d in docs], np.int64), np.array([d[1] for d in docs], np.int64)
 
 
-def _steps(numbers: np.ndarray) -> np.ndarray:
-    return np.diff(numbers, prepend=0).astype(np.uint32)
+def _owners(owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Documents of rows that are sorted by document: each once, with how many rows it has, if most have several; otherwise
+    one for each row, without numbers."""
+    starts = _changes(owner)
+    if 2 * len(starts) > len(owner):
+        return owner, np.zeros(0, np.uint32)
+    return owner[starts], np.diff(np.append(starts, len(owner))).astype(np.uint32)
+
+
+def _each(documents: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The document of each row, from what ``_owners`` tells."""
+    return np.repeat(documents, n) if len(n) else documents
 
 
 def probe(buckets: int):
-    """Step 1, by batch: for each bucket the document table; hashes that occur once with document and block flag;
-    hashes that occur more often, once each with block flag; and the occurrences of those, to be passed on."""
+    """Step 1, by batch: for each bucket that occurs, hashes that occur once with block flag and their documents;
+    hashes that occur more often, once each with block flag; and the occurrences of those with their documents, to be passed on.
+    A row names the documents that have hashes in its bucket and no others, so rows together are in proportion to the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, rolling = WordHashes(), anchors_of()
         for docs in _batches(batches, words):
@@ -151,21 +167,20 @@ def probe(buckets: int):
             counts = np.diff(np.append(starts, len(code)))
             has_block = np.logical_or.reduceat(block, starts)
             repeated = np.repeat(counts > 1, counts)
-            bounds = np.searchsorted(code, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32))
-            first_of = np.searchsorted(starts, bounds)
+            bucket = (code >> np.uint64(32)).astype(np.int64)
+            edges = _changes(bucket)
+            first_of = np.searchsorted(starts, np.append(edges, len(code)))
             rows, low = [], (code & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            for b in range(buckets):
-                here, groups = slice(bounds[b], bounds[b + 1]), slice(first_of[b], first_of[b + 1])
-                if bounds[b] == bounds[b + 1]:
-                    continue
-                once, more = ~repeated[here], repeated[here]
+            for i, (begin, end) in enumerate(zip(edges, np.append(edges[1:], len(code)))):
+                here, groups = slice(begin, end), slice(first_of[i], first_of[i + 1])
+                once, more = np.flatnonzero(~repeated[here]) + begin, np.flatnonzero(repeated[here]) + begin
                 many = counts[groups] > 1
-                by_doc = np.argsort(owner[here][once], kind="stable")
-                docs_more = np.argsort(owner[here][more], kind="stable")
-                rows.append((b, pack(
-                    names, low[here][once][by_doc], _steps(owner[here][once][by_doc]), np.packbits(block[here][once][by_doc]),
+                once, more = once[np.argsort(owner[once], kind="stable")], more[np.argsort(owner[more], kind="stable")]
+                (once_doc, once_n), (more_doc, more_n) = _owners(owner[once]), _owners(owner[more])
+                rows.append((int(bucket[begin]), pack(
+                    low[once], names[once_doc], once_n, np.packbits(block[once]),
                     low[starts[groups]][many], np.packbits(has_block[groups][many]),
-                    low[here][more][docs_more], _steps(owner[here][more][docs_more]))))
+                    low[more], names[more_doc], more_n)))
             yield pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "payload"])
 
     return run
@@ -240,11 +255,11 @@ def _anchors(group: pa.Table) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
     codes, blocks, twice = [], [], []
     owners, values = [], []
     for value in group.column("payload"):
-        names, once, once_doc, once_block, many, many_block, more, more_doc = unpack(value.as_py())
+        once, once_names, once_n, once_block, many, many_block, more, more_names, more_n = unpack(value.as_py())
         codes += [once, many]
         blocks += [np.unpackbits(once_block, count=len(once)), np.unpackbits(many_block, count=len(many))]
         twice += [np.zeros(len(once), bool), np.ones(len(many), bool)]
-        owners += [names[np.cumsum(once_doc, dtype=np.int64)], names[np.cumsum(more_doc, dtype=np.int64)]]
+        owners += [_each(once_names, once_n), _each(more_names, more_n)]
         values += [once, more]
     code, inverse, counts = np.unique(np.concatenate(codes), return_inverse=True, return_counts=True)
     block = np.bincount(inverse, np.concatenate(blocks), len(code)) > 0
@@ -281,17 +296,13 @@ def extend(buckets: int):
             twin = ~gone
             twin[_changes(high, low, texts[owner])] = False
             sent = ~gone & ~twin
-            bounds = np.searchsorted(bucket, np.arange(buckets + 1))
+            edges = _changes(bucket)
             rows = []
-            for b in range(buckets):
-                here = slice(bounds[b], bounds[b + 1])
-                if bounds[b] == bounds[b + 1]:
-                    continue
-                s, g = sent[here], gone[here]
-                o = np.argsort(owner[here][s], kind="stable")
-                p = np.argsort(owner[here][g], kind="stable")
-                rows.append((b, pack(keys, texts, high[here][s][o], low[here][s][o], _steps(owner[here][s][o]),
-                                     high[here][g][p], _steps(owner[here][g][p]))))
+            for begin, end in zip(edges, np.append(edges[1:], len(bucket))):
+                s, g = np.flatnonzero(sent[begin:end]) + begin, np.flatnonzero(gone[begin:end]) + begin
+                s, g = s[np.argsort(owner[s], kind="stable")], g[np.argsort(owner[g], kind="stable")]
+                (own, own_n), (left, left_n) = _owners(owner[s]), _owners(owner[g])
+                rows.append((int(bucket[begin]), pack(high[s], low[s], keys[own], texts[own], own_n, high[g], keys[left], texts[left], left_n)))
             yield pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "payload"])
 
     return run
@@ -306,10 +317,9 @@ def _settled(group: pa.Table) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
     own: list[tuple[np.ndarray, ...]] = []
     passed: list[tuple[np.ndarray, ...]] = []
     for value in group.column("payload"):
-        keys, texts, high, low, doc, gone, gone_doc = unpack(value.as_py())
-        doc, gone_doc = np.cumsum(doc, dtype=np.int64), np.cumsum(gone_doc, dtype=np.int64)
-        own.append((keys[doc], texts[doc], high, low))
-        passed.append((keys[gone_doc], texts[gone_doc], gone))
+        high, low, keys, texts, n, gone, gone_keys, gone_texts, gone_n = unpack(value.as_py())
+        own.append((_each(keys, n), _each(texts, n), high, low))
+        passed.append((_each(gone_keys, gone_n), _each(gone_texts, gone_n), gone))
     keys, texts, high, low = (np.concatenate(c) for c in zip(*own))
     order = np.lexsort((keys, low, high))
     keys, texts, high, low = keys[order], texts[order], high[order], low[order]
