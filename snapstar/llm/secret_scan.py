@@ -1,7 +1,10 @@
 """Secret scan: base patterns plus assignment-aware lexing.
 
-Source and configuration text is lexed into assignments ``name op value``, where a value is a sum of quoted literals,
-bare tokens and names. Names bound to constants earlier in the text are replaced by them, also through sums and chains.
+Source and configuration text is lexed into assignments ``name op value``, where a name may be quoted, a subscript, typed or one of
+several targets, and a value is a sum of literals, bare tokens and names. Literals have any kind of quotes, prefixes such as b or f,
+and stand side by side, in brackets over lines, in indented blocks, or in an element of that name. Names bound to constants
+earlier in the text are replaced by them, also through sums, chains and ``+=``. A name in braces, a section or indented lines
+under another name is read together with it.
 Each assignment is scored by how sensitive its target name is and how much its value looks like a secret; those that
 reach ``THRESHOLD`` are reported as ``named``, with the span of the value. If the value came from a constant defined
 elsewhere, the span of that definition is reported too. Constants are carried by reference: the spans they come from, how
@@ -35,11 +38,27 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 ASSIGN_CHARS = 12
 
-# An assignment: a name, perhaps quoted, an operator, and the first term of its value.
-NAME = re.compile(r"""(?<![\w.\-])["']?([A-Za-z_][\w.\-]*+)["']?[ \t]*(?::=|=>|=(?!=)|:(?![:/]))[ \t]*(?=["'A-Za-z0-9_+/])""", re.A)
-QUOTED = re.compile(r'''"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)\'''')
+# An assignment: a name, perhaps quoted or a subscript, an operator, perhaps behind a type, and the first term of its value.
+WORD = r"[A-Za-z_][\w.\-]*+"
+TYPE = r"[A-Za-z_][\w.]*(?:\[[\w., |\[\]]*\])?(?:[ \t]*\|[ \t]*[A-Za-z_][\w.]*)*"
+OPERATOR = rf"(\+=|\.=|:=|=>|=(?!=)|:(?![:/])[ \t]*{TYPE}[ \t]+=(?!=)|:(?![:/=]))"
+NAME = re.compile(rf"""(?<![\w.\-])["']?({WORD})["']?\]?[ \t]*{OPERATOR}[ \t]*(?=["'`A-Za-z0-9_+/(\[|>])""", re.A)
+TARGETS = re.compile(rf"""^[ \t]*({WORD}(?:[ \t]*,[ \t]*{WORD})+)[ \t]*=(?!=)[ \t]*(?=["'`A-Za-z0-9_+/])""", re.A | re.M)
+ELEMENT = re.compile(rf"""<(?:[\w\-]+:)?({WORD})(?:[ \t][^<>\n]*)?>[ \t\n]*([^<>\s][^<>]*?)[ \t\n]*</""", re.A)
+BLOCK = re.compile(r"[|>][+\-0-9]*[ \t]*\n")
+QUOTED = re.compile(r'''[bBrRfFuU]{0,2}(?:"""((?:[^"\\]|\\.|"(?!""))*)"""|\'\'\'((?:[^\'\\]|\\.|\'(?!\'\'))*)\'\'\'|"((?:[^"\\\n]|\\.)*)"|\'((?:[^\'\\\n]|\\.)*)\'|`((?:[^`\\]|\\.)*)`)''', re.S)
 BARE = re.compile(r"[A-Za-z0-9+/_.=\-]+")
-PLUS = re.compile(r"[ \t]*\+[ \t]*(?=[\"'A-Za-z_])")
+# What joins two terms: a plus, also over a line's end; after a quoted term also a point, or nothing before another one.
+PLUS = re.compile(r"[ \t]*\+[ \t]*(?:\n[ \t]*)?(?=[\"'`A-Za-z_])")
+NEXT = re.compile(r"""[ \t]*(?:\.[ \t]*|\\\n[ \t]*)?(?=[bBrRfFuU]{0,2}["'`])""")
+INSIDE = re.compile(r"""\s*(?:[+.,]\s*)?(?=[bBrRfFuU]{0,2}["'`]|[A-Za-z_])""")
+OPENING = re.compile(r"""[(\[]\s*(?=[bBrRfFuU]{0,2}["'`])""")
+COMMA = re.compile(r"[ \t]*,[ \t]*")
+# What a name stands in: braces or indented lines under another name, or a section of a configuration file.
+BRACE = re.compile(rf"""(?:["']?({WORD})["']?[ \t]*(?::|=>?)[ \t\n]*)?\{{|\}}""", re.A)
+PARENT = re.compile(rf"""^([ \t]*)(?:-[ \t]+)?["']?({WORD})["']?:[ \t]*$""", re.A | re.M)
+INDENT = re.compile(r"[ \t]*")
+SECTION = re.compile(r"^\[+([\w.\- ]+)\]+[ \t]*$", re.A | re.M)
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 # Words of a target name and how sensitive they make it; pairs count when they follow each other.
@@ -49,6 +68,8 @@ SENSITIVE = {
     "api key": 1.0, "access key": 1.0, "secret key": 1.0, "private key": 1.0, "encryption key": 1.0, "signing key": 1.0,
     "account key": 0.9, "connection string": 0.8, "client secret": 1.0,
 }
+# Names that say nothing of their own: the name they stand in speaks for them.
+GENERIC = {"value", "val", "data", "default", "text", "raw", "content"}
 HARMLESS = {"type", "name", "count", "length", "size", "limit", "url", "uri", "path", "file", "field", "format", "expires", "ttl", "id"}
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|none|null|true|false|todo|changeme|change[_-]?me|placeholder|redacted|example.*|your[_-].*|<.*>|\$\{?.*|%.*%?|\{\{.*\}\})$")
 LEAST_CHARS = 8
@@ -148,10 +169,11 @@ def source_spans(constant: Constant, seen: set[Constant]) -> Iterator[tuple[int,
 
 @dataclass(frozen=True)
 class Assignment:
-    """A name and what is known of its value."""
+    """A name, what is known of its value, and the name it stands in."""
 
     name: str
     known: Constant | Loose | None
+    inside: str = ""
 
     @property
     def value(self) -> str | None:
@@ -172,35 +194,130 @@ def base_spans(text: str) -> list[Span]:
     return out + [Span("hex", *m.span()) for m in HEX.finditer(text)]
 
 
+class Places:
+    """The names that text positions stand in, asked for in order."""
+
+    def __init__(self, text: str) -> None:
+        self.text, self.braces, self.lines = text, [], []
+        marks = []
+        if "{" in text:
+            marks += [(m.start(), "{" if m[0][-1] == "{" else "}", m) for m in BRACE.finditer(text)]
+        if ":" in text:
+            marks += [(m.start(), ":", m) for m in PARENT.finditer(text)]
+        if "[" in text:
+            marks += [(m.start(), "[", m) for m in SECTION.finditer(text)]
+        self.marks, self.next, self.section = sorted(marks, key=lambda m: m[0]), 0, ""
+        self.line, self.last = 0, 0  # start of the line last asked for, and the place in it
+
+    def of(self, at: int) -> str:
+        """The name around a position, or nothing."""
+        while self.next < len(self.marks) and self.marks[self.next][0] < at:
+            _, kind, m = self.marks[self.next]
+            self.next += 1
+            if kind == "{":
+                self.braces.append(m[1] or "")
+            elif kind == "}":
+                self.braces[-1:] = []
+            elif kind == "[":
+                self.section, self.lines = m[1], []
+            else:
+                depth = len(m[1].expandtabs())
+                self._leave(depth)
+                self.lines.append((depth, m[2]))
+        self.line, self.last = max(self.line, self.text.rfind("\n", self.last, at) + 1), at
+        self._leave(len(INDENT.match(self.text, self.line, at)[0].expandtabs()))
+        return (self.braces[-1] if self.braces else "") or (self.lines[-1][1] if self.lines else self.section)
+
+    def _leave(self, depth: int) -> None:
+        while self.lines and self.lines[-1][0] >= depth:
+            self.lines.pop()
+
+
 def assignments(text: str) -> Iterator[Assignment]:
     """Assignments in order, with the constants bound so far carried into values."""
+    if not any(c in text for c in "=:<"):
+        return
     bound: dict[str, Constant | Loose] = {}
-    for match in NAME.finditer(text) if "=" in text or ":" in text else ():
-        at, terms = match.end(), []
-        while True:
-            if term := QUOTED.match(text, at):
-                inner = 1 if term[1] is not None else 2
-                terms.append(literal(term[inner], *term.span(inner)))
-            elif term := BARE.match(text, at):
-                if known := bound.get(term[0]):
-                    terms.append(known)
-                # An unquoted word next to others is a name that isn't known, not a literal.
-                elif terms or PLUS.match(text, term.end()):
-                    terms.append(None)
-                else:
-                    terms.append(literal(term[0], *term.span()))
+    places = Places(text)
+    starts: list[tuple[int, str, re.Match]] = [(m.start(1), "name", m) for m in NAME.finditer(text)]
+    if "," in text:
+        lists = [(m.start(1), "list", m) for m in TARGETS.finditer(text)]
+        covered = {m.end() for _, _, m in lists}
+        starts = [s for s in starts if s[2].end() not in covered] + lists
+    if "</" in text:
+        starts += [(m.start(), "element", m) for m in ELEMENT.finditer(text)]
+    for at, kind, m in sorted(starts, key=lambda s: s[0]):
+        inside = places.of(at)
+        if kind == "element":
+            yield Assignment(m[1], literal(m[2], *m.span(2)), inside)
+            continue
+        end = m.end()
+        for i, name in enumerate(re.split(r"[ \t]*,[ \t]*", m[1]) if kind == "list" else [m[1]]):
+            if i:
+                if not (comma := COMMA.match(text, end)):
+                    break
+                end = comma.end()
+            known, end = _value(text, end, bound)
+            if kind == "name" and m[2] in ("+=", ".="):
+                known = _sum([bound.get(name), known])
+            if known is not None:
+                bound[name] = known
             else:
-                break
-            at = term.end()
-            if not (plus := PLUS.match(text, at)):
-                break
-            at = plus.end()
-        found = Assignment(match[1], _sum(terms))
-        if found.known is not None:
-            bound[found.name] = found.known
+                bound.pop(name, None)
+            yield Assignment(name, known, inside)
+
+
+def _value(text: str, at: int, bound: dict[str, Constant | Loose]) -> tuple[Constant | Loose | None, int]:
+    """What is known of the value that begins at a place, and where it ends."""
+    if block := BLOCK.match(text, at):
+        return _indented(text, at, block.end())
+    opened = OPENING.match(text, at)
+    at, terms, apart = opened.end() if opened else at, [], False
+    while True:
+        if term := QUOTED.match(text, at):
+            inner = term.lastindex
+            terms.append(literal(term[inner], *term.span(inner)))
+            joined = (INSIDE if opened else PLUS).match(text, term.end()) or NEXT.match(text, term.end())
+        elif term := BARE.match(text, at):
+            joined = (INSIDE if opened else PLUS).match(text, term.end())
+            if known := bound.get(term[0]):
+                terms.append(known)
+            # An unquoted word next to others is a name that isn't known, not a literal.
+            elif terms or joined:
+                terms.append(None)
+            else:
+                terms.append(literal(term[0], *term.span()))
         else:
-            bound.pop(found.name, None)
-        yield found
+            break
+        at = term.end()
+        if not joined:
+            break
+        if opened and "," in joined[0]:  # a list: its items are values of their own
+            apart = True
+            terms.append(None)
+        at = joined.end()
+    known = _sum(terms)
+    if apart and isinstance(known, Constant):
+        known = Loose((known,))
+    return known, at
+
+
+def _indented(text: str, at: int, begin: int) -> tuple[Constant | Loose | None, int]:
+    """Lines indented deeper than the one that holds ``at``, from ``begin``: each a literal."""
+    depth, pieces = len(INDENT.match(text, text.rfind("\n", 0, at) + 1)[0]), []
+    while begin < len(text):
+        end = text.find("\n", begin)
+        end = len(text) if end < 0 else end
+        own = text[begin:end]
+        if own.strip():
+            indent = len(own) - len(own.lstrip())
+            if indent <= depth:
+                break
+            pieces.append(literal(own.strip(), begin + indent, begin + indent + len(own.strip())))
+        begin = end + 1
+    if not pieces:
+        return None, begin
+    return Loose((added(pieces), *pieces)) if len(pieces) > 1 else pieces[0], begin
 
 
 def _sum(terms: list[Constant | Loose | None]) -> Constant | Loose | None:
@@ -212,12 +329,16 @@ def _sum(terms: list[Constant | Loose | None]) -> Constant | Loose | None:
     return Loose(tuple(pieces)) if pieces else None
 
 
-def name_score(name: str) -> float:
-    """How sensitive a target name is, from its words; a harmless last word takes that away."""
+def name_score(name: str, inside: str = "") -> float:
+    """How sensitive a target name is, from its words; a harmless last word takes that away. A name that it stands in counts with the
+    word next to it, and by itself if the name is a generic one."""
     words = [w.lower() for w in PARTS.findall(name)]
+    around = [w.lower() for w in PARTS.findall(inside)]
     if not words or words[-1] in HARMLESS:
         return 0.0
-    pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
+    if around and set(words) <= GENERIC:
+        return name_score(inside)
+    pairs = [f"{a} {b}" for a, b in zip([*around[-1:], *words], [*around[-1:], *words][1:])]
     return max((SENSITIVE.get(w, 0.0) for w in words + pairs), default=0.0)
 
 
@@ -244,7 +365,7 @@ def named_spans(text: str) -> list[Span]:
     found, spanned = set(), set()
     scored: defaultdict[float, set[Constant | Loose]] = defaultdict(set)
     for a in assignments(text):
-        if sensitive := name_score(a.name):
+        if sensitive := name_score(a.name, a.inside):
             for constant in constants(a.known, scored[sensitive]):
                 if sensitive * constant_score(constant) >= THRESHOLD:
                     found |= {Span("named", *s) for s in source_spans(constant, spanned) if s[0] < s[1]}

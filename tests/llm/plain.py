@@ -192,3 +192,55 @@ def op13(rows):
             saved[p[:d]] += (len(m) - 1) * len(p[-1][1]) if p else 0
     return [(m[0], len(p), members[p[:-1]][0] if p else None, len(m), children[p], leaves[p], saved[p],
              sha(",".join(map(str, ends[p])).encode())) for p, m in members.items()]
+
+
+def op1_shard(key, shards):
+    """Rendezvous of one key over equal shards: the lowest score wins."""
+    def score(shard):
+        text = ("n" if key is None else f"k{key}") + f"/{shard}"
+        return -math.log((int(hashlib.md5(text.encode()).hexdigest()[:13], 16) + 0.5) / 16**13)
+
+    return min(range(shards), key=lambda s: (score(s), s))
+
+
+def kneser_ney(texts, order):
+    """Interpolated Kneser-Ney over characters, by nested counting: a function from text to bits and symbols."""
+    def symbols(text):
+        out = []
+        for c in text:
+            if c.isalpha():
+                out.append(c.lower()[0])
+            elif out and out[-1] != "#":
+                out.append("#")
+        return out + ["#"] if out and out[-1] != "#" else out
+
+    counts = [Counter() for _ in range(order + 1)]
+    for t in texts:
+        line = ["#"] * (order - 1) + symbols(t) if symbols(t) else []
+        for i in range(order - 1, len(line)):
+            counts[order][tuple(line[i - order + 1: i + 1])] += 1
+    seen = set(counts[order])
+    for k in range(order - 1, 0, -1):
+        for g in {g[order - k - 1:] for g in seen}:
+            counts[k][g[1:]] += 1
+    discounts, totals, types = [0.0] * (order + 1), [Counter() for _ in range(order + 1)], [Counter() for _ in range(order + 1)]
+    for k in range(1, order + 1):
+        ones, twos = (sum(n == x for n in counts[k].values()) for x in (1, 2))
+        discounts[k] = ones / (ones + 2 * twos) if ones else 0.5
+        for g, n in counts[k].items():
+            totals[k][g[:-1]] += n
+            types[k][g[:-1]] += 1
+
+    def probability(gram, k):
+        if not k:
+            return 1 / 1114112
+        own, lower = gram[-k:], probability(gram, k - 1)
+        if not totals[k][own[:-1]]:
+            return lower
+        return (max(counts[k][own] - discounts[k], 0) + discounts[k] * types[k][own[:-1]] * lower) / totals[k][own[:-1]]
+
+    def bits(text):
+        line = ["#"] * (order - 1) + symbols(text)
+        return sum(-math.log2(probability(tuple(line[i - order + 1: i + 1]), order)) for i in range(order - 1, len(line))), len(line) - order + 1
+
+    return bits

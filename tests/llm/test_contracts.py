@@ -7,6 +7,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -55,7 +56,7 @@ def awkward(spark, tmp_path_factory):
     """A folder whose documents have further columns with the names of results."""
     folder = str(tmp_path_factory.mktemp("awkward"))
     frame = spark.createDataFrame(awkward_rows(), SCHEMA)
-    extra = {c: F.lit("x") for c in ("size", "shard", "slot", "copies", "fp", "kept", "n_words", "target", "root", "k", "t", "found", "score")}
+    extra = {c: F.lit("x") for c in ("size", "shard", "slot", "copies", "fp", "kept", "n_words", "target", "root", "k", "t", "found", "score", "__row", "__twin", "__n", "copy", "row", "doc_key", "name", "sid")}
     frame.withColumns(extra).repartition(3).write.parquet(f"{folder}/documents.parquet")
     return folder
 
@@ -97,7 +98,7 @@ def test_op1(spark, folder):
     same([r[:3] for r in rows], want)
     slots, of = defaultdict(list), {}
     for d, _, _, law, shard, slot, grown in rows:
-        assert law == "key" and 0 <= shard < 24 and grown in (shard, 24)
+        assert law == "key" and (shard, grown) == (plain.op1_shard(d, 24), plain.op1_shard(d, 25)) and grown in (shard, 24)
         slots[shard].append(slot)
         assert of.setdefault(d, (shard, grown)) == (shard, grown)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
@@ -144,6 +145,41 @@ def test_op2_recall_on_given_vectors(spark):
     assert hits / (20 * len(got)) >= 0.9
 
 
+def neighbours_of(spark, path, rows):
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").repartition(4).write.parquet(f"{path}/embeddings.parquet")
+    got = defaultdict(dict)
+    for q, v, score in result(spark, str(path), "op2_neighbours", "query_id", "vec_id", "score"):
+        got[q][v] = score
+    return got
+
+
+def test_op2_with_norms_of_many_sizes(spark, tmp_path):
+    """One very long vector, and norms over six orders of magnitude."""
+    rng = np.random.default_rng(9)
+    vectors = (rng.standard_normal((2500, 16)) * 10.0 ** rng.uniform(-3, 3, (2500, 1))).astype(np.float32)
+    vectors[7] *= 1e6
+    got = neighbours_of(spark, tmp_path, [(i, v.tolist(), 0) for i, v in enumerate(vectors)])
+    x, hits = vectors.astype(float), 0
+    for q, found in got.items():
+        exact = x @ x[q]
+        exact[q] = -np.inf
+        hits += len(set(np.argsort(-exact)[:20].tolist()) & set(found))
+    assert len(got) == 125 and hits / (20 * len(got)) >= 0.9
+
+
+def test_op2_with_one_repeated_id(spark, tmp_path, monkeypatch):
+    """A third of all rows under one id: they meet every other row, not each other, and no block holds them all."""
+    from snapstar.llm import neighbours
+
+    monkeypatch.setattr(neighbours, "BLOCK", 200)
+    rng = np.random.default_rng(10)
+    vectors = rng.standard_normal((1500, 16)).astype(np.float32)
+    ids = [20 if i % 3 == 0 else 1000 + i for i in range(1500)]
+    got = neighbours_of(spark, tmp_path, [(i, v.tolist(), 0) for i, v in zip(ids, vectors)])
+    assert set(got) == {i for i in ids if i % 20 == 0}
+    assert all(q not in found for q, found in got.items())
+
+
 def test_op3(spark, folder):
     docs = documents(spark, folder)
     rows = result(spark, folder, "op3_language", "doc_id", "held_out", "lang_pred", "score")
@@ -217,6 +253,13 @@ def test_sql(spark, name):
     assert difference(spark, duck(FOLDER), FOLDER, name) is None
 
 
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_sql_on_awkward_rows(spark, awkward, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{awkward}/documents.parquet/*.parquet'")
+    assert difference(spark, con, awkward, name) is None
+
+
 def test_op9_on_whole_texts_and_variants(spark):
     from snapstar.llm import licenses
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ast
 import random
 import sys
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -37,6 +39,16 @@ def test_clashing_columns_and_bad_weights_are_refused(spark):
         sharding.shard_of(F.col("id"), [1.0, 0.0])
     with pytest.raises(ValueError):
         mixing.plan_mix(spark.createDataFrame([(1, 2, "a", 3)], "id int, size int, source string, copies int"), "size", "source", "id")
+    with pytest.raises(ValueError):
+        mixing.emit(spark.createDataFrame([(1, 2, 3)], "id int, copies bigint, Copy int"))
+
+
+def test_columns_named_like_those_of_the_near_duplicate_stage_come_back_unchanged(spark):
+    names = ["doc_id", "text", "__row", "__twin", "__n", "row", "fp", "root", "doc_key", "first"]
+    rows = [(i, f"one two three four five {i % 4}", *[f"{n}{i}" for n in names[2:]]) for i in range(12)]
+    frame = spark.createDataFrame(rows + rows[:2], names)
+    kept = simhash.keep_one(frame, "doc_id", "text")
+    assert kept.columns == names and {tuple(r) for r in kept.collect()} <= set(rows) and kept.count() == kept.select("doc_id").distinct().count() > 0
 
 
 # Neighbours
@@ -88,6 +100,18 @@ def test_models_are_distributions():
         assert abs(total - 1) < 1e-4
 
 
+@pytest.mark.parametrize("order", [1, 2, 4])
+def test_bits_equal_plain_kneser_ney(order):
+    texts = ["The cat sat on the mat.", "A cat, and a bat!", "the end", "", "123", "Größe und Maß", "baaad bad baaa"] * 2 + ["mat", "bat cat"]
+    model = langid.fit_model(texts, order)
+    identifier, plain_bits = langid.Identifier({"xx": model}, {"xx": 0.0}, {"xx": 1.0}), plain.kneser_ney(texts, order)
+    asked = ["the mat", "zebra quiz 漢字", "ÄÖ ßa", "  cat...sat  ", "a", "tttttt"]
+    got, lengths = identifier.bits(asked)
+    for text, bits, n in zip(asked, got[:, 0], lengths):
+        want, symbols = plain_bits(text)
+        assert n == symbols and abs(bits - want) < 1e-3 * max(want, 1)
+
+
 def test_pieces_of_a_long_text_add_up(monkeypatch):
     model = langid.fit_model(["some words of one language and others"] * 3)
     identifier = langid.Identifier({"xx": model}, {"xx": 0.0}, {"xx": float("inf")})
@@ -165,6 +189,77 @@ def test_literals_next_to_unknown_names_are_scored(text, found):
     assert [text[s.start:s.end] for s in secret_scan.scan(text) if s.kind == "named"] == found
 
 
+KEY = "Ab3dEf6hIj9lMn2pQr5t"
+HALF, REST = KEY[:10], KEY[10:]
+
+
+@pytest.mark.parametrize("text, found", [
+    *((f"signing_key = {p}{q}{KEY}{q}", [KEY]) for p in ("", "b", "f", "r", "u", "rb", "Br") for q in ('"', "'", '"""', "'''")),
+    (f"password = b'{KEY}'", [KEY]), (f'api_key: str = "{KEY}"', [KEY]), (f'cfg["password"] = "{KEY}"', [KEY]), (f'token = f"{KEY}"', [KEY]),
+    (f"secret = `{KEY}`", [KEY]), (f'signing_key: str = "{KEY}"', [KEY]), (f'signing_key: Optional[str] = "{KEY}"', [KEY]),
+    (f'signing_key: str | None = "{KEY}"', [KEY]), (f'const signing_key: string = `{KEY}`;', [KEY]), (f'config["signing_key"] = "{KEY}"', [KEY]),
+    (f"conf['db']['signing_key'] = '{KEY}'", [KEY]), (f'signing_key = (\n    "{KEY}"\n)', [KEY]), (f'signing_key = (\n  "{HALF}"\n  "{REST}"\n)', [HALF, REST]),
+    (f'signing_key = "{HALF}" "{REST}"', [HALF, REST]), (f"$signing_key = '{HALF}' . '{REST}';", [HALF, REST]), (f'signing_key = "{HALF}" \\\n  "{REST}"', [HALF, REST]),
+    (f'signing_key = "{HALF}" +\n  "{REST}"', [HALF, REST]), (f'signing_key = "{HALF}"\nsigning_key += "{REST}"', [HALF, REST]),
+    (f'signing_key = """\n{KEY}\n"""', []), (f"signing_key: |\n  {KEY}\n  {KEY[::-1]}\nother: x", [KEY, KEY[::-1]]), (f"a:\n  signing_key: >-\n    {KEY}\n  b: {KEY}", [KEY]),
+    (f'{{"signing": {{"key": "{KEY}"}}}}', [KEY]), (f'{{"signing": {{"key": {{"value": "{KEY}"}}}}}}', []), (f'{{"signing_key": {{"value": "{KEY}", "id": "{KEY}"}}}}', [KEY]),
+    (f'{{"signing": {{}}, "key": "{KEY}"}}', []), (f"signing:\n  key: {KEY}\nkey: {KEY[::-1]}", [KEY]), (f"[signing]\nkey = {KEY}\n[other]\nkey = {KEY}", [KEY]),
+    (f'name, signing_key = "{KEY[::-1]}", "{KEY}"', [KEY]), (f'signing_key, name = "{KEY}", "{KEY[::-1]}"', [KEY]),
+    (f"<signing_key>{KEY}</signing_key>", [KEY]), (f"<c:signing-key a='b'>\n  {KEY}\n</c:signing-key>", [KEY]), (f"<name>{KEY}</name>", []),
+    (f'signing_keys = ["{KEY}", "{KEY[::-1]}"]', []), (f'credentials = ["{KEY}", "{KEY[::-1]}"]', [KEY, KEY[::-1]]), (f'signing_key == "{KEY}"', []),
+])
+def test_syntaxes_of_assignments(text, found):
+    assert [text[s.start:s.end] for s in secret_scan.scan(text) if s.kind == "named"] == found
+
+
+def test_python_sources_as_their_own_parser_reads_them():
+    """Random programs of assignments, against the syntax tree that Python makes of them."""
+    pick = random.Random(13)
+    names = ["signing_key", "pwd", "label", "a", "b", "private_key", "title"]
+
+    def literal():
+        body = "".join(pick.choices("abcXYZ0123", k=pick.randint(3, 14)))
+        return pick.choice(["", "", "r", "u"]) + pick.choice([f'"{body}"', f"'{body}'", f'"""{body}"""'])
+
+    def value():
+        return pick.choice([literal, literal, lambda: f"{literal()} {literal()}", lambda: f"{literal()} + {literal()}", lambda: f"(\n    {literal()}\n    {literal()})",
+                            lambda: pick.choice(seen), lambda: f"{pick.choice(seen)} + {literal()}", lambda: f"unknown + {literal()}"][: 8 if seen else 5])()
+
+    for _ in range(400):
+        lines, seen = [], []  # a bare word that nothing has bound is a token of its own, not a name
+        for _ in range(pick.randint(1, 6)):
+            target = pick.choice(names)
+            lines.append(pick.choice([f"{target} = {value()}", f"{target}: str = {value()}", f'd["{target}"] = {value()}', f"{target} += {literal()}"]))
+            seen.append(target)
+        source, known, want = "\n".join(lines), {}, set()
+        for statement in ast.parse(source).body:
+            node = statement.targets[0] if isinstance(statement, ast.Assign) else statement.target
+            target = node.id if isinstance(node, ast.Name) else node.slice.value
+
+            def bound(name):
+                """A name's parts; a sum with unknown parts doesn't grow together with what comes next to it."""
+                parts = known.get(name, [None])
+                return [None, *parts, None] if None in parts else parts
+
+            def runs(e):
+                """Lists of neighbouring literals' texts, and None for what isn't known."""
+                if isinstance(e, ast.BinOp):
+                    return runs(e.left) + runs(e.right)
+                return [e.value] if isinstance(e, ast.Constant) else bound(e.id)
+
+            parts = (bound(target) if isinstance(statement, ast.AugAssign) else []) + runs(statement.value)
+            known[target] = parts
+            joined = [""]
+            for part in parts:
+                joined = [*joined, ""] if part is None else [*joined[:-1], joined[-1] + part]
+            for whole in joined:
+                if whole and secret_scan.name_score(target) * secret_scan.literal_score(whole) >= secret_scan.THRESHOLD:
+                    want.add(whole)
+        got = {source[s.start:s.end] for s in secret_scan.scan(source) if s.kind == "named"}
+        assert all(any(piece in whole for whole in want) for piece in got) and bool(want) == bool(got), source
+        assert all(any(piece in whole for piece in got) for whole in want), source
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.sampled_from("tokenTOKEN secrtapi_ky=:\"'\n0123456789abcdefAKIA+/."), max_size=120))
 def test_base_spans_stay(text):
@@ -207,6 +302,26 @@ def test_emitted_rows_follow_the_plan_and_sources_come_near_their_targets(spark)
 # Passages
 
 
+def test_rows_of_a_batch_stay_in_proportion_to_its_text():
+    """The bytes that a batch sends, by the number of buckets, which grows with the input."""
+    pick = random.Random(7)
+    vocabulary = ["".join(pick.choices("abcdefgh", k=pick.randint(2, 9))) for _ in range(3000)]
+    texts = [" ".join(pick.choices(vocabulary, k=pick.randint(60, 600))) for _ in range(400)]
+    texts += [f"{t} {texts[0]}" for t in texts[:40]]
+    size, n = sum(map(len, texts)), len(texts)
+    ids, marks = pa.array(range(n), pa.int64()), pa.array([pick.getrandbits(60) for _ in range(n)], pa.int64())
+
+    def sent(step, last, kind):
+        batch = pa.record_batch([ids, marks, pa.array(texts), pa.array(last, kind)], names=["k", "t", "x", "y"])
+        return sum(len(v.as_py()) for out in step([batch]) for v in out.column("payload")) / size
+
+    named = [pick.getrandbits(32) for _ in texts]
+    probed = [sent(passages.probe(b), named, pa.int64()) for b in (7, 300, 2000)]
+    assert max(probed) <= 1.7 and probed[2] <= 1.2 * probed[1] + 0.2
+    every = [(passages.anchors_of()(passages.WordHashes().of(t)) & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() for t in texts]
+    assert max(sent(passages.extend(b), every, pa.binary()) for b in (7, 300, 2000)) <= 5
+
+
 def test_packing_is_exact():
     arrays = (np.arange(5, dtype=np.uint64), np.zeros(0, np.uint32), np.array([1, 300, 70_000], np.uint32))
     assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(arrays, passages.unpack(passages.pack(*arrays))))
