@@ -56,30 +56,40 @@ Unless required by applicable law or agreed to in writing, software distributed
 IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
 language governing permissions and limitations under the License."""),
 )
+BROADCAST_DIGESTS = 100_000  # known texts that may be broadcast, about 5 MB
 COPYRIGHT_LINE = r"(^|\n)[\x20\t]*(copyright[\x20\t]*(\(c\)|©|[0-9])|\(c\)|©|all rights reserved)[^\n]*"
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form of a text."""
-    out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "\n")
+def canonical_lines(text: Column) -> Column:
+    """The canonical form of every line of a text; a dropped line is empty. One pass of each pattern serves all units of a text."""
+    out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "$1")
     for pattern, replacement in SPELLINGS:
         out = F.regexp_replace(out, pattern, replacement)
-    return F.trim(F.regexp_replace(out, "[^a-z0-9]+", " "))
+    return F.transform(F.split(F.regexp_replace(out, "[^a-z0-9\n]+", " "), "\n", -1), lambda line: F.trim(line))
+
+
+def joined(lines: Column) -> Column:
+    """The canonical form of the text that has these lines."""
+    return F.array_join(F.filter(lines, lambda line: line != ""), " ")
 
 
 def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
-    """``license`` and ``digest`` of every known text; the list is fixed, and so is its size."""
+    """``license`` and ``digest`` of every known text."""
     rows = spark.createDataFrame(list(known), "license string, body string")
-    return rows.select("license", F.md5(canonical(F.col("body")).cast("binary")).alias("digest")).dropDuplicates(["digest"])
+    return rows.select("license", F.md5(joined(canonical_lines(F.col("body"))).cast("binary")).alias("digest")).dropDuplicates(["digest"])
 
 
 def scan(df: DataFrame, key: str, text: str, known: DataFrame) -> DataFrame:
     """One row per matching unit: key, ``scope`` (``text`` or ``line``), ``line_no`` from 1 (0: whole text), ``license``.
 
-    Texts aren't shuffled: units become digests within the scan and meet the broadcast digests of the fixed list.
+    Texts aren't shuffled: units become digests within the scan and meet the digests of ``known``, which are broadcast if they
+    are few, and otherwise joined as the planner sees fit.
     """
-    lines = F.split(F.col(text), "\n", -1)
-    units = df.select(F.col(key), F.posexplode(F.concat(F.array(F.col(text)), F.when(F.size(lines) > 1, lines).otherwise(F.array().cast("array<string>")))).alias("line_no", "unit"))
-    hashed = units.select(F.col(key), F.col("line_no"), F.md5(canonical(F.col("unit")).cast("binary")).alias("digest"))
+    named = df.select(F.col(key).alias("key"), canonical_lines(F.col(text)).alias("lines"))
+    whole, single = F.array(joined(F.col("lines"))), F.array().cast("array<string>")
+    units = named.select("key", F.posexplode(F.concat(whole, F.when(F.size("lines") > 1, F.col("lines")).otherwise(single))).alias("line_no", "unit"))
+    hashed = units.filter("unit <> ''").select("key", "line_no", F.md5(F.col("unit").cast("binary")).alias("digest"))
     scope = F.when(F.col("line_no") == 0, "text").otherwise("line")
-    return hashed.join(F.broadcast(known), "digest").select(F.col(key), scope.alias("scope"), "line_no", "license")
+    if known.limit(BROADCAST_DIGESTS + 1).count() <= BROADCAST_DIGESTS:
+        known = F.broadcast(known)
+    return hashed.join(known, "digest").select(F.col("key").alias(key), scope.alias("scope"), "line_no", "license")
