@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, clustering, langid, licenses, minhash, mixing, neighbours, passages, prefix_trie, quality, secret_scan, sharding, simhash
-from .common import prepare, table, word_count
+from .common import materialize, prepare, table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 24
@@ -62,7 +62,8 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of every document the mix takes."""
-    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    # Stored without the texts, so that words are counted once for sums and rows.
+    docs = materialize(table(prepare(spark), sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
     plan = mixing.plan_mix(docs, "size", "source", "doc_id")
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
