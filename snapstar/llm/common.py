@@ -28,12 +28,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write a frame to the shared scratch folder and read it back: lineage ends in files every executor can read."""
+def materialize(df: DataFrame, label: str, instead_of: DataFrame | None = None) -> DataFrame:
+    """Write a frame to the shared scratch folder and read it back: lineage ends in files every executor can read.
+
+    ``instead_of`` is a frame from here that nothing reads any more once this one is written; its files are deleted then.
+    """
     spark = df.sparkSession
     folder = scratch_dir(spark, label)
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    stored = spark.read.schema(df.schema).parquet(folder)
+    stored.scratch_folder = folder
+    if instead_of is not None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(instead_of.scratch_folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return stored
 
 
 def word_count(text: Column) -> Column:

@@ -22,7 +22,7 @@ def components(edges: DataFrame) -> DataFrame:
     for _ in range(MOST_ROUNDS):
         if _settled(edges):
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        edges = materialize(_small_star(_large_star(edges)), "components")
+        edges = materialize(_small_star(_large_star(edges)), "components", instead_of=edges)
     raise RuntimeError(f"components did not settle in {MOST_ROUNDS} rounds")
 
 
