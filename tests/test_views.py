@@ -12,7 +12,7 @@ from snapstar.operators.snapshots import END, SNAPSHOT_TS, START
 from snapstar.plans.entities import ENTITIES, ingest_entity
 from snapstar.sources.landing import infer_csv_schema, is_missing, land_snapshot
 from snapstar.streaming.bronze import LateRows, checksum, read_exports
-from snapstar.streaming.history import AT, HistoryTable
+from snapstar.streaming.history import AT, Export, HistoryTable, View
 
 from .test_ingest import COLUMNS, invoice
 
@@ -165,3 +165,46 @@ def test_only_a_missing_path_counts_as_nothing(spark, tmp_path):
     with pytest.raises(AnalysisException) as wrong:
         spark.range(1).select("nothing")
     assert not is_missing(wrong.value)
+
+
+def _moved(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_a_re_dating_moves_no_row_and_equals_its_rows_read_again(spark, tmp_path):
+    """Views of an export after the first: by rows read again, and by the rows that are at hand."""
+    schema = f"id string, due int, late boolean, note string, {SNAPSHOT_TS} timestamp"
+    day = [int(t.timestamp() * 1e6) for t in T]
+
+    def late(at):
+        return {"late": F.col("due") < F.month(at)}
+
+    def rows(t, note):
+        made = [(f"k{k}", k % 7 + 2, None, f"{note}{k % 3}", T[t]) for k in range(20) if (k + t) % 4] + [("k1", 3, None, f"{note}1", T[t])] * 2
+        return spark.createDataFrame(made, schema).withColumns(late(F.col(SNAPSHOT_TS)))
+
+    exports = {day[0]: rows(0, "a"), day[4]: rows(4, "a"), day[5]: rows(5, "b")}
+
+    def rows_of(views):
+        parts = [exports[v.export.at].withColumns(late(F.timestamp_micros(F.lit(v.at)))).withColumn(AT, F.lit(v.at)) for v in views]
+        frame = parts[0]
+        for part in parts[1:]:
+            frame = frame.unionByName(part)
+        return frame
+
+    def spans(table):
+        return sorted(map(tuple, table.read().select("id", "due", "late", "note", START, END).collect()), key=str)
+
+    known = [Export(at, 0, str(at)) for at in exports]
+    steps = [(known[:1], day[2]), (known[:1], day[6]), (known[:2], day[6]), (known, day[7])]
+    plain, derived = (HistoryTable(spark, str(tmp_path / n), rows(0, "a").schema, ["id"], (SNAPSHOT_TS,)) for n in ("plain", "derived"))
+    for upto, date in steps:
+        plain.catch_up(upto, rows_of, date)
+        derived.catch_up(upto, lambda views: rows_of(views) if all(v.is_export for v in views) else None, date, late)
+        assert spans(plain) == spans(derived)
+    base = derived.folds()[-1]
+    assert _moved(derived._versions(base, [View(day[8], base.views[-1].export)], rows_of, late)) == 0
+    assert _moved(derived._versions(None, [View(day[0], known[0]), View(day[2], known[0])], rows_of, late)) == 1
+    # One for duplicates within an export, one for the versions by key; content is compared behind the latter.
+    seen_again = derived._versions(base, [View(day[8], Export(day[8], 0, "x")), View(day[9], Export(day[8], 0, "x"))], lambda v: exports[day[5]].withColumn(AT, F.lit(day[8])), late)
+    assert _moved(seen_again) == 2
