@@ -459,8 +459,9 @@ def _(m: SampleModel) -> DataFrame:
     base = scratch_dir(m.spark, "widened")
     _two_exports(m, base)
     first, later = (landing.read_run(m.spark, base, "orders", run) for run in ("r1", "r2"))
-    schema = landing.widened_schema(m.spark, base, "orders", ["r1", "r2"])
-    misfits = landing.retyped(later, landing.widest_types(first)).select(F.explode("_misfits").alias("column", "value"))
+    types = landing.widest_types(first)
+    schema = landing.widened(types, landing.widest_types(later))
+    misfits = landing.retyped(later, types).select(F.explode("_misfits").alias("column", "value"))
     counted = misfits.groupBy("column").agg(F.count(F.lit(1)).alias("misfits"), F.min("value").alias("least_misfit"))
     listed = m.spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in schema], "column string, type string")
     return listed.join(counted, "column", "left").withColumn("misfits", F.coalesce("misfits", F.lit(0)))

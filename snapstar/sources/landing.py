@@ -67,36 +67,50 @@ def infer_csv_schema(spark: SparkSession, folder: str, sampling_ratio: float = 1
 LATTICE = (("int", "bigint", "double"), ("date", "timestamp"), ("boolean",))
 
 
+# Every text is of one kind; a type of the lattice holds the kinds up to its own on its line.
+KINDS = (*(t for line in LATTICE for t in line), "string")
+# What a double looks like: decimal, or hexadecimal with a power of two.
+NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|0[xX][0-9a-fA-F.]+[pP][+-]?\d+)[dDfF]?[\x00-\x20]*$"
+
+
 def widest_types(df: DataFrame) -> StructType:
     """The narrowest type of the lattice that holds every value of each text column; text if none does, or if there is no value.
 
-    One pass counts the values that each type refuses; the file formats' spelling of numbers and times is Spark's. Null and
+    One pass gathers the kinds of value that each column has; the file formats' spelling of numbers and times is Spark's. Null and
     empty text say nothing about a type.
     """
     cells = {f.name: F.nullif(F.trim(F.col(f"`{f.name}`").cast("string")), F.lit("")) for f in df.schema}
-    counts = [F.count(c).alias(f"{i}") for i, c in enumerate(cells.values())]
-    for i, c in enumerate(cells.values()):
-        counts += [F.count_if(c.isNotNull() & ~_fits(c, t)).alias(f"{i}:{t}") for line in LATTICE for t in line]
-    seen = df.agg(*counts).first()
+    kinds = df.select(*(F.when(c.isNotNull(), _kind(c)).alias(f"{i}") for i, c in enumerate(cells.values())))
+    seen = kinds.agg(*(F.bit_or(c).alias(c) for c in kinds.columns)).first()
+    holds = [(t, sum(_bit(k) for k in line[:i + 1])) for line in LATTICE for i, t in enumerate(line)]
     fields = []
     for i, name in enumerate(cells):
-        fitting = [t for line in LATTICE for t in line if not seen[f"{i}:{t}"]] if seen[f"{i}"] else []
+        fitting = [t for t, bits in holds if seen[i] and not seen[i] & ~bits]
         fields.append(StructField(name, StructType.fromDDL(f"x {fitting[0] if fitting else 'string'}")[0].dataType))
     return StructType(fields)
 
 
-def _fits(text: Column, kind: str) -> Column:
-    """Whether a text is a value of the type; a date is one without a time of day, a whole number one without a point."""
-    value = text.try_cast(kind)
-    if kind in ("int", "bigint"):
-        return value.isNotNull() & text.rlike(r"^[+-]?\d+$")
-    if kind == "date":
-        return value.isNotNull() & text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$")
-    if kind == "boolean":
-        return F.lower(text).isin("true", "false")
-    if kind == "double":
-        return value.isNotNull() & text.rlike(r"^[+-]?(\d|\.\d)")
-    return value.isNotNull() & text.rlike(r"^\d{4}-")
+def _bit(kind: str) -> int:
+    return 1 << KINDS.index(kind)
+
+
+def _kind(text: Column) -> Column:
+    """The narrowest type that a text is a value of, as its bit; a date is one without a time of day, a whole number one without a point.
+
+    A text is only cast to types it looks like: a number's cast that fails raises and catches an error, which costs a hundred looks.
+    """
+    def first(*kinds: str) -> Column:
+        return F.coalesce(*(F.when(text.try_cast(k).isNotNull(), F.lit(_bit(k))) for k in kinds), F.lit(_bit("string")))
+
+    whole, day = text.rlike(r"^[+-]?\d+$"), text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$")
+    return (
+        F.when(whole, first("int", "bigint", "double"))
+        .when(text.rlike(NUMBER), first("double"))
+        .when(day, first("date", "timestamp"))
+        .when(text.rlike(r"^\d{4}-"), first("timestamp"))
+        .when(F.lower(text).isin("true", "false"), F.lit(_bit("boolean")))
+        .otherwise(F.lit(_bit("string")))
+    )
 
 
 def widened(old: StructType, new: StructType) -> StructType:

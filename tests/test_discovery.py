@@ -1,7 +1,9 @@
 """Keys, inclusions, types, selections, lookups in time, vectors and gates against plain counterparts."""
 
 import random
+import time
 from datetime import datetime, timedelta
+from itertools import product
 
 import numpy as np
 import pytest
@@ -13,6 +15,7 @@ from snapstar.operators.relations import Relationship, select_across
 from snapstar.operators.snapshots import END, START
 from snapstar.operators.vectors import VectorStore, cosine_top_k, visited_share
 from snapstar.plans.metadata import GOLD_TABLES, RELATIONSHIPS
+from snapstar.sources import landing
 from snapstar.sources.landing import retyped, widened, widest_types
 from snapstar.sources.traces import daily_sketches, merged_summary, rank_errors
 from snapstar.streaming.gate import BatchCounts, gate_stream, read_gate
@@ -210,3 +213,22 @@ def test_vector_store_rewrites_touched_buckets_only(spark, tmp_path):
     rows.withColumn("label", F.lit(99)).withColumn("_bucket", F.lit(0)).write.partitionBy("_bucket").parquet(str(tmp_path / "v" / "_write=3"))
     assert {r.vec_id: r.label for r in store.read().collect()} == got
     assert store.upsert(change) == touched and {r.vec_id: r.label for r in store.read().collect()} == got
+
+
+def test_texts_that_are_no_numbers_are_refused_by_their_look(spark):
+    """A look must refuse no double that Spark reads; and no cast may run into an error for each row of text, which is slow."""
+    texts = ["0x1p3", "0X1.8P1d", "1e5", "1E+5", "1.", "1.5d", "2F", ".5e-3", "+1", "1e400", "1e", "1_0", "1.2.3", "2024-01-01", "5-LOW", "0x10", "1 x"]
+    texts += ["".join(t) for n in (2, 3, 4) for t in product("0.e+xpd-", repeat=n)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    reads = F.col("t").try_cast("double").isNotNull() & F.col("t").rlike(r"^[+-]?(\d|\.\d)")
+    number = landing._kind(F.col("t")).isin([landing._bit(t) for t in landing.LATTICE[0]])
+    assert df.filter(number != reads).count() == 0
+
+    def seconds(text):
+        frame = spark.range(200_000, numPartitions=1).select(F.concat(F.col("id").cast("string"), F.lit(text)).alias("t"))
+        landing.widest_types(frame)
+        start = time.perf_counter()
+        landing.widest_types(frame)
+        return time.perf_counter() - start
+
+    assert seconds("-LOW") < 3 * seconds(".5") + 0.2
