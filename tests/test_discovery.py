@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from snapstar.operators import profile
 from snapstar.operators.point_in_time import valid_versions
 from snapstar.operators.profile import composite_keys, inclusion_dependencies
 from snapstar.operators.relations import Relationship, select_across
@@ -232,3 +233,18 @@ def test_texts_that_are_no_numbers_are_refused_by_their_look(spark):
         return time.perf_counter() - start
 
     assert seconds("-LOW") < 3 * seconds(".5") + 0.2
+
+
+def test_only_keys_are_counted_over_all_rows(spark, monkeypatch):
+    """A set that repeats values is found out in one slice of them, and a repeated value outside it by the exact count."""
+    looked = []
+
+    def spy(hashed, columns, sets, sliced, real=profile._repeated):
+        looked.append((sliced, len(sets), real(hashed, columns, sets, sliced)))
+        return looked[-1][2]
+
+    monkeypatch.setattr(profile, "_repeated", spy)
+    df = spark.range(20_000).select("id", F.when(F.col("id") == 7, 8).otherwise(F.col("id")).alias("nearly"), (F.col("id") - F.col("id") % 10 * (F.col("id") % 9 == 0).cast("int")).alias("often"))
+    assert [tuple(r) for r in composite_keys(df, most=1).collect()] == [("id", 1, 20_000)]
+    # "often" is out before the exact count; "nearly" has a single repeated value, which may lie in any slice.
+    assert looked[0][0] and looked[0][1] == 3 and len(looked[0][2]) >= 1 and not looked[1][0] and looked[1][1] <= 2
