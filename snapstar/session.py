@@ -20,6 +20,13 @@ DEFAULTS = {
 
 # Adaptive execution only merges partitions, so a session that never sized its shuffles starts them with many.
 UNSIZED, INITIAL_PARTITIONS = "200", "4096"
+# Bytes, compressed, that a task takes from files or from a shuffle. A task sorts or hashes what it takes, several operators at a time, in
+# rows up to thirty times as large; Spark's own sizes come to gigabytes a task once tables are large enough to fill them. Setting -> (Spark's
+# own value, the one used instead); a session that chose a size keeps it.
+TASK_BYTES = {
+    "spark.sql.files.maxPartitionBytes": ("134217728b", "16MB"),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": ("67108864b", "16MB"),
+}
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -30,6 +37,9 @@ def tune(spark: SparkSession) -> SparkSession:
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     if spark.conf.get("spark.sql.shuffle.partitions") == UNSIZED and spark.conf.get(initial, None) is None:
         spark.conf.set(initial, INITIAL_PARTITIONS)
+    for key, (own, used) in TASK_BYTES.items():
+        if spark.conf.get(key) == own:
+            spark.conf.set(key, used)
     return spark
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from snapstar.functions.columns import guarded_ratio, money, serial_to_date, with_invoice_status
 from snapstar.functions.measures import awarded_amount, count_other_than, rejected_amount, selected_value
+from snapstar.session import tune
 from snapstar.sources.calendars import calendar_for, dim_date
 
 
@@ -64,3 +65,12 @@ def test_calendar_covers_whole_years(spark):
     df = spark.createDataFrame([(date(2023, 5, 1),), (date(2024, 2, 29),), (None,)], "d date")
     assert calendar_for(df, "d").count() == 365 + 366
     assert calendar_for(df.filter("d IS NULL"), "d").count() == 0
+
+
+def test_tasks_take_few_bytes_unless_the_session_chose(spark):
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", "8MB")
+    tuned = tune(own)
+    assert tuned.conf.get("spark.sql.files.maxPartitionBytes") == "8MB"
+    assert tuned.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16MB"
+    assert tune(spark.newSession()).conf.get("spark.sql.files.maxPartitionBytes") == "16MB"
