@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,31 +17,36 @@ from ..session import scratch_dir
 from ..sources.landing import is_missing
 from .snapshots import dedup_by_key
 
-# Corpus vectors that a task holds together, and queries it multiplies with them at a time.
-BLOCK_ROWS, QUERY_BLOCK = 4096, 128
+# Bytes of corpus vectors that a task holds together, and queries it multiplies with them at a time. Every query moves once for each block, so
+# blocks are as large as a task holds with ease.
+BLOCK_BYTES, QUERY_BLOCK = 8 << 20, 128
 # Bounded sample of the corpus that the pivots and the first bounds come from, whatever the corpus holds; both move cost only.
 SAMPLE, PIVOTS = 1024, 64
 SLACK = 1e-9  # beyond rounding in similarities and angles
 
 
-def unit_rows(vectors: list, width: int) -> np.ndarray:
+def unit_rows(vectors: pa.Array, width: int) -> np.ndarray:
     """Vectors as rows of length one; NaN for null and zero vectors, those of another width, and those with null or non-finite components."""
+    whole = np.array(pc.fill_null(pc.equal(pc.list_value_length(vectors), width), False), dtype=bool)
     rows = np.full((len(vectors), width), np.nan)
-    for i, v in enumerate(vectors):
-        if v is not None and len(v) == width:
-            rows[i] = np.array(v, np.float64)
+    if whole.any():
+        flat = vectors.filter(pa.array(whole)).flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)  # nulls become NaN
+        rows[whole] = flat.reshape(-1, width)
     with np.errstate(invalid="ignore", over="ignore"):
         norms = np.linalg.norm(rows, axis=1, keepdims=True)
     return np.divide(rows, norms, out=np.full_like(rows, np.nan), where=(norms > 0) & np.isfinite(norms))
 
 
-def _best(sims: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of at most ``k`` of the similarities: the highest, then those of the smallest ids."""
-    usable = np.flatnonzero(~np.isnan(sims))
-    if len(usable) > k:
-        kth = np.partition(sims[usable], -k)[-k]
-        usable = usable[sims[usable] >= kth]
-    return usable[np.lexsort((ids[usable], -sims[usable]))[:k]]
+def _best(sims: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row, the places of at most ``k`` similarities that reach the row's bound: the highest, then the first ones. Returns rows,
+    places and similarities, rounded to ten digits; only what reaches a bound is rounded and sorted."""
+    rows, places = np.nonzero(sims >= bounds[:, None])
+    values = np.round(sims[rows, places], 10)
+    order = np.lexsort((places, -values, rows))
+    rows = rows[order]
+    starts = np.searchsorted(rows, np.arange(len(sims)))
+    kept = np.arange(len(rows)) - starts[rows] < k
+    return rows[kept], places[order][kept], values[order][kept]
 
 
 @dataclass
@@ -60,15 +66,16 @@ class Pivots:
         cell = np.nan_to_num(sims, nan=-2.0).argmax(1)
         return cell, np.arccos(np.clip(sims[np.arange(len(units)), cell], -1, 1))
 
-    def open_cells(self, units: np.ndarray, k: int, least: float) -> np.ndarray:
-        """Which cells may hold one of the k most similar vectors of each row. By the triangle inequality on the sphere no vector of a
+    def open_cells(self, units: np.ndarray, k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """Which cells may hold one of the k most similar vectors of each row, and a similarity that each of these reaches. By the triangle inequality on the sphere no vector of a
         cell is nearer than the pivot's angle less the cell's greatest, or the cell's least less the pivot's; the k-th best of the sample
         is a similarity that the k-th best of all reaches."""
-        known = np.sort(np.round(units @ self.sample.T, 10), axis=1)
-        bound = np.maximum(known[:, -k] if known.shape[1] >= k else -2.0, least)
+        known = units @ self.sample.T
+        kth = np.round(np.partition(known, -k, axis=1)[:, -k], 10) if known.shape[1] >= k else np.full(len(units), -2.0)
+        bound = np.maximum(kth, least) - SLACK
         angle = np.arccos(np.clip(units @ self.rows.T, -1, 1))
         gap = np.maximum(np.maximum(angle - self.farthest, self.nearest - angle), 0.0)
-        return (np.cos(np.minimum(gap, np.pi)) + SLACK >= bound[:, None] - SLACK) & (self.count > 0)
+        return (np.cos(np.minimum(gap, np.pi)) + SLACK >= bound[:, None]) & (self.count > 0), bound
 
 
 def choose_pivots(sample: np.ndarray, n: int = PIVOTS) -> np.ndarray:
@@ -91,7 +98,7 @@ def _place_corpus(corpus: DataFrame, id_col: str, vector: str) -> tuple[DataFram
     c = corpus.select(F.col(id_col).alias("id"), F.col(vector).alias("v"))
     usable = F.exists("v", lambda x: x != 0) & F.forall("v", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
     taken = [r.v for r in c.filter(usable).orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()]
-    units = unit_rows(taken, max(map(len, taken), default=0))
+    units = unit_rows(pa.array([[float(x) for x in v] for v in taken], pa.list_(pa.float64())), max(map(len, taken), default=0))
     sample = units[~np.isnan(units).any(1)]
     none = np.zeros(0)
     pivots = Pivots(sample, choose_pivots(sample), none, none, none)
@@ -100,7 +107,7 @@ def _place_corpus(corpus: DataFrame, id_col: str, vector: str) -> tuple[DataFram
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = unit_rows(batch.column(1).to_pylist(), pivots.rows.shape[1])
+            rows = unit_rows(batch.column(1), pivots.rows.shape[1])
             good = ~np.isnan(rows).any(1)
             if good.any():
                 cell, angle = pivots.cell_of(rows[good])
@@ -120,18 +127,20 @@ def _place_corpus(corpus: DataFrame, id_col: str, vector: str) -> tuple[DataFram
 
 
 def _place_queries(queries: DataFrame, query_id: str, query_vector: str, pivots: Pivots, k: int, least: float) -> DataFrame:
-    """Each query with the cells it has to visit."""
-    q = queries.select(F.col(query_id).alias("qid"), F.col(query_vector).alias("v"))
-    schema = StructType([*q.schema.fields, *StructType.fromDDL("cells array<bigint>").fields])
+    """Each query with the cells it has to visit and a similarity that all of its results reach. Queries are dealt out first, as a query makes
+    a row for each cell and a file may be one task."""
+    q = queries.select(F.col(query_id).alias("qid"), F.col(query_vector).alias("v")).repartition("qid")
+    schema = StructType([*q.schema.fields, *StructType.fromDDL("cells array<bigint>, bound double").fields])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = unit_rows(batch.column(1).to_pylist(), pivots.rows.shape[1])
+            rows = unit_rows(batch.column(1), pivots.rows.shape[1])
             good = ~np.isnan(rows).any(1)
             if good.any():
-                visits = pivots.open_cells(rows[good], k, least)
+                visits, bound = pivots.open_cells(rows[good], k, least)
                 kept = batch.filter(pa.array(good))
-                yield pa.record_batch([*kept.columns, pa.array([np.flatnonzero(v) for v in visits], pa.list_(pa.int64()))], names=schema.names)
+                cells = pa.array([np.flatnonzero(v) for v in visits], pa.list_(pa.int64()))
+                yield pa.record_batch([*kept.columns, cells, pa.array(bound, pa.float64())], names=schema.names)
 
     return q.mapInArrow(place, schema) if len(pivots.rows) else q.sparkSession.createDataFrame([], schema)
 
@@ -139,24 +148,28 @@ def _place_queries(queries: DataFrame, query_id: str, query_vector: str, pivots:
 def cosine_top_k(
     queries: DataFrame, corpus: DataFrame, k: int = 4, min_sim: float | None = None,
     query_id: str = "query_id", query_vector: str = "query_vector",
-    id_col: str = "vec_id", vector: str = "embedding", block_rows: int = BLOCK_ROWS,
+    id_col: str = "vec_id", vector: str = "embedding", block_rows: int | None = None,
 ) -> DataFrame:
     """The ``k`` most similar corpus vectors per query, optionally only those at ``min_sim`` or above.
 
-    The corpus lies in cells around pivots, cut into blocks of about ``block_rows`` vectors; every query goes to the blocks of those
-    cells that its bounds can't rule out. A task holds one block and lets its queries stream by, keeping k rows per query, so neither side is
-    bounded in size, no pair is stored, and the driver sees no query. Null and zero vectors take no part.
+    The corpus lies in cells around pivots, cut into blocks of about ``block_rows`` vectors (or ``BLOCK_BYTES``); every query goes to the blocks of those
+    cells that its bounds can't rule out. A task holds one block and lets its queries stream by, keeping of each query the k rows that reach its
+    bound at most, so neither side is bounded in size, no pair is stored, and the driver sees no query. Null and zero vectors take no part.
     """
     c, q = corpus.schema[id_col], queries.schema[query_id]
     placed, pivots = _place_corpus(corpus, id_col, vector)
     # The similarity that is compared with ``min_sim`` is rounded to four digits.
     asked = _place_queries(queries, query_id, query_vector, pivots, k, -2.0 if min_sim is None else min_sim - 1e-4)
+    block_rows = block_rows or max(1, BLOCK_BYTES // max(1, 8 * pivots.rows.shape[-1]))
     blocks = F.array(*(F.lit(max(1, -(-int(n) // block_rows))).cast("long") for n in pivots.count), F.lit(1).cast("long"))
     of_cell = F.get(blocks, F.col("cell").cast("int"))
-    held = placed.select("cell", F.pmod("salt", of_cell).alias("block"), F.lit(None).cast(q.dataType).alias("qid"), "id", F.col("v").cast("array<double>").alias("v"))
-    moved = asked.select("qid", "v", F.explode("cells").alias("cell")).select(
-        "cell", F.explode(F.sequence(F.lit(0).cast("long"), of_cell - 1)).alias("block"), "qid", F.lit(None).cast(c.dataType).alias("id"),
-        F.col("v").cast("array<double>").alias("v"))
+    # Vectors that are floats on both sides move as floats.
+    sides = {corpus.schema[vector].dataType.simpleString(), queries.schema[query_vector].dataType.simpleString()}
+    v = F.col("v").cast("array<float>" if sides == {"array<float>"} else "array<double>").alias("v")
+    held = placed.select(
+        "cell", F.pmod("salt", of_cell).alias("block"), F.lit(None).cast(q.dataType).alias("qid"), "id", v, F.lit(None).cast("double").alias("bound"))
+    moved = asked.select("qid", "v", "bound", F.explode("cells").alias("cell")).select(
+        "cell", F.explode(F.sequence(F.lit(0).cast("long"), of_cell - 1)).alias("block"), "qid", F.lit(None).cast(c.dataType).alias("id"), v, "bound")
     together = held.withColumn("asks", F.lit(False)).unionByName(moved.withColumn("asks", F.lit(True)))
     together = together.repartition("cell", "block").sortWithinPartitions("cell", "block", "asks")
     schema = StructType([StructField(query_id, q.dataType), StructField(id_col, c.dataType), *StructType.fromDDL("_sim double").fields])
@@ -170,27 +183,25 @@ def cosine_top_k(
                 if at != (cell[start], block[start]):
                     at, ids, rows, units = (cell[start], block[start]), [], [], None
                 part = batch.slice(start, stop - start)
-                vectors = part.column(part.schema.get_field_index("v")).to_pylist()
+                vectors = part.column(part.schema.get_field_index("v"))
                 if not asks[start]:
                     ids += part.column(part.schema.get_field_index("id")).to_pylist()
                     rows.append(unit_rows(vectors, pivots.rows.shape[1]))
                     continue
-                if units is None:
-                    units, ids = np.concatenate(rows) if rows else np.zeros((0, 0)), np.array(ids)
+                if units is None:  # by id, so that of equal similarities the first place is the smallest id
+                    order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i]))
+                    units, ids = (np.concatenate(rows)[order] if rows else np.zeros((0, 0))), pa.array(ids, part.schema.field("id").type).take(pa.array(order, pa.int64()))
                 if not len(units):
                     continue
-                names, picks, values = [], [], []
-                asked_ids, asked_units = part.column(part.schema.get_field_index("qid")).to_pylist(), unit_rows(vectors, pivots.rows.shape[1])
+                names = part.column(part.schema.get_field_index("qid"))
+                asked_units = unit_rows(vectors, pivots.rows.shape[1])
+                bounds = part.column(part.schema.get_field_index("bound")).to_numpy(zero_copy_only=False)
                 for first in range(0, len(asked_units), QUERY_BLOCK):
-                    for name, sims in zip(asked_ids[first:first + QUERY_BLOCK], np.round(asked_units[first:first + QUERY_BLOCK] @ units.T, 10)):
-                        top = _best(sims, ids, k)
-                        names += [name] * len(top)
-                        picks += ids[top].tolist()
-                        values += sims[top].tolist()
-                yield pa.record_batch([pa.array(names, part.schema.field("qid").type), pa.array(picks, part.schema.field("id").type),
-                                       pa.array(values, pa.float64())], names=schema.names)
-
-    found = together.select("cell", "block", "asks", "qid", "id", "v").mapInArrow(scan, schema)
+                    some = slice(first, first + QUERY_BLOCK)
+                    at_row, place, sims = _best(asked_units[some] @ units.T, bounds[some], k)
+                    yield pa.record_batch([names.take(pa.array(first + at_row)), ids.take(pa.array(place)), pa.array(sims, pa.float64())], names=schema.names)
+
+    found = together.select("cell", "block", "asks", "qid", "id", "v", "bound").mapInArrow(scan, schema)
     by_query = Window.partitionBy(query_id).orderBy(F.col("_sim").desc(), id_col)
     top = found.withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k).select(
         query_id, id_col, F.round("_sim", 4).alias("similarity"), "rank"

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from snapstar.operators.point_in_time import valid_versions
 from snapstar.operators.profile import composite_keys, inclusion_dependencies
 from snapstar.operators.relations import Relationship, select_across
 from snapstar.operators.snapshots import END, START
-from snapstar.operators.vectors import VectorStore, cosine_top_k, visited_share
+from snapstar.operators.vectors import VectorStore, _best, cosine_top_k, unit_rows, visited_share
 from snapstar.plans.metadata import GOLD_TABLES, RELATIONSHIPS
 from snapstar.sources import landing
 from snapstar.sources.landing import retyped, widened, widest_types
@@ -248,3 +249,24 @@ def test_only_keys_are_counted_over_all_rows(spark, monkeypatch):
     assert [tuple(r) for r in composite_keys(df, most=1).collect()] == [("id", 1, 20_000)]
     # "often" is out before the exact count; "nearly" has a single repeated value, which may lie in any slice.
     assert looked[0][0] and looked[0][1] == 3 and len(looked[0][2]) >= 1 and not looked[1][0] and looked[1][1] <= 2
+
+
+def test_vectors_become_rows_without_a_loop_and_only_what_reaches_a_bound_is_kept():
+    listed = pa.array([[9.0, 9.0], [3.0, 4.0], None, [1.0], [0.0, 0.0], [None, 1.0], [float("inf"), 1.0], [0.0, -2.0]], pa.list_(pa.float32()))
+    rows = unit_rows(listed.slice(1), 2)
+    assert rows[[0, 6]].tolist() == [[0.6, 0.8], [0.0, -1.0]] and np.isnan(rows[1:6]).any(1).all()
+    sims = np.array([[0.5, 0.9, 0.5 + 1e-12, 0.1], [0.2, 0.1, 0.2, 0.2], [0.1, 0.1, 0.1, 0.1]])
+    at, place, values = _best(sims, np.array([0.4, 0.0, 0.8]), 2)
+    assert list(zip(at.tolist(), place.tolist(), values.tolist())) == [(0, 1, 0.9), (0, 0, 0.5), (1, 0, 0.2), (1, 2, 0.2)]
+
+
+def test_many_queries_of_one_file_are_dealt_out_and_floats_move_as_floats(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    vectors = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(300, 6)).astype(np.float32))]
+    spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>").coalesce(1).write.parquet(str(tmp_path / "v"))
+    c = spark.read.parquet(str(tmp_path / "v"))
+    q = c.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    found = cosine_top_k(q, c, 3)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [qid" in plan and "array<double>" not in plan
+    assert {(r["query_id"], r["vec_id"], r["rank"]) for r in found.collect()} == brute_force(vectors, vectors, 3)
