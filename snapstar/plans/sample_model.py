@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.columns import AWARDED, date_to_serial
 from ..operators.snapshots import END, RESCUED, SNAPSHOT_TS, START, dedup_by_key
-from ..session import scratch_dir
+from ..session import deal_out, scratch_dir, stored_bytes
 from ..sources.landing import write_gold
 from . import gold
 from .entities import ENTITIES, typed
@@ -106,6 +106,7 @@ class SampleModel:
         self.spark, self.sf_dir = spark, sf_dir
         self._shared = False
         self._tables: dict[str, DataFrame] = {}
+        self._bytes: dict[str, int] = {}
 
     def table(self, name: str) -> DataFrame:
         """A given table; its schema is read from the files once per process."""
@@ -116,6 +117,12 @@ class SampleModel:
             self._tables[name] = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
         return self._tables[name]
 
+    def dealt(self, name: str) -> DataFrame:
+        """A given table for steps that sort or hash what they scan: in pieces whose size doesn't follow the row groups of its files."""
+        if name not in self._bytes:
+            self._bytes[name] = stored_bytes(self.spark, f"{self.sf_dir}/{name}.parquet")
+        return deal_out(self.table(name), self._bytes[name])
+
     # Shared parts
 
     @cached_property
@@ -125,7 +132,7 @@ class SampleModel:
     @cached_property
     def lines(self) -> DataFrame:
         """Line items with one row per (order, line number)."""
-        return dedup_by_key(self.table("lineitem").select(*LINE), ["l_orderkey", "l_linenumber"]).withColumn(
+        return dedup_by_key(self.dealt("lineitem").select(*LINE), ["l_orderkey", "l_linenumber"]).withColumn(
             "l_shipdate", F.to_date("l_shipdate"))
 
     @cached_property

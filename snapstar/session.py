@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job relies on; none of them depends on the data size. A skewed join is
 # split even where the aggregate above it then needs a shuffle of its own.
@@ -29,6 +30,12 @@ TASK_BYTES = {
 }
 
 
+# A row group of a file can't be split, so a task that sorts or hashes what it scans holds whole row groups, which grow with the file. Rows of
+# larger files are dealt out in pieces of PIECE bytes first. Up to MOST_OPEN pieces a task writes rows straight to files and holds none of them
+# (spark.shuffle.sort.bypassMergeThreshold); only beyond LARGEST bytes a piece there are more.
+PIECE, MOST_OPEN, LARGEST = 16 << 20, 200, 64 << 20
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the defaults to a session created elsewhere."""
     for key, value in DEFAULTS.items():
@@ -43,6 +50,22 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a stored file or folder, from its listing; no file is opened."""
+    return spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
+
+
+def deal_out(df: DataFrame, stored: int) -> DataFrame:
+    """The rows of files of ``stored`` bytes in even pieces, whatever their row groups and values; files below ``PIECE`` stay as they are.
+
+    Rows are dealt by their position in the file, so a repeated task deals them alike and equal rows don't meet in one piece.
+    """
+    if stored <= PIECE:
+        return df
+    pieces = max(min(-(-stored // PIECE), MOST_OPEN), -(-stored // LARGEST), min(df.sparkSession.sparkContext.defaultParallelism, MOST_OPEN))
+    return df.repartition(pieces, F.monotonically_increasing_id())
+
+
 def local_session(app: str = "snapstar", cores: int | str = "*", **conf: str) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
