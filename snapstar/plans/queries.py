@@ -604,7 +604,7 @@ def _(m: SampleModel) -> DataFrame:
 def _(m: SampleModel) -> DataFrame:
     """Columns of all star tables that hold nearly only values of another one: every foreign key, with its share."""
     tables = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-    return profile.inclusion_dependencies({t: m.table(t) for t in tables}, least_pct=90.0)
+    return profile.inclusion_dependencies({t: m.dealt(t) for t in tables}, least_pct=90.0)
 
 
 @query("fk_containment")

@@ -55,7 +55,11 @@ def test_lines_are_dealt_before_copies_are_dropped(spark, small_pieces):
     assert _hashed_after_dealing(_plan(SampleModel(spark, FOLDER).lines), "WindowGroupLimit")
 
 
-@pytest.mark.parametrize("name", ["profile_columns"])
+def test_columns_are_dealt_before_their_values_are_hashed(spark, small_pieces):
+    assert _hashed_after_dealing(_plan(QUERIES["inclusion_dependencies"](spark, FOLDER)), "HashAggregate")
+
+
+@pytest.mark.parametrize("name", ["profile_columns", "inclusion_dependencies"])
 def test_pieces_change_no_result(spark, monkeypatch, name):
     whole = _rows(QUERIES[name](spark, FOLDER))
     monkeypatch.setattr(session, "PIECE", 16384)
