@@ -143,7 +143,7 @@ class SampleModel:
     @cached_property
     def _per_order(self) -> DataFrame:
         """What an order's lines come to: the smallest part number and the supplier of the cheapest one."""
-        return self.table("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        return self.dealt("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
             F.min("l_partkey").alias("first_part"),
             F.min(F.struct("l_extendedprice", "l_suppkey"))["l_suppkey"].alias("best_supplier"))
 
@@ -208,7 +208,7 @@ class SampleModel:
     @cached_property
     def bids(self) -> DataFrame:
         """One bid per (order, supplier); the cheapest wins unless the order is pending."""
-        offers = self.table("lineitem").groupBy("l_orderkey", "l_suppkey").agg(
+        offers = self.dealt("lineitem").groupBy("l_orderkey", "l_suppkey").agg(
             F.min("l_extendedprice").alias("bid_amount"))
         decided = self.decided.select(
             F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus", "best_supplier")
