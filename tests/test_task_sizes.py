@@ -63,7 +63,7 @@ def test_line_items_are_dealt_before_bids_are_made(spark, small_pieces):
     assert _hashed_after_dealing(_plan(SampleModel(spark, FOLDER).bids), "HashAggregate")
 
 
-@pytest.mark.parametrize("name", ["profile_columns", "inclusion_dependencies", "savings_matrix"])
+@pytest.mark.parametrize("name", ["profile_columns", "inclusion_dependencies", "savings_matrix", "uniqueness_fact_procurement_bids"])
 def test_pieces_change_no_result(spark, monkeypatch, name):
     whole = _rows(QUERIES[name](spark, FOLDER))
     monkeypatch.setattr(session, "PIECE", 16384)
