@@ -1,8 +1,9 @@
 """Byte-level BPE with word ends: encoding and decoding against a public vocabulary file.
 
-A word's symbols form a doubly linked list; a heap holds every adjacent pair that merges, by rank and then position.
-The least entry is popped; if one of its two symbols has changed since, the entry is stale and skipped, else the pair
-becomes one symbol and its new neighbours are pushed. Words are cached up to a bound per Python worker.
+A word's symbols form a doubly linked list; a heap holds every adjacent pair that merges, by rank and then position, in one whole
+number. The least entry is popped; if the two symbols that stand there no longer merge at its rank, the entry is stale and skipped,
+else the pair becomes one symbol and its new neighbours are pushed. Words are cached up to a bound per Python worker.
+Words of Latin-1 texts are sought by bitmaps of the file's character classes, those of other texts by the classes themselves.
 
 Null texts are empty, and empty texts have no ids. Very long texts are taken whole. Rows are independent, so repeated
 rows and ties need no rule; an empty table gives an empty result.
@@ -14,8 +15,10 @@ import functools
 import hashlib
 import heapq
 import json
+import re
+import struct
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +49,9 @@ LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC:
          **{c: c + 0x20 for c in range(0x10D50, 0x10D66)}, **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}}
 
 
+BEYOND = re.compile("[\u0558-\U0010ffff]")  # holds all of them
+
+
 def rare_class() -> tuple[str, str]:
     """Character classes of the later characters, and of these and the ones with late lower forms."""
     pairs = [(r.split("-")[0], r.split("-")[-1]) for r in LATER.split()]
@@ -53,6 +59,43 @@ def rare_class() -> tuple[str, str]:
     return f"[{later}]", f"[{later}{''.join(map(chr, LOWER))}]"
 
 
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def latin_pattern(pattern: str) -> re.Pattern[str] | None:
+    """A pattern that finds the same in Latin-1 texts: the members of its classes are written out. None if it has others than \\s, \\p{L} and
+    \\p{N} within brackets."""
+    def written_out(brackets: re.Match[str]) -> str:
+        return re.sub(r"\\(?:s|p\{[LN]\})", lambda name: "".join(f"\\x{c:02x}" for c in range(256) if regex.match(name[0], chr(c))), brackets[0])
+
+    pattern = re.sub(r"\[[^\]]*\]", written_out, pattern)
+    return None if re.search(r"\\[^x]", pattern) else re.compile(pattern)
+
+
+class WordCache(dict):
+    """Packed ids of words. Full, it becomes the old half, of which only what is met again is taken over."""
+
+    def __init__(self, packed: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.packed, self.old = packed, {}
+
+    def __missing__(self, word: str) -> bytes:
+        value = self.old.get(word)
+        if value is None:
+            value = self.packed(word)
+        if len(word) <= CACHE_CHARS:
+            if len(self) >= CACHE_WORDS // 2:
+                self.old = dict(self)
+                self.clear()
+            self[word] = value
+        return value
+
+
 @functools.cache
 def coder_of(path: str) -> WordBpe:
     """One coder for each file and Python worker."""
@@ -69,67 +112,74 @@ class WordBpe:
         self.end = model["end_of_word_suffix"]
         self.ids: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.symbols = byte_symbols()
+        # The symbol of a byte, and of one that ends a word.
+        self.first, self.last = ({b: self.ids[c + end] for b, c in enumerate(byte_symbols()) if c + end in self.ids} for end in ("", self.end))
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        self.merges = {(self.ids[a], self.ids[b]): (rank, self.ids[a + b]) for rank, (a, b) in enumerate(pairs)}
+        # Ranks of pairs by their first and then their second symbol, and the symbol made at each rank.
+        self.ranks: list[dict[int, int]] = [{}] * (1 + max(self.ids.values()))
+        for rank, (a, b) in enumerate(pairs):
+            self.ranks[self.ids[a]] = self.ranks[self.ids[a]] or {}
+            self.ranks[self.ids[a]][self.ids[b]] = rank
+        self.made = [self.ids[a + b] for a, b in pairs]
         self.names = [""] * (1 + max([*self.ids.values(), *self.special.values()]))
         for name, i in [*self.ids.items(), *self.special.items()]:
             self.names[i] = name
         pattern = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")["pattern"]["Regex"]
-        self.pattern = regex.compile(pattern)
+        self.pattern, self.latin = regex.compile(pattern), latin_pattern(pattern)
         self.later, self.rare = map(regex.compile, rare_class())
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.cache: dict[str, bytes] = {}
+        self.cache = WordCache(self._packed_word)
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of one word by merging."""
-        chars = [self.symbols[b] for b in word.encode("utf-8")]
-        chars[-1] += self.end
-        ids = [self.ids[c] for c in chars]
-        n, merges = len(ids), self.merges
+        raw = word.encode("utf-8")
+        first, ranks, made = self.first, self.ranks, self.made
+        ids = [first[b] for b in raw]
+        ids[-1] = self.last[raw[-1]]
+        n = len(ids)
+        heap = [rank * n + i for i, (a, b) in enumerate(zip(ids, ids[1:])) if (rank := ranks[a].get(b)) is not None]
+        if not heap:
+            return ids
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        heap = [(*merges[pair], i, *pair) for i in range(n - 1) if (pair := (ids[i], ids[i + 1])) in merges]
-        heap = [(rank, i, a, b, new) for rank, new, i, a, b in heap]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b, new = heapq.heappop(heap)
+            entry = heapq.heappop(heap)
+            rank = entry // n
+            i = entry - rank * n
             j = after[i]
-            if ids[i] != a or j < 0 or ids[j] != b:
+            if j < 0 or ranks[ids[i]].get(ids[j]) != rank:
                 continue  # stale
-            ids[i], ids[j], after[i] = new, -1, after[j]
-            if after[i] >= 0:
-                before[after[i]] = i
-            for left, right in ((before[i], i), (i, after[i])):
-                if left >= 0 and right >= 0 and (found := merges.get((ids[left], ids[right]))):
-                    heapq.heappush(heap, (found[0], left, ids[left], ids[right], found[1]))
+            new = ids[i] = made[rank]
+            left, right = before[i], after[j]
+            ids[j], after[i], after[j] = -1, right, -1
+            if right >= 0:
+                before[right] = i
+                if (rank := ranks[new].get(ids[right])) is not None:
+                    heapq.heappush(heap, rank * n + i)
+            if left >= 0 and (rank := ranks[ids[left]].get(new)) is not None:
+                heapq.heappush(heap, rank * n + left)
         return [i for i in ids if i >= 0]
 
+    def _packed_word(self, word: str) -> bytes:
+        ids = self.encode_word(word)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _words(self, part: str) -> list[str]:
         """Words of the lower-case text by the file's pattern. A private character stands for later ones while words are sought."""
-        if part.isascii() or self.rare.search(part) is None:
+        if BEYOND.search(part) is None or self.rare.search(part) is None:
             return self.pattern.findall(part.lower())
         part = part.translate(LOWER).lower()
         return [part[m.start(): m.end()] for m in self.pattern.finditer(self.later.sub("\ue000", part))]
 
     def _packed(self, part: str) -> list[bytes]:
-        if not unicodedata.is_normalized("NFC", part):
-            part = unicodedata.normalize("NFC", part)
-        # Lower case by character: no special form of sigma at the end of a word.
-        words = self._words(part.replace("Σ", "σ"))
-        cache = self.cache
-        try:
-            return [cache[w] for w in words]
-        except KeyError:
-            out = []
-            for w in words:
-                if (packed := cache.get(w)) is None:
-                    packed = np.array(self.encode_word(w), "<u4").tobytes()
-                    if len(w) <= CACHE_CHARS:
-                        cache[w] = packed
-                out.append(packed)
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
-            return out
+        if self.latin is not None and _is_latin(part):  # is in NFC, and has neither sigma nor later characters
+            words = self.latin.findall(part.lower())
+        else:
+            if not unicodedata.is_normalized("NFC", part):
+                part = unicodedata.normalize("NFC", part)
+            # Lower case by character: no special form of sigma at the end of a word.
+            words = self._words(part.replace("Σ", "σ"))
+        return list(map(self.cache.__getitem__, words))
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text as little-endian unsigned 32-bit integers. Strings of special tokens in it are those tokens."""
