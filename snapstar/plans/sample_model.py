@@ -31,6 +31,12 @@ def _always_valid(df: DataFrame) -> DataFrame:
         START: F.lit("1995-01-01").cast("timestamp"), END: F.lit(None).cast("timestamp")})
 
 
+def _shuffled(df: DataFrame) -> DataFrame:
+    """A side of a join with a row for each order. The planner would broadcast it as long as its columns take few bytes in the compressed file, up to
+    many millions of rows, which every task then counts whole."""
+    return df.hint("merge")
+
+
 _SCHEMAS: dict[str, StructType] = {}
 
 
@@ -129,6 +135,11 @@ class SampleModel:
     def orders(self) -> DataFrame:
         return self.table("orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
 
+    @cached_property
+    def _orders_to_join(self) -> DataFrame:
+        """Orders for joins by key: a shuffle holds the rows that a task scans, so those are pieces here."""
+        return self.dealt("orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
+
     @cached_property
     def lines(self) -> DataFrame:
         """Line items with one row per (order, line number)."""
@@ -150,7 +161,7 @@ class SampleModel:
     @cached_property
     def decided(self) -> DataFrame:
         """Orders with the supplier of their cheapest line, if any."""
-        return self.orders.join(self._per_order.select("o_orderkey", "best_supplier"), "o_orderkey", "left")
+        return self._orders_to_join.join(_shuffled(self._per_order.select("o_orderkey", "best_supplier")), "o_orderkey", "left")
 
     # Silver
 
@@ -191,7 +202,7 @@ class SampleModel:
     @cached_property
     def plan(self) -> DataFrame:
         quarter = F.concat(F.year("o_orderdate").cast("string"), F.lit("-Q"), F.quarter("o_orderdate").cast("string"))
-        return _always_valid(self.orders.join(self.first_parts, "o_orderkey").select(
+        return _always_valid(self._orders_to_join.join(_shuffled(self.first_parts), "o_orderkey").select(
             F.col("o_orderkey").alias("evidence_number"), F.col("first_part").alias("cpv_code"),
             quarter.alias("planned_quarter"), F.col("o_totalprice").alias("estimated_value")))
 
@@ -214,7 +225,7 @@ class SampleModel:
             F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus", "best_supplier")
         status = F.when(F.col("o_orderstatus") != "P", F.when(
             F.col("l_suppkey") == F.col("best_supplier"), AWARDED).otherwise("Rejected"))
-        return _always_valid(offers.join(decided, "l_orderkey").select(
+        return _always_valid(offers.join(_shuffled(decided), "l_orderkey").select(
             F.concat_ws("-", "l_orderkey", "l_suppkey").alias("bid_id"), F.col("l_orderkey").alias("procedure_id"),
             F.col("l_suppkey").alias("supplier_id"), "bid_amount", status.alias("bid_status")))
 

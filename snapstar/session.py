@@ -33,7 +33,7 @@ TASK_BYTES = {
 # A row group of a file can't be split, so a task that sorts or hashes what it scans holds whole row groups, which grow with the file. Rows of
 # larger files are dealt out in pieces of PIECE bytes first. Up to MOST_OPEN pieces a task writes rows straight to files and holds none of them
 # (spark.shuffle.sort.bypassMergeThreshold); only beyond LARGEST bytes a piece there are more.
-PIECE, MOST_OPEN, LARGEST = 16 << 20, 200, 64 << 20
+PIECE, MOST_OPEN, LARGEST = 4 << 20, 200, 64 << 20
 
 
 def tune(spark: SparkSession) -> SparkSession:

@@ -63,6 +63,15 @@ def test_line_items_are_dealt_before_bids_are_made(spark, small_pieces):
     assert _hashed_after_dealing(_plan(SampleModel(spark, FOLDER).bids), "HashAggregate")
 
 
+@pytest.mark.parametrize("name", ["bids", "contracts", "plan"])
+def test_rows_of_orders_are_dealt_and_never_broadcast(spark, small_pieces, name):
+    lines = _plan(getattr(SampleModel(spark, FOLDER), name)).splitlines()
+    scans = [i for i, x in enumerate(lines) if "FileScan" in x and "o_orderkey" in x]
+    below = [next(x for x in reversed(lines[:i]) if "Exchange" in x) for i in scans]
+    assert scans and all("REPARTITION_BY_NUM" in x for x in below)
+    assert not any("Broadcast" in x for x in lines)
+
+
 @pytest.mark.parametrize("name", ["profile_columns", "inclusion_dependencies", "savings_matrix", "uniqueness_fact_procurement_bids"])
 def test_pieces_change_no_result(spark, monkeypatch, name):
     whole = _rows(QUERIES[name](spark, FOLDER))
