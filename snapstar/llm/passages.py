@@ -252,21 +252,34 @@ def anchor(targets: int):
 
 
 def _anchors(group: pa.Table) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
-    codes, blocks, twice = [], [], []
-    owners, values = [], []
+    # A hash with two flags, in one number: whether it is a block's, and whether its batch has it more than once.
+    codes, owners, values = [], [], []
     for value in group.column("payload"):
         once, once_names, once_n, once_block, many, many_block, more, more_names, more_n = unpack(value.as_py())
-        codes += [once, many]
-        blocks += [np.unpackbits(once_block, count=len(once)), np.unpackbits(many_block, count=len(many))]
-        twice += [np.zeros(len(once), bool), np.ones(len(many), bool)]
+        codes += [_flagged(once, once_block, 0), _flagged(many, many_block, 1)]
         owners += [_each(once_names, once_n), _each(more_names, more_n)]
         values += [once, more]
-    code, inverse, counts = np.unique(np.concatenate(codes), return_inverse=True, return_counts=True)
-    block = np.bincount(inverse, np.concatenate(blocks), len(code)) > 0
-    repeated = (counts > 1) | (np.bincount(inverse, np.concatenate(twice), len(code)) > 0)
-    anchors, owner, value = code[block & repeated], np.concatenate(owners), np.concatenate(values)
-    hit = np.isin(value, anchors)
-    return (owner[hit],), value[hit]
+    code = np.concatenate(codes)
+    del codes
+    code.sort()
+    starts = _changes(code >> np.uint64(2))
+    flags = np.bitwise_or.reduceat((code & np.uint64(3)).astype(np.uint8), starts)
+    repeated = (np.diff(np.append(starts, len(code))) > 1) | (flags & 1 > 0)
+    anchors = (code[starts[repeated & (flags & 2 > 0)]] >> np.uint64(2)).astype(np.uint32)
+    del code, starts, flags, repeated
+    hits = [_among(v, anchors) for v in values]
+    return (np.concatenate([o[h] for o, h in zip(owners, hits)]),), np.concatenate([v[h] for v, h in zip(values, hits)])
+
+
+def _flagged(hashes: np.ndarray, block: np.ndarray, twice: int) -> np.ndarray:
+    return (hashes.astype(np.uint64) << np.uint64(2)) | (np.unpackbits(block, count=len(hashes)) << 1 | twice)
+
+
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are among sorted known ones."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
 def extend(buckets: int):
