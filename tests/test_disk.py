@@ -108,3 +108,9 @@ def test_moving_less_changes_no_result(spark, awkward, monkeypatch, name):
     for setting, value in (("PIECE", 16384), ("FEW", 0), ("MOST_OPEN", 1)):
         monkeypatch.setattr(session, setting, value)
     assert whole and _rows(QUERIES[name](spark, awkward)) == whole
+
+
+def test_profiles_are_made_table_by_table(spark, monkeypatch):
+    """What a profile moved is gone before the last one is made: the result reads stored profiles, it computes none."""
+    plan = _plan(QUERIES["catalog_columns"](spark, FOLDER))
+    assert "bids" not in plan and "Expand" not in plan and "profiles-" in plan
