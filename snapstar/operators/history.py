@@ -8,6 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import is_large_and_even
 from .snapshots import END, SNAPSHOT_TS, START, dedup_by_key
 
 VALIDITY = (START, END)
@@ -130,11 +131,17 @@ def fold_scd2(
     """
     columns = [c for c in views.columns if c != at_col]
     stamps = F.array(*(F.timestamp_micros(F.lit(t)) for t in times))
-    found = dedup_by_key(views, [*keys, at_col]).withColumn("_pos", F.array_position(F.array(*(F.lit(t).cast("long") for t in times)), F.col(at_col)).cast("int"))
+    # Copies collapse in every task before they move, to meet those of other tasks by key and time, and rows move once more to meet by key. Many
+    # rows without a hot key meet by key at once.
+    once = is_large_and_even(views, *keys)
+    found = (views if once else dedup_by_key(views, [*keys, at_col])).withColumn(
+        "_pos", F.array_position(F.array(*(F.lit(t).cast("long") for t in times)), F.col(at_col)).cast("int"))
     rows = found.select(*columns, F.timestamp_micros(at_col).alias("_since"), "_pos")
     if open_rows is not None:
         rows = rows.unionByName(open_rows.select(*columns, F.col(START).alias("_since"), F.lit(0).alias("_pos")))
     rows = rows.repartition(*keys)
+    if once:
+        rows = dedup_by_key(rows, [*keys, "_pos"])
     if again:
         places = F.array(*(F.array(F.lit(p), *map(F.lit, again.get(p, ()))) for p in range(len(times) + 1)))
         rows = rows.withColumn("_own", F.col("_pos")).withColumn("_pos", F.explode(F.get(places, F.col("_own"))))

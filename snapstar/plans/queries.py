@@ -18,7 +18,7 @@ from ..operators.snapshots import (
     END, RESCUED, SNAPSHOT_TS, START, as_of, current, dedup_by_key, latest_snapshot,
     slice_by, slicer_values,
 )
-from ..session import scratch_dir, tune
+from ..session import delete_scratch, scratch_dir, tune
 from ..sources import calendars, landing, traces
 from ..streaming import gate
 from ..streaming.bronze import ingest_bronze, read_bronze
@@ -296,13 +296,21 @@ def _(m: SampleModel) -> DataFrame:
     return _export_totals(read_bronze(m.spark, f"{base}/bronze", schema))
 
 
+def _kept(m: SampleModel, rows: DataFrame, base: str) -> DataFrame:
+    """Rows of which several exports are made, computed once; ``rows`` below the base can go when all have landed."""
+    landing.write_gold(rows, f"{base}/rows")
+    return m.spark.read.schema(rows.schema).parquet(f"{base}/rows")
+
+
 @query("ingest_entity")
 def _(m: SampleModel) -> DataFrame:
     """Invoices through all layers: two exports, the first with those issued before 1998."""
     base, cfg = scratch_dir(m.spark, "entity"), ENTITIES["invoices"]
-    early = m.raw_invoices.filter(F.col("issue_date") < F.datediff(F.lit("1998-01-01"), F.lit("1899-12-30")))
+    rows = _kept(m, m.raw_invoices, base)  # two exports are made of them
+    early = rows.filter(F.col("issue_date") < F.datediff(F.lit("1998-01-01"), F.lit("1899-12-30")))
     landing.land_snapshot({cfg.name: early}, f"{base}/landing", "r1", "1997-12-31")
-    landing.land_snapshot({cfg.name: m.raw_invoices}, f"{base}/landing", "r2", "2001-12-31")
+    landing.land_snapshot({cfg.name: rows}, f"{base}/landing", "r2", "2001-12-31")
+    delete_scratch(m.spark, f"{base}/rows")
     schema = landing.infer_csv_schema(m.spark, f"{base}/landing/{cfg.name}")
     silver = ingest_entity(m.spark, cfg, base, schema, AS_OF)
     return silver.select("invoice_id", "due_date", "payment_date", "invoice_amount", "invoice_status", "days_late",
@@ -329,8 +337,7 @@ def _(m: SampleModel) -> DataFrame:
     """Exports between and on the dates of earlier runs: each takes its place, and re-datings show the export that is newest then."""
     base, cents = scratch_dir(m.spark, "same-day"), F.col("invoice_amount")
     third = F.split_part("invoice_id", F.lit("-"), F.lit(2)).cast("int") % 3 == 0
-    landing.write_gold(m.raw_invoices, f"{base}/rows")  # three exports are made of them
-    rows = m.spark.read.schema(m.raw_invoices.schema).parquet(f"{base}/rows")
+    rows = _kept(m, m.raw_invoices, base)  # three exports are made of them
 
     def land(run: str, at: str, amount: Column) -> None:
         landing.land_snapshot({"invoices": rows.withColumn("invoice_amount", amount)}, f"{base}/landing", run, at)
@@ -416,7 +423,7 @@ def _ingest(m: SampleModel, name: str) -> DataFrame:
     base, cfg = scratch_dir(m.spark, name), ENTITIES[name]
     rows, changing = ENTITY_ROWS[name]
     silver = rows(m)
-    raw = silver.drop(START, END).withColumns({c: date_to_serial(c) for c in cfg.serial_dates})
+    raw = _kept(m, silver.drop(START, END).withColumns({c: date_to_serial(c) for c in cfg.serial_dates}), base)  # two exports are made of them
     key = cfg.keys[0]
     n = F.ascii(F.right(F.col(key).cast("string"), F.lit(1)))
     is_text = raw.schema[changing].dataType.simpleString() == "string"
@@ -425,6 +432,7 @@ def _ingest(m: SampleModel, name: str) -> DataFrame:
     ingest_entity(m.spark, cfg, base, raw.schema)
     landing.land_snapshot({name: raw.filter(n % 7 != 2).withColumn(changing, F.when(n % 3 == 0, changed).otherwise(F.col(changing)))},
                           f"{base}/landing", "r2", "1998-12-31")
+    delete_scratch(m.spark, f"{base}/rows")
     history_ = ingest_entity(m.spark, cfg, base, raw.schema)
     value = F.col(changing) if raw.schema[changing].dataType.simpleString() == "double" else F.col(changing).cast("string").alias(changing)
     return history_.select(F.col(key).cast("string").alias(key), value, *cfg.serial_dates, *([START, END] if cfg.scd_type == 2 else []))

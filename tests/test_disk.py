@@ -110,6 +110,25 @@ def test_moving_less_changes_no_result(spark, awkward, monkeypatch, name):
     assert whole and _rows(QUERIES[name](spark, awkward)) == whole
 
 
+def _fold(spark):
+    t = [dt.datetime(2024, m, 1) for m in (1, 2, 3)]
+    at = [int(x.replace(tzinfo=dt.timezone.utc).timestamp() * 1e6) for x in t]
+    rows = [(f"k{k % 50}" if k % 11 else None, k % 4, (k + i) % 3, at[i]) for i in (1, 2) for k in range(90)]
+    views = spark.createDataFrame(rows * 2, "id string, part int, v int, _view_at bigint")
+    opened = spark.createDataFrame([(f"k{k}", p, 1, t[0], None) for k in range(60) for p in range(4)], "id string, part int, v int, __START_AT timestamp, __END_AT timestamp")
+    return fold_scd2(opened, views, at[1:], ["id", "part"], "_view_at")
+
+
+def test_many_even_rows_move_once_to_a_fold(spark, monkeypatch):
+    twice = _fold(spark)
+    assert _plan(twice).count("Exchange hashpartitioning") == 2
+    want = _rows(twice)
+    for setting, value in (("FEW", 0), ("MOST_OPEN", 1)):
+        monkeypatch.setattr(session, setting, value)
+    once = _fold(spark)
+    assert _plan(once).count("Exchange hashpartitioning") == 1 and _rows(once) == want
+
+
 def test_profiles_are_made_table_by_table(spark, monkeypatch):
     """What a profile moved is gone before the last one is made: the result reads stored profiles, it computes none."""
     plan = _plan(QUERIES["catalog_columns"](spark, FOLDER))
