@@ -129,7 +129,44 @@ def test_many_even_rows_move_once_to_a_fold(spark, monkeypatch):
     assert _plan(once).count("Exchange hashpartitioning") == 1 and _rows(once) == want
 
 
+@pytest.mark.parametrize("name", ["ingest_entity", "ingest_purchase_orders", "ingest_procurement_bids", "same_day_export"])
+def test_exports_are_made_of_rows_computed_once(spark, monkeypatch, name):
+    landed, land, folders = [], landing.land_snapshot, []
+    monkeypatch.setattr(landing, "land_snapshot", lambda frames, root, *rest: (landed.extend(map(_plan, frames.values())), folders.append(root), land(frames, root, *rest)))
+    assert QUERIES[name](spark, FOLDER).count() > 0
+    assert len(landed) > 1 and not any("lineitem.parquet" in x for x in landed)
+    assert not os.path.exists(os.path.join(os.path.dirname(folders[0]), "rows"))
+
+
 def test_profiles_are_made_table_by_table(spark, monkeypatch):
     """What a profile moved is gone before the last one is made: the result reads stored profiles, it computes none."""
     plan = _plan(QUERIES["catalog_columns"](spark, FOLDER))
     assert "bids" not in plan and "Expand" not in plan and "profiles-" in plan
+
+
+def test_an_export_in_place_of_a_re_dating_moves_no_earlier_one(spark, tmp_path):
+    day = [int(dt.datetime(2024, m, 1, tzinfo=dt.timezone.utc).timestamp() * 1e6) for m in range(1, 7)]
+
+    def late(at):
+        return {"late": F.col("due") < F.month(at)}
+
+    exports = {day[i]: spark.createDataFrame([(f"k{k}", k % 7, None, i + k % 2) for k in range(20)], "id string, due int, late boolean, v int").withColumns(
+        late(F.timestamp_micros(F.lit(day[i])))) for i in (0, 2, 4)}
+    asked = []
+
+    def rows_of(views):
+        asked.append([v.at for v in views])
+        return reduce(DataFrame.unionByName, [exports[v.export.at].withColumn(AT, F.lit(v.at)) for v in views])
+
+    known = [Export(at, 20, str(at)) for at in exports]
+    table = HistoryTable(spark, str(tmp_path / "steps"), exports[day[0]].schema, ["id"])
+    table.catch_up(known[:1], rows_of, day[1], late)
+    table.catch_up(known[:1], rows_of, day[4], late)
+    table.catch_up(known[:2], rows_of, day[4], late)
+    table.catch_up(known, rows_of, day[4], late)
+    assert asked == [[day[0]], [day[2]], [day[4]]]
+    assert [v.at for v in table.views()] == [day[0], day[1], day[2], day[4]]
+    at_once = HistoryTable(spark, str(tmp_path / "at_once"), exports[day[0]].schema, ["id"])
+    at_once.catch_up(known[:1], rows_of, day[1], late)
+    at_once.catch_up(known, rows_of, None, late)
+    assert _rows(table.read()) == _rows(at_once.read())
