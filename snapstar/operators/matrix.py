@@ -17,13 +17,20 @@ def _depth(levels: Sequence[str]) -> Column:
     return shown.alias("level")
 
 
-def drill_matrix(df: DataFrame, levels: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
+def drill_matrix(df: DataFrame, levels: Sequence[str], measures: Mapping[str, Column], summed: bool = False) -> DataFrame:
     """Every measure at every depth of the drill path.
 
     ``level`` counts the shown columns (0 is the grand total), which tells a subtotal
-    from a row whose own value is null. Subtotals collapse before the shuffle.
+    from a row whose own value is null. Subtotals collapse before the shuffle. A frame that is ``summed`` holds the
+    deepest groups once each, in partitions by some of the levels; these groups stay where they are, and only the depths above move.
     """
-    return df.rollup(*levels).agg(_depth(levels), *[m.alias(name) for name, m in measures.items()])
+    shown = [m.alias(name) for name, m in measures.items()]
+    if not summed:
+        return df.rollup(*levels).agg(_depth(levels), *shown)
+    *upper, last = levels
+    deepest = df.groupBy(*levels).agg(F.lit(len(levels)).cast("bigint").alias("level"), *shown)
+    above = df.rollup(*upper).agg(_depth(upper), *shown).withColumn(last, F.lit(None).cast(df.schema[last].dataType))
+    return deepest.unionByName(above)
 
 
 def date_hierarchy(df: DataFrame, ts_col: str, amount: str) -> DataFrame:

@@ -100,10 +100,13 @@ def realization_cards(realization: DataFrame) -> DataFrame:
 def invoice_drilldown(
     invoices: DataFrame, purchase_orders: DataFrame, contracts: DataFrame, projects: DataFrame
 ) -> DataFrame:
-    """Department, project, contract, purchase order, invoice, along the order's chain of keys."""
-    chain = related(_billed(invoices), purchase_orders, "purchase_order_id", "contract_id")
-    chain = related(related(chain, contracts, "contract_id", "project_id"), projects, "project_id", "department_id")
-    return _invoice_levels(chain)
+    """Department, project, contract, purchase order, invoice, along the order's chain of keys.
+
+    The chain is made from its far end, of the smaller tables; invoices move once.
+    """
+    placed = related(contracts.select("contract_id", "project_id"), projects, "project_id", "department_id")
+    ordered = related(purchase_orders.select("purchase_order_id", "contract_id"), placed, "contract_id", "project_id", "department_id")
+    return _invoice_levels(related(_billed(invoices), ordered, "purchase_order_id", "contract_id", "project_id", "department_id"))
 
 
 def _billed(invoices: DataFrame) -> DataFrame:
@@ -122,7 +125,7 @@ def _invoice_levels(chain: DataFrame) -> DataFrame:
         F.min("invoice_status").alias("invoice_status"), F.sum(F.col("days_late").cast("bigint")).alias("days_late"))
     totals = drill_matrix(sums, levels, {
         "invoice_amount": money(F.sum("invoice_amount")).cast("double"), "payment_status": F.min("payment_status"),
-        "invoice_status": F.min("invoice_status"), "days_late": F.sum("days_late")})
+        "invoice_status": F.min("invoice_status"), "days_late": F.sum("days_late")}, summed=True)
     leaves = chain.withColumn("level", F.lit(len(levels) + 1).cast("bigint")).withColumns({
         "days_late": F.col("days_late").cast("bigint"), "invoice_amount": exact("invoice_amount").cast("double")})
     both = totals.withColumn("invoice_id", F.lit(None).cast(chain.schema["invoice_id"].dataType)).unionByName(

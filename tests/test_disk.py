@@ -129,6 +129,41 @@ def test_many_even_rows_move_once_to_a_fold(spark, monkeypatch):
     assert _plan(once).count("Exchange hashpartitioning") == 1 and _rows(once) == want
 
 
+def test_summed_groups_stay_where_they_are(spark):
+    df = spark.createDataFrame([(a, b, c, (a or 5) * (b or 3) + c) for a in (1, 2, None) for b in (1, None) for c in (1, 2)], "a int, b int, c int, v int")
+    levels, measures = ["a", "b", "c"], {"v": F.sum("v"), "n": F.min("v")}
+    sums = df.repartition(4, "b").groupBy(*levels).agg(F.sum("v").alias("v"))
+    plain, summed = drill_matrix(sums, levels, measures), drill_matrix(sums, levels, measures, summed=True)
+    assert _rows(summed.select(*plain.columns)) == _rows(plain)
+    moved = [x for x in _plan(summed).splitlines() if "Exchange hashpartitioning(a" in x]
+    assert len(moved) == 1 and "c#" not in moved[0]
+
+
+def _wide_moves(plan, column):
+    """Exchanges for joins of rows with a column: those right above a projection or join that shows it."""
+    lines = plan.splitlines()
+    return [x for x, below in zip(lines, lines[1:]) if "Exchange hashpartitioning" in x and "grouping" not in x and column in below]
+
+
+def test_invoices_move_once_to_their_chain(spark):
+    """Lookups that miss, and ones with several rows, come out as if each were joined to the invoices in turn."""
+    invoices = spark.createDataFrame([(f"I{i}", f"P{i % 5}" if i % 4 else None, float(i), "x", "y", i) for i in range(20)],
+                                     "invoice_id string, purchase_order_id string, invoice_amount double, payment_status string, invoice_status string, days_late int")
+    orders = spark.createDataFrame([("P0", 1), ("P1", 2), ("P1", 3), ("P2", None), ("P3", 9)], "purchase_order_id string, contract_id int")
+    contracts = spark.createDataFrame([(1, 1), (2, 7), (3, 2), (3, 2), (5, 1)], "contract_id int, project_id int")
+    projects = spark.createDataFrame([(1, 10), (2, 20), (2, 21)], "project_id int, department_id int")
+    chain = invoices.join(orders, "purchase_order_id", "left").join(contracts, "contract_id", "left").join(projects, "project_id", "left")
+    want = report._invoice_levels(chain)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = report.invoice_drilldown(invoices, orders, contracts, projects)
+        assert _rows(got.select(*want.columns)) == _rows(want)
+        assert len(_wide_moves(_plan(want), "invoice_amount")) > 2  # by order, contract and project, in each branch
+        assert all("hashpartitioning(purchase_order_id" in x for x in _wide_moves(_plan(got), "invoice_amount"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("name", ["ingest_entity", "ingest_purchase_orders", "ingest_procurement_bids", "same_day_export"])
 def test_exports_are_made_of_rows_computed_once(spark, monkeypatch, name):
     landed, land, folders = [], landing.land_snapshot, []
