@@ -37,7 +37,8 @@ def savings_matrix(savings: DataFrame, bids: DataFrame, awarded: str = AWARDED)
     total = lambda c: money(F.sum(c)).cast("double")
     awarded_amounts = dict(zip(("awarded_bid_amount", "rejected_bid_amount"), shown(one, F.sum("_won") == F.sum("_n"))))
     totals = drill_matrix(sums, levels, {
-        "bid_amount_sum": total("_offered"), "estimated_value_awarded": total("_estimated"), **awarded_amounts, "procurement_savings_awarded": total("_saved")})
+        "bid_amount_sum": total("_offered"), "estimated_value_awarded": total("_estimated"), **awarded_amounts, "procurement_savings_awarded": total("_saved")},
+        summed=True)
     is_won = F.coalesce(won, F.lit(False))
     leaves = facts.select(
         F.lit(len(levels) + 1).cast("bigint").alias("level"), *levels, "bid_id", money(offered).cast("double").alias("bid_amount_sum"),
